@@ -19,19 +19,20 @@ selection INT, converted_file STRING, drive_file_id STRING, conversion_lock DATE
 abstract_num INT, summary_num INT, abstract_pos DOUBLE, summary_pos INT
 """
 
-RECORD_V1 = T.StructType.fromDDL(_V1)
-RECORD_V2 = T.StructType.fromDDL(f"{_V1}, {_V2_EXTRA}")
+#: record table as first loaded
+RECORD_V1 = " ".join(_V1.split())
+#: record table with conversion and text-scan results
+RECORD_V2 = " ".join(f"{_V1}, {_V2_EXTRA}".split())
 
-MARC_DDL = (
+MARC = (
     "controlfield ARRAY<STRUCT<_tag: STRING, _VALUE: STRING>>, "
     "datafield ARRAY<STRUCT<_tag: STRING, _ind1: STRING, _ind2: STRING, "
     "subfield: ARRAY<STRUCT<_code: STRING, _VALUE: STRING>>>>"
 )
-MARC = T.StructType.fromDDL(MARC_DDL)
 
 LINK_COLUMNS = ("doc_idn", "gnd_idn", "gnd_label")
 
-TAXONOMY_DDL = "MAP<STRING, STRUCT<name: STRING, sub: MAP<STRING, STRUCT<name: STRING>>>>"
+TAXONOMY = "MAP<STRING, STRUCT<name: STRING, sub: MAP<STRING, STRUCT<name: STRING>>>>"
 
 
 def strings(names) -> T.StructType:

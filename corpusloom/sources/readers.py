@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.schemas import LINK_COLUMNS, MARC, MARC_DDL, TAXONOMY_DDL, strings
+from corpusloom.schemas import LINK_COLUMNS, MARC, TAXONOMY, strings
 
 
 def marc_xml_scan(spark: SparkSession, path: str) -> DataFrame:
@@ -24,7 +24,7 @@ def marc_xml_scan(spark: SparkSession, path: str) -> DataFrame:
 
 def marc_xml_parse(df: DataFrame, xml: str) -> DataFrame:
     """MARC records held as XML text in a column -> parsed records, other columns kept."""
-    parsed = F.from_xml(F.col(xml), MARC_DDL, {"ignoreSurroundingSpaces": "false"})
+    parsed = F.from_xml(F.col(xml), MARC, {"ignoreSurroundingSpaces": "false"})
     return df.withColumn("_marc", parsed).select("*", "_marc.*").drop("_marc", xml)
 
 
@@ -58,7 +58,7 @@ def taxonomy_scan(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     key, equal for a single code, NULL for keys that are no numbers.
     """
     text = spark.read.option("wholetext", not lines).text(path)
-    mains = text.select(F.explode(F.from_json("value", TAXONOMY_DDL)).alias("main", "node"))
+    mains = text.select(F.explode(F.from_json("value", TAXONOMY)).alias("main", "node"))
     rows = mains.select("main", F.col("node.name").alias("main_name"), F.explode_outer("node.sub").alias("sub_key", "sub"))
     lo = F.split_part("sub_key", F.lit("-"), F.lit(1)).try_cast("int")
     hi = F.substring_index("sub_key", "-", -1).try_cast("int")
