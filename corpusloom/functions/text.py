@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.scalar import rounded_ratio
+from corpusloom.functions.scalar import percent
 
 # Search terms for the abstract heading, shortest full section, model context size.
 ABSTRACT_TERMS = ("# Abstract", "# abstract", "#Abstract")
@@ -21,6 +21,11 @@ _STRIP = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
 TOKEN_PATTERN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_text(text: Column) -> Column:
     """Remove leading and trailing whitespace of any kind."""
     return F.regexp_replace(text, _STRIP, "")
@@ -33,23 +38,29 @@ def term_line_scan(text: Column, term: str, pages: int = 25) -> Column:
     of all lines; (0, 0.0) without a hit, NULL for a NULL text. Trailing newlines do not count as
     lines. Texts without the term cost one substring search.
     """
-    needle = term.lower()
+    needle = F.lit(term.lower())
+    rest_of_line = F.lit(re.escape(term.lower()) + r"[^\n]*")
+    lines = lambda c: F.size(F.split(c, "\n"))
     head = F.lower(F.regexp_replace(F.substring_index(text, "\f", pages), r"\n+\z", ""))
-    at = F.instr(head, F.lit(needle))
-    hit_lines = F.regexp_count(head, F.lit(re.escape(needle) + r"[^\n]*"))
-    newlines = lambda c: F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))
-    first_line = newlines(F.substring(head, F.lit(1), at - 1)) + 1
-    return F.when(at.isNull(), None).otherwise(
-        F.struct(
-            F.when(at > 0, hit_lines).otherwise(0).cast("int").alias("num"),
-            F.when(at > 0, percent_of(first_line, newlines(head) + 1)).otherwise(0.0).alias("pos"),
-        )
+    counts = _let(
+        head,
+        lambda h: F.when(
+            F.contains(h, needle),
+            F.struct(
+                F.regexp_count(h, rest_of_line).alias("num"),
+                lines(F.substring_index(h, term.lower(), 1)).alias("first"),
+                lines(h).alias("total"),
+            ),
+        ),
     )
-
-
-def percent_of(part: Column, whole: Column) -> Column:
-    """Two-decimal percentage."""
-    return rounded_ratio(part, whole, 2, 100)
+    found = _let(
+        counts,
+        lambda c: F.struct(
+            F.coalesce(c["num"], F.lit(0)).cast("int").alias("num"),
+            F.coalesce(percent(c["first"], c["total"]), F.lit(0.0)).alias("pos"),
+        ),
+    )
+    return F.when(text.isNotNull(), found)
 
 
 def matched_term(text: Column, terms=ABSTRACT_TERMS) -> Column:
@@ -60,9 +71,12 @@ def matched_term(text: Column, terms=ABSTRACT_TERMS) -> Column:
     return out
 
 
-def _raw_section(text: Column, term: Column) -> tuple[Column, Column]:
-    after = F.split_part(text, term, F.lit(2))
-    return after, F.split_part(after, F.lit("#"), F.lit(1))
+def _after_term(text: Column, term: Column) -> Column:
+    return F.split_part(text, term, F.lit(2))
+
+
+def _to_heading(after: Column) -> Column:
+    return F.substring_index(after, "#", 1)
 
 
 def section_extract(text: Column, terms=ABSTRACT_TERMS) -> Column:
@@ -70,22 +84,30 @@ def section_extract(text: Column, terms=ABSTRACT_TERMS) -> Column:
 
     The section ends at the next occurrence of the term or at the next ``#``.
     """
-    term = matched_term(text, terms)
-    return F.struct(term.alias("term"), strip_text(_raw_section(text, term)[1]).alias("section"))
+    return _let(
+        matched_term(text, terms),
+        lambda t: F.struct(t.alias("term"), strip_text(_to_heading(_after_term(text, t))).alias("section")),
+    )
 
 
 def snippet_context(text: Column, terms=ABSTRACT_TERMS, width: int = 100) -> Column:
     """The section with up to ``width`` characters around it -> struct(term, before, section, after)."""
-    term = matched_term(text, terms)
-    start = F.instr(text, term)
-    begin = F.greatest(F.lit(1), start - width)
-    after, section = _raw_section(text, term)
-    return F.struct(
-        term.alias("term"),
-        F.substring(text, begin, start - begin).alias("before"),
-        section.alias("section"),
-        F.substring(after, F.length(section) + 1, F.lit(width)).alias("after"),
+
+    def cut(at):
+        begin = F.greatest(F.lit(1), at["start"] - width)
+        section = _to_heading(at["after"])
+        return F.struct(
+            at["term"].alias("term"),
+            F.substring(text, begin, at["start"] - begin).alias("before"),
+            section.alias("section"),
+            F.substring(at["after"], F.length(section) + 1, F.lit(width)).alias("after"),
+        )
+
+    located = _let(
+        matched_term(text, terms),
+        lambda t: F.struct(t.alias("term"), F.instr(text, t).alias("start"), _after_term(text, t).alias("after")),
     )
+    return _let(located, cut)
 
 
 def regex_token_count(text: Column) -> Column:

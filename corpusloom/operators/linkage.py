@@ -53,9 +53,11 @@ def link_join(links: DataFrame, records: DataFrame, entities: DataFrame) -> Data
     folding duplicate pairs before the joins is enough, and it shrinks hot documents. A hot
     document or entity is split over several tasks.
     """
-    pairs = links.select("doc_idn", "gnd_idn").distinct()
-    with_record = spread_join(pairs, records.select("doc_idn", F.col("id").alias("record_id")), "doc_idn")
-    with_both = spread_join(with_record, entities.select("gnd_idn", F.col("id").alias("gnd_id")), "gnd_idn")
+    keys = links.select("doc_idn", "gnd_idn")
+    doc_side = records.select("doc_idn", F.col("id").alias("record_id"))
+    entity_side = entities.select("gnd_idn", F.col("id").alias("gnd_id"))
+    with_record = spread_join(keys.distinct(), doc_side, "doc_idn", counted_on=keys)
+    with_both = spread_join(with_record, entity_side, "gnd_idn", counted_on=keys)
     return with_both.select("record_id", "gnd_id")
 
 
@@ -147,7 +149,7 @@ def keyword_agg(mappings: DataFrame, entities: DataFrame, records: DataFrame, pa
     labels = entities.select(F.col("id").alias("gnd_id"), "gnd_label")
     labelled = spread_join(mappings, labels, "gnd_id")
     lists = (
-        paged(labelled, "record_id", "gnd_id", page_size)
+        paged(labelled, "record_id", "gnd_id", page_size, counted_on=mappings)
         .groupBy("record_id", "page")
         .agg(
             F.array_join(F.sort_array(F.collect_list("gnd_label")), " | ").alias("gnd_keywords"),

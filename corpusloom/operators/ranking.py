@@ -73,7 +73,7 @@ def take_lowest(keyed: DataFrame, hist: DataFrame, quota: DataFrame, stratum: st
         .withColumn("_take", F.col("_q") - F.col("_sure"))
         .select(stratum, "_cut", "_take")
     )
-    kept = bounded_join(keyed, cuts, stratum).where(F.col("_cut").isNull() | (F.col("_bucket") <= F.col("_cut")))
+    kept = bounded_join(keyed, pin(cuts), stratum).where(F.col("_cut").isNull() | (F.col("_bucket") <= F.col("_cut")))
     rank = F.row_number().over(Window.partitionBy(stratum, "_bucket").orderBy("_key", id_col))
     whole = F.col("_cut").isNull() | (F.col("_bucket") < F.col("_cut"))
     return (

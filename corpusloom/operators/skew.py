@@ -38,20 +38,23 @@ def salted_join(left: DataFrame, right: DataFrame, on, how: str = "inner", salts
     return lhs.join(rhs, [*keys, "_salt"], how).drop("_salt")
 
 
-def hot_groups(df: DataFrame, keys, floor: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than ``floor`` rows and their counts, pinned: at most rows/floor of them."""
-    return pin(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > floor))
+def hot_groups(df: DataFrame, keys, floor: int = ROWS_PER_TASK) -> DataFrame | None:
+    """Keys with more than ``floor`` rows and their counts, pinned (at most rows/floor of them);
+    None if there are none."""
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > floor)
+    return None if hot.isEmpty() else pin(hot)
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                floor: int = ROWS_PER_TASK) -> DataFrame:
+                floor: int = ROWS_PER_TASK, counted_on: DataFrame | None = None) -> DataFrame:
     """Join distinct ``left`` rows to the unique-keyed ``right``, splitting only the hot keys.
 
     Without hot keys this is an ordinary join (Spark broadcasts ``right`` if its measured size
-    allows). A hot key gets one salt per ``floor`` rows on both sides.
+    allows). A hot key gets one salt per ``floor`` rows on both sides. Keys are counted on ``left``
+    or on ``counted_on``, a cheaper table with at least as many rows of each key.
     """
-    hot = hot_groups(left, [key], floor)
-    if hot.isEmpty():
+    hot = hot_groups(left if counted_on is None else counted_on, [key], floor)
+    if hot is None:
         return left.join(right, key, how)
     salts = hot.select(key, (F.floor(F.col("_n") / floor) + 1).cast("int").alias("_salts"))
     one = F.coalesce(F.col("_salts"), F.lit(1))
@@ -68,15 +71,16 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     return lhs.join(rhs, [key, "_salt"], how).drop("_salt")
 
 
-def paged(df: DataFrame, key: str, item, size: int = PAGE_SIZE) -> DataFrame:
+def paged(df: DataFrame, key: str, item, size: int = PAGE_SIZE, counted_on: DataFrame | None = None) -> DataFrame:
     """Add ``page``: 0 for groups of up to ``size`` rows, else a hash slice of the group.
 
     Collecting per (key, page) keeps arrays near ``size`` elements whatever the skew, and no row
-    is dropped: a group above the limit simply yields several output rows.
+    is dropped: a group above the limit simply yields several output rows. ``counted_on`` is a
+    cheaper table with at least as many rows of each key.
     """
     items = [item] if isinstance(item, str) else list(item)
-    hot = hot_groups(df, [key], size)
-    if hot.isEmpty():
+    hot = hot_groups(df if counted_on is None else counted_on, [key], size)
+    if hot is None:
         return df.withColumn("page", F.lit(0))
     pages = hot.select(key, F.ceil(F.col("_n") / size).cast("int").alias("_pages"))
     return (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import term_line_scan
 from corpusloom.operators.linkage import link_join
 from corpusloom.operators.taxonomy import MAIN_MISSING, SUB_MISSING, taxonomy_dimension
+from corpusloom.session import pin, spread
 
 SEED = 42
 
@@ -19,11 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for CPU-bound text scans."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 # --- documents as records: stratum lang, pages of 2000 characters, hits of a term ----------
 
 
 def records(spark: SparkSession, sf_dir: str, term: str = "license") -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     scan = term_line_scan(F.col("text"), term)
     return docs.select(
         "doc_id", "lang", "source", "n_chars",
@@ -33,6 +39,11 @@ def records(spark: SparkSession, sf_dir: str, term: str = "license") -> DataFram
     )
 
 
+def scanned(spark: SparkSession, sf_dir: str, term: str = "license") -> DataFrame:
+    """``records`` as a stored table: the texts are scanned once, filters run on the results."""
+    return pin(records(spark, sf_dir, term))
+
+
 def records_sql(term: str = "license") -> str:
     hit = f"lambda l: contains(lower(l), '{term}')"
     return f"""
@@ -172,10 +183,11 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mappings table, stored (pinned) as its reports read it more than once."""
     pairs = table(spark, sf_dir, "lineitem").selectExpr(
         "CAST(l_orderkey AS STRING) AS doc_idn", "CAST(l_partkey AS STRING) AS gnd_idn"
     )
-    return link_join(pairs, link_records(spark, sf_dir), entities(spark, sf_dir))
+    return pin(link_join(pairs, link_records(spark, sf_dir), entities(spark, sf_dir)))
 
 
 LINKS_SQL = """
@@ -210,7 +222,7 @@ _MARC_PARTS = (
 
 def marc_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One MARC-XML record per order in the column ``xml``."""
-    return table(spark, sf_dir, "orders").selectExpr(f"concat({', '.join(_MARC_PARTS)}) AS xml")
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(f"concat({', '.join(_MARC_PARTS)}) AS xml")
 
 
 MARC_SQL = """

@@ -224,7 +224,7 @@ def _term_rows():
 
 @query("term_hit_rate", f"WITH {SECTIONS_SQL} {_term_rows()}")
 def term_hit_rate(spark, sf):
-    sections = table(spark, sf, "documents").select(F.inline(F.array(text.section_extract(F.col("text"), _SECTION_TERMS))))
+    sections = fx.documents(spark, sf).select(F.inline(F.array(text.section_extract(F.col("text"), _SECTION_TERMS))))
     return stats.term_hit_rate(sections, _SECTION_TERMS, text.MIN_SECTION_CHARS)
 
 
@@ -232,7 +232,7 @@ def term_hit_rate(spark, sf):
 SELECT count(*) FILTER (WHERE n > 1000) AS n_over, count(*) AS n_docs, {pct_sql('count(*) FILTER (WHERE n > 1000)', 'count(*)')} AS pct
 FROM (SELECT len(regexp_extract_all(text, '\\p{{L}}+|\\p{{N}}+|[^\\s\\p{{L}}\\p{{N}}]')) AS n FROM documents)""")
 def over_limit_share(spark, sf):
-    return stats.over_limit_share(text.token_count(table(spark, sf, "documents"), "text"), "token_count", 1000)
+    return stats.over_limit_share(text.token_count(fx.documents(spark, sf), "text"), "token_count", 1000)
 
 
 @query("availability_rate", f"""WITH {fx.CATALOGUE_SQL}

@@ -16,14 +16,14 @@ from corpusloom.plans.registry import pct_sql, query
 @query("base_filter", f"""WITH {fx.records_sql('en')}
 SELECT doc_id, lang, num_pages, abstract_num FROM recs WHERE num_pages <= 3 AND abstract_num IS NOT NULL AND abstract_num <> 0""")
 def base_filter(spark, sf):
-    return sampling.base_filter(fx.records(spark, sf, "en"), max_pages=3).select("doc_id", "lang", "num_pages", "abstract_num")
+    return sampling.base_filter(fx.scanned(spark, sf, "en"), max_pages=3).select("doc_id", "lang", "num_pages", "abstract_num")
 
 
 @query("optional_limit_filter", f"""WITH {fx.records_sql()}
 SELECT 'all' AS scope, doc_id, num_pages FROM recs WHERE abstract_num <> 0
 UNION ALL SELECT 'short', doc_id, num_pages FROM recs WHERE abstract_num <> 0 AND num_pages <= 2""")
 def optional_limit_filter(spark, sf):
-    hits = fx.records(spark, sf).where("abstract_num <> 0")
+    hits = fx.scanned(spark, sf).where("abstract_num <> 0")
     scoped = [
         stats.with_page_limit(hits, "num_pages", limit).select(F.lit(name).alias("scope"), "doc_id", "num_pages")
         for name, limit in (("all", None), ("short", 2))

@@ -128,7 +128,7 @@ def progress_report(spark, sf):
 @query("stall_gaps", """
 SELECT user_id, prev AS gap_start_us, us AS gap_end_us, (us - prev) // 1000000 AS gap_sec FROM (
   SELECT user_id, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)
-WHERE us - prev > 36000 * 1000000""")
+WHERE us - prev > 36000000000""")
 def stall_gaps(spark, sf):
     return worklist.stall_gaps(table(spark, sf, "events"), "user_id", "ts", 36_000)
 

@@ -9,6 +9,7 @@ from corpusloom.functions.marc import marc_control, marc_subfield, marc_year
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans.fixtures import table
 from corpusloom.plans.registry import query
+from corpusloom.session import spread
 from corpusloom.sources.readers import marc_xml_parse
 
 _SECTION_TERMS = ("Ascirr", "Esos", "the ", "der ")
@@ -128,7 +129,7 @@ FROM (SELECT doc_id, string_split(regexp_replace(array_to_string(list_slice(stri
                                   '\\n+$', ''), chr(10)) AS lines FROM documents)""")
 def term_line_scan(spark, sf):
     paged = F.replace(F.col("text"), F.lit(". "), F.lit(".\f"))
-    return table(spark, sf, "documents").select("doc_id", F.inline(F.array(text.term_line_scan(paged, "en", 25))))
+    return fx.documents(spark, sf).select("doc_id", F.inline(F.array(text.term_line_scan(paged, "en", 25))))
 
 
 def _term_sql(terms):
@@ -142,7 +143,7 @@ sec AS (SELECT doc_id, text, term, regexp_replace(split_part(split_part(text, te
 
 @query("section_extract", f"WITH {SECTIONS_SQL} SELECT doc_id, term, section FROM sec")
 def section_extract(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.inline(F.array(text.section_extract(F.col("text"), _SECTION_TERMS))))
+    return fx.documents(spark, sf).select("doc_id", F.inline(F.array(text.section_extract(F.col("text"), _SECTION_TERMS))))
 
 
 @query("snippet_context", f"""
@@ -153,13 +154,13 @@ SELECT doc_id, term,
 FROM (SELECT doc_id, text, term, strpos(text, term) AS p, split_part(text, term, 2) AS aft
       FROM (SELECT doc_id, text, {_term_sql(_SECTION_TERMS)} AS term FROM documents))""")
 def snippet_context(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.inline(F.array(text.snippet_context(F.col("text"), _SECTION_TERMS))))
+    return fx.documents(spark, sf).select("doc_id", F.inline(F.array(text.snippet_context(F.col("text"), _SECTION_TERMS))))
 
 
 @query("token_count", r"""
 SELECT doc_id, CAST(len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\s\p{L}\p{N}]')) AS INTEGER) AS token_count, 'regex' AS method FROM documents""")
 def token_count(spark, sf):
-    return text.token_count(table(spark, sf, "documents"), "text").select("doc_id", "token_count", "method")
+    return text.token_count(fx.documents(spark, sf), "text").select("doc_id", "token_count", "method")
 
 
 @query("doc_validate", """
@@ -182,7 +183,7 @@ FROM (SELECT page_id, regexp_extract(li, '<a[^>]*>(.*?)</a>', 1) AS link, pos
       FROM (SELECT page_id, unnest(items) AS li, generate_subscripts(items, 1) AS pos
             FROM (SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1, 's') AS items FROM pages)))""")
 def html_cell_normalize(spark, sf):
-    return html.list_items(table(spark, sf, "pages"), "page_id", "html")
+    return html.list_items(spread(table(spark, sf, "pages").select("page_id", "html"), "page_id"), "page_id", "html")
 
 
 @query("indent_level", """

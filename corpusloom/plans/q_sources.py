@@ -57,7 +57,7 @@ def nested_json_export_query(spark, sf):
 def _file_per_document(spark, sf):
     """The corpus as it lies on disk: one text file per document, ended by a newline."""
     path = shared_path(spark, "corpus")
-    table(spark, sf, "documents").select("doc_id", F.col("text").alias("value")).write.partitionBy("doc_id").text(path)
+    fx.documents(spark, sf).select("doc_id", F.col("text").alias("value")).write.partitionBy("doc_id").text(path)
     return path
 
 

@@ -47,11 +47,23 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a scan over all cores if its files give fewer splits than that; else leave it alone.
+
+    For CPU-bound expressions over small or coarsely split input. A large table has splits enough
+    and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and read it from there (an action).
+    """Write ``df`` as a Parquet table in the shared folder and read it from there (an action).
 
     Used where a result is read twice and both reads must see the same rows, or where
-    recomputing would scan the corpus again. Survives the loss of executors.
+    recomputing would scan the corpus again. The table survives the loss of executors, later
+    readers take only the columns they need, and its file sizes give Spark true statistics.
     """
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_path(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,22 +8,23 @@ from pyspark.sql import functions as F
 from corpusloom.schemas import LINK_COLUMNS, MARC, TAXONOMY, strings
 
 
-def marc_xml_scan(spark: SparkSession, path: str) -> DataFrame:
-    """MARC-XML files -> one parsed record per row (``schemas.MARC``); files are split by record.
+def marc_xml_scan(spark: SparkSession, path: str, row_tag: str = "record") -> DataFrame:
+    """MARC-XML files -> one parsed record per row (``schemas.MARC``).
 
-    Surrounding blanks are kept: an indicator of one blank is a value.
+    The files are read as text with the closing tag as line separator, so one huge catalogue
+    file still splits over many tasks (Spark's XML source would read it in one).
     """
-    return (
-        spark.read.format("xml")
-        .option("rowTag", "record")
-        .option("ignoreSurroundingSpaces", "false")
-        .schema(MARC)
-        .load(path)
-    )
+    chunks = spark.read.text(path, lineSep=f"</{row_tag}>")
+    record = F.regexp_extract("value", rf"(?s)(<{row_tag}[\s>].*)", 1)
+    whole = chunks.select(record.alias("_body")).where("_body <> ''")
+    return marc_xml_parse(whole.select(F.concat("_body", F.lit(f"</{row_tag}>")).alias("_xml")), "_xml")
 
 
 def marc_xml_parse(df: DataFrame, xml: str) -> DataFrame:
-    """MARC records held as XML text in a column -> parsed records, other columns kept."""
+    """MARC records held as XML text in a column -> parsed records, other columns kept.
+
+    Surrounding blanks are kept: an indicator of one blank is a value.
+    """
     parsed = F.from_xml(F.col(xml), MARC, {"ignoreSurroundingSpaces": "false"})
     return df.withColumn("_marc", parsed).select("*", "_marc.*").drop("_marc", xml)
 
@@ -57,7 +58,7 @@ def taxonomy_scan(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     One object per file, or one per line with ``lines``. ``lo`` and ``hi`` are the bounds of a range
     key, equal for a single code, NULL for keys that are no numbers.
     """
-    text = spark.read.option("wholetext", not lines).text(path)
+    text = spark.read.text(path, wholetext=not lines)
     mains = text.select(F.explode(F.from_json("value", TAXONOMY)).alias("main", "node"))
     rows = mains.select("main", F.col("node.name").alias("main_name"), F.explode_outer("node.sub").alias("sub_key", "sub"))
     lo = F.split_part("sub_key", F.lit("-"), F.lit(1)).try_cast("int")
@@ -72,8 +73,8 @@ def class_names(flat: DataFrame) -> DataFrame:
 
 def text_corpus_scan(spark: SparkSession, directory: str, glob: str = "*.mmd") -> DataFrame:
     """Whole text files of a folder -> (file, content)."""
-    text = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    return text.text(directory).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))
+    text = spark.read.text(directory, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
+    return text.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))
 
 
 def binary_doc_scan(spark: SparkSession, directory: str, head: int = 5, glob: str = "*") -> DataFrame:
@@ -88,5 +89,5 @@ def binary_doc_scan(spark: SparkSession, directory: str, head: int = 5, glob: st
 
 def failure_list_scan(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     """JSON array(s) of failed ids -> one string column."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", "ARRAY<STRING>")).alias(key)).distinct()

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.session import spread
+
 
 def latest_by_key(df: DataFrame, key: str, version: str) -> DataFrame:
     """The row of highest ``version`` for each key."""
@@ -16,7 +18,8 @@ def latest_by_key(df: DataFrame, key: str, version: str) -> DataFrame:
 
 
 def run_incremental(spark: SparkSession, source: str, out: str, checkpoint: str, schema: T.StructType,
-                    enrich: Callable[[DataFrame], DataFrame], glob: str = "*.parquet", max_files: int = 1000) -> None:
+                    enrich: Callable[[DataFrame], DataFrame], key: str, glob: str = "*.parquet",
+                    max_files: int = 1000) -> None:
     """Enrich the Parquet files that arrived in ``source`` since the last run, then stop.
 
     Each micro-batch overwrites its own ``batch_id`` folder, so a batch replayed after a failure
@@ -30,7 +33,7 @@ def run_incremental(spark: SparkSession, source: str, out: str, checkpoint: str,
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        enrich(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        enrich(spread(batch, key)).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -45,7 +48,7 @@ def incremental_enrich(spark: SparkSession, source: str, out: str, checkpoint: s
                        enrich: Callable[[DataFrame], DataFrame], key: str, glob: str = "*.parquet",
                        max_files: int = 1000) -> DataFrame:
     """``run_incremental``, then the latest result of every key processed so far."""
-    run_incremental(spark, source, out, checkpoint, schema, enrich, glob, max_files)
+    run_incremental(spark, source, out, checkpoint, schema, enrich, key, glob, max_files)
     empty = enrich(spark.createDataFrame([], schema))
     stored = T.StructType([*empty.schema.fields, T.StructField("batch_id", T.LongType())])
     return latest_by_key(spark.read.schema(stored).parquet(out), key, "batch_id")
