@@ -34,7 +34,7 @@ def update_by_key(df: DataFrame, updates: DataFrame, key: str, cols) -> DataFram
         if c in df.columns:
             value = F.when(F.col("_hit"), value).otherwise(F.col(c)).cast(df.schema[c].dataType)
         out = out.withColumn(c, value)
-    return out.drop("_new", "_hit")
+    return out.select(*df.columns, *[c for c in cols if c not in df.columns])
 
 
 def reset_columns(df: DataFrame, cols) -> DataFrame:

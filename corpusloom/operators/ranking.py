@@ -45,8 +45,7 @@ def random_rank_in_stratum(df: DataFrame, stratum: str, id_col: str, seed: int =
     return (
         keyed.withColumn("_rn", in_bucket)
         .join(offsets, group)
-        .withColumn(name, (F.col("_before") + F.col("_rn")).cast("bigint"))
-        .drop("_key", "_rn", "_before", *group)
+        .select(*df.columns, (F.col("_before") + F.col("_rn")).cast("bigint").alias(name))
     )
 
 
@@ -79,7 +78,7 @@ def take_lowest(keyed: DataFrame, hist: DataFrame, quota: DataFrame, stratum: st
     return (
         kept.withColumn("_rn", rank)
         .where(whole | (F.col("_rn") <= F.col("_take")))
-        .drop("_key", "_bucket", "_cut", "_take", "_rn")
+        .select(*[c for c in keyed.columns if c not in ("_key", "_bucket")])
     )
 
 
@@ -110,8 +109,7 @@ def global_position(df: DataFrame, order, name: str = "pos") -> DataFrame:
     offsets = sizes.select("_pid", F.coalesce(before, F.lit(0)).alias("_off"))
     return (
         ranged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_off") + F.col("_idx") + 1)
-        .drop("_pid", "_idx", "_off")
+        .select(*df.columns, (F.col("_off") + F.col("_idx") + 1).alias(name))
     )
 
 
@@ -129,6 +127,5 @@ def group_position(df: DataFrame, group: str, order, name: str = "pos") -> DataF
     return (
         ranged.withColumn("_rn", local)
         .join(F.broadcast(offsets), [group, "_pid"], "left")
-        .withColumn(name, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint"))
-        .drop("_pid", "_idx", "_rn", "_off")
+        .select(*df.columns, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint").alias(name))
     )

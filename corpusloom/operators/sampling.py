@@ -13,7 +13,7 @@ from corpusloom.operators.ranking import (
     take_lowest,
     with_order_key,
 )
-from corpusloom.operators.skew import bounded_join
+from corpusloom.operators.skew import BROADCAST_ROWS, bounded_join
 from corpusloom.session import pin
 
 #: rows a top-k may send from each task to the last one
@@ -27,8 +27,8 @@ def base_filter(df: DataFrame, pages: str = "num_pages", hits: str = "abstract_n
 
 def allotted(df: DataFrame, quota: DataFrame, stratum: str, rank: str = "row_num") -> DataFrame:
     """Keep rows ranked within the quota of their stratum; unknown and NULL strata are dropped."""
-    limits = quota.select(stratum, F.col("quota").alias("_quota"))
-    return bounded_join(df, limits, stratum).where(F.col(rank) <= F.col("_quota")).drop("_quota")
+    limits = pin(quota.select(stratum, F.col("quota").alias("_quota")))
+    return bounded_join(df, limits, stratum).where(F.col(rank) <= F.col("_quota")).select(*df.columns)
 
 
 def balanced_quota(df: DataFrame, stratum: str, total: int, strata=None) -> DataFrame:
@@ -57,13 +57,15 @@ def subset_extend(df: DataFrame, subset: DataFrame, stratum: str, id_col: str, e
                   seed: int = 42, strata=None) -> DataFrame:
     """``subset`` plus ``extra`` rows balanced over the rows of ``df`` not yet in it.
 
-    Candidates are pinned as (id, stratum), so the wide table is read once, for the rows picked;
-    there are at most ``extra`` of those.
+    Candidates are pinned as (id, stratum), so the wide table is read once, for the rows picked.
+    There are at most ``extra`` of those, which decides whether they are broadcast.
     """
     present = subset.select(id_col).distinct()
     candidates = pin(df.select(id_col, stratum).join(present, id_col, "left_anti"))
     picked = balanced_subset(candidates, stratum, id_col, extra, seed, strata).select(id_col)
-    return subset.unionByName(bounded_join(df, picked, id_col, "left_semi"), allowMissingColumns=True)
+    if extra <= BROADCAST_ROWS:
+        picked = F.broadcast(picked)
+    return subset.unionByName(df.join(picked, id_col, "left_semi"), allowMissingColumns=True)
 
 
 def subset_verify(subset: DataFrame, quota: DataFrame, stratum: str) -> DataFrame:

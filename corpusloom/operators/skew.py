@@ -121,6 +121,5 @@ def prefix_extreme(df: DataFrame, keys, pos: str, value, name: str, fn: str = "m
     )
     return (
         local.join(carry, [*keys, "_blk"], "left")
-        .withColumn(name, pick("_local", "_carry"))
-        .drop("_blk", "_v", "_local", "_carry")
+        .select(*df.columns, pick("_local", "_carry").alias(name))
     )
