@@ -93,9 +93,9 @@ def schedule_rows(df: DataFrame, page: str, html: str) -> DataFrame:
         .select(
             page,
             "pos",
-            indent_level(F.col("_cells")[1]).alias("level"),
-            cell_code(F.col("_cells")[0]).alias("code"),
-            cell_topic(F.col("_cells")[1]).alias("topic"),
+            indent_level(F.get("_cells", F.lit(1))).alias("level"),
+            cell_code(F.get("_cells", F.lit(0))).alias("code"),
+            cell_topic(F.get("_cells", F.lit(1))).alias("topic"),
         )
         .where("code <> ''")
     )

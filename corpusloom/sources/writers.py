@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +14,16 @@ def batch_insert(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _reads(df: DataFrame, path: str) -> bool:
+    root = urlparse(path).path.rstrip("/") + "/"
+    return any(unquote(urlparse(f).path).startswith(root) for f in df.inputFiles())
+
+
 def idempotent_replace(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Replace the table at ``path`` and read it back. Spark refuses a path ``df`` itself reads."""
+    """Replace the table at ``path`` and read it back; a table ``df`` itself reads is refused, as
+    overwriting starts by deleting it."""
+    if _reads(df, path):
+        raise ValueError(f"cannot overwrite {path}: the new content reads from it")
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
