@@ -170,7 +170,7 @@ def links_by_doc(links: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     folded = links.groupBy("doc_idn", "gnd_idn", "gnd_label").agg(F.count("*").alias("copies"))
     entry = F.struct("gnd_idn", "gnd_label", "copies")
     return (
-        paged(folded, "doc_idn", ["gnd_idn", "gnd_label"], page_size)
+        paged(folded, "doc_idn", ["gnd_idn", "gnd_label"], page_size, counted_on=links)
         .groupBy("doc_idn", "page")
         .agg(F.sort_array(F.collect_list(entry)).alias("links"), F.sum("copies").alias("n_links"))
     )

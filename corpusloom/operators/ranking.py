@@ -98,7 +98,7 @@ def _ranged(df: DataFrame, order) -> DataFrame:
 
 
 def global_position(df: DataFrame, order, name: str = "pos") -> DataFrame:
-    """Dense 1-based position of each row in the total order ``order``.
+    """Dense 1-based position of each row in the order ``order``, which must tell all rows apart.
 
     One range shuffle; the layout is pinned because positions are only valid for the layout
     they were counted on. The offsets table has one row per range partition.
@@ -114,9 +114,9 @@ def global_position(df: DataFrame, order, name: str = "pos") -> DataFrame:
 
 
 def group_position(df: DataFrame, group: str, order, name: str = "pos") -> DataFrame:
-    """Dense 0-based position of each row within ``group``; a long group spans many tasks.
+    """Dense 0-based position of each row within ``group``; ``order`` tells its rows apart.
 
-    Rows are range-partitioned by (group, order). Only the first group of a partition can have
+    Rows are range-partitioned by (group, order), so a long group spans many tasks. Only the first group of a partition can have
     started in an earlier one, so the table of offsets has at most one row per partition.
     """
     ranged = _ranged(df, [F.col(group), *order])

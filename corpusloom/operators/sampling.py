@@ -37,9 +37,9 @@ def balanced_quota(df: DataFrame, stratum: str, total: int, strata=None) -> Data
     return quota_waterfill(rows.groupBy(stratum).agg(F.count("*").alias("n")), stratum, "n", total)
 
 
-def balanced_subset(df: DataFrame, stratum: str, id_col: str, total: int, seed: int = 42,
-                    strata=None, digits: int = 2) -> DataFrame:
-    """Balanced random subset of ``total`` rows (fewer if ``df`` is smaller).
+def draw_balanced(df: DataFrame, stratum: str, id_col: str, total: int, seed: int = 42,
+                  strata=None, digits: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Balanced random subset of ``total`` rows (fewer if ``df`` is smaller) -> (subset, quota).
 
     Two passes over ``df``: the first aggregates a small histogram (pinned) that yields both the
     counts for the quota and the point where each quota runs out, the second keeps the rows
@@ -50,7 +50,14 @@ def balanced_subset(df: DataFrame, stratum: str, id_col: str, total: int, seed:
     keyed = with_order_key(rows, id_col, seed, digits)
     hist = pin(bucket_histogram(keyed, stratum))
     counts = hist.groupBy(stratum).agg(F.sum("_n").alias("n"))
-    return take_lowest(keyed, hist, quota_waterfill(counts, stratum, "n", total), stratum, id_col)
+    quota = pin(quota_waterfill(counts, stratum, "n", total))
+    return take_lowest(keyed, hist, quota, stratum, id_col), quota
+
+
+def balanced_subset(df: DataFrame, stratum: str, id_col: str, total: int, seed: int = 42,
+                    strata=None, digits: int = 2) -> DataFrame:
+    """The subset of ``draw_balanced``."""
+    return draw_balanced(df, stratum, id_col, total, seed, strata, digits)[0]
 
 
 def subset_extend(df: DataFrame, subset: DataFrame, stratum: str, id_col: str, extra: int,
@@ -115,6 +122,7 @@ __all__ = [
     "allotted",
     "balanced_quota",
     "balanced_subset",
+    "draw_balanced",
     "base_filter",
     "diverse_pick",
     "random_rank_in_stratum",
