@@ -43,8 +43,11 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the application's own folder in the shared folder.
+
+    Everything an application pins lies in that one folder, which may be deleted after it ended.
+    """
+    return f"{shared_root(spark).rstrip('/')}/corpusloom-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

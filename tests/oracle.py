@@ -37,9 +37,8 @@ def rows_of(columns, rows):
     return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-def compare(spark, con, name, query, sql, sf_dir):
+def compare(con, df, sql):
     """None if equal, else a message."""
-    df = query(spark, sf_dir)
     got = rows_of(df.columns, df.collect())
     if sql is None:
         return None if got else "no rows"
@@ -67,7 +66,7 @@ def main() -> int:
     for name in names:
         start = time.time()
         try:
-            message = compare(spark, con, name, QUERIES[name], ORACLES.get(name), sf_dir)
+            message = compare(con, QUERIES[name](spark, sf_dir), ORACLES.get(name))
         except Exception as exc:  # noqa: BLE001
             message = f"{type(exc).__name__}: {str(exc)[:1500]}"
             if os.environ.get("TRACE"):
