@@ -105,7 +105,7 @@ def rounded_ratio(num: Column, den: Column, digits: int = 2, scale: int = 1) ->
     n, d = num.cast("decimal(28,0)"), F.nullif(den.cast("bigint"), F.lit(0).cast("bigint")).cast("decimal(28,0)")
     factor = scale * 10**digits
     twice = n * F.lit(2 * factor).cast("decimal(10,0)") + d
-    return F.floor(F.try_divide(twice, d * F.lit(2).cast("decimal(1,0)"))).cast("bigint") / F.lit(float(10**digits))
+    return F.call_function("div", twice, d * F.lit(2).cast("decimal(1,0)")) / F.lit(float(10**digits))
 
 
 def percent(num: Column, den: Column, digits: int = 2) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -118,19 +118,17 @@ def regex_token_count(text: Column) -> Column:
 def bpe_counter(load: Callable[[], object]) -> Callable[[Column], Column]:
     """Token counter for a BPE encoder, evaluated in Arrow batches.
 
-    ``load`` runs once per Python worker and returns an object with ``encode_ordinary`` (such as
-    ``tiktoken.get_encoding("cl100k_base")``, whose rank file must be in its local cache).
+    ``load`` runs once per task and returns an object with ``encode_ordinary`` (such as
+    ``tiktoken.get_encoding("cl100k_base")``, whose rank file must be in the local cache).
     """
-    holder: dict[str, object] = {}
 
-    @F.pandas_udf("int")
-    def count(texts: pd.Series) -> pd.Series:
-        if "enc" not in holder:
-            holder["enc"] = load()
-        encode = holder["enc"].encode_ordinary
-        return pd.Series([None if t is None else len(encode(t)) for t in texts], dtype="Int32")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = load().encode_ordinary
+        for texts in batches:
+            yield pd.Series([None if t is None else len(encode(t)) for t in texts], dtype="Int32")
 
-    return count
+    count.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(count, "int")
 
 
 def token_count(df: DataFrame, text: str, counter: Callable[[Column], Column] | None = None,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.scalar import percent, rounded_ratio
+from corpusloom.operators.maintenance import surrogate_key
 from corpusloom.operators.skew import PAGE_SIZE, paged, spread_join
 from corpusloom.operators.stats import with_share
 
@@ -61,6 +62,16 @@ def link_join(links: DataFrame, records: DataFrame, entities: DataFrame) -> Data
     return with_both.select("record_id", "gnd_id")
 
 
+def link_star(links: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Linked records, entities with dense ids, and mappings, from raw links.
+
+    ``records`` is unique by ``doc_idn`` and by ``id``.
+    """
+    entities = surrogate_key(entity_dedup(links), "gnd_idn")
+    linked = semi_join_ids(records, links, "doc_idn")
+    return linked, entities, link_join(links, linked, entities)
+
+
 def link_coverage(records: DataFrame, links: DataFrame, key: str) -> DataFrame:
     """Records, records with a link, percentage; all links and links per linked document.
 

@@ -78,6 +78,11 @@ def reject_split(df: DataFrame, types: dict[str, str], key: str) -> tuple[DataFr
     return valid, broken.unionByName(surplus)
 
 
+def find_entry(df: DataFrame, name: str, kind: str) -> DataFrame:
+    """Record of a file: converted text (``mmd``) is found by its converted name, others by path."""
+    return df.where(F.col("converted_file" if kind == "mmd" else "path") == f"{name}.{kind}")
+
+
 def load_if_empty(target: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows`` if the target holds none yet, else the target unchanged (looks at one row)."""
     return rows if target.isEmpty() else target

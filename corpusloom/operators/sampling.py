@@ -88,15 +88,26 @@ def subset_verify(subset: DataFrame, quota: DataFrame, stratum: str) -> DataFram
 def random_sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """``ORDER BY RANDOM() LIMIT n``, reproducible.
 
-    A small ``n`` is a top-k (no full sort). A large one is cut by a histogram of the order key,
-    since a top-k would send ``n`` rows from every task to one.
+    A small ``n`` is a top-k (no full sort). A large one is cut by a histogram of the order key
+    (4096 numbers), since a top-k would send ``n`` rows from every task to one.
     """
     if n <= TOP_K_ROWS:
         return df.withColumn("_key", order_key(id_col, seed)).orderBy("_key", id_col).limit(n).drop("_key")
-    keyed = with_order_key(df.withColumn("_all", F.lit(1)), id_col, seed, 3)
-    hist = pin(bucket_histogram(keyed, "_all"))
-    quota = hist.groupBy("_all").agg(F.lit(n).cast("bigint").alias("quota"))
-    return take_lowest(keyed, hist, quota, "_all", id_col).drop("_all")
+    keyed = with_order_key(df, id_col, seed, 3)
+    rest = n
+    for bucket, size in sorted(tuple(r) for r in keyed.groupBy("_bucket").count().collect()):
+        if size >= rest:
+            break
+        rest -= size
+    else:
+        return df
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key", id_col))
+    return (
+        keyed.where(F.col("_bucket") <= bucket)
+        .withColumn("_rn", rank)
+        .where((F.col("_bucket") < bucket) | (F.col("_rn") <= rest))
+        .select(*df.columns)
+    )
 
 
 def top_k(df: DataFrame, by: str, id_col: str, k: int = 20) -> DataFrame:

@@ -26,20 +26,19 @@ def build_session(app_name: str = "corpusloom", master: str | None = None, **con
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may fall back to a temporary folder: on a cluster a machine-local
-    path would be lost with its executor.
+    Only where that is unset and the master is local, as in tests, a temporary folder takes its
+    place: on a cluster a machine-local path would be lost with its executor.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if sc.getCheckpointDir() is None:
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            configured = tempfile.mkdtemp(prefix="corpusloom-")
-        sc.setCheckpointDir(configured)
-    return configured or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if root is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
+        root = sc.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -47,7 +46,7 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
     Everything an application pins lies in that one folder, which may be deleted after it ended.
     """
-    return f"{shared_root(spark).rstrip('/')}/corpusloom-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/corpusloom-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

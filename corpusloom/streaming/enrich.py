@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,4 +52,10 @@ def incremental_enrich(spark: SparkSession, source: str, out: str, checkpoint: s
     run_incremental(spark, source, out, checkpoint, schema, enrich, key, glob, max_files)
     empty = enrich(spark.createDataFrame([], schema))
     stored = T.StructType([*empty.schema.fields, T.StructField("batch_id", T.LongType())])
-    return latest_by_key(spark.read.schema(stored).parquet(out), key, "batch_id")
+    try:
+        done = spark.read.schema(stored).parquet(out)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":  # no file has arrived yet
+            raise
+        return empty
+    return latest_by_key(done, key, "batch_id")

@@ -57,6 +57,8 @@ def test_probe_status(spark):
 def test_rounding_is_half_up_and_safe_for_zero(spark):
     df = spark.createDataFrame([(1, 800), (9, 400), (1, 3), (0, 5), (1, 0)], "n long, d long")
     assert [r.p for r in df.select(scalar.percent(F.col("n"), F.col("d"), 1).alias("p")).collect()] == [0.1, 2.3, 33.3, 0.0, None]
+    near = spark.range(1).select(scalar.rounded_ratio(F.lit(5 * 10**9 - 1), F.lit(10**10), 0).alias("p")).first().p
+    assert near == 0.0  # 0.4999999999
     big = spark.range(1).select(scalar.percent(F.lit(10**14), F.lit(3 * 10**14)).alias("p")).first().p
     assert big == 33.33
 

@@ -224,6 +224,23 @@ def test_link_coverage_counts_duplicates(spark):
     assert tuple(linkage.link_coverage(records, links, "d").first()) == (3, 1, 33.33, 3, 1.5)
 
 
+def test_link_star_from_raw_links(spark):
+    raw = [("1", "b", "B"), ("1", "b", "B"), ("1", "b", "A"), ("2", "a", "Z"), ("9", "a", "Z"), ("2", "b", "B")]
+    links = spark.createDataFrame(raw, "doc_idn string, gnd_idn string, gnd_label string")
+    records = spark.createDataFrame([(10, "1"), (20, "2"), (30, "3")], "id int, doc_idn string")
+    kept, entities, mappings = linkage.link_star(links, records)
+    assert rows(kept.select("id")) == [(10,), (20,)]
+    assert rows(entities.select("id", "gnd_idn", "gnd_label")) == [(1, "a", "Z"), (2, "b", "A")]
+    assert rows(mappings) == [(10, 2), (20, 1), (20, 2)]
+
+
+def test_find_entry_picks_the_column_by_type(spark):
+    df = spark.createDataFrame([(1, "97250155X.pdf", None), (2, None, "97250155X.mmd")], "id int, path string, converted_file string")
+    assert [r.id for r in maintenance.find_entry(df, "97250155X", "mmd").collect()] == [2]
+    assert [r.id for r in maintenance.find_entry(df, "97250155X", "pdf").collect()] == [1]
+    assert maintenance.find_entry(df, "x", "pdf").isEmpty()
+
+
 # --- incremental --------------------------------------------------------------------------------
 
 
@@ -231,6 +248,7 @@ def test_incremental_equals_batch_and_runs_once(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").cache()
     src, out, ckpt = (str(tmp_path / d) for d in ("src", "out", "ckpt"))
     enrich = lambda df: df.select("doc_id", F.inline(F.array(term_line_scan(F.col("text"), "the"))))
+    spark.createDataFrame([], docs.schema).write.parquet(src)
     half = docs.where("doc_id % 2 = 0")
     half.repartition(5).write.mode("append").parquet(src)
     run = lambda: incremental_enrich(spark, src, out, ckpt, docs.schema, enrich, "doc_id", max_files=2)
