@@ -7,10 +7,11 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SPACE = r"(?:[\s\x{a0}]|&nbsp;|&#160;)*"
+# Possessive quantifiers keep matching iterative on long cells.
+_SPACE = r"(?:[\s\x{a0}]++|&nbsp;|&#160;)*+"
 _BOLD = r"<span\b(?=[^>]*font-weight)(?=[^>]*bold)[^>]*>"
-_GREY = r"<span\b(?=[^>]*color)(?=[^>]*grey)[^>]*>((?:[^<]|<(?!/?span\b)[^>]*>)*)</span>"
-_SPAN_BODY = r"((?:[^<]++|<(?!/?span\b)[^>]*>|<span\b[^>]*>(?:[^<]|<(?!/?span\b)[^>]*>)*</span>)*+)</span>"
+_GREY = r"<span\b(?=[^>]*color)(?=[^>]*grey)[^>]*>((?:[^<]++|<(?!/?span\b)[^>]*>)*+)</span>"
+_SPAN_BODY = r"((?:[^<]++|<(?!/?span\b)[^>]*>|<span\b[^>]*>(?:[^<]++|<(?!/?span\b)[^>]*>)*+</span>)*+)</span>"
 _LINK = r"(?s)<a\b[^>]*>(.*?)</a>"
 _DIV = r"(?s)<div\b[^>]*>(.*)</div>"
 

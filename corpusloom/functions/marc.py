@@ -33,8 +33,7 @@ FIELDS = (
 def marc_control(tag: str, fields: Column | None = None) -> Column:
     """Text of the first control field with ``tag``; an empty one is NULL."""
     source = F.col("controlfield") if fields is None else fields
-    value = F.get(F.filter(source, lambda f: f["_tag"] == tag), F.lit(0))["_VALUE"]
-    return F.when(value != "", value)
+    return F.nullif(F.get(F.filter(source, lambda f: f["_tag"] == tag), F.lit(0))["_VALUE"], F.lit(""))
 
 
 def marc_subfield(tag: str, code: str, ind1: str | None = None, ind2: str | None = None,

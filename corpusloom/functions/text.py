@@ -16,7 +16,8 @@ ABSTRACT_TERMS = ("# Abstract", "# abstract", "#Abstract")
 MIN_SECTION_CHARS = 500
 TOKEN_LIMIT = 128_000
 
-_STRIP = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+# The lookbehind lets a long run of blanks be tried once, not from each of its characters.
+_STRIP = r"^[\s\p{Z}]++|(?<![\s\p{Z}])[\s\p{Z}]++$"
 #: words, numbers and single symbols
 TOKEN_PATTERN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
 
@@ -41,7 +42,7 @@ def term_line_scan(text: Column, term: str, pages: int = 25) -> Column:
     needle = F.lit(term.lower())
     rest_of_line = F.lit(re.escape(term.lower()) + r"[^\n]*")
     lines = lambda c: F.size(F.split(c, "\n"))
-    head = F.lower(F.regexp_replace(F.substring_index(text, "\f", pages), r"\n+\z", ""))
+    head = F.lower(F.rtrim(F.substring_index(text, "\f", pages), F.lit("\n")))
     counts = _let(
         head,
         lambda h: F.when(

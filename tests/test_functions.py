@@ -93,6 +93,15 @@ SECTIONS = [
 ]
 
 
+def test_long_runs_of_blanks_stay_linear(spark):
+    junk = "x" + "\n" * 200_000 + "abstract" + " " * 200_000 + "y" + "\n" * 200_000
+    assert tuple(values(spark, [junk], lambda c: text.term_line_scan(c, "abstract"))[0]) == (1, 100.0)
+    got = values(spark, ["# Abstract" + " " * 200_000 + "a" + " " * 200_000 + "b" + " " * 200_000], text.section_extract)[0]
+    assert len(got.section) == 200_002
+    cell = "<a>" + "word " * 50_000 + "</a><span style='color:grey'>" + "z" * 50_000 + "</span>"
+    assert len(values(spark, [cell], html.cell_code)[0]) == 250_000
+
+
 def test_section_extract(spark):
     got = values(spark, [t for t, _ in SECTIONS], text.section_extract)
     assert [tuple(g) for g in got] == [w for _, w in SECTIONS]

@@ -248,7 +248,8 @@ def test_incremental_equals_batch_and_runs_once(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").cache()
     src, out, ckpt = (str(tmp_path / d) for d in ("src", "out", "ckpt"))
     enrich = lambda df: df.select("doc_id", F.inline(F.array(term_line_scan(F.col("text"), "the"))))
-    spark.createDataFrame([], docs.schema).write.parquet(src)
+    (tmp_path / "src").mkdir()
+    assert incremental_enrich(spark, src, out, ckpt, docs.schema, enrich, "doc_id").isEmpty()
     half = docs.where("doc_id % 2 = 0")
     half.repartition(5).write.mode("append").parquet(src)
     run = lambda: incremental_enrich(spark, src, out, ckpt, docs.schema, enrich, "doc_id", max_files=2)
