@@ -40,7 +40,13 @@ def salted_join(left: DataFrame, right: DataFrame, on, how: str = "inner", salts
 
 def hot_groups(df: DataFrame, keys, floor: int = ROWS_PER_TASK) -> DataFrame | None:
     """Keys with more than ``floor`` rows and their counts, pinned (at most rows/floor of them);
-    None if there are none."""
+    None if there are none.
+
+    ``df`` should be a stored table. Its rows are counted first, which reads no columns: a table
+    of up to ``floor`` rows needs no grouping.
+    """
+    if df.count() <= floor:
+        return None
     hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > floor)
     return None if hot.isEmpty() else pin(hot)
 

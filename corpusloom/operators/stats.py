@@ -15,6 +15,7 @@ from corpusloom.functions.scalar import (
     percent,
     rounded_ratio,
 )
+from corpusloom.operators.skew import bounded_join
 
 
 
@@ -118,9 +119,14 @@ def bucket_distribution(df: DataFrame, col: str, bounds=TOKEN_BOUNDS, labels=TOK
 
 
 def label_lookup(df: DataFrame, code: str, names: DataFrame, default: str = "Unknown", name: str = "name") -> DataFrame:
-    """Name of each code from a unique-keyed (code, name) dimension, ``default`` if unknown."""
+    """Name of each code from a unique-keyed (code, name) table, ``default`` if unknown.
+
+    A few codes cover all rows, so a shuffle by code would be lopsided: ``names`` is counted and
+    broadcast, or salted if it is large. It should be a stored table, as counting reads it.
+    """
     dim = names.select(F.col("code").alias(code), F.col("name").alias("_name"))
-    return df.join(dim, code, "left").withColumn(name, F.coalesce("_name", F.lit(default))).drop("_name")
+    joined = bounded_join(df, dim, code, "left")
+    return joined.withColumn(name, F.coalesce("_name", F.lit(default))).drop("_name")
 
 
 def stratum_share_table(df: DataFrame, stratum: str, names: DataFrame) -> DataFrame:

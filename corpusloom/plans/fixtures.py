@@ -87,8 +87,8 @@ cat AS (
 
 
 def class_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of the strata, one of them unknown: at most one row per first character."""
-    return (
+    """Stored names of the strata, one of them unknown."""
+    return pin(
         table(spark, sf_dir, "orders")
         .where("o_orderpriority NOT LIKE '4%'")
         .groupBy(F.substring("o_orderpriority", 1, 1).alias("code"))

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import linkage, skew
+from corpusloom.session import pin, spread
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +44,17 @@ def test_bounded_join_falls_back_beyond_its_bound(sides):
     assert same(small, large)
 
 
+def test_spread_leaves_well_split_tables_alone(spark):
+    few, many = spark.range(100).repartition(2), spark.range(100).repartition(64)
+    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(many, "id") is many
+
+
+def test_pinned_tables_lie_in_one_folder_per_application(spark):
+    files = pin(spark.range(5)).inputFiles()
+    assert files and all(f"corpusloom-{spark.sparkContext.applicationId}/pinned-" in f for f in files)
+
+
 def test_paged_keeps_every_row_and_bounds_the_groups(sides):
     left, _ = sides
     paged = skew.paged(left, "k", "id", size=50).cache()
