@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import bpe_encode
+from corpusloom.llm.prefix_counts import count_tokens
 from corpusloom.llm.registry import query
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,3 +27,13 @@ def token_digests(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
 @query("op7_bpe_roundtrip")
 def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    counted = count_tokens(docs, TOKENIZER, public_tokenizers.PATTERN, limit=512)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
