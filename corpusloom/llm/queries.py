@@ -1,6 +1,6 @@
 """The registered queries of this subpackage (importing registers them)."""
 
-from corpusloom.llm import q_near, q_tokens  # noqa: F401
+from corpusloom.llm import q_near, q_quality, q_tokens  # noqa: F401
 from corpusloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
