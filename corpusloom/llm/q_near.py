@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.cap_filters import near_vectors
 from corpusloom.llm.ngram_join import ngram_join
 from corpusloom.llm.registry import query
 from corpusloom.llm.substrings import repeated_passages
@@ -22,3 +23,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed",
         F.coalesce(F.sha2(F.col("kept"), 256), F.col("words_sha256")).alias("kept_sha256"),
     )
+
+
+@query("op5_cap_filters")
+def op5_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
