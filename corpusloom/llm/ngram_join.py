@@ -6,7 +6,9 @@ link when 100 * |intersection| >= percent * |union|. The join is exact:
 1. Documents with equal sets share one set id and are one vertex from then on.
 2. *Order.* A count sketch over all n-grams of all documents (fixed size, one pass) gives one global
    order of n-grams, rare before frequent. Linked sets share an n-gram among the first
-   n - ceil(percent/100 * n) + 1 in that order of each of them, so only these go to the shuffle.
+   p = n - ceil(percent/100 * n) + 1 in that order of each of them, and c more among the first p + c. Only
+   these go to the shuffle, and n-grams of a single set drop out there. A set that is left with too few cannot link;
+   of the others' n-grams the c most frequent (long lists) are not needed to find every link.
 3. *Stars.* The smallest set id that has an n-gram in its prefix is the pivot of that n-gram; every other
    set of the n-gram is compared with the pivot. Large groups of near copies become one component here,
    with work linear in the group.
@@ -32,7 +34,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
@@ -42,6 +44,10 @@ from corpusloom.session import pin
 #: counters of the order sketch (one byte each when broadcast), and blocks they are summed in
 SKETCH_BITS = 20
 SKETCH_BLOCKS = 256
+#: percent of a set sent beyond its prefix: what a set must share then rules out most sets that share a passage only
+EXTRA = 15
+#: ids that may be broadcast; beyond that they are joined
+BROADCAST_IDS = 500_000
 #: sets of one side of a cell
 CELL = 256
 #: weight of a binary probe against a step of the heap when the long lists are chosen
@@ -86,22 +92,39 @@ def _text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array,
             yield batch.column(0).slice(i, j - i), find_words(buf, offsets, lower=True)
 
 
-def gram_classes(texts: DataFrame, k: int) -> np.ndarray:
-    """For each sketch slot the bit length of the number of n-grams in it, over all documents.
+def scan(texts: DataFrame, k: int) -> DataFrame:
+    """One pass over all texts: per document its size ``n`` and set id ``s``, and per task a sketch of n-gram counts.
 
-    Each task adds its n-grams to one sketch; the sketches are summed block by block in a streaming step, so that
-    the driver receives 2**SKETCH_BITS bytes whatever the input.
+    Rows with a ``block`` are parts of sketches, the others documents.
     """
-    width = (1 << SKETCH_BITS) // SKETCH_BLOCKS
+    id_type = texts.schema[0].dataType.simpleString()
+    names = ["id", "n", "s", "block", "counts"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for _, words in _text_slices(batches):
-            _, grams = ngram_sets(words, k)
+        kind = None
+        for ids, words in _text_slices(batches):
+            kind = ids.type
+            docs, grams = _distinct(*ngram_sets(words, k))
             total += np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
+            n, _, s = _set_ids(docs, grams, len(ids))
+            none = len(ids)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(s), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names)
         if total.any():
-            small = np.minimum(total, 2**31 - 1).astype(np.int32).reshape(SKETCH_BLOCKS, width)
-            yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([x.tobytes() for x in small], pa.binary())], names=["block", "counts"])
+            parts = np.minimum(total, 2**31 - 1).astype(np.int32).reshape(SKETCH_BLOCKS, -1)
+            none = SKETCH_BLOCKS
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(none, kind), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64()), pa.array(range(none), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names=names)
+
+    return texts.mapInArrow(run, f"id {id_type}, n long, s long, block int, counts binary")
+
+
+def gram_classes(sketches: DataFrame) -> np.ndarray:
+    """For each sketch slot the bit length of the number of n-grams in it, over all documents.
+
+    The sketches of the tasks are summed block by block in a streaming step; the driver receives 2**SKETCH_BITS
+    bytes whatever the input.
+    """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -112,17 +135,25 @@ def gram_classes(texts: DataFrame, k: int) -> np.ndarray:
         logs = [np.ceil(np.log2(x + 1)).astype(np.uint8).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(logs, pa.binary())], names=["block", "counts"])
 
-    parts = texts.mapInArrow(count, "block int, counts binary")
-    out = np.zeros((SKETCH_BLOCKS, width), np.uint8)
-    for block, raw in parts.repartition("block").mapInArrow(add, "block int, counts binary").collect():
+    out = np.zeros((SKETCH_BLOCKS, (1 << SKETCH_BITS) // SKETCH_BLOCKS), np.uint8)
+    for block, raw in sketches.select("block", "counts").repartition("block").mapInArrow(add, "block int, counts binary").collect():
         out[block] = np.frombuffer(raw, np.uint8)
     return out.reshape(-1)
 
 
+def prefix_length(n, percent: int):
+    """Of a set of ``n``: how many n-grams in the global order hold one of any set it links with."""
+    return n - (percent * n + 99) // 100 + 1
+
+
+def extended_length(n, percent: int):
+    """The same and EXTRA percent of the set more: linked sets share as many more of these as the smaller one has."""
+    return prefix_length(n, percent) + EXTRA * n // 100
+
+
 def prefix_rows(texts: DataFrame, k: int, percent: int, classes: np.ndarray) -> DataFrame:
-    """Per document its set's size ``n``, set id ``s`` and the set's prefix (NULL where the task gave it before)."""
+    """(h, s) of the n-grams in the extended prefixes of all sets; a task gives a set once."""
     shared = texts.sparkSession.sparkContext.broadcast(classes)
-    id_type = texts.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = shared.value
@@ -131,20 +162,46 @@ def prefix_rows(texts: DataFrame, k: int, percent: int, classes: np.ndarray) ->
             docs, grams = _distinct(*ngram_sets(words, k))
             n, ends, s = _set_ids(docs, grams, len(ids))
             order = np.lexsort((grams, level[(grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], docs))
-            ordered = grams[order].view(np.int64)
-            keep = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
-            prefixes: list[np.ndarray | None] = []
-            for key, end, size, first in zip(s.tolist(), ends.tolist(), n.tolist(), keep.tolist()):
-                if not size or key in seen:
-                    prefixes.append(None)
-                else:
+            rank = np.arange(len(docs)) - np.repeat(ends - n, n)
+            take = np.zeros(len(ids), bool)
+            for d, key in enumerate(s.tolist()):
+                if n[d] and key not in seen:
                     if len(seen) >= 1_000_000:
                         seen.clear()
                     seen.add(key)
-                    prefixes.append(ordered[end - size:end - size + first])
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(s), pa.array(prefixes, pa.list_(pa.int64()))], names=["id", "n", "s", "prefix"])
+                    take[d] = True
+            kept = (rank < extended_length(n, percent)[docs]) & take[docs]
+            yield pa.RecordBatch.from_arrays([pa.array(grams[order][kept].view(np.int64)), pa.array(s[docs[kept]])], names=["h", "s"])
+
+    return texts.mapInArrow(run, "h long, s long")
 
-    return texts.mapInArrow(run, f"id {id_type}, n long, s long, prefix array<long>")
+
+def recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (h, s): the distinct rows of every h with more than one s.
+
+    A streaming step that remembers one row, so a group of any size passes through.
+    """
+    last: tuple[int, int] | None = None
+    given = False
+    for batch in batches:
+        h, s = (batch.column(c).to_numpy() for c in (0, 1))
+        if not len(h):
+            continue
+        if last is not None:
+            h, s = np.concatenate([[last[0]], h]), np.concatenate([[last[1]], s])
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
+        h, s = h[new], s[new]
+        same = h[1:] == h[:-1]
+        out = np.zeros(len(h), bool)
+        out[1:] |= same
+        out[:-1] |= same
+        again = given and last is not None
+        given = bool(out[-1]) or again and len(h) == 1
+        if again:
+            out[0] = False
+        last = (int(h[-1]), int(s[-1]))
+        yield pa.RecordBatch.from_arrays([pa.array(h[out]), pa.array(s[out])], names=["h", "s"])
 
 
 def full_sets(texts: DataFrame, k: int) -> DataFrame:
@@ -251,12 +308,31 @@ def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     Runs jobs while it is built; their results lie in the shared folder (``spark.checkpoint.dir``).
     """
     texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    docs = pin(prefix_rows(texts, k, percent, gram_classes(texts, k)))
-    rows = docs.where("prefix is not null").select("s", F.explode("prefix").alias("h"))
-    shared = pin(rows.groupBy("h").agg(F.min("s").alias("pivot"), F.max("s").alias("last")).where("pivot < last").select("h", "pivot"))
-    members = pin(rows.join(shared, "h").select("h", "s", "pivot").distinct())
+    scanned = pin(scan(texts, k))
+    docs = scanned.where("block is null").select("id", "n", "s")
+    rows = prefix_rows(texts, k, percent, gram_classes(scanned.where("block is not null")))
+    members = pin(rows.repartition("h").sortWithinPartitions("h", "s").mapInArrow(recurring, "h long, s long"))
+
+    # A set stays only if it shares enough n-grams; of these the most frequent are not needed.
+    # Its smallest partner has percent/100 of its size, and they share one more than the smaller one's extra n-grams.
+    least = F.expr(f"({EXTRA} * (({percent} * n + 99) div 100)) div 100 + 1")
+    sizes = docs.groupBy("s").agg(F.max("n").alias("n")).select("s", least.alias("least"))
+    enough = pin(members.groupBy("s").count().join(sizes, "s").where("count >= least").select("s", "least"))
+    kept = pin(members.join(enough, "s"))
+    frequency = pin(kept.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
+    kept = kept.join(frequency, "h")
+    of_set = Window.partitionBy("s")
+    kept = pin(
+        kept.withColumn("place", F.row_number().over(of_set.orderBy("df", "h"))).withColumn("all", F.count("*").over(of_set))
+        .where(F.col("place") <= F.col("all") - F.col("least") + 1).select("h", "s")
+    )
+    shared = pin(kept.groupBy("h").agg(F.min("s").alias("pivot"), F.max("s").alias("last")).where("pivot < last").select("h", "pivot"))
+    members = pin(kept.join(shared, "h").select("h", "s", "pivot"))
 
     wanted = docs.join(members.select("s").distinct(), "s").groupBy("s").agg(F.min("id").alias("w")).select("w").distinct()
+    wanted = pin(wanted)
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     texts_of = texts.join(wanted, F.col("id").eqNullSafe(F.col("w")), "left_semi")
     sets = pin(full_sets(texts_of, k).groupBy("s").agg(F.first("grams").alias("grams")))
 
