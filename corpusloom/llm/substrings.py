@@ -8,12 +8,11 @@ part of them is shuffled:
    runs that are the smallest of some window (about two in ten) go to a first shuffle; a window whose anchor
    occurs in one document only is unique. Documents with equal words are one text from here on: every copy but
    the first is removed whole.
-2. *Confirm.* The windows at recurring anchors are shuffled by a 128-bit hash. A window recurs if its
-   smallest and largest document differ; its occurrences behind the first document are to go.
+2. *Confirm.* The windows at recurring anchors are shuffled by their hash (64 bits, and 24 of a second hash) and
+   streamed in the order of the documents; occurrences behind the first document are to go.
 3. *Automata.* Consecutive such windows of a document form passages. Documents are dealt into shards of bounded size; the
    passages of a shard are compiled into Aho-Corasick automata (pyahocorasick) of bounded size, and every document
-   of the shard is streamed through them to locate every occurrence. A passage applies to a document behind
-   the first documents of all its windows.
+   of the shard is streamed through them to locate every occurrence.
 
 Each document belongs to one shard and each shard holds its own documents' passages only, so the work stays in
 proportion to the input.
@@ -31,14 +30,18 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.ngram_join import recurring
 from corpusloom.llm.words import Words, find_words, run_hashes, run_starts, slices, word_hashes
 from corpusloom.session import pin
 
 #: words of an anchor
 ANCHOR = 6
+#: ids that may be broadcast; beyond that they are joined
+BROADCAST_IDS = 500_000
 #: bytes of passages compiled into one automaton
 AUTOMATON_BYTES = 2 << 20
 #: words of one pattern; longer passages are cut with an overlap of a window
@@ -86,34 +89,46 @@ def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.R
             yield batch.slice(i, j - i), find_words(buf, offsets)
 
 
-def scan(texts: DataFrame, k: int) -> DataFrame:
-    """Per row (id, text) its text id ``s``, number of words, digest of its joined words and its anchors.
-
-    The anchors are NULL for a text that the task gave before.
-    """
+def scan(texts: DataFrame) -> DataFrame:
+    """Per row (id, text) its text id ``s``, number of words and digest of its joined words."""
     id_type = texts.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch, words in _slices(batches, 1):
             digests = [hashlib.sha256(x) for x in joined(words)]
-            s = [int.from_bytes(d.digest()[:8], "little", signed=True) for d in digests]
-            starts, low = _window_anchors(words, word_hashes(words), k)
-            ends = np.searchsorted(starts, words.first).tolist()
-            anchors: list[np.ndarray | None] = []
-            for key, known, a, b in zip(s, batch.column(0).is_valid().to_pylist(), ends[:-1], ends[1:]):
-                if a == b or not known or key in seen:
-                    anchors.append(None)
-                    continue
-                if len(seen) >= 1_000_000:
-                    seen.clear()
-                seen.add(key)
-                anchors.append(np.unique(low[a:b]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(s, pa.int64()), pa.array(words.counts), pa.array([d.hexdigest() for d in digests], pa.string()), pa.array(anchors, pa.list_(pa.int64()))],
-                names=["id", "s", "n", "sha", "anchors"])
+                [batch.column(0), pa.array(map(_text_id, digests), pa.int64()), pa.array(words.counts), pa.array([d.hexdigest() for d in digests], pa.string())],
+                names=["id", "s", "n", "sha"])
+
+    return texts.mapInArrow(run, f"id {id_type}, s long, n long, sha string")
+
 
-    return texts.mapInArrow(run, f"id {id_type}, s long, n long, sha string, anchors array<long>")
+def _text_id(digest) -> int:
+    return int.from_bytes(digest.digest()[:8], "little", signed=True)
+
+
+def anchor_rows(texts: DataFrame, k: int) -> DataFrame:
+    """(h, s) of the anchors of all texts with an id; a task gives a text once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch, words in _slices(batches, 1):
+            s = np.array([_text_id(hashlib.sha256(x)) for x in joined(words)], np.int64)
+            take = np.zeros(len(s), bool)
+            for d, (key, known) in enumerate(zip(s.tolist(), batch.column(0).is_valid().to_pylist())):
+                if known and key not in seen:
+                    if len(seen) >= 1_000_000:
+                        seen.clear()
+                    seen.add(key)
+                    take[d] = True
+            starts, low = _window_anchors(words, word_hashes(words), k)
+            doc = words.doc()[starts]
+            new = np.ones(len(low), bool)
+            new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
+            new &= take[doc]
+            yield pa.RecordBatch.from_arrays([pa.array(low[new].view(np.int64)), pa.array(s[doc[new]])], names=["h", "s"])
+
+    return texts.mapInArrow(run, "h long, s long")
 
 
 def _with_text_id(texts: DataFrame) -> DataFrame:
@@ -121,14 +136,19 @@ def _with_text_id(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words in _slices(batches, 1):
-            s = [int.from_bytes(hashlib.sha256(x).digest()[:8], "little", signed=True) for x in joined(words)]
+            s = [_text_id(hashlib.sha256(x)) for x in joined(words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.int64())], names=["r", "text", "s"])
 
     return texts.mapInArrow(run, f"r {id_type}, text string, s long")
 
 
+#: a window is told apart by 64 bits of one hash and 24 of another; the rest of the second number holds its
+#: position (30 bits) and ten bits of the text id, which tell texts of one document id apart
+_HIGH = np.int64(-1) << np.int64(40)
+
+
 def _candidates(chosen: DataFrame, k: int) -> DataFrame:
-    """(w1, w2, r, s, pos) of the windows at recurring anchors of the rows (r, s, text, anchors)."""
+    """(w, x, r) of the windows at recurring anchors of the rows (r, s, text, anchors)."""
     id_type = chosen.schema["r"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,34 +158,57 @@ def _candidates(chosen: DataFrame, k: int) -> DataFrame:
             anchors = batch.column(3).flatten().to_numpy(zero_copy_only=False)
             at = starts[np.isin(low.view(np.int64), anchors)]
             doc = words.doc()[at]
+            s = batch.column(1).to_numpy()[doc]
+            x = run_hashes(hashes, k, 2)[at].view(np.int64) & _HIGH | (at - words.first[doc]) << 10 | s & 1023
             yield pa.RecordBatch.from_arrays(
-                [pa.array(run_hashes(hashes, k, 1)[at].view(np.int64)), pa.array(run_hashes(hashes, k, 2)[at].view(np.int64)),
-                 batch.column(0).take(pa.array(doc)), batch.column(1).take(pa.array(doc)), pa.array(at - words.first[doc])],
-                names=["w1", "w2", "r", "s", "pos"])
+                [pa.array(run_hashes(hashes, k, 1)[at].view(np.int64)), pa.array(x), batch.column(0).take(pa.array(doc))], names=["w", "x", "r"])
+
+    return chosen.select("r", "s", "text", "anchors").mapInArrow(run, f"w long, x long, r {id_type}")
 
-    return chosen.select("r", "s", "text", "anchors").mapInArrow(run, f"w1 long, w2 long, r {id_type}, s long, pos long")
 
+def _late(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of windows sorted by (w, high bits of x, r): (r, text bits, position) of all behind the first document.
 
-def _passages(starts: list[int], firsts: list, k: int) -> Iterator[tuple[int, int, object]]:
-    """(first word, end word, largest of the first documents) of runs of consecutive windows."""
-    order = sorted(range(len(starts)), key=starts.__getitem__)
+    A streaming step that remembers one window and its first document.
+    """
+    before: tuple[int, int, object] | None = None
+    for batch in batches:
+        w, x = (batch.column(c).to_numpy() for c in (0, 1))
+        if not len(w):
+            continue
+        high = x & _HIGH
+        start = np.ones(len(w), bool)
+        start[1:] = (w[1:] != w[:-1]) | (high[1:] != high[:-1])
+        goes_on = before is not None and before[:2] == (w[0], high[0])
+        lead = np.maximum.accumulate(np.where(start, np.arange(len(w)), 0))
+        firsts = batch.column(2).take(pa.array(lead))
+        if goes_on:
+            own = pa.array([before[2]] * int((lead == 0).sum()), batch.column(2).type)
+            firsts = pa.concat_arrays([own, firsts.slice(len(own))])
+        before = (int(w[-1]), int(high[-1]), firsts[len(w) - 1].as_py())
+        late = np.flatnonzero(pc.greater(batch.column(2), firsts).to_numpy(zero_copy_only=False))
+        pos = (x[late] >> 10) & ((1 << 30) - 1)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(2).take(pa.array(late)), pa.array((x[late] & 1023).astype(np.int32)), pa.array(pos.astype(np.int32))], names=["r", "bits", "pos"])
+
+
+def _passages(starts: list[int], k: int) -> Iterator[tuple[int, int]]:
+    """(first word, end word) of runs of consecutive windows."""
+    starts = sorted(starts)
     i = 0
-    while i < len(order):
-        j, top = i, firsts[order[i]]
-        begin = starts[order[i]]
-        while j + 1 < len(order) and starts[order[j + 1]] <= starts[order[j]] + 1 and starts[order[j + 1]] - begin <= PATTERN_WORDS - k:
+    while i < len(starts):
+        j = i
+        while j + 1 < len(starts) and starts[j + 1] <= starts[j] + 1 and starts[j + 1] - starts[i] <= PATTERN_WORDS - k:
             j += 1
-            top = max(top, firsts[order[j]])
-        yield begin, starts[order[j]] + k, top
+        yield starts[i], starts[j] + k
         i = j + 1
 
 
 def _locate(shard: DataFrame, k: int) -> DataFrame:
-    """(s, spans, n_removed, kept) of the rows (r, s, text, pos, first): word spans to remove, and the words left."""
+    """(s, spans, n_removed, kept) of the rows (s, text, pos): word spans to remove, and the words left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, words in _slices(batches, 2):
-            ids = batch.column(0).to_pylist()
+        for batch, words in _slices(batches, 1):
             lines, ends, starts = [], [], []
             for d, text in enumerate(joined(words)):
                 a, b = words.first[d:d + 2]
@@ -175,27 +218,26 @@ def _locate(shard: DataFrame, k: int) -> DataFrame:
                 starts.append(end + 1 - (words.end[a:b] - words.start[a:b]))
             covered = [np.zeros(len(e) + 1, np.int32) for e in ends]
             automaton, size = ahocorasick.Automaton(), 0
-            patterns: dict[str, tuple[int, object]] = {}
+            patterns: dict[str, tuple[int, set[int]]] = {}  # text -> words, documents it is late in
 
             def stream() -> None:
                 for text, value in patterns.items():
                     automaton.add_word(text, (len(text), value[0], value[1]))
                 automaton.make_automaton()
                 for d, line in enumerate(lines):
-                    for end, (length, n, first) in automaton.iter(line.decode("latin-1")):
-                        if first < ids[d]:
+                    for end, (length, n, owners) in automaton.iter(line.decode("latin-1")):
+                        if d in owners:
                             last = int(np.searchsorted(ends[d], end))
                             covered[d][last - n + 1] += 1
                             covered[d][last + 1] -= 1
 
-            for d, (pos, first) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
-                for begin, end, top in _passages(pos, first, k):
+            for d, pos in enumerate(batch.column(2).to_pylist()):
+                for begin, end in _passages(pos, k):
                     text = lines[d][starts[d][begin] - 1:ends[d][end - 1] + 1].decode("latin-1")
-                    known = patterns.get(text)
-                    if known is None:
+                    if text not in patterns:
                         size += len(text)
-                    if known is None or top < known[1]:
-                        patterns[text] = (end - begin, top)
+                        patterns[text] = (end - begin, set())
+                    patterns[text][1].add(d)
                     if size >= AUTOMATON_BYTES:
                         stream()
                         automaton, size = ahocorasick.Automaton(), 0
@@ -211,10 +253,10 @@ def _locate(shard: DataFrame, k: int) -> DataFrame:
                 left = line.split(b" ")[1:-1]
                 kept.append(b" ".join(w for w, g in zip(left, gone.tolist()) if not g).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                [batch.column(0), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
                 names=["s", "spans", "n_removed", "kept"])
 
-    return shard.select("r", "s", "text", "pos", "first").mapInArrow(run, "s long, spans array<struct<first: long, end: long>>, n_removed long, kept string")
+    return shard.select("s", "text", "pos").mapInArrow(run, "s long, spans array<struct<first: long, end: long>>, n_removed long, kept string")
 
 
 def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13) -> DataFrame:
@@ -225,23 +267,23 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Runs jobs while it is built; their results lie in the shared folder (``spark.checkpoint.dir``).
     """
     texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    docs = pin(scan(texts, k))
-    rows = docs.where("anchors is not null").select("s", F.explode("anchors").alias("h"))
-    shared = pin(rows.groupBy("h").agg(F.min("s").alias("low"), F.max("s").alias("high")).where("low < high").select("h"))
-    own = pin(rows.join(shared, "h").distinct().groupBy("s").agg(F.collect_list("h").alias("anchors")))
+    docs = pin(scan(texts))
+    rows = anchor_rows(texts, k).repartition("h").sortWithinPartitions("h", "s")
+    own = pin(rows.mapInArrow(recurring, "h long, s long").groupBy("s").agg(F.collect_list("h").alias("anchors")))
 
     first = pin(docs.where("id is not null and n > 0").groupBy("s").agg(F.min("id").alias("r")))
     wanted = pin(own.join(first, "s"))
-    picked = texts.join(wanted.select(F.col("r").alias("id")).distinct(), "id", "left_semi")
-    chosen = pin(_with_text_id(picked).dropDuplicates(["r", "s"]).join(wanted, ["s", "r"]).select("r", "s", "text", "anchors"))
+    ids = wanted.select(F.col("r").alias("id")).distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    picked = _with_text_id(texts.join(ids, "id", "left_semi"))
+    chosen = pin(picked.join(wanted, ["s", "r"]).select("r", "s", "text", "anchors"))
 
-    found = pin(_candidates(chosen, k))
-    recurring = pin(
-        found.groupBy("w1", "w2").agg(F.min("r").alias("first"), F.max("r").alias("last")).where("first < last").select("w1", "w2", "first")
-    )
-    late = found.join(recurring, ["w1", "w2"]).where("first < r").groupBy("s").agg(
-        F.collect_list("pos").alias("pos"), F.collect_list("first").alias("first"))
-    removed = pin(_locate(chosen.drop("anchors").join(late, "s"), k))
+    windows = _candidates(chosen, k).repartition("w").sortWithinPartitions("w", F.shiftright("x", 40), "r")
+    id_type = texts.schema[0].dataType.simpleString()
+    late = windows.mapInArrow(_late, f"r {id_type}, bits int, pos int").groupBy("r", "bits").agg(F.collect_set("pos").alias("pos"))
+    behind = chosen.select("r", "s", "text", F.col("s").bitwiseAND(1023).cast("int").alias("bits")).join(late, ["r", "bits"])
+    removed = pin(_locate(behind, k).groupBy("s").agg(*[F.first(c).alias(c) for c in ("spans", "n_removed", "kept")]))
 
     judged = docs.join(first, "s", "left").join(removed, "s", "left")
     copy = (F.col("id") > F.col("r")) & (F.col("n") >= k)
