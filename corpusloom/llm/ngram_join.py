@@ -9,12 +9,12 @@ link when 100 * |intersection| >= percent * |union|. The join is exact:
    p = n - ceil(percent/100 * n) + 1 in that order of each of them, and c more among the first p + c. Only
    these go to the shuffle, and n-grams of a single set drop out there. A set that is left with too few cannot link;
    of the others' n-grams the c most frequent (long lists) are not needed to find every link.
-3. *Stars.* The smallest set id that has an n-gram in its prefix is the pivot of that n-gram; every other
-   set of the n-gram is compared with the pivot. Large groups of near copies become one component here,
+3. *Stars.* The pivot of an n-gram is the set with the largest part of recurring n-grams; every other
+   set is compared with the pivot it meets most often. Large groups of near copies become one component here,
    with work linear in the group.
 4. *Rest.* Only n-grams whose sets still lie in different components need more. Their sets form blocks (equal
-   blocks of several n-grams count once); the sets outside the pivot's component are searched for in the block.
-   Blocks are cut into cells of bounded size.
+   blocks of several n-grams count once) by size band; the sets outside the pivot's component are searched for in the block
+   by shortened recurring n-grams, and what shares enough of them is compared in full. Blocks are cut into cells of bounded size.
 5. *T-occurrence* in every cell: inverted lists of the cell's sets; for a query needing an overlap of T the L
    longest lists are set aside, the short lists are heap-merged, what occurs T - L times is probed in the
    long lists by binary search (DivideSkip), and the exact overlap decides.
@@ -48,6 +48,8 @@ SKETCH_BLOCKS = 256
 EXTRA = 15
 #: ids that may be broadcast; beyond that they are joined
 BROADCAST_IDS = 500_000
+#: rounds of comparing sets with one pivot each, before what is left is searched for in blocks
+STARS = 2
 #: sets of one side of a cell
 CELL = 256
 #: weight of a binary probe against a step of the heap when the long lists are chosen
@@ -227,14 +229,18 @@ class InvertedLists:
         order = np.lexsort((owner, grams))
         self.grams, self.owner = grams[order], owner[order]
 
-    def search(self, query: np.ndarray, percent: int) -> list[int]:
+    def linked(self, query: np.ndarray, percent: int) -> list[int]:
         """Indices of the sets whose overlap with ``query`` reaches ``percent`` of the union."""
         n = len(query)
+        least = -(-percent * n // 100)  # no set that links overlaps less than this
+        return self.search(query, least, -(-percent * (n + self.sizes) // (100 + percent)))
+
+    def search(self, query: np.ndarray, least: int, needs: np.ndarray) -> list[int]:
+        """Indices of the sets whose overlap with ``query`` reaches their entry of ``needs``, which is ``least`` or more."""
         low = np.searchsorted(self.grams, query, "left")
         high = np.searchsorted(self.grams, query, "right")
         found = np.flatnonzero(high > low)
-        least = -(-percent * n // 100)  # no set that links overlaps less than this
-        if n == 0 or len(found) < least:
+        if len(query) == 0 or len(found) < least:
             return []
         lengths = (high - low)[found]
         by_length = found[np.argsort(lengths, kind="stable")]
@@ -245,8 +251,7 @@ class InvertedLists:
         out = []
         for member, hits in groupby(heapq.merge(*short)):
             overlap = sum(1 for _ in hits)
-            size = int(self.sizes[member])
-            need = -(-percent * (n + size) // (100 + percent))
+            need = int(needs[member])
             if overlap + len(long) < need:
                 continue
             for i, rest in enumerate(long):
@@ -259,9 +264,25 @@ class InvertedLists:
         return out
 
 
-def search_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def marks_of(rows: DataFrame) -> DataFrame:
+    """(s, grams, need): of the rows (s, h, least) the recurring n-grams of every set, 32 bits of each, sorted.
+
+    Equal n-grams stay equal when shortened, so an overlap below ``need`` rules a link out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = [np.sort((np.array(x, np.int64) & 0xFFFFFFFF).astype(np.uint32)).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary()), batch.column(2)], names=["s", "grams", "need"])
+
+    listed = rows.groupBy("s").agg(F.collect_list("h").alias("h"), F.max("least").alias("need"))
+    return listed.mapInArrow(run, "s long, grams binary, need long")
+
+
+def search_blocks(members: DataFrame, sets: DataFrame, percent: int | None) -> DataFrame:
     """Edges (a, b) between sets of one block: every ``query`` set is searched for among its ``index`` sets.
 
+    Without ``percent``, ``sets`` are marks and the pairs are those that share as many marks as both need.
     ``members`` has (block, s, query, index). A block is cut into a grid of cells with about CELL sets on either
     side, so that no task meets an unbounded block.
     """
@@ -270,7 +291,8 @@ def search_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
         members.groupBy("block").agg(
             F.ceil(F.sum(F.col("index").cast("int")) / CELL).cast("int").alias("ni"),
             F.ceil(F.sum(F.col("query").cast("int")) / CELL).cast("int").alias("nq"),
-        ).where("ni > 0 and nq > 0")
+            F.min("s").alias("low"), F.max("s").alias("high"),
+        ).where("ni > 0 and nq > 0 and low < high").drop("low", "high")
     )
     placed = members.join(sizes, "block")
     place = lambda n: F.pmod(F.xxhash64("s"), F.col(n)).cast("int")
@@ -281,27 +303,51 @@ def search_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, ids, sets, lists = None, [], [], None
+        cell, ids, sets, needs, lists = None, [], [], [], None
         for batch in batches:
             pairs: list[tuple[int, int]] = []
             block, i, j, role, s = (batch.column(c).to_pylist() for c in range(5))
-            for key, part, owner, raw in zip(zip(block, i, j), role, s, batch.column(5)):
-                grams = np.frombuffer(raw.as_buffer(), np.uint64)
+            for key, part, owner, raw, need in zip(zip(block, i, j), role, s, batch.column(5), batch.column(6).to_pylist()):
+                grams = np.frombuffer(raw.as_buffer(), np.uint64 if percent else np.uint32)
                 if key != cell:
-                    cell, ids, sets, lists = key, [], [], None
+                    cell, ids, sets, needs, lists = key, [], [], [], None
                 if part == 0:
                     ids.append(owner)
                     sets.append(grams.copy())
+                    needs.append(need)
                     continue
                 if lists is None:
                     lists, sets = InvertedLists(sets), []
-                pairs += [(owner, ids[m]) for m in lists.search(grams, percent) if ids[m] != owner]
+                hits = lists.linked(grams, percent) if percent else lists.search(grams, need, np.maximum(needs, need))
+                pairs += [(owner, ids[m]) for m in hits if ids[m] != owner]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
-    grid = cells.join(sets, "s").select("block", "i", "j", "role", "s", "grams")
+    need = F.lit(0).cast("long") if percent else F.col("need")
+    grid = cells.join(sets, "s").select("block", "i", "j", "role", "s", "grams", need.alias("need"))
     return grid.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "role").mapInArrow(run, "a long, b long")
 
 
+def star_blocks(named: DataFrame, percent: int) -> DataFrame:
+    """Blocks of one query each: a pivot and the sets to compare it with, from the rows (h, s, n, common, c).
+
+    Where an n-gram's sets lie in several components, its pivot is the set with the largest ``common``: the part of
+    its n-grams that recur, which is largest for the original of edited copies. A set in another component than
+    its pivots, and near enough in size, is compared with the one it meets most often.
+    """
+    top = named.groupBy("h").agg(F.max(F.struct("common", "s", "n", "c")).alias("p"), F.min("c").alias("low"), F.max("c").alias("high"))
+    top = pin(top.where("low < high").select("h", F.col("p.s").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.c").alias("pivot_c")))
+    met = named.join(top, "h").where(
+        (F.col("c") != F.col("pivot_c")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n"))
+    ).groupBy("s", "pivot").count()
+    return pairs_blocks(pin(met.groupBy("s").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("block"))))
+
+
+def pairs_blocks(pairs: DataFrame) -> DataFrame:
+    """Blocks that compare the set ``block`` with the sets ``s`` it stands with."""
+    return pairs.select("block", "s", F.lit(False).alias("query"), F.lit(True).alias("index")).union(
+        pairs.select("block").distinct().select("block", F.col("block").alias("s"), F.lit(True).alias("query"), F.lit(False).alias("index")))
+
+
 def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
     """(id, n_shingles, component_id) per row of ``df``: size of its set, smallest id reachable by links.
 
@@ -316,18 +362,20 @@ def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     # A set stays only if it shares enough n-grams; of these the most frequent are not needed.
     # Its smallest partner has percent/100 of its size, and they share one more than the smaller one's extra n-grams.
     least = F.expr(f"({EXTRA} * (({percent} * n + 99) div 100)) div 100 + 1")
-    sizes = docs.groupBy("s").agg(F.max("n").alias("n")).select("s", least.alias("least"))
-    enough = pin(members.groupBy("s").count().join(sizes, "s").where("count >= least").select("s", "least"))
+    sizes = docs.groupBy("s").agg(F.max("n").alias("n")).select("s", "n", least.alias("least"))
+    enough = pin(members.groupBy("s").count().join(sizes, "s").where("count >= least").select("s", "n", "least"))
     kept = pin(members.join(enough, "s"))
     frequency = pin(kept.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
-    kept = kept.join(frequency, "h")
+    kept = pin(kept.join(frequency, "h"))
+    marks = pin(marks_of(kept))
     of_set = Window.partitionBy("s")
     kept = pin(
         kept.withColumn("place", F.row_number().over(of_set.orderBy("df", "h"))).withColumn("all", F.count("*").over(of_set))
-        .where(F.col("place") <= F.col("all") - F.col("least") + 1).select("h", "s")
+        .where(F.col("place") <= F.col("all") - F.col("least") + 1)
+        .select("h", "s", "n", (F.col("all") / F.col("n")).alias("common"))
     )
-    shared = pin(kept.groupBy("h").agg(F.min("s").alias("pivot"), F.max("s").alias("last")).where("pivot < last").select("h", "pivot"))
-    members = pin(kept.join(shared, "h").select("h", "s", "pivot"))
+    shared = pin(kept.groupBy("h").agg(F.min("s").alias("low"), F.max("s").alias("high")).where("low < high").select("h"))
+    members = pin(kept.join(shared, "h"))
 
     wanted = docs.join(members.select("s").distinct(), "s").groupBy("s").agg(F.min("id").alias("w")).select("w").distinct()
     wanted = pin(wanted)
@@ -336,24 +384,29 @@ def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     texts_of = texts.join(wanted, F.col("id").eqNullSafe(F.col("w")), "left_semi")
     sets = pin(full_sets(texts_of, k).groupBy("s").agg(F.first("grams").alias("grams")))
 
-    pairs = pin(members.where("s <> pivot").select("pivot", "s").distinct())
-    star = pairs.select(F.col("pivot").alias("block"), "s", F.lit(False).alias("query"), F.lit(True).alias("index")).union(
-        pairs.select("pivot").distinct().select(F.col("pivot").alias("block"), F.col("pivot").alias("s"), F.lit(True).alias("query"), F.lit(False).alias("index"))
-    )
-    edges = pin(search_blocks(star, sets, percent))
-    first = components(edges)
+    edges, named = None, members.withColumn("c", F.col("s"))
+    for _ in range(STARS):
+        found = pin(search_blocks(star_blocks(named, percent), sets, percent))
+        edges = found if edges is None else edges.union(found)
+        found = components(edges).withColumnRenamed("id", "s")
+        named = pin(members.join(found, "s", "left").select("h", "s", "n", "common", F.coalesce("component", "s").alias("c")))
 
-    named = members.join(first.withColumnRenamed("id", "s"), "s", "left").withColumn("c", F.coalesce("component", "s"))
-    named = pin(named.select("h", "s", "c", "pivot"))
+    lead = F.max_by("c", F.struct("common", "s"))
     open_grams = pin(
         named.groupBy("h").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.max(F.when(F.col("s") == F.col("pivot"), F.col("c"))).alias("main"),
+            F.min("c").alias("low"), F.max("c").alias("high"), lead.alias("main"),
             F.xxhash64(F.min("s"), F.max("s"), F.count("s"), F.sum(F.xxhash64("s").cast("decimal(38,0)")), F.sum(F.xxhash64("s", "c").cast("decimal(38,0)"))).alias("block"),
         ).where("low < high").groupBy("block", "main").agg(F.min("h").alias("h"))
     )
-    rest = named.drop("pivot").join(open_grams, "h").select(
-        "block", "s", (F.col("c") != F.col("main")).alias("query"), F.lit(True).alias("index"))
-    more = pin(search_blocks(rest, sets, percent))
+    # Sizes of linked sets differ by at most one band: a query meets its own and the two adjacent bands of its block.
+    band = F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).cast("int")
+    rest = named.join(open_grams, "h").select("block", "s", (F.col("c") != F.col("main")).alias("outside"), band.alias("band"))
+    at = lambda b: F.xxhash64("block", b).alias("block")
+    rest = rest.where("outside").select(at(F.col("band")), "s", F.lit(True).alias("query"), F.lit(False).alias("index")).union(
+        rest.select(F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("near"), "block", "s")
+        .select(at(F.col("near")), "s", F.lit(False).alias("query"), F.lit(True).alias("index")))
+    near = search_blocks(rest, marks, None).select(F.least("a", "b").alias("block"), F.greatest("a", "b").alias("s")).distinct()
+    more = pin(search_blocks(pairs_blocks(pin(near)), sets, percent))
     whole = components(edges.union(more))
 
     of_set = pin(docs.select("s", "id", "n").join(whole.withColumnRenamed("id", "s"), "s", "left")
