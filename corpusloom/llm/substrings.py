@@ -90,17 +90,21 @@ def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.R
 
 
 def scan(texts: DataFrame) -> DataFrame:
-    """Per row (id, text) its text id ``s``, number of words and digest of its joined words."""
+    """Per row (id, text) its text id ``s``, number of words, and digests of its joined words and of the text itself."""
     id_type = texts.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, words in _slices(batches, 1):
-            digests = [hashlib.sha256(x) for x in joined(words)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(_text_id, digests), pa.int64()), pa.array(words.counts), pa.array([d.hexdigest() for d in digests], pa.string())],
-                names=["id", "s", "n", "sha"])
+        for batch in batches:
+            for i, j, buf, offsets in slices(batch.column(1)):
+                words = find_words(buf, offsets)
+                digests = [hashlib.sha256(x) for x in joined(words)]
+                raw = [hashlib.sha256(buf[a:b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.array(map(_text_id, digests), pa.int64()), pa.array(words.counts),
+                     pa.array([d.hexdigest() for d in digests], pa.string()), pa.array(raw, pa.string())],
+                    names=["id", "s", "n", "sha", "raw"])
 
-    return texts.mapInArrow(run, f"id {id_type}, s long, n long, sha string")
+    return texts.mapInArrow(run, f"id {id_type}, s long, n long, sha string, raw string")
 
 
 def _text_id(digest) -> int:
@@ -260,7 +264,7 @@ def _locate(shard: DataFrame, k: int) -> DataFrame:
 
 
 def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13) -> DataFrame:
-    """Per row of ``df``: (id, n_words, n_removed, spans, kept, words_sha256).
+    """Per row of ``df``: (id, n_words, n_removed, spans, kept, words_sha256, text_sha256).
 
     ``spans`` are the word ranges to remove and ``kept`` the words left, joined by single blanks; ``kept`` is NULL
     where nothing is removed (the text stays as it is; ``words_sha256`` is the digest of its joined words).
@@ -296,5 +300,5 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.when(alone, F.lit(0)).when(copy, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(alone, none).when(copy, whole).otherwise(F.coalesce("spans", none)).alias("spans"),
         F.when(alone, None).when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept"),
-        F.col("sha").alias("words_sha256"),
+        F.col("sha").alias("words_sha256"), F.col("raw").alias("text_sha256"),
     )
