@@ -257,7 +257,7 @@ class Searcher:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                 item_text: str = "text", least_cosine: float = 0.5, least_lcs: float = 0.6, least_answer: float = 0.5,
+                 item_text: str = "text", least_cosine: float = 0.5, least_lcs: float = 0.6, least_answer: float = 0.4,
                  seed: int = 3) -> DataFrame:
     """(doc_id, item_id, first_word, cosine, lcs, lcs_share, answer_share) of every benchmark item found in a document.
 
