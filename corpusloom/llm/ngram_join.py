@@ -264,25 +264,34 @@ class InvertedLists:
         return out
 
 
+def shared_at_least(a, b, percent: int):
+    """N-grams that linked sets of sizes ``a`` and ``b`` share among their extended prefixes.
+
+    They share t in all; the first |x| - t + c in the global order of each hold c of these.
+    """
+    t = -(-percent * (a + b) // (100 + percent))
+    return t + np.minimum(extended_length(a, percent) - a, extended_length(b, percent) - b)
+
+
 def marks_of(rows: DataFrame) -> DataFrame:
-    """(s, grams, need): of the rows (s, h, least) the recurring n-grams of every set, 32 bits of each, sorted.
+    """(s, grams, n): of the rows (s, h, n) the recurring n-grams of every set, 32 bits of each, sorted.
 
-    Equal n-grams stay equal when shortened, so an overlap below ``need`` rules a link out.
+    Equal n-grams stay equal when shortened, so too small an overlap rules a link out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             short = [np.sort((np.array(x, np.int64) & 0xFFFFFFFF).astype(np.uint32)).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary()), batch.column(2)], names=["s", "grams", "need"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary()), batch.column(2)], names=["s", "grams", "n"])
 
-    listed = rows.groupBy("s").agg(F.collect_list("h").alias("h"), F.max("least").alias("need"))
-    return listed.mapInArrow(run, "s long, grams binary, need long")
+    listed = rows.groupBy("s").agg(F.collect_list("h").alias("h"), F.max("n").alias("n"))
+    return listed.mapInArrow(run, "s long, grams binary, n long")
 
 
-def search_blocks(members: DataFrame, sets: DataFrame, percent: int | None) -> DataFrame:
+def search_blocks(members: DataFrame, sets: DataFrame, percent: int, marks: bool = False) -> DataFrame:
     """Edges (a, b) between sets of one block: every ``query`` set is searched for among its ``index`` sets.
 
-    Without ``percent``, ``sets`` are marks and the pairs are those that share as many marks as both need.
+    With ``marks`` the sets are marks, and the pairs are those that share as many as linked sets of their sizes must.
     ``members`` has (block, s, query, index). A block is cut into a grid of cells with about CELL sets on either
     side, so that no task meets an unbounded block.
     """
@@ -303,39 +312,51 @@ def search_blocks(members: DataFrame, sets: DataFrame, percent: int | None) -> D
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, ids, sets, needs, lists = None, [], [], [], None
+        cell, ids, sets, full, lists = None, [], [], [], None
         for batch in batches:
             pairs: list[tuple[int, int]] = []
             block, i, j, role, s = (batch.column(c).to_pylist() for c in range(5))
-            for key, part, owner, raw, need in zip(zip(block, i, j), role, s, batch.column(5), batch.column(6).to_pylist()):
-                grams = np.frombuffer(raw.as_buffer(), np.uint64 if percent else np.uint32)
+            for key, part, owner, raw, n in zip(zip(block, i, j), role, s, batch.column(5), batch.column(6).to_pylist()):
+                grams = np.frombuffer(raw.as_buffer(), np.uint32 if marks else np.uint64)
                 if key != cell:
-                    cell, ids, sets, needs, lists = key, [], [], [], None
+                    cell, ids, sets, full, lists = key, [], [], [], None
                 if part == 0:
                     ids.append(owner)
                     sets.append(grams.copy())
-                    needs.append(need)
+                    full.append(n)
                     continue
                 if lists is None:
                     lists, sets = InvertedLists(sets), []
-                hits = lists.linked(grams, percent) if percent else lists.search(grams, need, np.maximum(needs, need))
+                if marks:
+                    needs = shared_at_least(np.array(full), n, percent)
+                    hits = lists.search(grams, int(needs.min()), needs)
+                else:
+                    hits = lists.linked(grams, percent)
                 pairs += [(owner, ids[m]) for m in hits if ids[m] != owner]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
-    need = F.lit(0).cast("long") if percent else F.col("need")
-    grid = cells.join(sets, "s").select("block", "i", "j", "role", "s", "grams", need.alias("need"))
+    n = F.col("n") if marks else F.lit(0).cast("long")
+    grid = cells.join(sets, "s").select("block", "i", "j", "role", "s", "grams", n.alias("n"))
     return grid.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "role").mapInArrow(run, "a long, b long")
 
 
-def star_blocks(named: DataFrame, percent: int) -> DataFrame:
+def star_blocks(named: DataFrame, percent: int, again: bool) -> DataFrame:
     """Blocks of one query each: a pivot and the sets to compare it with, from the rows (h, s, n, common, c).
 
     Where an n-gram's sets lie in several components, its pivot is the set with the largest ``common``: the part of
-    its n-grams that recur, which is largest for the original of edited copies. A set in another component than
+    its n-grams that recur, which is largest for the original of edited copies. With ``again`` that set was a pivot
+    before, and the pivot is the same among the sets outside its component. A set in another component than
     its pivots, and near enough in size, is compared with the one it meets most often.
     """
-    top = named.groupBy("h").agg(F.max(F.struct("common", "s", "n", "c")).alias("p"), F.min("c").alias("low"), F.max("c").alias("high"))
-    top = pin(top.where("low < high").select("h", F.col("p.s").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.c").alias("pivot_c")))
+    if again:
+        lead = pin(named.groupBy("h").agg(F.max_by("c", F.struct("common", "s")).alias("lead"), F.min("c").alias("low"), F.max("c").alias("high"))
+                   .where("low < high").select("h", "lead"))
+        tops = named.join(lead, "h").where("c <> lead")
+        named = named.join(lead.select("h"), "h")
+    else:
+        tops = named
+    top = tops.groupBy("h").agg(F.max(F.struct("common", "s", "n", "c")).alias("p"))
+    top = pin(top.select("h", F.col("p.s").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.c").alias("pivot_c")))
     met = named.join(top, "h").where(
         (F.col("c") != F.col("pivot_c")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n"))
     ).groupBy("s", "pivot").count()
@@ -360,8 +381,11 @@ def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     members = pin(rows.repartition("h").sortWithinPartitions("h", "s").mapInArrow(recurring, "h long, s long"))
 
     # A set stays only if it shares enough n-grams; of these the most frequent are not needed.
-    # Its smallest partner has percent/100 of its size, and they share one more than the smaller one's extra n-grams.
-    least = F.expr(f"({EXTRA} * (({percent} * n + 99) div 100)) div 100 + 1")
+    # The bound below is the least of shared_at_least over all partners, which lies at one end of their sizes.
+    low, high = f"(({percent} * n + 99) div 100)", f"(100 * n div {percent})"
+    extra = lambda x: f"({EXTRA} * {x} div 100 + 1 - ({percent} * {x} + 99) div 100)"
+    shared = lambda x: f"(({percent} * (n + {x}) + {99 + percent}) div {100 + percent} + least({extra('n')}, {extra(x)}))"
+    least = F.greatest(F.expr(f"least({shared(low)}, {shared(high)}) - 2"), F.lit(1))
     sizes = docs.groupBy("s").agg(F.max("n").alias("n")).select("s", "n", least.alias("least"))
     enough = pin(members.groupBy("s").count().join(sizes, "s").where("count >= least").select("s", "n", "least"))
     kept = pin(members.join(enough, "s"))
@@ -385,8 +409,8 @@ def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     sets = pin(full_sets(texts_of, k).groupBy("s").agg(F.first("grams").alias("grams")))
 
     edges, named = None, members.withColumn("c", F.col("s"))
-    for _ in range(STARS):
-        found = pin(search_blocks(star_blocks(named, percent), sets, percent))
+    for number in range(STARS):
+        found = pin(search_blocks(star_blocks(named, percent, number > 0), sets, percent))
         edges = found if edges is None else edges.union(found)
         found = components(edges).withColumnRenamed("id", "s")
         named = pin(members.join(found, "s", "left").select("h", "s", "n", "common", F.coalesce("component", "s").alias("c")))
@@ -405,7 +429,7 @@ def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     rest = rest.where("outside").select(at(F.col("band")), "s", F.lit(True).alias("query"), F.lit(False).alias("index")).union(
         rest.select(F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("near"), "block", "s")
         .select(at(F.col("near")), "s", F.lit(False).alias("query"), F.lit(True).alias("index")))
-    near = search_blocks(rest, marks, None).select(F.least("a", "b").alias("block"), F.greatest("a", "b").alias("s")).distinct()
+    near = search_blocks(rest, marks, percent, marks=True).select(F.least("a", "b").alias("block"), F.greatest("a", "b").alias("s")).distinct()
     more = pin(search_blocks(pairs_blocks(pin(near)), sets, percent))
     whole = components(edges.union(more))
 
