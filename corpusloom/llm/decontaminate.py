@@ -40,6 +40,8 @@ POWER_ROUNDS = 2
 #: steps per window; an item is searched for at the largest that does not exceed its length, long items in pieces of it
 SCALES = (1, 2, 3, 4, 6)
 SHORT = 8
+#: a candidate window is at least this part as long as the item in the latent space; text of common words only is shorter
+LEAST_LENGTH = 0.4
 #: benchmark passages per broadcast; more of them are searched for in several passes over the documents
 PASSAGES = 50_000
 
@@ -192,8 +194,8 @@ class Searcher:
         for scale in sorted({p.scale for p in passages}):
             own = [p for p in passages if p.scale == scale]
             matrix = np.array([self.projection[p.terms].sum(axis=0) for p in own], np.float32)
-            matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
-            self.scales[scale] = (np.ascontiguousarray(matrix.T), np.array([p.item for p in own]))
+            norm = np.maximum(np.linalg.norm(matrix, axis=1), 1e-12)
+            self.scales[scale] = (np.ascontiguousarray((matrix / norm[:, None]).T), norm * LEAST_LENGTH, np.array([p.item for p in own]))
 
     def search(self, words: Words) -> Iterator[tuple[int, int, int, float, int, float]]:
         """(document, item, first word, cosine, lcs, answer share) of confirmed matches."""
@@ -217,18 +219,20 @@ class Searcher:
             lo, hi = new[a], new[b] if b < len(new) else len(known)
             table[step_of[new[a:b]]] = np.add.reduceat(self.projection[terms[known[lo:hi]]], new[a:b] - lo, axis=0)
         best: dict[tuple[int, int], tuple] = {}
-        for scale, (matrix, items) in self.scales.items():
+        for scale, (matrix, lengths, items) in self.scales.items():
             window = table.copy()
             for back in range(1, scale):
                 same = np.flatnonzero(doc[back:] == doc[:-back]) if back < len(doc) else np.zeros(0, np.int64)
                 window[same] += table[same + back]
             norm = np.linalg.norm(window, axis=1)
-            rows = np.flatnonzero(norm > 1e-9)
+            rows = np.flatnonzero(norm >= lengths.min())
             for a in range(0, len(rows), 8192):
                 part = rows[a:a + 8192]
                 for c in range(0, len(items), 2048):
                     cosine = window[part] @ matrix[:, c:c + 2048]
                     hit = np.nonzero(cosine >= (self.least[0] * norm[part])[:, None])
+                    long = norm[part[hit[0]]] >= lengths[c + hit[1]]
+                    hit = hit[0][long], hit[1][long]
                     for w, i in zip(part[hit[0]].tolist(), hit[1].tolist()):
                         item = int(items[c + i])
                         d = int(doc[w])
