@@ -2,28 +2,37 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+import json
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: spans nested in a bold span that are followed; deeper ones would need a parser
+SPAN_DEPTH = 8
+
 # Possessive quantifiers keep matching iterative on long cells.
 _SPACE = r"(?:[\s\x{a0}]++|&nbsp;|&#160;)*+"
 _BOLD = r"<span\b(?=[^>]*font-weight)(?=[^>]*bold)[^>]*>"
 _GREY = r"<span\b(?=[^>]*color)(?=[^>]*grey)[^>]*>((?:[^<]++|<(?!/?span\b)[^>]*>)*+)</span>"
-_SPAN_BODY = r"((?:[^<]++|<(?!/?span\b)[^>]*>|<span\b[^>]*>(?:[^<]++|<(?!/?span\b)[^>]*>)*+</span>)*+)</span>"
+_INNER = r"(?:[^<]++|<(?!/?span\b)[^>]*>)*+"
+for _ in range(SPAN_DEPTH):
+    _INNER = rf"(?:[^<]++|<(?!/?span\b)[^>]*>|<span\b[^>]*>{_INNER}</span>)*+"
+_SPAN_BODY = rf"({_INNER})</span>"
 _LINK = r"(?s)<a\b[^>]*>(.*?)</a>"
 _DIV = r"(?s)<div\b[^>]*>(.*)</div>"
 
 
 def decode_entities(text: Column) -> Column:
-    """Decode named (HTML 4) and decimal character references."""
-    names = F.create_map(*[F.lit(x) for pair in ((n, chr(c)) for n, c in name2codepoint.items()) for x in pair])
+    """Decode named (HTML 5), decimal and hexadecimal character references."""
+    names = F.from_json(F.lit(json.dumps({n[:-1]: c for n, c in html5.items() if n.endswith(";")})), "MAP<STRING, STRING>")
 
     def decode(part):
         name = F.regexp_extract(part, r"^&([a-zA-Z][a-zA-Z0-9]*);", 1)
-        number = F.regexp_extract(part, r"^&#([0-9]{1,7});", 1)
+        number = F.regexp_extract(part, r"^&#0*([0-9]{1,7});", 1)
+        hexed = F.regexp_extract(part, r"^&#[xX]0*([0-9a-fA-F]{1,6});", 1)
         rest = F.regexp_replace(part, r"^&#?[a-zA-Z0-9]+;", "")
+        number = F.when(hexed != "", F.conv(hexed, 16, 10)).otherwise(number)
         char = F.decode(F.unhex(F.lpad(F.hex(number.try_cast("int")), 8, "0")), "UTF-32")
         return (
             F.when((name != "") & F.try_element_at(names, name).isNotNull(), F.concat(names[name], rest))
@@ -75,16 +84,16 @@ def indent_level(cell: Column) -> Column:
 
     The division is decimal: 2.4 em is level 3.
     """
-    style = F.regexp_extract(cell, r'(?s)<div\b[^>]*?style="([^"]*)"', 1)
+    style = F.regexp_extract(cell, r"""(?s)<div\b[^>]*?style\s*=\s*(["'])(.*?)\1""", 2)
     first_div = F.regexp_extract(cell, r"(?s)(<div\b[^>]*>)", 1)
     em = F.regexp_extract(style, r"(?:padding-left|margin-left):\s*([\d.]+)em", 1)
     level = F.floor(em.try_cast("decimal(9,3)") / F.lit("0.8").cast("decimal(2,1)")).cast("int")
-    return F.when(first_div.contains("style="), F.coalesce(level, F.lit(0))).otherwise(0)
+    return F.when(first_div.rlike(r"style\s*="), F.coalesce(level, F.lit(0))).otherwise(0)
 
 
 def schedule_rows(df: DataFrame, page: str, html: str) -> DataFrame:
     """Rows of the result table of each page -> (page, pos, level, code, topic); rows without code drop out."""
-    table = F.regexp_extract(html, r'(?s)<table\b[^>]*id="scheduleResult"[^>]*>(.*?)</table>', 1)
+    table = F.regexp_extract(html, r"""(?s)<table\b[^>]*\bid\s*=\s*["']?scheduleResult["'\s>][^>]*>?(.*?)</table>""", 1)
     rows = F.regexp_extract_all(table, F.lit(r"(?s)<tr\b[^>]*>(.*?)</tr>"), 1)
     cells = F.regexp_extract_all(F.col("_row"), F.lit(r"(?s)<td\b[^>]*>(.*?)</td>"), 1)
     return (
@@ -104,7 +113,7 @@ def schedule_rows(df: DataFrame, page: str, html: str) -> DataFrame:
 
 def list_items(df: DataFrame, page: str, html: str) -> DataFrame:
     """Normalised list entries of each page -> (page, pos, code, topic)."""
-    items = F.regexp_extract_all(html, F.lit(r"(?s)<li>(.*?)</li>"), 1)
+    items = F.regexp_extract_all(html, F.lit(r"(?s)<li\b[^>]*>(.*?)</li>"), 1)
     return df.select(page, F.posexplode(items).alias("pos", "_cell")).select(
         page, "pos", cell_code(F.col("_cell")).alias("code"), cell_topic(F.col("_cell")).alias("topic")
     )

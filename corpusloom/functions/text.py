@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +31,8 @@ def strip_text(text: Column) -> Column:
     return F.regexp_replace(text, _STRIP, "")
 
 
-def term_line_scan(text: Column, term: str, pages: int = 25) -> Column:
-    """Look for ``term`` (any case) in the first ``pages`` form-feed separated pages.
+def term_line_scan(text: Column, term: str, pages: int | None = None) -> Column:
+    """Look for ``term`` (any case) in the text, or in its first ``pages`` form-feed separated pages.
 
     -> struct(num INT, pos DOUBLE): lines holding the term, and the first such line in percent
     of all lines; (0, 0.0) without a hit, NULL for a NULL text. Trailing newlines do not count as
@@ -42,7 +41,7 @@ def term_line_scan(text: Column, term: str, pages: int = 25) -> Column:
     needle = F.lit(term.lower())
     rest_of_line = F.lit(re.escape(term.lower()) + r"[^\n]*")
     lines = lambda c: F.size(F.split(c, "\n"))
-    head = F.lower(F.rtrim(F.substring_index(text, "\f", pages), F.lit("\n")))
+    head = F.lower(F.rtrim(text if pages is None else F.substring_index(text, "\f", pages), F.lit("\n")))
     counts = _let(
         head,
         lambda h: F.when(
@@ -116,28 +115,12 @@ def regex_token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(TOKEN_PATTERN)).cast("int")
 
 
-def bpe_counter(load: Callable[[], object]) -> Callable[[Column], Column]:
-    """Token counter for a BPE encoder, evaluated in Arrow batches.
-
-    ``load`` runs once per task and returns an object with ``encode_ordinary`` (such as
-    ``tiktoken.get_encoding("cl100k_base")``, whose rank file must be in the local cache).
-    """
-
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = load().encode_ordinary
-        for texts in batches:
-            yield pd.Series([None if t is None else len(encode(t)) for t in texts], dtype="Int32")
-
-    count.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(count, "int")
-
-
 def token_count(df: DataFrame, text: str, counter: Callable[[Column], Column] | None = None,
                 name: str = "token_count") -> DataFrame:
     """Add the token count of ``text`` and the ``method`` it was counted with.
 
     The default needs no vocabulary and stays in the JVM; its numbers differ from those of a BPE
-    encoder, which ``bpe_counter`` plugs in.
+    encoder. ``counter`` may be another column function.
     """
     count = regex_token_count(F.col(text)) if counter is None else counter(F.col(text))
     return df.withColumn(name, count).withColumn("method", F.lit("regex" if counter is None else "bpe"))

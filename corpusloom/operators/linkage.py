@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.scalar import percent, rounded_ratio
 from corpusloom.operators.maintenance import surrogate_key
-from corpusloom.operators.skew import PAGE_SIZE, paged, spread_join
+from corpusloom.operators.pages import PAGE_SIZE, paged
+from corpusloom.operators.skew import spread_join
 from corpusloom.operators.stats import with_share
 
 
@@ -155,12 +156,12 @@ def top_labels(mappings: DataFrame, entities: DataFrame, n: int = 10) -> DataFra
 def keyword_agg(mappings: DataFrame, entities: DataFrame, records: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Labels of each record, sorted and joined with ``" | "``, and their number.
 
-    A record with more than ``page_size`` mappings yields one row per hash slice (``page``).
+    Labels are in order over the pages of ``page_size``; the lists of a record's pages one after another are its whole list.
     """
     labels = entities.select(F.col("id").alias("gnd_id"), "gnd_label")
     labelled = spread_join(mappings, labels, "gnd_id")
     lists = (
-        paged(labelled, "record_id", "gnd_id", page_size, counted_on=mappings)
+        paged(labelled, "record_id", ["gnd_label", "gnd_id"], page_size)
         .groupBy("record_id", "page")
         .agg(
             F.array_join(F.sort_array(F.collect_list("gnd_label")), " | ").alias("gnd_keywords"),
@@ -175,13 +176,13 @@ def keyword_agg(mappings: DataFrame, entities: DataFrame, records: DataFrame, pa
 def links_by_doc(links: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Each document's links as a sorted array of (gnd_idn, gnd_label, copies).
 
-    Copies of a link are folded into their number (``copies``) before the shuffle. A document
-    with more than ``page_size`` different links yields one row per hash slice (``page``).
+    Copies of a link are folded into their number (``copies``) before the shuffle. The links are in order over the
+    pages of ``page_size`` different links.
     """
     folded = links.groupBy("doc_idn", "gnd_idn", "gnd_label").agg(F.count("*").alias("copies"))
     entry = F.struct("gnd_idn", "gnd_label", "copies")
     return (
-        paged(folded, "doc_idn", ["gnd_idn", "gnd_label"], page_size, counted_on=links)
+        paged(folded, "doc_idn", ["gnd_idn", "gnd_label"], page_size)
         .groupBy("doc_idn", "page")
         .agg(F.sort_array(F.collect_list(entry)).alias("links"), F.sum("copies").alias("n_links"))
     )

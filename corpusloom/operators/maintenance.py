@@ -42,6 +42,13 @@ def reset_columns(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in cols})
 
 
+def reset_check(df: DataFrame, columns) -> DataFrame:
+    """Per column the rows that still hold a value, and all rows, in one pass."""
+    counts = df.agg(F.count("*").alias("_all"), *[F.count(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    lines = [F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("still_set"), F.col("_all").alias("n_rows")) for i, c in enumerate(columns)]
+    return counts.select(F.inline(F.array(*lines)))
+
+
 def add_column(df: DataFrame, name: str, dtype: str) -> DataFrame:
     """Add a NULL column unless there is one of that name."""
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(dtype))

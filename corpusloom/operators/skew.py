@@ -11,8 +11,6 @@ from corpusloom.session import pin
 ROWS_PER_TASK = 1_000_000
 #: narrow rows that may be broadcast
 BROADCAST_ROWS = 200_000
-#: elements of one collected array
-PAGE_SIZE = 10_000
 
 
 def bounded_join(left: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -77,25 +75,6 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     return lhs.join(rhs, [key, "_salt"], how).drop("_salt")
 
 
-def paged(df: DataFrame, key: str, item, size: int = PAGE_SIZE, counted_on: DataFrame | None = None) -> DataFrame:
-    """Add ``page``: 0 for groups of up to ``size`` rows, else a hash slice of the group.
-
-    Collecting per (key, page) keeps arrays near ``size`` elements whatever the skew, and no row
-    is dropped: a group above the limit simply yields several output rows. ``counted_on`` is a
-    cheaper table with at least as many rows of each key.
-    """
-    items = [item] if isinstance(item, str) else list(item)
-    hot = hot_groups(df if counted_on is None else counted_on, [key], size)
-    if hot is None:
-        return df.withColumn("page", F.lit(0))
-    pages = hot.select(key, F.ceil(F.col("_n") / size).cast("int").alias("_pages"))
-    return (
-        bounded_join(df, pages, key, "left")
-        .withColumn("page", F.pmod(F.xxhash64(*items), F.coalesce(F.col("_pages"), F.lit(1))).cast("int"))
-        .drop("_pages")
-    )
-
-
 def prefix_extreme(df: DataFrame, keys, pos: str, value, name: str, fn: str = "max",
                    inclusive: bool = True, reverse: bool = False, block: int | None = None) -> DataFrame:
     """Running ``min``/``max`` of ``value`` along ``pos`` within ``keys``; NULLs are ignored.

@@ -176,6 +176,11 @@ def over_limit_share(df: DataFrame, tokens: str, limit: int) -> DataFrame:
     ).withColumn("pct", percent(F.col("n_over"), F.col("n_docs")))
 
 
+def over_limit_list(df: DataFrame, id_col: str, tokens: str, limit: int) -> DataFrame:
+    """The documents above ``limit`` tokens with their counts."""
+    return df.where(F.col(tokens) > limit).select(id_col, tokens)
+
+
 def term_hit_rate(sections: DataFrame, terms, min_chars: int) -> DataFrame:
     """Files per first-matching term and overall, with the sections shorter than ``min_chars``.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.scalar import sanitize_name
 from corpusloom.operators.sampling import diverse_pick
-from corpusloom.operators.skew import PAGE_SIZE, paged
+from corpusloom.operators.pages import PAGE_SIZE, paged
 
 # Labels of codes the taxonomy does not cover.
 SUB_MISSING = "Unterkategorie nicht gefunden"
@@ -159,7 +159,7 @@ def copy_manifest(picked: DataFrame, year: str, path: str, root: str = "examples
     main_word = F.regexp_extract("main_name", r"^\s*(\S+)", 1)
     main_folder = sanitize_name(F.concat_ws("_", "main", main_word))
     words = F.split(F.trim(F.regexp_replace("sub_label", r"\s+", " ")), " ")
-    sub_folder = sanitize_name(F.concat_ws("_", words[0], F.array_join(F.slice(words, 2, 1000), " ")))
+    sub_folder = sanitize_name(F.concat_ws("_", words[0], F.array_join(F.slice(words, F.lit(2), F.size(words)), " ")))
     file_name = F.concat_ws("_", F.col(year), F.substring_index(F.col(path), "/", -1))
     return (
         picked.withColumn("main_folder", main_folder)
@@ -169,16 +169,19 @@ def copy_manifest(picked: DataFrame, year: str, path: str, root: str = "examples
 
 
 def nested_json_export(flat: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Flattened taxonomy -> one JSON object per main class in the column ``value``.
+    """Flattened taxonomy -> one JSON object per main class and page in the column ``value``.
 
-    Each line is ``{main: {"name": ..., "sub": {key: {"name": ...}}}}``; a main class with more
-    than ``page_size`` children continues on further lines. ``taxonomy_scan`` reads it back.
+    Each line is ``{main: {"name": ..., "sub": {key: {"name": ...}}}}``; children are in key order over the pages of
+    ``page_size``. A main class without children has an empty ``sub``. Of a repeated key the smallest name stays.
+    ``taxonomy_scan`` reads it back.
     """
+    folded = flat.groupBy("main", "sub_key").agg(F.min("main_name").alias("main_name"), F.min("sub_name").alias("sub_name"))
     child = F.struct(F.col("sub_key").alias("key"), F.struct(F.col("sub_name").alias("name")).alias("value"))
-    sub = F.map_from_entries(F.sort_array(F.collect_list(child)))
+    sub = F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("sub_key").isNotNull(), child))))
     return (
-        paged(flat.where(F.col("sub_key").isNotNull()), "main", "sub_key", page_size)
+        paged(folded, "main", [F.col("sub_key").asc_nulls_last()], page_size)
         .groupBy("main", "page")
         .agg(F.min("main_name").alias("name"), sub.alias("sub"))
+        .where((F.col("page") == 0) | (F.size("sub") > 0))
         .select(F.to_json(F.create_map("main", F.struct("name", "sub"))).alias("value"))
     )

@@ -41,15 +41,15 @@ def work_batches(df: DataFrame, order, size: int, name: str = "batch_id") -> Dat
     return global_position(df, order, "pos").withColumn(name, F.floor((F.col("pos") - 1) / size)).drop("pos")
 
 
-def work_chunks(df: DataFrame, order, n_chunks: int, max_rows: int) -> DataFrame:
-    """Split the first ``max_rows`` rows into ``n_chunks`` contiguous chunks whose sizes differ by
-    at most one, larger ones first -> input plus ``chunk``."""
+def work_chunks(df: DataFrame, order, n_chunks: int, max_rows: int | None = None) -> DataFrame:
+    """Split the rows into ``n_chunks`` contiguous chunks whose sizes differ by at most one, larger ones first
+    -> input plus ``chunk``. ``max_rows`` is the budget of this run: rows beyond it have a NULL chunk and wait for the next."""
     placed = global_position(df, order, "pos")
-    total = F.least(placed.agg(F.max("pos")).scalar(), F.lit(max_rows))
-    numbered = placed.where(F.col("pos") <= max_rows).withColumn("_t", total)
+    rows = placed.agg(F.max("pos")).scalar()
+    numbered = placed.withColumn("_t", rows if max_rows is None else F.least(rows, F.lit(max_rows)))
     numbered = numbered.withColumn("_q", F.expr(f"_t div {n_chunks}")).withColumn("_r", F.col("_t") % n_chunks)
     chunk = F.expr(
-        "CASE WHEN pos - 1 < _r * (_q + 1) THEN (pos - 1) div (_q + 1)"
+        "CASE WHEN pos > _t THEN NULL WHEN pos - 1 < _r * (_q + 1) THEN (pos - 1) div (_q + 1)"
         " ELSE _r + (pos - 1 - _r * (_q + 1)) div nullif(_q, 0) END"
     )
     return numbered.withColumn("chunk", chunk).drop("pos", "_t", "_q", "_r")

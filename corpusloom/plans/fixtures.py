@@ -104,14 +104,15 @@ names AS (SELECT substring(o_orderpriority, 1, 1) AS code, min(split_part(o_orde
 # --- taxonomy from part keys: single decades and ranges, one class and one decade missing ----
 
 
-def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def taxonomy(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """A taxonomy of all parts; unless ``whole`` a class and a decade are missing, for lookups that find nothing."""
     coded = table(spark, sf_dir, "part").selectExpr(
         "CAST((p_partkey % 1000) div 100 AS INT) AS m", "CAST((p_partkey % 1000) div 10 * 10 AS INT) AS d", "p_name", "p_type"
     )
     ranged = F.expr("m % 3 = 1 AND d % 100 >= 80")
     key = F.when(ranged, F.expr("concat(m, '80-', m, '90')")).otherwise(F.expr("lpad(CAST(d AS STRING), 3, '0')"))
     subs = (
-        coded.where("m <> 9 AND d <> 750")
+        coded.where("true" if whole else "m <> 9 AND d <> 750")
         .withColumn("sub_key", key)
         .groupBy("m", "sub_key")
         .agg(F.min("p_name").alias("sub_name"), F.min("p_type").alias("t"))
@@ -131,6 +132,7 @@ subs AS (SELECT m, CASE WHEN m % 3 = 1 AND d % 100 >= 80 THEN concat(m, '80-', m
 mains AS (SELECT m, concat('Class ', min(t)) AS main_name FROM subs GROUP BY 1),
 tax AS (SELECT CAST(m AS VARCHAR) AS main, main_name, sub_key, CAST(split_part(sub_key, '-', 1) AS INTEGER) AS lo,
                CAST(split_part(sub_key, '-', -1) AS INTEGER) AS hi, sub_name FROM subs JOIN mains USING (m))"""
+WHOLE_TAXONOMY_SQL = TAXONOMY_SQL.replace(" WHERE m <> 9 AND d <> 750", "")
 
 
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,31 +173,31 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where("o_orderkey % 7 <> 0").selectExpr(
+    return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS id", "CAST(o_orderkey AS STRING) AS doc_idn"
     )
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").where("p_partkey % 13 <> 0").selectExpr(
+    return table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS id", "CAST(p_partkey AS STRING) AS gnd_idn", "p_name AS gnd_label"
     )
 
 
-def mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mappings(spark: SparkSession, sf_dir: str, records: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """The mappings table, stored (pinned) as its reports read it more than once."""
     pairs = table(spark, sf_dir, "lineitem").selectExpr(
         "CAST(l_orderkey AS STRING) AS doc_idn", "CAST(l_partkey AS STRING) AS gnd_idn"
     )
-    return pin(link_join(pairs, link_records(spark, sf_dir), entities(spark, sf_dir)))
+    return pin(link_join(pairs, records or link_records(spark, sf_dir), known or entities(spark, sf_dir)))
 
 
 LINKS_SQL = """
 links AS (SELECT CAST(l_orderkey AS VARCHAR) AS doc_idn, CAST(l_partkey AS VARCHAR) AS gnd_idn, p_name AS gnd_label
           FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 MAPPINGS_SQL = """
-lrecs AS (SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS doc_idn FROM orders WHERE o_orderkey % 7 <> 0),
-ents AS (SELECT p_partkey AS id, CAST(p_partkey AS VARCHAR) AS gnd_idn, p_name AS gnd_label FROM part WHERE p_partkey % 13 <> 0),
+lrecs AS (SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS doc_idn FROM orders),
+ents AS (SELECT p_partkey AS id, CAST(p_partkey AS VARCHAR) AS gnd_idn, p_name AS gnd_label FROM part),
 maps AS (SELECT DISTINCT l_orderkey AS record_id, l_partkey AS gnd_id FROM lineitem
          JOIN lrecs ON lrecs.id = l_orderkey JOIN ents ON ents.id = l_partkey)"""
 

@@ -174,19 +174,21 @@ def top_labels(spark, sf):
 
 
 @query("keyword_agg", f"""WITH {fx.MAPPINGS_SQL}
-SELECT lrecs.doc_idn, 0 AS page, string_agg(gnd_label, ' | ' ORDER BY gnd_label) AS gnd_keywords, count(*) AS keyword_count
-FROM maps JOIN ents ON ents.id = gnd_id JOIN lrecs ON lrecs.id = record_id GROUP BY 1""")
+SELECT doc_idn, page, string_agg(gnd_label, ' | ' ORDER BY gnd_label) AS gnd_keywords, count(*) AS keyword_count
+FROM (SELECT lrecs.doc_idn, gnd_label, CAST((row_number() OVER (PARTITION BY record_id ORDER BY gnd_label, gnd_id) - 1) // 3 AS INTEGER) AS page
+      FROM maps JOIN ents ON ents.id = gnd_id JOIN lrecs ON lrecs.id = record_id) GROUP BY 1, 2""")
 def keyword_agg(spark, sf):
-    return linkage.keyword_agg(fx.mappings(spark, sf), fx.entities(spark, sf), fx.link_records(spark, sf))
+    return linkage.keyword_agg(fx.mappings(spark, sf), fx.entities(spark, sf), fx.link_records(spark, sf), page_size=3)
 
 
 @query("links_by_doc", f"""WITH {fx.LINKS_SQL}, f AS (SELECT *, count(*) AS copies FROM links GROUP BY ALL)
-SELECT doc_idn, string_agg(concat(gnd_idn, '=', gnd_label, '*', copies), ';' ORDER BY gnd_idn, gnd_label) AS links,
-       CAST(sum(copies) AS BIGINT) AS n_links FROM f GROUP BY 1""")
+SELECT doc_idn, page, string_agg(concat(gnd_idn, '=', gnd_label, '*', copies), ';' ORDER BY gnd_idn, gnd_label) AS links,
+       CAST(sum(copies) AS BIGINT) AS n_links
+FROM (SELECT *, CAST((row_number() OVER (PARTITION BY doc_idn ORDER BY gnd_idn, gnd_label) - 1) // 3 AS INTEGER) AS page FROM f) GROUP BY 1, 2""")
 def links_by_doc(spark, sf):
-    lists = linkage.links_by_doc(fx.links(spark, sf))
+    lists = linkage.links_by_doc(fx.links(spark, sf), page_size=3)
     shown = F.array_join(F.transform("links", lambda e: F.concat(e["gnd_idn"], F.lit("="), e["gnd_label"], F.lit("*"), e["copies"])), ";")
-    return lists.select("doc_idn", shown.alias("links"), "n_links")
+    return lists.select("doc_idn", "page", shown.alias("links"), "n_links")
 
 
 @query("entity_dedup", f"WITH {fx.LINKS_SQL} SELECT gnd_idn, min(gnd_label) AS gnd_label FROM links GROUP BY 1")
@@ -235,6 +237,13 @@ def over_limit_share(spark, sf):
     return stats.over_limit_share(text.token_count(fx.documents(spark, sf), "text"), "token_count", 1000)
 
 
+@query("over_limit_list", """
+SELECT doc_id, n AS token_count FROM (SELECT doc_id, CAST(len(regexp_extract_all(text, '\\p{L}+|\\p{N}+|[^\\s\\p{L}\\p{N}]')) AS INTEGER) AS n FROM documents)
+WHERE n > 1000""")
+def over_limit_list(spark, sf):
+    return stats.over_limit_list(text.token_count(fx.documents(spark, sf), "text"), "doc_id", "token_count", 1000)
+
+
 @query("availability_rate", f"""WITH {fx.CATALOGUE_SQL}
 SELECT count(*) AS total_records, count(path) AS available, {pct_sql('count(path)', 'count(*)')} AS pct FROM cat""")
 def availability_rate(spark, sf):

@@ -110,7 +110,7 @@ p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM pending),
 t AS (SELECT least(count(*), 450) AS t FROM p), c AS (SELECT unnest(range(7)) AS chunk),
 b AS (SELECT chunk, sum(t // 7 + CASE WHEN chunk < t % 7 THEN 1 ELSE 0 END) OVER (ORDER BY chunk) AS hi,
              t // 7 + CASE WHEN chunk < t % 7 THEN 1 ELSE 0 END AS size FROM c, t)
-SELECT doc_id, chunk FROM p JOIN b ON i < hi AND i >= hi - size""")
+SELECT doc_id, chunk FROM p LEFT JOIN b ON i < hi AND i >= hi - size""")
 def work_chunks(spark, sf):
     return worklist.work_chunks(_pending(spark, sf).select("doc_id"), [F.col("doc_id")], 7, 450)
 
@@ -152,3 +152,20 @@ def incremental_enrich_query(spark, sf):
     run = shared_path(spark, "enrich")
     schema = table(spark, sf, "documents").schema
     return incremental_enrich(spark, sf, f"{run}/out", f"{run}/progress", schema, enrich, "doc_id", "documents.parquet")
+
+
+@query("find_entry", """
+SELECT doc_id, source FROM documents WHERE source || '.pdf' = 'src7.pdf'
+UNION ALL SELECT doc_id, source FROM documents WHERE CAST(doc_id AS VARCHAR) || '.mmd' = '12.mmd'""")
+def find_entry(spark, sf):
+    files = table(spark, sf, "documents").selectExpr("doc_id", "source", "concat(source, '.pdf') AS path", "concat(doc_id, '.mmd') AS converted_file")
+    found = maintenance.find_entry(files, "src7", "pdf").union(maintenance.find_entry(files, "12", "mmd"))
+    return found.select("doc_id", "source")
+
+
+@query("reset_check", """
+SELECT 'converted' AS column_name, 0::BIGINT AS still_set, count(*) AS n_rows FROM documents
+UNION ALL SELECT 'kept', count(lang), count(*) FROM documents""")
+def reset_check(spark, sf):
+    rows = table(spark, sf, "documents").selectExpr("doc_id", "source AS converted", "lang AS kept")
+    return maintenance.reset_check(maintenance.reset_columns(rows, ["converted"]), ["converted", "kept"])

@@ -101,9 +101,9 @@ def probe_status(spark, sf):
 
 
 @query("sanitize_name", r"""
-SELECT doc_id, regexp_replace(substring(text, 1, 200) || source, '[^\p{L}\p{N}_-]', '_', 'g') AS name FROM documents""")
+SELECT doc_id, regexp_replace(text || source, '[^\p{L}\p{N}_-]', '_', 'g') AS name FROM documents""")
 def sanitize_name(spark, sf):
-    raw = F.concat(F.substring("text", 1, 200), "source")
+    raw = F.concat("text", "source")
     return table(spark, sf, "documents").select("doc_id", scalar.sanitize_name(raw).alias("name"))
 
 

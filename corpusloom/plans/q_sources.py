@@ -33,24 +33,24 @@ def record_table_scan(spark, sf):
 @query("link_csv_scan", f"WITH {fx.LINKS_SQL} SELECT * FROM links")
 def link_csv_scan(spark, sf):
     path = shared_path(spark, "links")
-    fx.links(spark, sf).write.option("header", True).csv(path)
+    fx.links(spark, sf).write.option("header", True).option("escape", '"').csv(path)
     return readers.link_csv_scan(spark, path)
 
 
-@query("taxonomy_scan", f"WITH {fx.TAXONOMY_SQL} SELECT * FROM tax")
+@query("taxonomy_scan", f"WITH {fx.WHOLE_TAXONOMY_SQL} SELECT * FROM tax")
 def taxonomy_scan(spark, sf):
     path = shared_path(spark, "taxonomy")
-    writers.export_lines(nested_json_export(fx.taxonomy(spark, sf)), path)
+    writers.export_lines(nested_json_export(fx.taxonomy(spark, sf, whole=True), page_size=4), path)
     return readers.taxonomy_scan(spark, path, lines=True)
 
 
-@query("nested_json_export", f"""WITH {fx.TAXONOMY_SQL}
+@query("nested_json_export", f"""WITH {fx.WHOLE_TAXONOMY_SQL}
 SELECT concat('{{"', main, '":{{"name":"', min(main_name), '","sub":{{',
        string_agg(concat('"', sub_key, '":{{"name":"', sub_name, '"}}'), ',' ORDER BY sub_key), '}}}}}}') AS value
-FROM tax GROUP BY main""")
+FROM (SELECT *, (row_number() OVER (PARTITION BY main ORDER BY sub_key) - 1) // 4 AS page FROM tax) GROUP BY main, page""")
 def nested_json_export_query(spark, sf):
     path = shared_path(spark, "tree")
-    writers.export_lines(nested_json_export(fx.taxonomy(spark, sf)), path)
+    writers.export_lines(nested_json_export(fx.taxonomy(spark, sf, whole=True), page_size=4), path)
     return spark.read.text(path)
 
 

@@ -2,31 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.schemas import LINK_COLUMNS, MARC, TAXONOMY, strings
 
 
 def marc_xml_scan(spark: SparkSession, path: str, row_tag: str = "record") -> DataFrame:
-    """MARC-XML files -> one parsed record per row (``schemas.MARC``).
+    """MARC-XML files -> one parsed record per row (``schemas.MARC``); ``marc_xml_rejects`` has the others."""
+    records = marc_xml_records(spark, path, row_tag)
+    return marc_xml_parse(records.select(F.col("xml").alias("_xml")), "_xml")
 
-    The files are read as text with the closing tag as line separator, so one huge catalogue
-    file still splits over many tasks (Spark's XML source would read it in one).
+
+def marc_xml_rejects(spark: SparkSession, path: str, row_tag: str = "record") -> DataFrame:
+    """(reason, xml) of the records that ``marc_xml_scan`` leaves out."""
+    return marc_xml_records(spark, path, row_tag).where(_reject_reason(F.col("xml")).isNotNull()).select(
+        _reject_reason(F.col("xml")).alias("reason"), "xml")
+
+
+def marc_xml_records(spark: SparkSession, path: str, row_tag: str = "record") -> DataFrame:
+    """The text of every record of the files in the column ``xml``, without name space prefixes.
+
+    The files are read as text with the end of the record tag as line separator, so one huge catalogue
+    file still splits over many tasks (Spark's XML source would read it in one). Blanks and prefixes in tags are
+    allowed, comments are cut out. Text between records that holds no field is no record; a piece that does, but has no
+    end tag or half a comment, stays as it is and will not parse.
     """
-    chunks = spark.read.text(path, lineSep=f"</{row_tag}>")
-    record = F.regexp_extract("value", rf"(?s)(<{row_tag}[\s>].*)", 1)
-    whole = chunks.select(record.alias("_body")).where("_body <> ''")
-    return marc_xml_parse(whole.select(F.concat("_body", F.lit(f"</{row_tag}>")).alias("_xml")), "_xml")
+    tag = rf"(?:[\w.-]+:)?{row_tag}"
+    chunk = F.concat("value", F.lit(f"{row_tag}>"))
+    pieces = spark.read.text(path, lineSep=f"{row_tag}>").select(
+        F.explode(F.split(F.regexp_replace(chunk, r"(?s)<!--.*?-->", ""), rf"(?=</{tag}\s*>)")).alias("_piece"))
+    # a piece starts with the end tag of the record before it, and the next piece with its own
+    body = F.regexp_replace("_piece", rf"(?s)^</{tag}\s*>", "")
+    body = F.regexp_replace(body, rf"(?s)^.*<{tag}(?:\s[^>]*)?>", "")
+    plain = F.regexp_replace(body, r"(</?)[\w.-]+:", "$1")
+    return (
+        pieces.select(plain.alias("_body")).where(F.col("_body").rlike(r"<(?:leader|controlfield|datafield|subfield)[\s>]"))
+        .select(F.concat(F.lit("<record>"), F.regexp_replace("_body", rf"{row_tag}>$", ""), F.lit("</record>")).alias("xml"))
+    )
+
+
+def _reject_reason(xml: Column) -> Column:
+    """Why a record cannot be parsed; NULL if it can."""
+    broken = F.from_xml(xml, f"{MARC}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})["_corrupt"]
+    return F.when(xml.contains("<!--") | xml.contains("-->"), "comment over several records").when(broken.isNotNull(), "malformed")
 
 
 def marc_xml_parse(df: DataFrame, xml: str) -> DataFrame:
-    """MARC records held as XML text in a column -> parsed records, other columns kept.
+    """MARC records held as XML text in a column -> parsed records, other columns kept; malformed ones drop out.
 
     Surrounding blanks are kept: an indicator of one blank is a value.
     """
     parsed = F.from_xml(F.col(xml), MARC, {"ignoreSurroundingSpaces": "false"})
-    return df.withColumn("_marc", parsed).select("*", "_marc.*").drop("_marc", xml)
+    sound = df.where(_reject_reason(F.col(xml)).isNull())
+    return sound.withColumn("_marc", parsed).select("*", "_marc.*").drop("_marc", xml)
 
 
 def record_table_scan(spark: SparkSession, path: str, columns=None, fmt: str = "parquet") -> DataFrame:
@@ -47,9 +76,14 @@ def record_table_jdbc(spark: SparkSession, url: str, table: str, partition_colum
     return df if columns is None else df.select(*columns)
 
 
-def link_csv_scan(spark: SparkSession, path: str, columns=LINK_COLUMNS) -> DataFrame:
-    """CSV of links with a header, every column a string."""
-    return spark.read.schema(strings(columns)).option("header", True).option("enforceSchema", False).csv(path)
+def link_csv_scan(spark: SparkSession, path: str, columns=LINK_COLUMNS, multi_line: bool = True) -> DataFrame:
+    """CSV of links with a header, every column a string; quotes inside quotes are doubled.
+
+    Values may hold line breaks, which costs one task per file; files known to have none can be split with
+    ``multi_line=False``.
+    """
+    reader = spark.read.schema(strings(columns)).option("header", True).option("enforceSchema", False)
+    return reader.option("escape", '"').option("multiLine", multi_line).csv(path)
 
 
 def taxonomy_scan(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -59,7 +93,7 @@ def taxonomy_scan(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     key, equal for a single code, NULL for keys that are no numbers.
     """
     text = spark.read.text(path, wholetext=not lines)
-    mains = text.select(F.explode(F.from_json("value", TAXONOMY)).alias("main", "node"))
+    mains = text.select(F.explode(F.from_json("value", TAXONOMY, {"mode": "FAILFAST"})).alias("main", "node"))
     rows = mains.select("main", F.col("node.name").alias("main_name"), F.explode_outer("node.sub").alias("sub_key", "sub"))
     lo = F.split_part("sub_key", F.lit("-"), F.lit(1)).try_cast("int")
     hi = F.substring_index("sub_key", "-", -1).try_cast("int")
@@ -88,6 +122,6 @@ def binary_doc_scan(spark: SparkSession, directory: str, head: int = 5, glob: st
 
 
 def failure_list_scan(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
-    """JSON array(s) of failed ids -> one string column."""
+    """JSON array(s) of failed ids -> one string column; broken JSON fails, as an empty list would send all ids back to work."""
     text = spark.read.text(path, wholetext=True)
-    return text.select(F.explode(F.from_json("value", "ARRAY<STRING>")).alias(key)).distinct()
+    return text.select(F.explode(F.from_json("value", "ARRAY<STRING>", {"mode": "FAILFAST"})).alias(key)).distinct()

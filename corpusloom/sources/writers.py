@@ -67,13 +67,22 @@ def compare_tables(source: DataFrame, copy: DataFrame, stratum: str) -> DataFram
     )
 
 
+def copy_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to the new folder ``path`` and read it from there."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def snapshot_verify(df: DataFrame, path: str, stratum: str) -> DataFrame:
-    """Write a copy to ``path`` and compare it with the source per stratum."""
-    return compare_tables(df, idempotent_replace(df, path), stratum)
+    """Write a copy to the new folder ``path`` and compare it with the source per stratum.
+
+    An existing folder is never overwritten: the last good copy stays until another one is known to be equal.
+    """
+    return compare_tables(df, copy_table(df, path), stratum)
 
 
 def snapshot_publish(df: DataFrame, root: str, version: int, stratum: str) -> bool:
-    """Snapshot ``df`` as ``version``; it becomes current only if the copy equals the source."""
+    """Snapshot ``df`` as the new ``version``; it becomes current only if the copy equals the source."""
     report = snapshot_verify(df, f"{root}/data/version={version}", stratum)
     if not report.where("NOT same").isEmpty():
         return False

@@ -13,9 +13,9 @@ from corpusloom.session import spread
 
 
 def latest_by_key(df: DataFrame, key: str, version: str) -> DataFrame:
-    """The row of highest ``version`` for each key."""
+    """The row of highest ``version`` for each key; of several, the largest in column order."""
     rest = [c for c in df.columns if c not in (key, version)]
-    return df.groupBy(key).agg(F.max_by(F.struct(*rest), version).alias("_row")).select(key, "_row.*")
+    return df.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(version, *rest)).alias("_row")).select(key, "_row.*")
 
 
 def run_incremental(spark: SparkSession, source: str, out: str, checkpoint: str, schema: T.StructType,

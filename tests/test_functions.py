@@ -77,7 +77,8 @@ SCANS = [
 
 
 def test_term_line_scan(spark):
-    got = values(spark, [t for t, _ in SCANS], lambda c: text.term_line_scan(c, "abstract"))
+    assert tuple(values(spark, [PAGE26], lambda c: text.term_line_scan(c, "abstract"))[0]) == (1, 100.0)
+    got = values(spark, [t for t, _ in SCANS], lambda c: text.term_line_scan(c, "abstract", 25))
     assert [None if g is None else tuple(g) for g in got] == [w for _, w in SCANS]
 
 
@@ -115,16 +116,9 @@ def test_snippet_context(spark):
     assert (before, section, after) == ("ab", " s", "")
 
 
-def test_token_count_with_and_without_encoder(spark):
+def test_token_count(spark):
     df = spark.createDataFrame([("Hallo, Welt 42!",), ("äö",), (None,)], "t string")
     assert [(r.token_count, r.method) for r in text.token_count(df, "t").collect()] == [(5, "regex"), (1, "regex"), (None, "regex")]
-    tiktoken = pytest.importorskip("tiktoken")
-
-    def byte_encoder():
-        return tiktoken.Encoding("bytes", pat_str=r"(?s).", mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
-
-    got = text.token_count(df, "t", text.bpe_counter(byte_encoder)).collect()
-    assert [(r.token_count, r.method) for r in got] == [(15, "bpe"), (4, "bpe"), (None, "bpe")]
 
 
 def test_doc_validate_order_of_reasons(spark):
@@ -182,3 +176,15 @@ def test_marc_first_field_only(spark):
     first = rows[0]
     assert (first.idn, first.title, first.title_author) == ("97250155X", "T", None)
     assert (first.urn, first.url_dnb_archive, first.url_publisher, first.ddc) == (None, "archive", None, None)
+
+
+def test_html_references_quotes_attributes_and_depth(spark):
+    assert values(spark, ["a &#xFC; &apos;x&apos; &#8211; &Uuml; &nosuch; &amp"], html.decode_entities) == ["a ü 'x' – Ü &nosuch; &amp"]
+    cells = ["<div style='padding-left: 1.6em'>x</div>", '<div style="margin-left:0.8em">x</div>', "<div>x</div>"]
+    assert values(spark, cells, html.indent_level) == [2, 1, 0]
+    nested = '<span style="font-weight: bold">5<span>1<span>0<span>.<i>2</i></span></span></span></span>'
+    assert values(spark, [nested], html.cell_code) == ["510.2"]
+    page = f"<table class='t' id='scheduleResult'><tr class=a><td>{nested}</td><td><div style='padding-left:0.8em'>Topic</div></td></tr></table><ul><li class='b'><a>42</a> Name</li></ul>"
+    df = spark.createDataFrame([("p", page)], "page string, html string")
+    assert [tuple(r) for r in html.schedule_rows(df, "page", "html").collect()] == [("p", 0, 1, "510.2", "Topic")]
+    assert html.list_items(df, "page", "html").count() == 1

@@ -68,7 +68,9 @@ def test_taxonomy_scan_and_export(spark, flat, tmp_path):
     assert rows(readers.class_names(flat)) == [("5", "Science"), ("7", "Arts")]
     writers.export_lines(taxonomy.nested_json_export(flat), str(tmp_path / "out"))
     back = readers.taxonomy_scan(spark, str(tmp_path / "out"), lines=True)
-    assert rows(back) == rows(flat.where("sub_key IS NOT NULL"))
+    assert rows(back) == rows(flat)
+    doubled = flat.union(flat.where("sub_key = '580-590'").withColumn("sub_name", F.lit("Zoo")))
+    assert rows(taxonomy.nested_json_export(doubled)) == rows(taxonomy.nested_json_export(flat))
     paged = taxonomy.nested_json_export(flat, page_size=1)
     assert paged.count() > 1
     writers.export_lines(paged, str(tmp_path / "paged"))
@@ -99,8 +101,8 @@ def test_snapshot_publishes_only_equal_copies(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, None, "y")], "id int, s string, t string")
     assert writers.snapshot_publish(df, root, 1, "s")
     assert rows(writers.snapshot_current(spark, root)) == rows(df)
-    real = writers.idempotent_replace
-    monkeypatch.setattr(writers, "idempotent_replace", lambda d, p: real(d.where("id <> 2"), p))
+    real = writers.copy_table
+    monkeypatch.setattr(writers, "copy_table", lambda d, p: real(d.where("id <> 2"), p))
     assert not writers.snapshot_publish(df, root, 2, "s")
     assert writers.snapshot_current(spark, root).count() == 3
 
@@ -187,7 +189,9 @@ def test_worklist_batches_and_chunks(spark, many_partitions):
         total = min(cap, len(ids))
         sizes = [total // n + (k < total % n) for k in range(n)]
         want = [k for k, size in enumerate(sizes) for _ in range(size)]
-        assert chunks == dict(zip(ids[:total], want))
+        assert chunks == dict(zip(ids, want + [None] * (len(ids) - total)))
+    everything = worklist.work_chunks(todo, [F.col("id")], 3).collect()
+    assert sorted(r.id for r in everything) == ids and {r.chunk for r in everything} == {0, 1, 2}
 
 
 def test_progress_report_of_an_empty_run(spark):
@@ -260,3 +264,42 @@ def test_incremental_equals_batch_and_runs_once(spark, tmp_path):
     assert spark.read.parquet(out).select("batch_id").distinct().count() == batches
     docs.where("doc_id % 2 = 1").repartition(3).write.mode("append").parquet(src)
     assert rows(run()) == rows(enrich(docs))
+
+
+def test_marc_scan_loses_no_record(spark, tmp_path):
+    one = lambda i, p="": f'<{p}controlfield tag="001">{i}</{p}controlfield>'
+    (tmp_path / "a.xml").write_text(
+        f'<collection><record>{one(1)}</record ><record type="x">{one(2)}</record\n>\n<record><!-- </b> <record> -->{one(3)}</record>'
+        f'<marc:record xmlns:marc="u">{one(4, "marc:")}</marc:record><record>{one(5)}<datafield></record><record>{one(6)}</record></collection>')
+    (tmp_path / "b.xml").write_text(f'<record>{one(7)}<!-- </record> -->{one(8)}</record><record>{one(9)}')
+    found = [r.controlfield[0]["_VALUE"] for r in readers.marc_xml_scan(spark, str(tmp_path)).collect()]
+    rejected = readers.marc_xml_rejects(spark, str(tmp_path)).collect()
+    assert sorted(found + [x for r in rejected for x in "123456789" if f">{x}<" in r.xml]) == list("123456789")
+    assert set("123456") - set(found) == {"3", "5"} and all(r.reason for r in rejected)
+
+
+def test_link_csv_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "l.csv").write_text('doc_idn,gnd_idn,gnd_label\n1,2,"say ""hi"", now"\n3,4X,"two\nlines"\n05,6,"back\\"\n')
+    assert rows(readers.link_csv_scan(spark, str(tmp_path))) == [("05", "6", "back\\"), ("1", "2", 'say "hi", now'), ("3", "4X", "two\nlines")]
+
+
+def test_broken_json_fails(spark, tmp_path):
+    (tmp_path / "f.json").write_text('["1", "2"')
+    for scan in (readers.failure_list_scan, readers.taxonomy_scan):
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            scan(spark, str(tmp_path)).collect()
+
+
+def test_snapshot_never_overwrites(spark, tmp_path):
+    df = spark.range(5).selectExpr("id", "id % 2 AS g")
+    assert writers.snapshot_publish(df, str(tmp_path), 1, "g")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        writers.snapshot_publish(df.limit(2), str(tmp_path), 1, "g")
+    assert writers.snapshot_current(spark, str(tmp_path)).count() == 5
+
+
+def test_latest_by_key_breaks_ties_by_the_row(spark):
+    from corpusloom.streaming.enrich import latest_by_key
+
+    df = spark.createDataFrame([(1, 1, "b"), (1, 1, "a"), (1, 0, "z"), (2, 0, None)], "k int, v int, x string")
+    assert rows(latest_by_key(df.repartition(3), "k", "v")) == [(1, "b"), (2, None)]
