@@ -9,6 +9,18 @@ from corpusloom.operators.skew import bounded_join
 from corpusloom.session import pin
 
 
+#: rows of one hash bucket that a window task ranks, whatever the size of the table
+BUCKET_ROWS = 100_000
+
+
+def digits_for(df: DataFrame) -> int:
+    """Hex digits of the order key that keep a bucket near BUCKET_ROWS even if all rows are of one stratum (counts ``df``)."""
+    rows, digits = df.count(), 2
+    while rows > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
 def order_key(id_col: str, seed: int = 42) -> Column:
     """Reproducible stand-in for ``RANDOM()``: md5 of ``id:seed``, uniform over 32 hex digits."""
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")).cast("binary"))
@@ -25,15 +37,15 @@ def bucket_histogram(keyed: DataFrame, stratum: str) -> DataFrame:
 
 
 def random_rank_in_stratum(df: DataFrame, stratum: str, id_col: str, seed: int = 42,
-                           name: str = "row_num", digits: int = 2) -> DataFrame:
+                           name: str = "row_num", digits: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY stratum ORDER BY md5(id:seed), id)`` for every row.
 
-    A stratum is ranked in 16^digits independent hash buckets; the rank of a row is its rank in
+    A stratum is ranked in 16^digits independent hash buckets, as many as its rows need; the rank of a row is its rank in
     the bucket plus the rows of the lower buckets. So a stratum with a third of the corpus
     still spreads over the cluster. A NULL stratum is ranked as a stratum of its own.
     """
     keyed = (
-        with_order_key(df, id_col, seed, digits)
+        with_order_key(df, id_col, seed, digits or digits_for(df))
         .withColumn("_null", F.col(stratum).isNull())
         .withColumn("_s", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
     )

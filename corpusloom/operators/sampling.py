@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.quota import quota_waterfill
 from corpusloom.operators.ranking import (
     bucket_histogram,
+    digits_for,
     order_key,
     random_rank_in_stratum,
     take_lowest,
@@ -16,9 +17,6 @@ from corpusloom.operators.ranking import (
 from corpusloom.operators.skew import BROADCAST_ROWS, bounded_join
 from corpusloom.session import pin
 
-#: rows a top-k may send from each task to the last one
-TOP_K_ROWS = 100
-
 
 def base_filter(df: DataFrame, pages: str = "num_pages", hits: str = "abstract_num", max_pages: int = 200) -> DataFrame:
     """Records of at most ``max_pages`` pages in which the term was looked for and found."""
@@ -38,7 +36,7 @@ def balanced_quota(df: DataFrame, stratum: str, total: int, strata=None) -> Data
 
 
 def draw_balanced(df: DataFrame, stratum: str, id_col: str, total: int, seed: int = 42,
-                  strata=None, digits: int = 2) -> tuple[DataFrame, DataFrame]:
+                  strata=None, digits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Balanced random subset of ``total`` rows (fewer if ``df`` is smaller) -> (subset, quota).
 
     Two passes over ``df``: the first aggregates a small histogram (pinned) that yields both the
@@ -47,7 +45,7 @@ def draw_balanced(df: DataFrame, stratum: str, id_col: str, total: int, seed: in
     the allotment to given strata, else every non-NULL stratum takes part.
     """
     rows = df if strata is None else df.where(F.col(stratum).isin(*strata))
-    keyed = with_order_key(rows, id_col, seed, digits)
+    keyed = with_order_key(rows, id_col, seed, digits or digits_for(rows))
     hist = pin(bucket_histogram(keyed, stratum))
     counts = hist.groupBy(stratum).agg(F.sum("_n").alias("n"))
     quota = pin(quota_waterfill(counts, stratum, "n", total))
@@ -55,7 +53,7 @@ def draw_balanced(df: DataFrame, stratum: str, id_col: str, total: int, seed: in
 
 
 def balanced_subset(df: DataFrame, stratum: str, id_col: str, total: int, seed: int = 42,
-                    strata=None, digits: int = 2) -> DataFrame:
+                    strata=None, digits: int | None = None) -> DataFrame:
     """The subset of ``draw_balanced``."""
     return draw_balanced(df, stratum, id_col, total, seed, strata, digits)[0]
 
@@ -86,28 +84,15 @@ def subset_verify(subset: DataFrame, quota: DataFrame, stratum: str) -> DataFram
 
 
 def random_sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """``ORDER BY RANDOM() LIMIT n``, reproducible.
+    """``ORDER BY RANDOM() LIMIT n``, reproducible, for any ``n``.
 
-    A small ``n`` is a top-k (no full sort). A large one is cut by a histogram of the order key
-    (4096 numbers), since a top-k would send ``n`` rows from every task to one.
+    One pass aggregates the histogram of the order key, a second keeps the rows below the point where ``n`` runs
+    out; only these are shuffled, in buckets of bounded size.
     """
-    if n <= TOP_K_ROWS:
-        return df.withColumn("_key", order_key(id_col, seed)).orderBy("_key", id_col).limit(n).drop("_key")
-    keyed = with_order_key(df, id_col, seed, 3)
-    rest = n
-    for bucket, size in sorted(tuple(r) for r in keyed.groupBy("_bucket").count().collect()):
-        if size >= rest:
-            break
-        rest -= size
-    else:
-        return df
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key", id_col))
-    return (
-        keyed.where(F.col("_bucket") <= bucket)
-        .withColumn("_rn", rank)
-        .where((F.col("_bucket") < bucket) | (F.col("_rn") <= rest))
-        .select(*df.columns)
-    )
+    keyed = with_order_key(df.withColumn("_one", F.lit(1)), id_col, seed, digits_for(df))
+    hist = pin(bucket_histogram(keyed, "_one"))
+    quota = df.sparkSession.range(1).select(F.lit(1).alias("_one"), F.lit(n).alias("quota"))
+    return take_lowest(keyed, hist, quota, "_one", id_col).drop("_one")
 
 
 def top_k(df: DataFrame, by: str, id_col: str, k: int = 20) -> DataFrame:

@@ -54,23 +54,26 @@ def nested_json_export_query(spark, sf):
     return spark.read.text(path)
 
 
-def _file_per_document(spark, sf):
-    """The corpus as it lies on disk: one text file per document, ended by a newline."""
+def _file_per_source(spark, sf):
+    """The corpus as files of many documents: one per source, in document order, each document ended by a newline."""
     path = shared_path(spark, "corpus")
-    fx.documents(spark, sf).select("doc_id", F.col("text").alias("value")).write.partitionBy("doc_id").text(path)
+    docs = fx.documents(spark, sf).select("source", "doc_id", F.col("text").alias("value"))
+    ordered = docs.repartition("source").sortWithinPartitions("source", "doc_id").drop("doc_id")
+    ordered.write.partitionBy("source").text(path)
     return path
 
 
-@query("text_corpus_scan", "SELECT text || chr(10) AS content FROM documents")
+@query("text_corpus_scan", "SELECT string_agg(text || chr(10), '' ORDER BY doc_id) AS content, 'part' AS file FROM documents GROUP BY source")
 def text_corpus_scan(spark, sf):
-    return readers.text_corpus_scan(spark, _file_per_document(spark, sf), "*.txt").select("content")
+    return readers.text_corpus_scan(spark, _file_per_source(spark, sf), "*.txt").select(
+        "content", F.substring_index("file", "-", 1).alias("file"))
 
 
-@query("binary_doc_scan", """SELECT strlen(text) + 1 AS file_size, substring(hex(encode(text || chr(10))), 1, 10) AS head
-FROM documents""")
+@query("binary_doc_scan", """SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS file_size, 'part' AS file,
+  substring(hex(encode(string_agg(text || chr(10), '' ORDER BY doc_id))), 1, 10) AS head FROM documents GROUP BY source""")
 def binary_doc_scan(spark, sf):
-    files = readers.binary_doc_scan(spark, _file_per_document(spark, sf), 5, "*.txt")
-    return files.select("file_size", F.hex(F.encode("head", "ISO-8859-1")).alias("head"))
+    files = readers.binary_doc_scan(spark, _file_per_source(spark, sf), 5, "*.txt")
+    return files.select("file_size", F.substring_index("file", "-", 1).alias("file"), F.hex(F.encode("head", "ISO-8859-1")).alias("head"))
 
 
 @query("batch_insert", """SELECT o_orderkey, o_orderpriority FROM orders

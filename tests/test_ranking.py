@@ -159,3 +159,16 @@ def test_top_k_breaks_ties_by_id(spark):
 def test_base_filter_drops_nulls_and_zeros(spark):
     df = spark.createDataFrame([(1, 200, 1), (2, 201, 1), (3, None, 1), (4, 5, 0), (5, 5, None)], "id int, num_pages int, abstract_num int")
     assert [r.id for r in sampling.base_filter(df).collect()] == [1]
+
+
+def test_buckets_keep_their_size_as_a_stratum_grows(spark, monkeypatch):
+    from corpusloom.operators import ranking
+
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 20)
+    df = spark.range(60_000).selectExpr("id", "IF(id % 3 = 0, id % 50, 99) AS g")
+    digits = ranking.digits_for(df)
+    assert digits == 3
+    largest = ranking.bucket_histogram(ranking.with_order_key(df, "id", 42, digits), "g").agg(F.max("_n")).first()[0]
+    assert largest < 60
+    ranked = ranking.random_rank_in_stratum(df, "g", "id").where("g = 99 AND row_num <= 10")
+    assert sorted(r.row_num for r in ranked.collect()) == list(range(1, 11))
