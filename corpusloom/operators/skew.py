@@ -45,8 +45,8 @@ def hot_groups(df: DataFrame, keys, floor: int = ROWS_PER_TASK) -> DataFrame | N
     """
     if df.count() <= floor:
         return None
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > floor)
-    return None if hot.isEmpty() else pin(hot)
+    hot = pin(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > floor))
+    return None if hot.isEmpty() else hot
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
