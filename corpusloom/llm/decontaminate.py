@@ -7,7 +7,9 @@
 3. *Search.* Every document is cut into steps of STEP words; for each length of benchmark passages windows of about that
    length start at every step. All windows of all documents are projected and compared by cosine with all benchmark
    passages of that length, in blocks.
-4. *Checks.* Around each candidate the longest common subsequence of words with the item must cover ``least_lcs`` of
+4. *Bound.* The item's words that stand anywhere around a candidate are no fewer than their longest common subsequence; only
+   candidates where they are too few are left out, so nothing that the checks would confirm is lost.
+5. *Checks.* Around each candidate the longest common subsequence of words with the item must cover ``least_lcs`` of
    the item's words, and ``least_answer`` of its answer, the item's last sentence (its last quarter if it has one
    sentence), must stand there. Items with fewer than SHORT words must be covered whole.
 
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusloom.llm.words import Words, find_words, slices, word_hashes
+from corpusloom.llm.words import Words, find_words, mix, slices, word_hashes
 
 TERM_BITS = 16
 TERM_BLOCKS = 64
@@ -40,8 +42,11 @@ POWER_ROUNDS = 2
 #: steps per window; an item is searched for at the largest that does not exceed its length, long items in pieces of it
 SCALES = (1, 2, 3, 4, 6)
 SHORT = 8
-#: a candidate window is at least this part as long as the item in the latent space; text of common words only is shorter
-LEAST_LENGTH = 0.4
+#: slots of the bound's table for each item word, and at most 2**BOUND_BITS; words that share a slot only raise the bound
+BOUND_ROOM = 64
+BOUND_BITS = 22
+#: words around candidates that are looked up at a time
+BOUND_WORDS = 1 << 20
 #: benchmark passages per broadcast; more of them are searched for in several passes over the documents
 PASSAGES = 50_000
 
@@ -195,7 +200,45 @@ class Searcher:
             own = [p for p in passages if p.scale == scale]
             matrix = np.array([self.projection[p.terms].sum(axis=0) for p in own], np.float32)
             norm = np.maximum(np.linalg.norm(matrix, axis=1), 1e-12)
-            self.scales[scale] = (np.ascontiguousarray((matrix / norm[:, None]).T), norm * LEAST_LENGTH, np.array([p.item for p in own]))
+            self.scales[scale] = (np.ascontiguousarray((matrix / norm[:, None]).T), np.array([p.item for p in own]))
+        self.size = np.array([len(item.words) for item in items])
+        self.need = np.where(self.size < SHORT, self.size, least_lcs * self.size)
+        # every 64 words of an item are a unit with one bit for each of them
+        units = -(-self.size // 64)
+        self.unit = np.concatenate([[0], np.cumsum(units)])
+        self.unit_key = mix(np.arange(1, self.unit[-1] + 1, dtype=np.uint64))
+        words = np.concatenate([item.words for item in items])
+        place = np.arange(len(words)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        of = np.repeat(self.unit[:-1], self.size) + place // 64
+        bits = np.uint64(1) << (place % 64).astype(np.uint64)
+        self.shift = np.uint64(64 - min(BOUND_BITS, (BOUND_ROOM * len(words)).bit_length()))
+        self.table = np.zeros(1 << int(np.uint64(64) - self.shift), np.uint64)
+        np.bitwise_or.at(self.table, (words + self.unit_key[of]) >> self.shift, bits)
+        self.unit_bits = np.zeros(self.unit[-1], np.uint64)
+        np.bitwise_or.at(self.unit_bits, of, bits)
+
+    def possible(self, hashes: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether enough words of the item stand among the words low to high: never fewer than their subsequence."""
+        out = np.zeros(len(item), bool)
+        order = np.argsort(self.size[item], kind="stable")
+        a = 0
+        while a < len(order):
+            width = 3 * int(self.size[item[order[a]]]) + STEP
+            part = order[a:a + max(1, BOUND_WORDS // width)]
+            part = part[self.size[item[part]] <= 2 * self.size[item[part[0]]]]
+            a += len(part)
+            place = low[part, None] + np.arange((high[part] - low[part]).max())
+            outside = place >= high[part, None]
+            around = hashes[np.minimum(place, len(hashes) - 1)]
+            bound = np.zeros(len(part), np.int64)
+            for k in range(int(np.max(np.diff(self.unit)[item[part]]))):
+                own = np.flatnonzero(np.diff(self.unit)[item[part]] > k)
+                unit = self.unit[item[part[own]]] + k
+                found = self.table[(around[own] + self.unit_key[unit, None]) >> self.shift]
+                found[outside[own]] = 0
+                bound[own] += np.bitwise_count(np.bitwise_or.reduce(found, axis=1) & self.unit_bits[unit])
+            out[part] = bound >= self.need[item[part]]
+        return out
 
     def search(self, words: Words) -> Iterator[tuple[int, int, int, float, int, float]]:
         """(document, item, first word, cosine, lcs, answer share) of confirmed matches."""
@@ -219,21 +262,21 @@ class Searcher:
             lo, hi = new[a], new[b] if b < len(new) else len(known)
             table[step_of[new[a:b]]] = np.add.reduceat(self.projection[terms[known[lo:hi]]], new[a:b] - lo, axis=0)
         best: dict[tuple[int, int], tuple] = {}
-        for scale, (matrix, lengths, items) in self.scales.items():
+        for scale, (matrix, items) in self.scales.items():
             window = table.copy()
             for back in range(1, scale):
                 same = np.flatnonzero(doc[back:] == doc[:-back]) if back < len(doc) else np.zeros(0, np.int64)
                 window[same] += table[same + back]
             norm = np.linalg.norm(window, axis=1)
-            rows = np.flatnonzero(norm >= lengths.min())
+            rows = np.flatnonzero(norm > 0)
             for a in range(0, len(rows), 8192):
                 part = rows[a:a + 8192]
                 for c in range(0, len(items), 2048):
                     cosine = window[part] @ matrix[:, c:c + 2048]
                     hit = np.nonzero(cosine >= (self.least[0] * norm[part])[:, None])
-                    long = norm[part[hit[0]]] >= lengths[c + hit[1]]
-                    hit = hit[0][long], hit[1][long]
-                    for w, i in zip(part[hit[0]].tolist(), hit[1].tolist()):
+                    low, high = self.around(words, doc[part[hit[0]]], at[part[hit[0]]], self.size[items[c + hit[1]]])
+                    likely = self.possible(hashes, low, high, items[c + hit[1]])
+                    for w, i in zip(part[hit[0][likely]].tolist(), hit[1][likely].tolist()):
                         item = int(items[c + i])
                         d = int(doc[w])
                         value = float(window[w] @ matrix[:, c + i] / norm[w])
@@ -243,12 +286,16 @@ class Searcher:
         for (d, item), (start, value, common, answer) in best.items():
             yield d, item, start, value, common, answer
 
+    @staticmethod
+    def around(words: Words, d, at, n):
+        """Range of the words around a window of document ``d`` that are compared with an item of ``n`` words."""
+        return np.maximum(words.first[d], at - n), np.minimum(words.first[d + 1], at + 2 * n + STEP)
+
     def check(self, hashes: np.ndarray, words: Words, d: int, at: int, item: int) -> tuple[int, float] | None:
         """Common subsequence and answer share around a window, if they suffice."""
         target = self.items[item]
         n = len(target.words)
-        low = max(int(words.first[d]), at - n)
-        high = min(int(words.first[d + 1]), at + 2 * n + STEP)
+        low, high = self.around(words, d, at, n)
         region = hashes[low:high].tolist()
         wanted = target.words.tolist()
         common = lcs(wanted, region)

@@ -5,7 +5,8 @@ import random
 import numpy as np
 
 from corpusloom.llm import q_leaks
-from corpusloom.llm.decontaminate import contaminated, cut_items, fold_words, lcs, read_item
+from corpusloom.llm.decontaminate import Searcher, contaminated, cut_items, fold_words, lcs, read_item
+from corpusloom.llm.words import word_hashes
 
 SF = "/root/testdata/sf0.01"
 
@@ -57,3 +58,34 @@ def test_paraphrases_long_items_and_defined_cases(spark):
     got = sorted((r[0], r[1]) for r in contaminated(docs, bench).collect())
     assert got == [(10, 1), (11, 1), (12, 2), (13, 3), (18, 6)]
     assert contaminated(docs.limit(0), bench).collect() == [] and contaminated(docs, bench.limit(0)).collect() == []
+
+
+def test_paraphrases_without_their_rarest_words(spark):
+    """A paraphrase that keeps enough words is found also if the words it lacks carry most of the weight."""
+    rng = random.Random(5)
+    common = [f"c{k}" for k in range(60)]
+    noise = lambda n: [rng.choice(common) if rng.random() < 0.3 else f"n{rng.randrange(3000)}" for _ in range(n)]
+    items, docs = [], []
+    for k in range(30):
+        words = [rng.choice(common) if j % 3 else f"rare{k}x{j}" for j in range(36 if k % 2 else 90)]
+        items.append((k, " ".join(words)))
+        changed = [w if w in common else f"n{rng.randrange(3000)}" for w in words]
+        docs.append((k, " ".join(noise(40) + changed + noise(40))))
+    docs += [(100 + k, " ".join(noise(300))) for k in range(100)]
+    got = {(r.doc_id, r.item_id) for r in contaminated(
+        spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"), least_cosine=0.1).collect()}
+    assert {(k, k) for k in range(30)} <= got
+
+
+def test_the_bound_is_never_below_the_subsequence():
+    rng = random.Random(6)
+    items = [read_item(k, " ".join(f"w{rng.randrange(40)}" for _ in range(rng.choice((3, 12, 64, 65, 200))))) for k in range(40)]
+    searcher = Searcher(items, cut_items(items), np.ones((1 << 16, 4), np.float32), np.ones(1 << 16), 0.5, 0.6, 0.4)
+    raw = " ".join(f"w{rng.randrange(60)}" for _ in range(3000)).encode()
+    hashes = word_hashes(fold_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))
+    low = np.array([rng.randrange(2900) for _ in range(2000)])
+    high = np.minimum(low + np.array([rng.randrange(1, 400) for _ in range(2000)]), len(hashes))
+    item = np.array([rng.randrange(40) for _ in range(2000)])
+    got = searcher.possible(hashes, low, high, item)
+    enough = np.array([lcs(items[i].words.tolist(), hashes[a:b].tolist()) >= searcher.need[i] for a, b, i in zip(low, high, item)])
+    assert enough.any() and not (enough & ~got).any() and not got.all()
