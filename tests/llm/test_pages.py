@@ -98,3 +98,16 @@ def test_templates_reject_by_purity_and_generalise(spark):
     got = {r.page_id: r for r in judge_urls(df, q_pages.RULES).collect()}
     assert got[0].verdict == "block" and got[100].verdict == "allow" and got[300].verdict == "allow"
     assert {got[400 + i].template for i in range(26)} == {got[400].template} and "user" not in got[400].template
+
+
+def test_templates_generalise_and_merge_below_the_first_level(spark):
+    name = lambda i: chr(97 + i % 26) + chr(97 + i // 26)
+    rows = [(i, f"http://h.com/de/s{name(i)}/t{name(i)}") for i in range(60)] + [(100 + i, f"http://h.com/fr/{i}") for i in range(300)]
+    rows += [(1000 + i, f"http://other.net/de/u{name(i)}/v{name(i)}") for i in range(60)]
+    rows += [(2000 + 2 * i + k, f"http://m.com/{lang}/{part}/page/{i}") for i in range(0, 400, 2) for k, (lang, part) in enumerate(
+        [("de", "aa"), ("de", "bb"), ("fr", "aa"), ("fr", "bb")])]
+    df = spark.createDataFrame(rows, "page_id int, url string")
+    got = [(r.url.split("/")[2:5], r) for r in judge_urls(df, q_pages.RULES).select("*").collect()]
+    other = [r for u, r in got if u[0] == "other.net"]
+    assert len({r.template for r in other}) == 1 and other[0].template.endswith("/*/*") and {r.verdict for r in other} == {"block"}
+    assert {(u[1], r.template) for u, r in got if u[0] == "m.com"} == {("de", "/de/{}/page/#"), ("fr", "/fr/{}/page/#")}
