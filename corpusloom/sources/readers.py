@@ -105,19 +105,25 @@ def class_names(flat: DataFrame) -> DataFrame:
     return flat.where(F.length("main") == 1).groupBy(F.col("main").alias("code")).agg(F.min("main_name").alias("name"))
 
 
-def text_corpus_scan(spark: SparkSession, directory: str, glob: str = "*.mmd") -> DataFrame:
-    """Whole text files of a folder -> (file, content)."""
+def _folder(path: Column, name: str | None) -> list[Column]:
+    """The folder a file lies in as the column ``name``, if one is wanted."""
+    return [F.regexp_extract(path, r"([^/]*)/[^/]*$", 1).alias(name)] if name else []
+
+
+def text_corpus_scan(spark: SparkSession, directory: str, glob: str = "*.mmd", folder: str | None = None) -> DataFrame:
+    """Whole text files of a folder -> (file, content); ``folder`` names a column for the folder of each file."""
     text = spark.read.text(directory, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
-    return text.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))
+    return text.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"), *_folder(F.col("_metadata.file_path"), folder))
 
 
-def binary_doc_scan(spark: SparkSession, directory: str, head: int = 5, glob: str = "*") -> DataFrame:
-    """Name, size and first bytes (as Latin-1 text) of binary files."""
+def binary_doc_scan(spark: SparkSession, directory: str, head: int = 5, glob: str = "*", folder: str | None = None) -> DataFrame:
+    """Name, size and first bytes (as Latin-1 text) of binary files of up to 2 GB; ``folder`` as in ``text_corpus_scan``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(directory)
     return files.select(
         F.substring_index("path", "/", -1).alias("file"),
         F.col("length").alias("file_size"),
         F.decode(F.substring("content", 1, head), "ISO-8859-1").alias("head"),
+        *_folder(F.col("path"), folder),
     )
 
 

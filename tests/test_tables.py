@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom import schemas
 from corpusloom.functions.text import term_line_scan
 from corpusloom.operators import linkage, maintenance, stats, taxonomy, worklist
+from corpusloom.plans import q_sources
 from corpusloom.sources import readers, writers
 from corpusloom.streaming.enrich import incremental_enrich
 
@@ -303,3 +304,21 @@ def test_latest_by_key_breaks_ties_by_the_row(spark):
 
     df = spark.createDataFrame([(1, 1, "b"), (1, 1, "a"), (1, 0, "z"), (2, 0, None)], "k int, v int, x string")
     assert rows(latest_by_key(df.repartition(3), "k", "v")) == [(1, "b"), (2, None)]
+
+
+@pytest.mark.parametrize("name", ["text_corpus_scan", "binary_doc_scan"])
+def test_corpus_files_are_bounded_for_a_hot_source(spark, tmp_path, monkeypatch, name):
+    docs = [(i, f"{'ab' if i == 0 else f'text {i}'} " * (1 if i < 3 else 50), "hot" if i < 380 else f"s{i % 4}") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumns({"lang": F.lit("de"), "n_chars": F.length("text").cast("long")})
+    df.select("doc_id", "text", "lang", "source", "n_chars").coalesce(1).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    monkeypatch.setattr(q_sources, "_BLOCK_BYTES", 10_000, raising=False)
+    monkeypatch.setattr(q_sources, "shared_path", lambda spark, label: str(tmp_path / label))
+    got = getattr(q_sources, name)(spark, str(tmp_path / "sf"))
+    whole = {}
+    for _, text, source in docs:
+        whole[source] = whole.get(source, "") + text + "\n"
+    if name == "text_corpus_scan":
+        assert sorted(map(tuple, got.select("content", "file").collect())) == sorted((t, "part") for t in whole.values())
+    else:
+        assert sorted(map(tuple, got.collect())) == sorted((len(t), "part", t[:5].encode().hex().upper()) for t in whole.values())
+    assert max(f.stat().st_size for f in (tmp_path / "corpus").rglob("part-*.txt")) < 30_000 < len(whole["hot"])
