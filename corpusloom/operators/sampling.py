@@ -86,13 +86,20 @@ def subset_verify(subset: DataFrame, quota: DataFrame, stratum: str) -> DataFram
 def random_sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """``ORDER BY RANDOM() LIMIT n``, reproducible, for any ``n``.
 
-    One pass aggregates the histogram of the order key, a second keeps the rows below the point where ``n`` runs
-    out; only these are shuffled, in buckets of bounded size.
+    One pass aggregates the histogram of the order key, a second drops the buckets beyond the point where ``n`` runs
+    out in the scan; only the rows left are shuffled, in buckets of bounded size.
     """
-    keyed = with_order_key(df.withColumn("_one", F.lit(1)), id_col, seed, digits_for(df))
-    hist = pin(bucket_histogram(keyed, "_one"))
-    quota = df.sparkSession.range(1).select(F.lit(1).alias("_one"), F.lit(n).alias("quota"))
-    return take_lowest(keyed, hist, quota, "_one", id_col).drop("_one")
+    keyed = with_order_key(df, id_col, seed, digits_for(df))
+    hist = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    upto = hist.withColumn("_upto", F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)))
+    short = F.col("_upto") < n
+    cut = pin(upto.agg(
+        F.coalesce(F.min(F.when(~short, F.col("_bucket"))), F.lit("g")).alias("_cut"),  # "g" is above every hex digit
+        F.coalesce(F.sum(F.when(short, F.col("_n"))), F.lit(0)).alias("_sure")))
+    last, sure = cut.select("_cut").scalar(), cut.select("_sure").scalar()
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key", id_col))
+    kept = keyed.where(F.col("_bucket") <= last).withColumn("_rn", rank)
+    return kept.where((F.col("_bucket") < last) | (F.col("_rn") + sure <= n)).drop("_key", "_bucket", "_rn")
 
 
 def top_k(df: DataFrame, by: str, id_col: str, k: int = 20) -> DataFrame:
