@@ -6,6 +6,10 @@ stays as it is when the two are encoded together; its count is one more than tha
 table filled that way from left to right holds the exact count of every prefix, so that lengths,
 truncation points and budgets are looked up and never encoded again.
 
+Whether two neighbours stay apart needs no merging either: only the tokens that end at the border while
+the left one grows, and those that start there while the right one grows, can meet. Both chains are stored with
+the ranks at which they grow, and are walked in the order of these ranks.
+
 Between pieces counts add up. Two ends of a prefix differ from the pieces of the whole text and have
 their own rule: blanks at the end of a prefix form one piece (inside the text the last of them
 joins the next word), and a contraction such as ``'ll`` cut after its first letter is two pieces.
@@ -27,9 +31,12 @@ from pyspark.sql import types as T
 
 from corpusloom.llm.words import slices
 
-#: distinct pieces, and pairs of tokens, a Python worker remembers; then it starts afresh
+#: distinct pieces, and pairs of tokens, a Python worker remembers, twice: the store before stays until the next is full
 CACHE_PIECES = 300_000
-CACHE_PAIRS = 2_000_000
+CACHE_PAIRS = 500_000
+#: bytes at the end of a token that tell how long it can be
+ENDING = 4
+_NEVER = 1 << 40
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -53,54 +60,116 @@ class PrefixCounter:
         self.special = sorted((t["content"] for t in spec.get("added_tokens") or []), key=len, reverse=True)
         self.find_special = regex.compile("|".join(map(regex.escape, self.special))).finditer if self.special else None
         self.split = regex.compile(pattern).findall
-        tokens = [bytes([b]) for b in range(256)] + [a + b for a, b in self.merge_rank]
-        self.longest = max(map(len, tokens))
-        # a token that its own bytes do not encode to can never end a prefix
-        self.tokens = {t for t in tokens if len(t) == 1 or self.merge(t) == [t]}
-        self.table: dict[str, tuple[int, ...]] = {}
+        # by token: its number and the chains of (rank at which the next one arises, number); a token that its own
+        # bytes do not encode to can never end a prefix and is left out
+        self.number: dict[bytes, int] = {}
+        self.grows_right: list[list[tuple[int, int]]] = []  # tokens that start the token, shortest first
+        self.grows_left: list[list[tuple[int, int]]] = []  # tokens that end it
+        self.pair_rank: dict[int, int] = {}
+        for token in [bytes([b]) for b in range(256)] + [a + b for a, b in self.merge_rank]:
+            self._learn(token)
+        for (a, b), rank in self.merge_rank.items():
+            if a in self.number and b in self.number:
+                self.pair_rank[self.number[a] << 32 | self.number[b]] = rank
+        self.longest: dict[bytes, int] = {}  # token length by the last ENDING bytes, where there are as many
+        for token in self.number:
+            if len(token) >= ENDING:
+                self.longest[token[-ENDING:]] = max(self.longest.get(token[-ENDING:], 0), len(token))
         self.total: dict[str, int] = {}
-        self.pair: dict[tuple[bytes, bytes], bool] = {}
-
-    def merge(self, piece: bytes) -> list[bytes]:
-        """Plain merging, used on single tokens and pairs of tokens only."""
-        parts = [piece[i:i + 1] for i in range(len(piece))]
+        self.total_before: dict[str, int] = {}
+        self.pair: dict[int, bool] = {}
+        self.pair_before: dict[int, bool] = {}
+
+    def _learn(self, token: bytes) -> bool:
+        """Number a token and store its chains, from those of the two it is merged from last; False if it is none."""
+        if token in self.number:
+            return True
+        left, right = [], []
+        if len(token) > 1:
+            parts, pair = self.merge(token)
+            if len(parts) > 1 or not (self._learn(pair[0]) and self._learn(pair[1])):
+                return False
+            rank = self.merge_rank[pair]
+            left, right = self.grows_left[self.number[pair[1]]], self.grows_right[self.number[pair[0]]]
+            left, right = [*left[:-1], (rank, left[-1][1])], [*right[:-1], (rank, right[-1][1])]
+        self.number[token] = n = len(self.number)
+        self.grows_left.append([*left, (_NEVER, n)])
+        self.grows_right.append([*right, (_NEVER, n)])
+        return True
+
+    def merge(self, piece: bytes) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
+        """Plain merging of the bytes of a token: what they encode to, and the last pair merged."""
+        parts, pair = [piece[i:i + 1] for i in range(len(piece))], None
         rank = self.merge_rank
         while len(parts) > 1:
-            best, at = min((rank.get((parts[i], parts[i + 1]), 1 << 40), i) for i in range(len(parts) - 1))
-            if best == 1 << 40:
+            best, at = min((rank.get((parts[i], parts[i + 1]), _NEVER), i) for i in range(len(parts) - 1))
+            if best == _NEVER:
                 break
+            pair = (parts[at], parts[at + 1])
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        return parts, pair
 
-    def stays(self, left: bytes, right: bytes) -> bool:
-        """True if ``left`` then ``right`` is what their joined bytes encode to."""
-        key = (left, right)
+    def stays(self, left: int, right: int) -> bool:
+        """True if token ``left`` then token ``right`` is what their joined bytes encode to."""
+        key = left << 32 | right
         found = self.pair.get(key)
         if found is None:
-            if len(self.pair) > CACHE_PAIRS:
-                self.pair.clear()
-            found = self.pair[key] = self.merge(left + right) == [left, right]
+            found = self.pair_before.get(key)
+            if found is None:
+                found = self._apart(self.grows_left[left], self.grows_right[right])
+            if len(self.pair) >= CACHE_PAIRS:
+                self.pair_before, self.pair = self.pair, {}
+            self.pair[key] = found
         return found
 
+    def _apart(self, lefts: list[tuple[int, int]], rights: list[tuple[int, int]]) -> bool:
+        i = j = 0
+        while True:
+            (next_left, a), (next_right, b) = lefts[i], rights[j]
+            rank = self.pair_rank.get(a << 32 | b, _NEVER)
+            # of equal ranks the leftmost pair is merged first: growth on the left, the border, growth on the right
+            if rank < next_left and rank <= next_right and rank < _NEVER:
+                return False
+            if next_left == next_right == _NEVER:
+                return True
+            if next_left <= next_right:
+                i += 1
+            else:
+                j += 1
+
     def counts(self, piece: bytes) -> list[int]:
         """Exact number of tokens of the first 0, 1, ... bytes of a piece."""
-        n, tokens, longest, stays = len(piece), self.tokens, self.longest, self.stays
-        count, last = [0] * (n + 1), [b""] * (n + 1)
+        n, number, longest, pair, stays = len(piece), self.number.get, self.longest.get, self.pair, self.stays
+        count, last = [0] * (n + 1), [0] * (n + 1)
         for i in range(1, n + 1):
-            for j in range(max(0, i - longest), i):
-                token = piece[j:i]
-                if token in tokens and (j == 0 or stays(last[j], token)):
-                    count[i], last[i] = count[j] + 1, token
-                    break
+            j = i - longest(piece[i - ENDING:i], ENDING - 1) if i >= ENDING else 0
+            if j <= 0:
+                token = number(piece[:i])
+                if token is not None:
+                    count[i], last[i] = 1, token
+                    continue
+                j = 1
+            while True:
+                token = number(piece[j:i])
+                if token is not None:
+                    known = pair.get(last[j] << 32 | token)
+                    if known or (known is None and stays(last[j], token)):
+                        count[i], last[i] = count[j] + 1, token
+                        break
+                j += 1
         return count
 
     def of(self, piece: str) -> int:
         """Number of tokens of a piece: the last entry of its table."""
         n = self.total.get(piece)
         if n is None:
-            if len(self.total) > CACHE_PIECES:
-                self.total.clear()
-            n = self.total[piece] = self.counts(piece.encode("utf-8", "surrogatepass"))[-1]
+            n = self.total_before.get(piece)
+            if n is None:
+                raw = piece.encode("utf-8", "surrogatepass")
+                n = 1 if raw in self.number else self.counts(raw)[-1]
+            if len(self.total) >= CACHE_PIECES:
+                self.total_before, self.total = self.total, {}
+            self.total[piece] = n
         return n
 
     def segments(self, text: str) -> Iterator[tuple[str, bool]]:
