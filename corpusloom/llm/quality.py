@@ -135,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
     rank = F.xxhash64(F.col("id").cast("string"), F.lit(seed))
     chosen = [known.where(F.col("y") == y).orderBy(rank, "id").limit(per_class) for y in (0, 1)]
     ids = F.broadcast(chosen[0].union(chosen[1]))  # at most 2 * per_class rows
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(ids, "id").dropDuplicates(["id"])
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(ids, "id")
+    rows = rows.groupBy("id").agg(F.min("y").alias("y"), F.min("text").alias("text"))  # of several texts the smallest, whatever the order of rows
 
     sets = rows.select(F.col("y").cast("int"), "text", rank.alias("rank"))
 

@@ -49,6 +49,17 @@ def test_dual_coordinate_descent_separates_and_balances():
     assert fit(rows[:80], good[:80], 1.0).score(rows[0]) == 0.5
 
 
+def test_repeated_ids_with_different_texts_learn_alike_in_any_order(spark):
+    rows = [(i, f"{'good fine' if i % 2 else 'bad junk'} word{i % 9} {side} {i * side}") for i in range(60) for side in (1, 2)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    found = []
+    for parts, seed in ((1, 1), (5, 2), (13, 3)):
+        mixed = [rows[k] for k in np.random.default_rng(seed).permutation(len(rows)).tolist()]
+        docs = spark.createDataFrame(mixed, "doc_id long, text string").repartition(parts)
+        found.append(sorted((r.doc_id, r.text, r.score) for r in quality_scores(docs, labels).collect()))
+    assert found[0] == found[1] == found[2]
+
+
 def test_held_out_accuracy(spark):
     rows = {r.doc_id: r for r in q_quality.op1_quality(spark, SF).collect()}
     assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
