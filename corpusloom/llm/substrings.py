@@ -35,15 +35,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.ngram_join import recurring
-from corpusloom.llm.words import Words, find_words, run_hashes, run_starts, slices, word_hashes
+from corpusloom.llm.words import Words, find_words, run_hashes, run_starts, slices, small_batches, word_hashes
 from corpusloom.session import pin
 
 #: words of an anchor
 ANCHOR = 6
 #: ids that may be broadcast; beyond that they are joined
 BROADCAST_IDS = 500_000
-#: bytes of passages compiled into one automaton
-AUTOMATON_BYTES = 2 << 20
+#: bytes of text worked on at a time, and bytes of passages compiled into one automaton: some tens of MB in a worker
+SLICE = 256 << 10
+AUTOMATON_BYTES = 256 << 10
+#: text ids a task remembers so as to give a text once
+SEEN = 200_000
 #: words of one pattern; longer passages are cut with an overlap of a window
 PATTERN_WORDS = 200
 
@@ -85,7 +88,7 @@ def _window_anchors(words: Words, hashes: np.ndarray, k: int) -> tuple[np.ndarra
 
 def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, Words]]:
     for batch in batches:
-        for i, j, buf, offsets in slices(batch.column(text)):
+        for i, j, buf, offsets in slices(batch.column(text), SLICE):
             yield batch.slice(i, j - i), find_words(buf, offsets)
 
 
@@ -95,7 +98,7 @@ def scan(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offsets in slices(batch.column(1)):
+            for i, j, buf, offsets in slices(batch.column(1), SLICE):
                 words = find_words(buf, offsets)
                 digests = [hashlib.sha256(x) for x in joined(words)]
                 raw = [hashlib.sha256(buf[a:b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
@@ -121,7 +124,7 @@ def anchor_rows(texts: DataFrame, k: int) -> DataFrame:
             take = np.zeros(len(s), bool)
             for d, (key, known) in enumerate(zip(s.tolist(), batch.column(0).is_valid().to_pylist())):
                 if known and key not in seen:
-                    if len(seen) >= 1_000_000:
+                    if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(key)
                     take[d] = True
@@ -140,19 +143,19 @@ def _with_text_id(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words in _slices(batches, 1):
-            s = [_text_id(hashlib.sha256(x)) for x in joined(words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.int64())], names=["r", "text", "s"])
+            sha = [hashlib.sha256(x).hexdigest() for x in joined(words)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sha, pa.string())], names=["r", "text", "sha"])
 
-    return texts.mapInArrow(run, f"r {id_type}, text string, s long")
+    return texts.mapInArrow(run, f"r {id_type}, text string, sha string")
 
 
-#: a window is told apart by 64 bits of one hash and 24 of another; the rest of the second number holds its
-#: position (30 bits) and ten bits of the text id, which tell texts of one document id apart
-_HIGH = np.int64(-1) << np.int64(40)
+#: a window is told apart by 64 bits of one hash and 34 of another; the rest of the second number holds its position
+_PLACE = 30
+_HIGH = np.int64(-1) << np.int64(_PLACE)
 
 
 def _candidates(chosen: DataFrame, k: int) -> DataFrame:
-    """(w, x, r) of the windows at recurring anchors of the rows (r, s, text, anchors)."""
+    """(w, x, r, t) of the windows at recurring anchors of the rows (r, t, text, anchors)."""
     id_type = chosen.schema["r"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,16 +165,16 @@ def _candidates(chosen: DataFrame, k: int) -> DataFrame:
             anchors = batch.column(3).flatten().to_numpy(zero_copy_only=False)
             at = starts[np.isin(low.view(np.int64), anchors)]
             doc = words.doc()[at]
-            s = batch.column(1).to_numpy()[doc]
-            x = run_hashes(hashes, k, 2)[at].view(np.int64) & _HIGH | (at - words.first[doc]) << 10 | s & 1023
+            x = run_hashes(hashes, k, 2)[at].view(np.int64) & _HIGH | (at - words.first[doc])
+            doc = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(run_hashes(hashes, k, 1)[at].view(np.int64)), pa.array(x), batch.column(0).take(pa.array(doc))], names=["w", "x", "r"])
+                [pa.array(run_hashes(hashes, k, 1)[at].view(np.int64)), pa.array(x), batch.column(0).take(doc), batch.column(1).take(doc)], names=["w", "x", "r", "t"])
 
-    return chosen.select("r", "s", "text", "anchors").mapInArrow(run, f"w long, x long, r {id_type}")
+    return chosen.select("r", "t", "text", "anchors").mapInArrow(run, f"w long, x long, r {id_type}, t long")
 
 
 def _late(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of windows sorted by (w, high bits of x, r): (r, text bits, position) of all behind the first document.
+    """Of windows sorted by (w, high bits of x, r): (r, t, position) of all behind the first document.
 
     A streaming step that remembers one window and its first document.
     """
@@ -191,9 +194,9 @@ def _late(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             firsts = pa.concat_arrays([own, firsts.slice(len(own))])
         before = (int(w[-1]), int(high[-1]), firsts[len(w) - 1].as_py())
         late = np.flatnonzero(pc.greater(batch.column(2), firsts).to_numpy(zero_copy_only=False))
-        pos = (x[late] >> 10) & ((1 << 30) - 1)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(2).take(pa.array(late)), pa.array((x[late] & 1023).astype(np.int32)), pa.array(pos.astype(np.int32))], names=["r", "bits", "pos"])
+        pos = (x[late] & ~_HIGH).astype(np.int32)
+        late = pa.array(late)
+        yield pa.RecordBatch.from_arrays([batch.column(2).take(late), batch.column(3).take(late), pa.array(pos)], names=["r", "t", "pos"])
 
 
 def _passages(starts: list[int], k: int) -> Iterator[tuple[int, int]]:
@@ -209,7 +212,7 @@ def _passages(starts: list[int], k: int) -> Iterator[tuple[int, int]]:
 
 
 def _locate(shard: DataFrame, k: int) -> DataFrame:
-    """(s, spans, n_removed, kept) of the rows (s, text, pos): word spans to remove, and the words left."""
+    """(sha, spans, n_removed, kept) of the rows (sha, text, pos): word spans to remove, and the words left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words in _slices(batches, 1):
@@ -258,9 +261,9 @@ def _locate(shard: DataFrame, k: int) -> DataFrame:
                 kept.append(b" ".join(w for w, g in zip(left, gone.tolist()) if not g).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                names=["s", "spans", "n_removed", "kept"])
+                names=["sha", "spans", "n_removed", "kept"])
 
-    return shard.select("s", "text", "pos").mapInArrow(run, "s long, spans array<struct<first: long, end: long>>, n_removed long, kept string")
+    return shard.select("sha", "text", "pos").mapInArrow(run, "sha string, spans array<struct<first: long, end: long>>, n_removed long, kept string")
 
 
 def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13) -> DataFrame:
@@ -270,26 +273,34 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     where nothing is removed (the text stays as it is; ``words_sha256`` is the digest of its joined words).
     Runs jobs while it is built; their results lie in the shared folder (``spark.checkpoint.dir``).
     """
+    small_batches(df.sparkSession)
     texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     docs = pin(scan(texts))
     rows = anchor_rows(texts, k).repartition("h").sortWithinPartitions("h", "s")
     own = pin(rows.mapInArrow(recurring, "h long, s long").groupBy("s").agg(F.collect_list("h").alias("anchors")))
 
-    first = pin(docs.where("id is not null and n > 0").groupBy("s").agg(F.min("id").alias("r")))
-    wanted = pin(own.join(first, "s"))
+    # texts are told apart by their digests; ``t`` does so among the texts of one document id, and is 0 for most
+    first = pin(docs.where("id is not null and n > 0").groupBy("s", "sha").agg(F.min("id").alias("r")))
+    several = pin(first.groupBy("r").count().where("count > 1").select("r"))
+    if not several.isEmpty():
+        first = first.join(several.withColumn("many", F.lit(True)), "r", "left")
+        first = pin(first.select("s", "sha", "r", F.when(F.col("many"), F.xxhash64("sha")).otherwise(0).alias("t")))
+    else:
+        first = first.withColumn("t", F.lit(0).cast("long"))
+    wanted = pin(own.join(first, "s").drop("s"))
     ids = wanted.select(F.col("r").alias("id")).distinct()
     if wanted.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     picked = _with_text_id(texts.join(ids, "id", "left_semi"))
-    chosen = pin(picked.join(wanted, ["s", "r"]).select("r", "s", "text", "anchors"))
+    chosen = pin(picked.join(wanted, ["sha", "r"]).select("r", "t", "sha", "text", "anchors"))
 
-    windows = _candidates(chosen, k).repartition("w").sortWithinPartitions("w", F.shiftright("x", 40), "r")
+    windows = _candidates(chosen, k).repartition("w").sortWithinPartitions("w", F.shiftright("x", _PLACE), "r")
     id_type = texts.schema[0].dataType.simpleString()
-    late = windows.mapInArrow(_late, f"r {id_type}, bits int, pos int").groupBy("r", "bits").agg(F.collect_set("pos").alias("pos"))
-    behind = chosen.select("r", "s", "text", F.col("s").bitwiseAND(1023).cast("int").alias("bits")).join(late, ["r", "bits"])
-    removed = pin(_locate(behind, k).groupBy("s").agg(*[F.first(c).alias(c) for c in ("spans", "n_removed", "kept")]))
+    late = windows.mapInArrow(_late, f"r {id_type}, t long, pos int").groupBy("r", "t").agg(F.collect_set("pos").alias("pos"))
+    behind = chosen.select("r", "t", "sha", "text").join(late, ["r", "t"])
+    removed = pin(_locate(behind, k).groupBy("sha").agg(*[F.first(c).alias(c) for c in ("spans", "n_removed", "kept")]))
 
-    judged = docs.join(first, "s", "left").join(removed, "s", "left")
+    judged = docs.join(first.select("sha", "r"), "sha", "left").join(removed, "sha", "left")
     copy = (F.col("id") > F.col("r")) & (F.col("n") >= k)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("n").alias("end")))
     alone = F.col("id").isNull()

@@ -13,10 +13,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 #: text bytes worked on at a time; a longer document is a slice of its own
 SLICE_BYTES = 2 << 20
 
+#: rows with texts in one Arrow batch
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -72,6 +77,15 @@ class Words:
         return b" ".join(self.buf[a:b].tobytes() for a, b in zip(self.start[i:j].tolist(), self.end[i:j].tolist()))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let this session send BATCH_ROWS rows at a time to Python, unless it was set to another number than Spark's default.
+
+    Spark counts rows only, so the default of 10,000 holds whatever their texts weigh on both sides of the pipe.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole texts with about ``limit`` bytes each."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -101,6 +101,18 @@ def test_repeated_passages_equal_brute_force(spark, many_partitions, seed):
     assert all(sum(s.end - s.first for s in r.spans) == r.n_removed for r in got)
 
 
+def test_many_texts_under_one_id(spark, many_partitions):
+    rng = random.Random(8)
+    shared = " ".join(f"s{i}" for i in range(30))
+    other = " ".join(f"o{i}" for i in range(20))
+    rows = [(1, f"a{i} " * rng.randrange(40) + (shared if i % 2 else other) + f" b{i}" * rng.randrange(30)) for i in range(200)]
+    rows += [(2, "x y z " + shared), (3, other + " tail " + shared), (3, other + " tail " + shared), (0, "head " + " ".join(f"o{i}" for i in range(15)))]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = repeated_passages(df).selectExpr("doc_id", "n_words", "n_removed", "coalesce(sha2(kept, 256), words_sha256)").collect()
+    assert sorted(map(tuple, got)) == sorted(brute.passages(rows))
+
+
 def test_repeated_passages_defined_cases(spark):
     long = " ".join(f"t{i}" for i in range(30))
     rows = [(5, long), (5, long), (5, "x " + long), (None, long), (8, long), (9, "a b " + long + " c"), (10, None), (11, "t1 t2")]
