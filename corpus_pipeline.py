@@ -10,6 +10,8 @@ the next. All but the last return the columns of ``documents``.
 4. decontamination: documents that hold a benchmark item go.
 5. tokens: byte-level BPE ids of what is left, their number and digests.
 
+Rows with whole texts go to Python in small batches (``small_batches``), which the stages set for the session.
+
 Documents with a NULL id go through stages 1, 3 and 5 alone; stages 2 and 4 keep them.
 """
 
@@ -23,6 +25,7 @@ from corpusloom.llm.ngram_join import BROADCAST_IDS, ngram_join
 from corpusloom.llm.q_tokens import token_digests
 from corpusloom.llm.quality import quality_scores
 from corpusloom.llm.substrings import repeated_passages
+from corpusloom.llm.words import small_batches
 from corpusloom.session import pin, shared_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -35,11 +38,13 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     scored = quality_scores(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return scored.where("predicted = 1").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     joined = pin(ngram_join(docs))
     copies = joined.where("component_id <> doc_id").select("doc_id").distinct()
     left = without(docs.select(*COLUMNS), copies)
@@ -61,11 +66,13 @@ def repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return without(docs.select(*COLUMNS), found.select("doc_id").distinct())
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return token_digests(docs)
 
 

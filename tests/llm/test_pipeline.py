@@ -44,4 +44,4 @@ def test_entry_point_lists_the_queries():
     import __spark_entry__ as contract
 
     names = set(contract.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
