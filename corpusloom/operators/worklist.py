@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.scalar import micros, percent, rounded_ratio
 from corpusloom.operators.ranking import global_position
-
+from corpusloom.session import pin
 
 
 def blacklist_anti(df: DataFrame, failed: DataFrame, key: str) -> DataFrame:
@@ -36,23 +39,57 @@ def worklist(df: DataFrame, source: str, result: str, failed: DataFrame, key: st
     return blacklist_anti(df.where(F.col(source).isNotNull() & F.col(result).isNull()), failed, key)
 
 
+def _ordered(order) -> list[tuple[str, bool]]:
+    """(column, descending) of names such as ``a`` and ``-b``."""
+    return [(c.removeprefix("-"), c.startswith("-")) for c in order]
+
+
+def _positions(df: DataFrame, order) -> DataFrame:
+    """The order columns alone with the 1-based position ``pos``; only these are shuffled and stored."""
+    columns = _ordered(order)
+    return global_position(df.select(*[c for c, _ in columns]), [F.col(c).desc() if down else F.col(c).asc() for c, down in columns], "pos")
+
+
+def _not_after(first: Column, columns: list[tuple[str, bool]]) -> Column:
+    """True if the struct ``first`` does not come after the row: NULL first in rising, last in falling order."""
+    out = F.lit(True)
+    for name, down in reversed(columns):
+        a, b = first[name], F.col(name)
+        nulls = a.isNotNull() & b.isNull() if down else a.isNull() & b.isNotNull()
+        out = F.coalesce(a > b if down else a < b, F.lit(False)) | nulls | (a.eqNullSafe(b) & out)
+    return out
+
+
 def work_batches(df: DataFrame, order, size: int, name: str = "batch_id") -> DataFrame:
-    """Number the rows in ``order`` and cut them into batches of ``size`` (0-based)."""
-    return global_position(df, order, "pos").withColumn(name, F.floor((F.col("pos") - 1) / size)).drop("pos")
+    """Number the rows in ``order`` and cut them into batches of ``size`` (0-based).
+
+    ``order`` names columns, ``-`` in front for falling order; together they tell all rows apart. Only they are sorted; the rows
+    get their batch by a join on them.
+    """
+    columns = [c for c, _ in _ordered(order)]
+    numbers = _positions(df, order).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)], F.floor((F.col("pos") - 1) / size).alias(name))
+    same = [df[c].eqNullSafe(numbers[f"_k{i}"]) for i, c in enumerate(columns)]
+    return df.join(numbers, reduce(and_, same)).select(*df.columns, name)
 
 
 def work_chunks(df: DataFrame, order, n_chunks: int, max_rows: int | None = None) -> DataFrame:
     """Split the rows into ``n_chunks`` contiguous chunks whose sizes differ by at most one, larger ones first
-    -> input plus ``chunk``. ``max_rows`` is the budget of this run: rows beyond it have a NULL chunk and wait for the next."""
-    placed = global_position(df, order, "pos")
-    rows = placed.agg(F.max("pos")).scalar()
-    numbered = placed.withColumn("_t", rows if max_rows is None else F.least(rows, F.lit(max_rows)))
-    numbered = numbered.withColumn("_q", F.expr(f"_t div {n_chunks}")).withColumn("_r", F.col("_t") % n_chunks)
-    chunk = F.expr(
-        "CASE WHEN pos > _t THEN NULL WHEN pos - 1 < _r * (_q + 1) THEN (pos - 1) div (_q + 1)"
-        " ELSE _r + (pos - 1 - _r * (_q + 1)) div nullif(_q, 0) END"
-    )
-    return numbered.withColumn("chunk", chunk).drop("pos", "_t", "_q", "_r")
+    -> input plus ``chunk``. ``max_rows`` is the budget of this run: rows beyond it have a NULL chunk and wait for the next.
+
+    ``order`` as in ``work_batches``. The order columns alone are sorted to find the first row of every chunk (at most
+    ``n_chunks`` + 1 rows); all rows are then compared with these, without a shuffle or a join. Runs jobs while it is built.
+    """
+    columns = _ordered(order)
+    placed = _positions(df, order)
+    rows = placed.count()
+    work = rows if max_rows is None else min(rows, max_rows)
+    sizes = [work // n_chunks + (i < work % n_chunks) for i in range(n_chunks)]
+    starts = [sum(sizes[:i]) + 1 for i in range(n_chunks) if sizes[i]] + ([work + 1] if work < rows else [])
+    wanted = placed.where(F.col("pos").isin(starts)).select(F.struct(*[c for c, _ in columns]).alias("first"))
+    firsts = pin(wanted.agg(F.collect_list("first").alias("firsts"))).select("firsts").scalar()
+    passed = F.size(F.filter("_firsts", lambda first: _not_after(first, columns)))
+    chunk = F.when(passed <= sum(s > 0 for s in sizes), (passed - 1).cast("long"))
+    return df.withColumn("_firsts", firsts).withColumn("chunk", chunk).drop("_firsts")
 
 
 def progress_report(log: DataFrame, source: Column, done: Column, ts: str) -> DataFrame:

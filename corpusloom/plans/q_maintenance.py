@@ -102,7 +102,7 @@ def worklist_query(spark, sf):
 @query("work_batches", f"""WITH {_PENDING}
 SELECT doc_id, (row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1) // 60 AS batch_id FROM pending""")
 def work_batches(spark, sf):
-    return worklist.work_batches(_pending(spark, sf), [F.col("n_chars").desc(), F.col("doc_id")], 60).select("doc_id", "batch_id")
+    return worklist.work_batches(_pending(spark, sf), ["-n_chars", "doc_id"], 60).select("doc_id", "batch_id")
 
 
 @query("work_chunks", f"""WITH {_PENDING},
@@ -112,7 +112,7 @@ b AS (SELECT chunk, sum(t // 7 + CASE WHEN chunk < t % 7 THEN 1 ELSE 0 END) OVER
              t // 7 + CASE WHEN chunk < t % 7 THEN 1 ELSE 0 END AS size FROM c, t)
 SELECT doc_id, chunk FROM p LEFT JOIN b ON i < hi AND i >= hi - size""")
 def work_chunks(spark, sf):
-    return worklist.work_chunks(_pending(spark, sf).select("doc_id"), [F.col("doc_id")], 7, 450)
+    return worklist.work_chunks(_pending(spark, sf).select("doc_id"), ["doc_id"], 7, 450)
 
 
 @query("progress_report", f"""

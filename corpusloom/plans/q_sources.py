@@ -14,8 +14,8 @@ from corpusloom.sources import readers, writers
 
 _MARC_COLS = ["idn", "year", "title", "title_author", "ddc", "author_person_id", "author_person_name", "urn",
               "url_resolving_system", "url_dnb_archive", "url_publisher"]
-#: bytes of a file of many documents
-_BLOCK_BYTES = 32 << 20
+#: documents of one file
+_FILE_DOCS = 500
 
 
 @query("marc_xml_scan", f"WITH {fx.MARC_SQL} SELECT idn, year, title, title_author, ddc, urn, url_dnb_archive FROM marc")
@@ -57,42 +57,33 @@ def nested_json_export_query(spark, sf):
 
 
 def _bounded_files(spark, sf):
-    """The corpus as files of about _BLOCK_BYTES, each of many documents of one source, each document ended by a newline.
+    """The corpus as files of documents of one source whose ids lie in one range of _FILE_DOCS, each ended by a newline.
 
-    A range shuffle by source and document cuts a source of any size over tasks. The folder names the source, and the
-    numbers in the file names follow the order of its documents.
+    A source of any size spreads over tasks and files; the folders name the source and the range.
     """
     path = shared_path(spark, "corpus")
-    docs = fx.documents(spark, sf).select("source", "doc_id", F.col("text").alias("value"))
-    size = docs.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
-    ordered = docs.repartitionByRange(size // _BLOCK_BYTES + 1, "source", "doc_id").sortWithinPartitions("source", "doc_id")
-    ordered.drop("doc_id").write.partitionBy("source").text(path)
+    block = F.floor(F.col("doc_id") / _FILE_DOCS).alias("block")
+    docs = table(spark, sf, "documents").select("source", block, "doc_id", F.col("text").alias("value"))
+    ordered = docs.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id")
+    ordered.drop("doc_id").write.partitionBy("source", "block").text(path)
     return path
 
 
-def _block():
-    """Number of a file within its source; Spark widens it beyond five digits."""
-    return F.regexp_extract("file", r"^part-(\d+)", 1).cast("int")
+def _folders():
+    return [F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), F.regexp_extract("path", r"block=(\d+)/", 1).cast("long").alias("block")]
 
 
-@query("text_corpus_scan", "SELECT string_agg(text || chr(10), '' ORDER BY doc_id) AS content, 'part' AS file FROM documents GROUP BY source")
+@query("text_corpus_scan", f"""SELECT source, doc_id // {_FILE_DOCS} AS block, 0 AS "offset", string_agg(text || chr(10), '' ORDER BY doc_id) AS content
+FROM documents GROUP BY ALL""")
 def text_corpus_scan(spark, sf):
-    # the SQL wants a source as one value; files and tasks of the scan stay bounded
-    files = readers.text_corpus_scan(spark, _bounded_files(spark, sf), "*.txt", folder="source")
-    blocks = files.select("source", _block().alias("block"), "content", F.substring_index("file", "-", 1).alias("file"))
-    whole = F.sort_array(F.collect_list(F.struct("block", "content")))
-    return blocks.groupBy("source", "file").agg(F.array_join(F.transform(whole, lambda x: x["content"]), "").alias("content")).select("content", "file")
+    return readers.text_corpus_scan(spark, _bounded_files(spark, sf), "*.txt").select(*_folders(), "offset", "content")
 
 
-@query("binary_doc_scan", """SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS file_size, 'part' AS file,
-  substring(hex(encode(string_agg(text || chr(10), '' ORDER BY doc_id))), 1, 10) AS head FROM documents GROUP BY source""")
+@query("binary_doc_scan", f"""SELECT source, doc_id // {_FILE_DOCS} AS block, CAST(sum(strlen(text) + 1) AS BIGINT) AS file_size,
+  substring(hex(encode(string_agg(text || chr(10), '' ORDER BY doc_id))), 1, 10) AS head FROM documents GROUP BY ALL""")
 def binary_doc_scan(spark, sf):
-    files = readers.binary_doc_scan(spark, _bounded_files(spark, sf), 5, "*.txt", folder="source")
-    blocks = files.select("source", _block().alias("block"), "file_size", "head", F.substring_index("file", "-", 1).alias("file"))
-    # the first bytes of a source may reach over several short files
-    heads = F.transform(F.sort_array(F.collect_list(F.struct("block", "head"))), lambda x: x["head"])
-    whole = blocks.groupBy("source", "file").agg(F.sum("file_size").alias("file_size"), F.substring(F.array_join(heads, ""), 1, 5).alias("head"))
-    return whole.select("file_size", "file", F.hex(F.encode("head", "ISO-8859-1")).alias("head"))
+    files = readers.binary_doc_scan(spark, _bounded_files(spark, sf), 5, "*.txt")
+    return files.select(*_folders(), "file_size", F.hex(F.encode("head", "ISO-8859-1")).alias("head"))
 
 
 @query("batch_insert", """SELECT o_orderkey, o_orderpriority FROM orders

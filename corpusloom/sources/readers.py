@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.schemas import LINK_COLUMNS, MARC, TAXONOMY, strings
+from corpusloom.schemas import LINK_COLUMNS, MARC, TAXONOMY
+from corpusloom.sources.lines import file_heads, quoted_records, text_blocks
 
 
 def marc_xml_scan(spark: SparkSession, path: str, row_tag: str = "record") -> DataFrame:
@@ -16,8 +17,8 @@ def marc_xml_scan(spark: SparkSession, path: str, row_tag: str = "record") -> Da
 
 def marc_xml_rejects(spark: SparkSession, path: str, row_tag: str = "record") -> DataFrame:
     """(reason, xml) of the records that ``marc_xml_scan`` leaves out."""
-    return marc_xml_records(spark, path, row_tag).where(_reject_reason(F.col("xml")).isNotNull()).select(
-        _reject_reason(F.col("xml")).alias("reason"), "xml")
+    parsed = marc_xml_records(spark, path, row_tag).withColumn("_marc", _parsed(F.col("xml")))
+    return parsed.withColumn("reason", _reject_reason(F.col("xml"), F.col("_marc"))).where("reason IS NOT NULL").select("reason", "xml")
 
 
 def marc_xml_records(spark: SparkSession, path: str, row_tag: str = "record") -> DataFrame:
@@ -42,20 +43,23 @@ def marc_xml_records(spark: SparkSession, path: str, row_tag: str = "record") ->
     )
 
 
-def _reject_reason(xml: Column) -> Column:
-    """Why a record cannot be parsed; NULL if it can."""
-    broken = F.from_xml(xml, f"{MARC}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})["_corrupt"]
-    return F.when(xml.contains("<!--") | xml.contains("-->"), "comment over several records").when(broken.isNotNull(), "malformed")
+def _parsed(xml: Column) -> Column:
+    """A record as a struct of ``MARC`` and ``_corrupt``, its text if it is malformed. Surrounding blanks are kept: an
+    indicator of one blank is a value."""
+    return F.from_xml(xml, f"{MARC}, _corrupt STRING", {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt"})
 
 
-def marc_xml_parse(df: DataFrame, xml: str) -> DataFrame:
-    """MARC records held as XML text in a column -> parsed records, other columns kept; malformed ones drop out.
+def _reject_reason(xml: Column, parsed: Column) -> Column:
+    """Why a record is left out; NULL if it is not."""
+    return F.when(xml.contains("<!--") | xml.contains("-->"), "comment over several records").when(parsed["_corrupt"].isNotNull(), "malformed")
 
-    Surrounding blanks are kept: an indicator of one blank is a value.
-    """
-    parsed = F.from_xml(F.col(xml), MARC, {"ignoreSurroundingSpaces": "false"})
-    sound = df.where(_reject_reason(F.col(xml)).isNull())
-    return sound.withColumn("_marc", parsed).select("*", "_marc.*").drop("_marc", xml)
+
+def marc_xml_parse(df: DataFrame, xml: str) -> DataFrame:
+    """MARC records held as XML text in a column -> parsed records, other columns kept; malformed ones drop out."""
+    # one element per record: the generator holds the parsed struct, so that it is parsed once for the test and all columns
+    rows = df.withColumn("_marc", F.explode(F.array(_parsed(F.col(xml)))))
+    sound = rows.where(_reject_reason(F.col(xml), F.col("_marc")).isNull())
+    return sound.select("*", "_marc.*").drop("_marc", "_corrupt", xml)
 
 
 def record_table_scan(spark: SparkSession, path: str, columns=None, fmt: str = "parquet") -> DataFrame:
@@ -76,14 +80,19 @@ def record_table_jdbc(spark: SparkSession, url: str, table: str, partition_colum
     return df if columns is None else df.select(*columns)
 
 
-def link_csv_scan(spark: SparkSession, path: str, columns=LINK_COLUMNS, multi_line: bool = True) -> DataFrame:
+def link_csv_scan(spark: SparkSession, path: str, columns=LINK_COLUMNS) -> DataFrame:
     """CSV of links with a header, every column a string; quotes inside quotes are doubled.
 
-    Values may hold line breaks, which costs one task per file; files known to have none can be split with
-    ``multi_line=False``.
+    Values may hold line breaks, and a file of any size still splits over tasks (``quoted_records``), which takes a quote to
+    stand only around values. A header other than ``columns`` fails the query; blank lines are no records.
     """
-    reader = spark.read.schema(strings(columns)).option("header", True).option("enforceSchema", False)
-    return reader.option("escape", '"').option("multiLine", multi_line).csv(path)
+    records = quoted_records(spark, path).where(F.trim(F.col("record")) != "")
+    ddl = ", ".join(f"`{c}` STRING" for c in columns)
+    row = F.from_csv("record", ddl, {"escape": '"', "mode": "FAILFAST"})
+    named = F.regexp_replace(F.array_join(F.array(*[F.coalesce(row[c], F.lit("")) for c in columns]), ","), "^\ufeff", "")
+    wrong = F.raise_error(F.concat(F.lit(f"header is not {','.join(columns)}: "), F.col("record"))).cast("boolean")
+    data = F.when(~F.col("header"), True).when(named == ",".join(columns), False).otherwise(wrong)
+    return records.where(data).select(row.alias("_row")).select("_row.*")
 
 
 def taxonomy_scan(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -105,26 +114,15 @@ def class_names(flat: DataFrame) -> DataFrame:
     return flat.where(F.length("main") == 1).groupBy(F.col("main").alias("code")).agg(F.min("main_name").alias("name"))
 
 
-def _folder(path: Column, name: str | None) -> list[Column]:
-    """The folder a file lies in as the column ``name``, if one is wanted."""
-    return [F.regexp_extract(path, r"([^/]*)/[^/]*$", 1).alias(name)] if name else []
+def text_corpus_scan(spark: SparkSession, directory: str, glob: str = "*.mmd", block_bytes: int = 64 << 20) -> DataFrame:
+    """Text files of a folder -> (path, file, offset, content); files above ``block_bytes`` come in blocks of whole lines."""
+    return text_blocks(spark, directory, glob, block_bytes).select("path", F.substring_index("path", "/", -1).alias("file"), "offset", "content")
 
 
-def text_corpus_scan(spark: SparkSession, directory: str, glob: str = "*.mmd", folder: str | None = None) -> DataFrame:
-    """Whole text files of a folder -> (file, content); ``folder`` names a column for the folder of each file."""
-    text = spark.read.text(directory, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
-    return text.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"), *_folder(F.col("_metadata.file_path"), folder))
-
-
-def binary_doc_scan(spark: SparkSession, directory: str, head: int = 5, glob: str = "*", folder: str | None = None) -> DataFrame:
-    """Name, size and first bytes (as Latin-1 text) of binary files of up to 2 GB; ``folder`` as in ``text_corpus_scan``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(directory)
-    return files.select(
-        F.substring_index("path", "/", -1).alias("file"),
-        F.col("length").alias("file_size"),
-        F.decode(F.substring("content", 1, head), "ISO-8859-1").alias("head"),
-        *_folder(F.col("path"), folder),
-    )
+def binary_doc_scan(spark: SparkSession, directory: str, head: int = 5, glob: str = "*", whole_bytes: int = 8 << 20) -> DataFrame:
+    """(path, file, file_size, head) of binary files of any size; ``head`` is their first bytes as Latin-1 text."""
+    heads = file_heads(spark, directory, head, glob, whole_bytes)
+    return heads.select("path", F.substring_index("path", "/", -1).alias("file"), "file_size", F.decode("head", "ISO-8859-1").alias("head"))
 
 
 def failure_list_scan(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote, urlparse
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 
 def batch_insert(df: DataFrame, path: str) -> None:
@@ -14,19 +15,45 @@ def batch_insert(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def _reads(df: DataFrame, path: str) -> bool:
-    root = urlparse(path).path.rstrip("/") + "/"
-    return any(unquote(urlparse(f).path).startswith(root) for f in df.inputFiles())
-
-
 def idempotent_replace(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Replace the table at ``path`` and read it back; a table ``df`` itself reads is refused, as
-    overwriting starts by deleting it."""
-    if _reads(df, path):
-        raise ValueError(f"cannot overwrite {path}: the new content reads from it")
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace the table at ``path`` and read it back (``replaced_table`` reads it later).
+
+    The new content is written to a folder of its own; one row in ``committed`` then makes it the table. Until that
+    row is there, also after a failure, readers get the old content, and the new content may be computed from it. One writer
+    at a time. Folders of earlier contents may be deleted once nobody reads them.
+    """
+    spark = df.sparkSession
+    content = uuid.uuid4().hex
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{path}/content/{content}")
+    last = _committed(spark, path)
+    row = [((last[0] if last else 0) + 1, content)]
+    spark.createDataFrame(row, _COMMITTED).coalesce(1).write.mode("append").parquet(f"{path}/committed")
+    return replaced_table(spark, path, df.schema)
+
+
+_COMMITTED = "number LONG, content STRING"
+
+
+def _committed(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """(number, folder) of the last content; None before the first."""
+    try:
+        rows = spark.read.schema(_COMMITTED).parquet(f"{path}/committed")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = rows.agg(F.max(F.struct("number", "content")).alias("last")).first().last
+    return None if last is None else (last.number, last.content)
+
+
+def replaced_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The content that ``idempotent_replace`` committed last."""
+    last = _committed(spark, path)
+    if last is None:
+        raise ValueError(f"nothing has been committed to {path}")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/content/{last[1]}")
 
 
 def schema_report(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Readers, writers, maintenance, worklists, linkage reports and the incremental job."""
 
 import json
+import os
 import random
 
 import pytest
@@ -11,6 +12,7 @@ from corpusloom.functions.text import term_line_scan
 from corpusloom.operators import linkage, maintenance, stats, taxonomy, worklist
 from corpusloom.plans import q_sources
 from corpusloom.sources import readers, writers
+from corpusloom.streaming import enrich
 from corpusloom.streaming.enrich import incremental_enrich
 
 
@@ -47,8 +49,8 @@ def test_corpus_and_binary_scan(spark, tmp_path):
     (tmp_path / "a.mmd").write_text("# Abstract\none\n")
     (tmp_path / "b.txt").write_text("no")
     (tmp_path / "c.pdf").write_bytes(b"%PDF-1.7\xff\xfe")
-    assert rows(readers.text_corpus_scan(spark, str(tmp_path))) == [("a.mmd", "# Abstract\none\n")]
-    assert rows(readers.binary_doc_scan(spark, str(tmp_path), glob="*.pdf")) == [("c.pdf", 10, "%PDF-")]
+    assert rows(readers.text_corpus_scan(spark, str(tmp_path)).drop("path")) == [("a.mmd", 0, "# Abstract\none\n")]
+    assert rows(readers.binary_doc_scan(spark, str(tmp_path), glob="*.pdf").drop("path")) == [("c.pdf", 10, "%PDF-")]
 
 
 TAXONOMY = {
@@ -120,11 +122,10 @@ def test_replace_and_append(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(10).selectExpr("id", "id % 2 AS g")
     assert writers.idempotent_replace(df, path).count() == writers.idempotent_replace(df, path).count() == 10
-    writers.batch_insert(df, path)
-    assert spark.read.parquet(path).count() == 20
-    with pytest.raises(ValueError, match="cannot overwrite"):
-        writers.idempotent_replace(spark.read.parquet(path).where("g = 1"), path)
-    assert spark.read.parquet(path).count() == 20
+    assert writers.idempotent_replace(writers.replaced_table(spark, path).where("g = 1"), path).count() == 5
+    for _ in range(2):
+        writers.batch_insert(df, str(tmp_path / "grown"))
+    assert spark.read.parquet(str(tmp_path / "grown")).count() == 20
 
 
 def test_record_schemas(spark):
@@ -183,15 +184,15 @@ def test_worklist_batches_and_chunks(spark, many_partitions):
     todo = worklist.worklist(df, "url", "res", failed, "id")
     ids = sorted(r.id for r in todo.collect())
     assert ids == [i for i in range(100) if i % 4 and i % 5 and i not in (1, 2)]
-    batches = {r.id: r.batch_id for r in worklist.work_batches(todo, [F.col("id").desc()], 7).collect()}
+    batches = {r.id: r.batch_id for r in worklist.work_batches(todo, ["-id"], 7).collect()}
     assert batches == {i: n // 7 for n, i in enumerate(sorted(ids, reverse=True))}
     for n, cap in ((4, 1000), (7, 20), (9, 5)):
-        chunks = {r.id: r.chunk for r in worklist.work_chunks(todo, [F.col("id")], n, cap).collect()}
+        chunks = {r.id: r.chunk for r in worklist.work_chunks(todo, ["id"], n, cap).collect()}
         total = min(cap, len(ids))
         sizes = [total // n + (k < total % n) for k in range(n)]
         want = [k for k, size in enumerate(sizes) for _ in range(size)]
         assert chunks == dict(zip(ids, want + [None] * (len(ids) - total)))
-    everything = worklist.work_chunks(todo, [F.col("id")], 3).collect()
+    everything = worklist.work_chunks(todo, ["id"], 3).collect()
     assert sorted(r.id for r in everything) == ids and {r.chunk for r in everything} == {0, 1, 2}
 
 
@@ -252,19 +253,76 @@ def test_find_entry_picks_the_column_by_type(spark):
 def test_incremental_equals_batch_and_runs_once(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").cache()
     src, out, ckpt = (str(tmp_path / d) for d in ("src", "out", "ckpt"))
-    enrich = lambda df: df.select("doc_id", F.inline(F.array(term_line_scan(F.col("text"), "the"))))
+    hits = lambda df: df.select("doc_id", F.inline(F.array(term_line_scan(F.col("text"), "the"))))
     (tmp_path / "src").mkdir()
-    assert incremental_enrich(spark, src, out, ckpt, docs.schema, enrich, "doc_id").isEmpty()
+    assert incremental_enrich(spark, src, out, ckpt, docs.schema, hits, "doc_id").isEmpty()
     half = docs.where("doc_id % 2 = 0")
     half.repartition(5).write.mode("append").parquet(src)
-    run = lambda: incremental_enrich(spark, src, out, ckpt, docs.schema, enrich, "doc_id", max_files=2)
-    assert rows(run()) == rows(enrich(half))
-    batches = spark.read.parquet(out).select("batch_id").distinct().count()
-    assert batches == 3
-    assert rows(run()) == rows(enrich(half))
-    assert spark.read.parquet(out).select("batch_id").distinct().count() == batches
+    run = lambda: incremental_enrich(spark, src, out, ckpt, docs.schema, hits, "doc_id", max_files=2)
+    assert rows(run()) == rows(hits(half))
+    batches = lambda: spark.read.parquet(f"{out}/pointer").select("batch").distinct().count()
+    assert batches() == 3
+    assert rows(run()) == rows(hits(half)) and batches() == 3
     docs.where("doc_id % 2 = 1").repartition(3).write.mode("append").parquet(src)
-    assert rows(run()) == rows(enrich(docs))
+    assert rows(run()) == rows(hits(docs))
+
+
+def test_a_batch_touches_only_its_buckets(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = lambda pairs: spark.createDataFrame(pairs, "k int, v string")
+    read = lambda: rows(enrich._stored(spark, out, df([(1, "")]).schema, enrich.versions(spark, out)))
+    enrich.merge_batch(df([(i, "old") for i in range(100)] + [(5, "older"), (None, "n")]), out, 0, "k", 8)
+    state = {(i, "older" if i == 5 else "old") for i in range(100)} | {(None, "n")}
+    assert read() == sorted(state, key=repr)
+    before = enrich.versions(spark, out)
+    # files of the other buckets are out of reach during the second run
+    (bucket,) = {r[0] for r in df([(7, "")]).select(enrich._bucket("k", 8)).collect()}
+    held = [d for d in (tmp_path / "out" / "state" / "version=0").iterdir() if d.is_dir() and d.name != f"bucket={bucket}"]
+    for d in held:
+        d.chmod(0)
+        for f in d.iterdir() if os.access(d, os.R_OK) else ():
+            f.rename(tmp_path / f"{d.name}-{f.name}")
+    enrich.merge_batch(df([(7, "new")]), out, 1, "k", 8)
+    for d in held:
+        d.chmod(0o755)
+    for f in tmp_path.glob("bucket=*-*"):
+        f.rename(tmp_path / "out" / "state" / "version=0" / f.name.split("-", 1)[0] / f.name.split("-", 1)[1])
+    state = state - {(7, "old")} | {(7, "new")}
+    assert read() == sorted(state, key=repr)
+    assert enrich.versions(spark, out) == before | {bucket: 1} and enrich.versions(spark, out, before=1) == before
+    # a replay replaces its own attempt, and a batch without a pointer is not seen
+    enrich.merge_batch(df([(7, "newer"), (300, "x")]), out, 1, "k", 8)
+    assert read() == sorted(state - {(7, "new")} | {(7, "newer"), (300, "x")}, key=repr)
+
+
+def test_replace_keeps_the_old_table_until_the_commit(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    writers.idempotent_replace(spark.range(5), path)
+    broken = spark.range(9).withColumn("id", F.when(F.col("id") == 8, F.raise_error(F.lit("torn"))).otherwise(F.col("id")).cast("long"))
+    with pytest.raises(Exception, match="torn"):
+        writers.idempotent_replace(broken, path)
+    assert writers.replaced_table(spark, path).count() == 5
+    monkeypatch.setattr(writers, "_committed", lambda *a: 1 / 0)  # between writing and committing
+    with pytest.raises(ZeroDivisionError):
+        writers.idempotent_replace(spark.range(7), path)
+    monkeypatch.undo()
+    assert writers.replaced_table(spark, path).count() == 5
+    assert writers.idempotent_replace(writers.replaced_table(spark, path).where("id > 1"), path).count() == 3
+
+
+def test_chunks_with_nulls_and_several_columns(spark, many_partitions):
+    data = [(a, b, i) for i, (a, b) in enumerate((a, b) for a in (None, 3, 1, 2) for b in ("x", None, "y"))]
+    df = spark.createDataFrame(data, "a int, b string, i int")
+    rank = lambda r, down: sorted(data, key=lambda t: (-(t[0] or 0) if down else (t[0] is not None, t[0] or 0), t[1] is not None, t[1] or ""))
+    for order, down in ((["a", "b"], False), (["-a", "b"], True)):
+        place = {t[2]: k for k, t in enumerate(rank(data, down))}
+        chunked = worklist.work_chunks(df, order, 5)
+        plan = chunked._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan.split("Subquery")[0] and "Join" not in plan
+        assert {r.i: r.chunk for r in chunked.collect()} == {i: [0, 0, 0, 1, 1, 1, 2, 2, 3, 3, 4, 4][p] for i, p in place.items()}
+        assert {r.i: r.batch_id for r in worklist.work_batches(df, order, 5).collect()} == {i: p // 5 for i, p in place.items()}
+        assert {r.i: r.chunk for r in worklist.work_chunks(df, order, 3, 2).collect()} == {i: p if p < 2 else None for i, p in place.items()}
+    assert worklist.work_chunks(df.limit(0), ["a", "b"], 3).collect() == []
 
 
 def test_marc_scan_loses_no_record(spark, tmp_path):
@@ -311,14 +369,73 @@ def test_corpus_files_are_bounded_for_a_hot_source(spark, tmp_path, monkeypatch,
     docs = [(i, f"{'ab' if i == 0 else f'text {i}'} " * (1 if i < 3 else 50), "hot" if i < 380 else f"s{i % 4}") for i in range(400)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumns({"lang": F.lit("de"), "n_chars": F.length("text").cast("long")})
     df.select("doc_id", "text", "lang", "source", "n_chars").coalesce(1).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
-    monkeypatch.setattr(q_sources, "_BLOCK_BYTES", 10_000, raising=False)
+    monkeypatch.setattr(q_sources, "_FILE_DOCS", 40)
     monkeypatch.setattr(q_sources, "shared_path", lambda spark, label: str(tmp_path / label))
     got = getattr(q_sources, name)(spark, str(tmp_path / "sf"))
     whole = {}
-    for _, text, source in docs:
-        whole[source] = whole.get(source, "") + text + "\n"
+    for i, text, source in docs:
+        whole[source, i // 40] = whole.get((source, i // 40), "") + text + "\n"
     if name == "text_corpus_scan":
-        assert sorted(map(tuple, got.select("content", "file").collect())) == sorted((t, "part") for t in whole.values())
+        assert rows(got) == sorted(((s, b, 0, t) for (s, b), t in whole.items()), key=repr)
     else:
-        assert sorted(map(tuple, got.collect())) == sorted((len(t), "part", t[:5].encode().hex().upper()) for t in whole.values())
-    assert max(f.stat().st_size for f in (tmp_path / "corpus").rglob("part-*.txt")) < 30_000 < len(whole["hot"])
+        assert rows(got) == sorted(((s, b, len(t), t[:5].encode().hex().upper()) for (s, b), t in whole.items()), key=repr)
+    assert max(f.stat().st_size for f in (tmp_path / "corpus").rglob("part-*.txt")) < 30_000
+
+
+@pytest.fixture
+def small_pieces(spark):
+    """Read files in pieces of 300 bytes."""
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_breaks_split_over_pieces(spark, tmp_path, small_pieces, end):
+    rng = random.Random(len(end))
+    one = lambda: "".join(rng.choice(["a", "ü", ",", '"', "\n", " ", "bc"]) for _ in range(rng.choice([0, 1, 4, 30, 400])))
+    wide = lambda values: ",".join('"' + v.replace('"', '""') + '"' if rng.random() < 0.2 or set(v) & set(',"\n') else v for v in values)
+    for name in ("a.csv", "b.csv"):
+        data = [[f"{name}{i}", one(), one()] for i in range(150)]
+        lines = ["doc_idn,gnd_idn,gnd_label", *map(wide, data)]
+        lines.insert(40, "")
+        (tmp_path / name).write_bytes((end.join(lines) + (end if name == "a.csv" else "")).encode())
+    got = readers.link_csv_scan(spark, str(tmp_path))
+    schema = ", ".join(f"{c} STRING" for c in schemas.LINK_COLUMNS)
+    one_task = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path))
+    assert got.count() == 300 and rows(got) == rows(one_task)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+
+
+def test_csv_header_is_checked(spark, tmp_path):
+    (tmp_path / "l.csv").write_text("\ufeffdoc_idn,gnd_idn,gnd_label\n1,2,3\n")
+    assert rows(readers.link_csv_scan(spark, str(tmp_path))) == [("1", "2", "3")]
+    (tmp_path / "m.csv").write_text("gnd_idn,doc_idn,gnd_label\n1,2,3\n")
+    with pytest.raises(Exception, match="header is not"):
+        readers.link_csv_scan(spark, str(tmp_path)).collect()
+
+
+def test_text_blocks_of_large_files(spark, tmp_path, small_pieces):
+    rng = random.Random(4)
+    texts = {}
+    for i, ended in enumerate((True, False, True, False)):
+        lines = ["ä" * rng.choice([0, 1, 30, 700]) for _ in range(120 if i else 2)]
+        texts[f"{i}.mmd"] = "\n".join(lines) + ("\n" if ended else "x")
+        (tmp_path / f"{i}.mmd").write_text(texts[f"{i}.mmd"])
+    for size in (100, 1000, 10**6):
+        found = {}
+        for r in readers.text_corpus_scan(spark, str(tmp_path), block_bytes=size).orderBy("file", "offset").collect():
+            assert len("".join(found.setdefault(r.file, [])).encode()) == r.offset
+            found[r.file].append(r.content)
+            assert len(r.content.encode()) < size + 1402
+        assert {f: "".join(parts) for f, parts in found.items()} == texts
+
+
+def test_heads_of_large_files(spark, tmp_path, small_pieces):
+    files = {"a": b"%PDF-1.4\n" + bytes(range(256)) * 20, "b": b"\n\n\xff\n" + b"x" * 3000, "c": b"ab", "d": b"q" * 2000}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    want = sorted((n, len(c), c[:5].decode("latin-1")) for n, c in files.items())
+    for whole in (0, 100, 10**6):
+        assert rows(readers.binary_doc_scan(spark, str(tmp_path), whole_bytes=whole).drop("path")) == sorted(want, key=repr)
