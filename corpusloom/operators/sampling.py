@@ -29,6 +29,17 @@ def allotted(df: DataFrame, quota: DataFrame, stratum: str, rank: str = "row_num
     return bounded_join(df, limits, stratum).where(F.col(rank) <= F.col("_quota")).select(*df.columns)
 
 
+def quota_join(df: DataFrame, quota: DataFrame, stratum: str, id_col: str, seed: int = 42, rank: str = "row_num") -> DataFrame:
+    """The random rows of each stratum up to its quota, with their rank.
+
+    Equal to ``allotted`` on ranks of all rows, but the scan drops what lies above the bucket where a quota runs out, and
+    only rows kept are shuffled and ranked: the lowest keys of a stratum have the same rank among themselves.
+    """
+    keyed = with_order_key(df, id_col, seed, digits_for(df))
+    kept = take_lowest(keyed, pin(bucket_histogram(keyed, stratum)), quota, stratum, id_col)
+    return random_rank_in_stratum(kept, stratum, id_col, seed, rank)
+
+
 def balanced_quota(df: DataFrame, stratum: str, total: int, strata=None) -> DataFrame:
     """Counts per stratum (one pass) -> (stratum, n, quota)."""
     rows = df if strata is None else df.where(F.col(stratum).isin(*strata))
@@ -128,6 +139,7 @@ __all__ = [
     "draw_balanced",
     "base_filter",
     "diverse_pick",
+    "quota_join",
     "random_rank_in_stratum",
     "random_sample_n",
     "subset_extend",

@@ -105,7 +105,7 @@ def quota_join(spark, sf):
         docs.where("lang <> 'es'").groupBy("lang").agg(F.count("*").alias("c"))
         .select("lang", F.expr("least(c, 30 + 10 * instr('de en fr', lang))").alias("quota"))
     )
-    return sampling.allotted(random_rank_in_stratum(docs, "lang", "doc_id"), quota, "lang")
+    return sampling.quota_join(docs, quota, "lang", "doc_id")
 
 
 @query("taxonomy_lookup", f"""WITH {fx.CATALOGUE_SQL}, {fx.TAXONOMY_SQL}, {fx.lookup_sql("(SELECT * FROM cat WHERE ddc <> '')", 'ddc')}

@@ -10,6 +10,7 @@ from corpusloom.plans import fixtures as fx
 from corpusloom.plans.fixtures import table
 from corpusloom.plans.registry import pct_sql, query
 from corpusloom.session import shared_path
+from corpusloom.sources import keyed
 from corpusloom.streaming.enrich import incremental_enrich
 
 
@@ -32,15 +33,30 @@ def insert_if_absent(spark, sf):
     return maintenance.insert_if_absent(target, new, "p_partkey")
 
 
-@query("update_by_key", """
+_UPDATED = """
 SELECT doc_id, source, CASE WHEN labels.doc_id IS NOT NULL THEN nullif(quality, 0) ELSE CAST(n_chars AS INTEGER) END AS n_chars
-FROM documents LEFT JOIN labels USING (doc_id)""")
-def update_by_key(spark, sf):
+FROM documents LEFT JOIN labels USING (doc_id)"""
+
+
+def _updates(spark, sf):
     docs = table(spark, sf, "documents").selectExpr("doc_id", "source", "CAST(n_chars AS INT) AS n_chars")
-    updates = table(spark, sf, "labels").selectExpr("doc_id", "nullif(quality, 0) AS n_chars")
+    return docs, table(spark, sf, "labels").selectExpr("doc_id", "nullif(quality, 0) AS n_chars")
+
+
+@query("update_by_key", _UPDATED)
+def update_by_key(spark, sf):
+    docs, updates = _updates(spark, sf)
     return maintenance.update_by_key(docs, updates, "doc_id", ["n_chars"])
 
 
+@query("update_stored", _UPDATED)
+def update_stored(spark, sf):
+    docs, updates = _updates(spark, sf)
+    path = shared_path(spark, "keyed")
+    keyed.store_keyed(docs, path, "doc_id")
+    return keyed.update_stored(updates, path, 1, "doc_id", ["n_chars"], docs.schema)
+
+
 @query("reset_columns", "SELECT doc_id, lang, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS BIGINT) AS n_chars FROM documents")
 def reset_columns(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")

@@ -1,24 +1,15 @@
-"""Incremental enrichment: process what is new, once, into a table that is kept compacted by key.
-
-The result lies in hash buckets of the key. ``state/version=V/bucket=B`` holds the rows of bucket B as batch V left them,
-and ``pointer/batch=N`` lists, after batch N, the version of every bucket. A batch reads only the buckets that its keys fall
-into, writes these anew and then its pointer; so old output elsewhere is neither read nor written, and until the pointer is there
-readers see the state before. Versions no pointer of interest names may be deleted at any time.
-"""
+"""Incremental enrichment: process what is new, once, into a table that is kept compacted by key (``sources.keyed``)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.session import pin, spread
-
-#: hash buckets of the result; a batch rewrites whole buckets, so choose more for larger tables
-BUCKETS = 64
+from corpusloom.sources.keyed import BUCKETS, change_buckets, keyed_table
 
 
 def latest_by_key(df: DataFrame, key: str, version: str) -> DataFrame:
@@ -27,45 +18,18 @@ def latest_by_key(df: DataFrame, key: str, version: str) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(version, *rest)).alias("_row")).select(key, "_row.*")
 
 
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def versions(spark: SparkSession, out: str, before: int | None = None) -> dict[int, int]:
-    """The version of every bucket after the last batch (the last one below ``before``); empty if there is none."""
-    try:
-        pointers = spark.read.schema("bucket INT, version LONG, batch LONG").parquet(f"{out}/pointer")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":  # no batch has been committed yet
-            raise
-        return {}
-    if before is not None:
-        pointers = pointers.where(F.col("batch") < before)
-    last = pointers.agg(F.max("batch")).first()[0]
-    return {} if last is None else {r.bucket: r.version for r in pointers.where(F.col("batch") == last).collect()}  # one row per bucket
-
-
-def _stored(spark: SparkSession, out: str, schema: T.StructType, found: dict[int, int]) -> DataFrame:
-    paths = [f"{out}/state/version={v}/bucket={b}" for b, v in found.items()]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-
-
 def merge_batch(rows: DataFrame, out: str, batch: int, key: str, buckets: int = BUCKETS) -> None:
     """Bring the rows of batch ``batch`` into the state below ``out``; a row replaces earlier ones of its key.
 
     Of several rows of a key in one batch the largest in column order stays. A batch that is merged again replaces its own
     earlier attempt.
     """
-    spark = rows.sparkSession
     fresh = pin(latest_by_key(rows.withColumn("_v", F.lit(1)), key, "_v").select(rows.columns))
-    found = versions(spark, out, before=batch)
-    touched = [r.b for r in fresh.select(_bucket(key, buckets).alias("b")).distinct().collect()]  # at most ``buckets``
-    old = _stored(spark, out, rows.schema, {b: found[b] for b in touched if b in found})
-    both = old.withColumn("_v", F.lit(0)).unionByName(fresh.withColumn("_v", F.lit(1)))
-    merged = latest_by_key(both, key, "_v").select(*rows.columns).withColumn("bucket", _bucket(key, buckets))
-    merged.repartition(max(1, len(touched)), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/state/version={batch}")
-    pointer = found | dict.fromkeys(touched, batch)
-    spark.createDataFrame(list(pointer.items()), "bucket INT, version LONG").coalesce(1).write.mode("overwrite").parquet(f"{out}/pointer/batch={batch}")
+
+    def merge(old: DataFrame) -> DataFrame:
+        return latest_by_key(old.withColumn("_v", F.lit(0)).unionByName(fresh.withColumn("_v", F.lit(1))), key, "_v")
+
+    change_buckets(fresh, out, batch, key, rows.schema, merge, buckets)
 
 
 def run_incremental(spark: SparkSession, source: str, out: str, checkpoint: str, schema: T.StructType,
@@ -99,4 +63,4 @@ def incremental_enrich(spark: SparkSession, source: str, out: str, checkpoint: s
                        max_files: int = 1000, buckets: int = BUCKETS) -> DataFrame:
     """``run_incremental``, then the latest result of every key processed so far, read as it is stored."""
     run_incremental(spark, source, out, checkpoint, schema, enrich, key, glob, max_files, buckets)
-    return _stored(spark, out, enrich(spark.createDataFrame([], schema)).schema, versions(spark, out))
+    return keyed_table(spark, out, enrich(spark.createDataFrame([], schema)).schema)

@@ -188,3 +188,24 @@ def test_html_references_quotes_attributes_and_depth(spark):
     df = spark.createDataFrame([("p", page)], "page string, html string")
     assert [tuple(r) for r in html.schedule_rows(df, "page", "html").collect()] == [("p", 0, 1, "510.2", "Topic")]
     assert html.list_items(df, "page", "html").count() == 1
+
+
+def test_spans_nested_thirty_deep(spark):
+    deep = "x"
+    for i in range(30):
+        deep = f'<span class="d{i}">{i % 10}{deep}</span>'
+    cell = f'<span style="font-weight:bold">A{deep}<span style="color: grey">g<span>h</span>i</span>B</span> tail'
+    assert values(spark, [cell], html.cell_code) == ["A" + "".join(str(i % 10) for i in reversed(range(30))) + "xB"]
+    assert values(spark, [f"<div>1<div>2</div>{cell}</div><div>no</div>", "<div>a<div>b</div>c</div>d"], html.cell_topic)[1] == "abc"
+
+
+def test_nested_lists_and_tables(spark):
+    page = "<ul><li>a<ul><li>b</li><li>c<ul><li>d</li></ul></li></ul>e</li><li>f</li></ul>"
+    df = spark.createDataFrame([("p", page), ("q", "<li>x</li><LI>"), ("r", None)], "page string, html string")
+    got = sorted((r.page, r.pos, r.topic) for r in html.list_items(df, "page", "html").collect())
+    assert got == [("p", 0, "abcde"), ("p", 1, "b"), ("p", 2, "cd"), ("p", 3, "d"), ("p", 4, "f"), ("q", 0, "x")]
+    inner = "<table><tr><td>in</td></tr></table>"
+    row = lambda code, topic: f'<tr><td><a>{code}</a></td><td><div style="margin-left:0.8em"><a>{topic}</a>{inner}</div></td></tr>'
+    table = f'<table id="scheduleResult">{row(1, "one")}{row(2, "two")}</table>'
+    df = spark.createDataFrame([("p", f"{inner}{table}{row(3, 'no')}")], "page string, html string")
+    assert [(r.code, r.topic, r.level) for r in html.schedule_rows(df, "page", "html").orderBy("pos").collect()] == [("1", "one", 1), ("2", "two", 1)]

@@ -11,7 +11,7 @@ from corpusloom import schemas
 from corpusloom.functions.text import term_line_scan
 from corpusloom.operators import linkage, maintenance, stats, taxonomy, worklist
 from corpusloom.plans import q_sources
-from corpusloom.sources import readers, writers
+from corpusloom.sources import keyed, readers, writers
 from corpusloom.streaming import enrich
 from corpusloom.streaming.enrich import incremental_enrich
 
@@ -270,13 +270,13 @@ def test_incremental_equals_batch_and_runs_once(spark, tmp_path):
 def test_a_batch_touches_only_its_buckets(spark, tmp_path):
     out = str(tmp_path / "out")
     df = lambda pairs: spark.createDataFrame(pairs, "k int, v string")
-    read = lambda: rows(enrich._stored(spark, out, df([(1, "")]).schema, enrich.versions(spark, out)))
+    read = lambda: rows(keyed.keyed_table(spark, out, df([(1, "")]).schema))
     enrich.merge_batch(df([(i, "old") for i in range(100)] + [(5, "older"), (None, "n")]), out, 0, "k", 8)
     state = {(i, "older" if i == 5 else "old") for i in range(100)} | {(None, "n")}
     assert read() == sorted(state, key=repr)
-    before = enrich.versions(spark, out)
+    before = keyed.bucket_versions(spark, out)
     # files of the other buckets are out of reach during the second run
-    (bucket,) = {r[0] for r in df([(7, "")]).select(enrich._bucket("k", 8)).collect()}
+    (bucket,) = {r[0] for r in df([(7, "")]).select(keyed.bucket_of("k", 8)).collect()}
     held = [d for d in (tmp_path / "out" / "state" / "version=0").iterdir() if d.is_dir() and d.name != f"bucket={bucket}"]
     for d in held:
         d.chmod(0)
@@ -289,12 +289,24 @@ def test_a_batch_touches_only_its_buckets(spark, tmp_path):
         f.rename(tmp_path / "out" / "state" / "version=0" / f.name.split("-", 1)[0] / f.name.split("-", 1)[1])
     state = state - {(7, "old")} | {(7, "new")}
     assert read() == sorted(state, key=repr)
-    assert enrich.versions(spark, out) == before | {bucket: 1} and enrich.versions(spark, out, before=1) == before
+    assert keyed.bucket_versions(spark, out) == before | {bucket: 1} and keyed.bucket_versions(spark, out, before=1) == before
     # a replay replaces its own attempt, and a batch without a pointer is not seen
     enrich.merge_batch(df([(7, "newer"), (300, "x")]), out, 1, "k", 8)
     assert read() == sorted(state - {(7, "new")} | {(7, "newer"), (300, "x")}, key=repr)
 
 
+def test_update_rewrites_only_the_buckets_of_updated_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(i, f"s{i}", i) for i in range(200)], "k long, s string, n int")
+    assert rows(keyed.store_keyed(df, path, "k", 16)) == rows(df)
+    updates = spark.createDataFrame([(3, None), (900, 5), (17, 1), (17, 0)], "k long, n int")
+    got = keyed.update_stored(updates, path, 1, "k", ["n"], df.schema, 16)
+    assert rows(got) == rows(maintenance.update_by_key(df, updates, "k", ["n"])) != rows(df)
+    hit = {r[0] for r in updates.select(keyed.bucket_of("k", 16)).collect()}
+    assert keyed.bucket_versions(spark, path) == {b: int(b in hit) for b in range(16)}
+    assert rows(keyed.update_stored(updates.limit(0), path, 2, "k", ["n"], df.schema, 16)) == rows(got)
+
+
 def test_replace_keeps_the_old_table_until_the_commit(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     writers.idempotent_replace(spark.range(5), path)
