@@ -41,8 +41,8 @@ PRIOR = 2
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|math|object|select|button|title)(?=[\s>/])"
-    r"(?:(?>\"[^\"]{0,20000}\"|'[^']{0,20000}'|[^'\">])*+>|[^>]*>).*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?>\"[^\"]{0,20000}\"|'[^']{0,20000}'|[^'\">])*+|[^>]*)(?:>|\Z)"
+    r"(?:(?>\"[^\"]*+\"|'[^']*+'|[^'\">])*+>|[^>]*>).*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?>\"[^\"]*+\"|'[^']*+'|[^'\">])*+|[^>]*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
@@ -59,13 +59,15 @@ BOILERPLATE_WORDS = set(
     "comment comments commentlist disqus replies respond related recommended recommendations share sharing social "
     "pagination pager popup modal overlay login search widget widgets skip".split()
 )
+#: elements whose class and id say what they hold; those of headings, paragraphs, items and marked words only name them
+CONTAINERS = set("div section article ul ol dl table tbody center details".split())
 CONTENT_TAGS = ("article", "main")
 HEADINGS = set("h2 h3 h4 h5 h6".split())  # counted as h1
 _WORD = re.compile(r"[a-z]+")
 
 
 def is_boilerplate(name: str, attrs: str) -> bool:
-    """True if an element's name, role, class or id says that it is not main text."""
+    """True if an element's name or role, or the class or id of a container, says that it is not main text."""
     if name in BOILERPLATE_TAGS:
         return True
     if not attrs or name in ("html", "body", "main"):
@@ -78,7 +80,7 @@ def is_boilerplate(name: str, attrs: str) -> bool:
             return True
         if key == "role" and value in BOILERPLATE_ROLES:
             return True
-        if key in ("class", "id") and not BOILERPLATE_WORDS.isdisjoint(_WORD.findall(value)):
+        if key in ("class", "id") and name in CONTAINERS and not BOILERPLATE_WORDS.isdisjoint(_WORD.findall(value)):
             return True
     return False
 

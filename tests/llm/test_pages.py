@@ -111,3 +111,9 @@ def test_templates_generalise_and_merge_below_the_first_level(spark):
     other = [r for u, r in got if u[0] == "other.net"]
     assert len({r.template for r in other}) == 1 and other[0].template.endswith("/*/*") and {r.verdict for r in other} == {"block"}
     assert {(u[1], r.template) for u, r in got if u[0] == "m.com"} == {("de", "/de/{}/page/#"), ("fr", "/fr/{}/page/#")}
+
+
+def test_names_of_headings_and_long_attributes():
+    page = (f'<nav>menu</nav><article><h2 id="market-share">Market</h2><p id="search-results">One <img alt="a > b" src="data:{"x" * 50_000}>"> two</p>'
+            '<div class="related">Other</div><p class="comment">Three</p></article><div id="sidebar">Side</div>')
+    assert main_text(page, {}) == "Market\nOne two\nThree"
