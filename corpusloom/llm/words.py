@@ -8,6 +8,7 @@ form feed and carriage return. NULL texts count as empty.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -86,8 +87,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, BATCH_ROWS)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where there is one
+
+
+def release() -> None:
+    """Give memory freed by this Python worker back to the system: workers live on, with what their largest batch took."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of whole texts with about ``limit`` bytes each."""
+    """(first row, end row, bytes, offsets) of runs of whole texts with about ``limit`` bytes each; then ``release``."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if column.null_count:
         column = column.fill_null("")
@@ -105,6 +116,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         j = min(j, n)
         yield i, j, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         i = j
+    release()
 
 
 def find_words(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:

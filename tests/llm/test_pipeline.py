@@ -40,6 +40,24 @@ def test_rows_that_share_an_id_and_nulls(spark):
     assert sorted((r.doc_id or 0, r.text) for r in got if r.doc_id) == [(1, "something else " * 9), (1, long), (1, long), (3, "z")]
 
 
+def test_empty_tables_nulls_and_further_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    item = " ".join(f"leak{i}" for i in range(30))
+    rows = [(1, f"some words {item} and more", "de", None, 9), (2, None, None, None, None), (None, "good " * 30, "en", "s", 1), (3, "", "en", "s", 0)]
+    given = spark.createDataFrame(rows, schema).selectExpr("*", "1 AS id", "2 AS s", "'x' AS score", "0 AS ids")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = given
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        for n, table in enumerate((docs, docs.limit(0))):
+            stage(spark, table, str(tmp_path)).write.parquet(str(tmp_path / f"{k}-{n}"))
+        assert spark.read.parquet(str(tmp_path / f"{k}-1")).count() == 0
+        kept = spark.read.parquet(str(tmp_path / f"{k}-0"))
+        if name == "decontamination":
+            assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()} == {1}
+        docs = kept
+
+
 def test_entry_point_lists_the_queries():
     import __spark_entry__ as contract
 
