@@ -8,7 +8,10 @@ blocks inside boilerplate containers (menus, sidebars, adverts, notices, forms,
 class) are left out.
 
 Two sets of weights are learned from the same pages: one that knows whether a token stands inside the marked element, for
-pages that mark it, and one that does not, for all others.
+pages that mark it, and one that does not, for all others. The second takes all sectioning elements for plain ``div``, so it
+also fits pages that name nothing, and weighs words by the element that holds them. Words of the classes and ids
+of containers have weights too: a block counts by the least share among the containers around it (inside the marked element, those inside it),
+and one below LEAST_SHARE is left out of the run like listed boilerplate.
 
 Blocks are separated by block-level tags; ``br`` counts as white space. Character references are decoded, white space
 inside a block becomes one blank, blocks are joined by line feeds.
@@ -27,16 +30,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.words import slices
+from corpusloom.session import pin
 
 #: words that one certain boilerplate tag outweighs
 TAG_COST = 8.0
 #: pseudo counts of the prior share (one half) of every weight
 PRIOR = 2
+#: blocks in containers whose words lie in the content less often than this are left out
+LEAST_SHARE = 0.02
+#: a class or id word is learned if one labelled page in this many has it, so the weights are bounded by the words a page has
+PAGES_PER_NAME = 5_000
+#: counts a task holds before it passes them on
+HELD = 50_000
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -62,6 +72,8 @@ BOILERPLATE_WORDS = set(
 #: elements whose class and id say what they hold; those of headings, paragraphs, items and marked words only name them
 CONTAINERS = set("div section article ul ol dl table tbody center details".split())
 CONTENT_TAGS = ("article", "main")
+#: elements that pages without marks write as ``div``
+SECTIONS = set("article main section header footer nav aside".split())
 HEADINGS = set("h2 h3 h4 h5 h6".split())  # counted as h1
 _WORD = re.compile(r"[a-z]+")
 
@@ -85,16 +97,26 @@ def is_boilerplate(name: str, attrs: str) -> bool:
     return False
 
 
+def names_of(name: str, attrs: str) -> tuple[str, ...]:
+    """Words of the class and id of a container, as tokens that start with a dot."""
+    if name not in CONTAINERS or not attrs:
+        return ()
+    values = ((m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "") for m in MARKS.finditer(attrs))
+    return tuple("." + w for key, value in values if key in ("class", "id") for w in _WORD.findall(value.lower()))
+
+
 class Block:
-    """Text between two block-level tags, with the tags before it and what its words are."""
+    """Text between two block-level tags, with the tags before it, what its words are and what holds them."""
 
-    __slots__ = ("parts", "plain", "linked", "tags", "inside", "boilerplate")
+    __slots__ = ("parts", "plain", "linked", "tags", "inside", "boilerplate", "home", "names")
 
     def __init__(self, inside: bool, boilerplate: bool):
         self.parts: list[str] = []
         self.plain = self.linked = 0
         self.tags: list[tuple[str, bool]] = []
         self.inside, self.boilerplate = inside, boilerplate
+        self.home = ""
+        self.names: tuple[str, ...] = ()
 
 
 def blocks(page: str) -> tuple[list[Block], bool]:
@@ -106,7 +128,7 @@ def blocks(page: str) -> tuple[list[Block], bool]:
             marked = wanted
             break
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, marks content
+    stack: list[tuple[str, bool, bool, tuple[str, ...]]] = []  # name, boilerplate, marks content, words of class and id
     inside = boilerplate = link = 0
     block = Block(False, False)
 
@@ -147,7 +169,7 @@ def blocks(page: str) -> tuple[list[Block], bool]:
             link = 0 if closing else 1
         if name in INLINE:
             block.tags.append((name, inside > 0))
-            if name in VOID or closing and not any(n == name for n, _, _ in stack):
+            if name in VOID or closing and not any(e[0] == name for e in stack):
                 continue
             if not closing and not (m["attrs"] and is_boilerplate(name, m["attrs"])):
                 continue
@@ -160,7 +182,7 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    for _, bad, content in stack[k:]:
+                    for _, bad, content, _ in stack[k:]:
                         boilerplate -= bad
                         inside -= content
                     del stack[k:]
@@ -173,18 +195,21 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                 bad = True
             if name == "body" or content and not inside:
                 # what was left open before the body or the content ends here
-                stack = [] if name == "body" else [(n, False, c) for n, _, c in stack]
+                stack = [] if name == "body" else [(n, False, c, names) for n, _, c, names in stack]
                 boilerplate = 0
             while name in ("p", "li") and stack and stack[-1][0] == name:
-                _, b, c = stack.pop()
+                _, b, c, _ = stack.pop()
                 boilerplate -= b
                 inside -= c
             if not attrs.endswith("/"):
-                stack.append((name, bad, content))
+                stack.append((name, bad, content, names_of(name, attrs)))
                 boilerplate += bad
                 inside += content
         flush()
         block.inside, block.boilerplate = inside > 0, boilerplate > 0
+        around = stack[max((k for k, e in enumerate(stack) if e[2]), default=-1) + 1:] if inside else stack
+        block.names = tuple(w for e in around for w in e[3])
+        block.home = _plain(stack[-1][0]) if stack else ""
         block.tags.append((name, inside > 0))
     if at < len(page):
         text(page[at:])
@@ -193,6 +218,10 @@ def blocks(page: str) -> tuple[list[Block], bool]:
     return out, bool(marked)
 
 
+def _plain(name: str) -> str:
+    return "div" if name in SECTIONS else name
+
+
 Weights = dict[tuple[bool, str, bool], float]
 
 
@@ -208,7 +237,11 @@ def token_counts(page: str) -> Counter:
         for token, n in words + [(name, 1) for name, _ in block.tags]:
             if n:
                 counts[True, token, block.inside, block.inside] += n
-                counts[False, token, False, content] += n
+                counts[False, _plain(token), False, content] += n
+                if token[0] == "#":
+                    counts[False, f"{token} {block.home}", False, content] += n
+        for name in set(block.names):
+            counts[False, name, False, content] += block.plain + block.linked
     return counts
 
 
@@ -217,56 +250,103 @@ def weights_of(counts: dict[tuple[bool, str, bool, bool], int]) -> Weights:
     out: Weights = {}
     for key in {k[:3] for k in counts}:
         share = (counts.get((*key, True), 0) + PRIOR / 2) / (counts.get((*key, True), 0) + counts.get((*key, False), 0) + PRIOR)
-        out[key] = share if key[1].startswith("#") else -TAG_COST * (1 - share)
+        out[key] = share if key[1][0] in "#." else -TAG_COST * (1 - share)
     return out
 
 
-def main_text(page: str, weights: Weights) -> str:
-    """The text of the best-scoring run of blocks without its boilerplate."""
-    found, marked = blocks(page)
+def scores_of(found: list[Block], marked: bool, weights: Weights) -> tuple[list[float], list[float]]:
+    """Per block the cost of the tags before it and the value of its words (0 for what is left out of a run)."""
     word = weights.get
-    best, best_run = 0.0, (0, 0)
-    total, begin = 0.0, 0
-    for i, block in enumerate(found):
+    costs, values = [], []
+    for block in found:
         inside = marked and block.inside
-        value = 0.0
-        if not block.boilerplate:
+        least = min((word((False, name, False), 1.0) for name in block.names), default=1.0)
+        if block.boilerplate or least < LEAST_SHARE:
+            value = 0.0
+        elif marked:
             # inside a marked element what was never seen there counts as content
-            value += block.plain * word((marked, "#word", inside), 1.0 if inside else 0.5)
-            value += block.linked * word((marked, "#link", inside), 1.0 if inside else 0.25)
-        cost = sum(word((marked, name, marked and within), 0.0 if marked and within else -TAG_COST / 4) for name, within in block.tags)
+            value = least * (block.plain * word((True, "#word", inside), 1.0 if inside else 0.5)
+                             + block.linked * word((True, "#link", inside), 1.0 if inside else 0.25))
+        else:
+            value = least * (block.plain * word((False, f"#word {block.home}", False), word((False, "#word", False), 0.5))
+                             + block.linked * word((False, f"#link {block.home}", False), word((False, "#link", False), 0.25)))
+        if marked:
+            cost = sum(word((True, name, within), 0.0 if within else -TAG_COST / 4) for name, within in block.tags)
+        else:
+            cost = sum(word((False, _plain(name), False), -TAG_COST / 4) for name, _ in block.tags)
+        costs.append(cost)
+        values.append(value)
+    return costs, values
+
+
+def best_run(costs: list[float], values: list[float]) -> tuple[int, int]:
+    """(first, end) of the run with the largest sum; the cost before its first block belongs to no run."""
+    best, run = 0.0, (0, 0)
+    total, begin = 0.0, 0
+    for i, (cost, value) in enumerate(zip(costs, values)):
         if total + cost <= 0:
             total, begin = 0.0, i
-            cost = 0.0  # tags before the first block of a run belong to no run
-        total += cost + value
+        else:
+            total += cost
+        total += value
         if total > best or total == best and total:
-            best, best_run = total, (begin, i + 1)
-    lines = (" ".join("".join(b.parts).split()) for b in found[best_run[0]:best_run[1]] if not b.boilerplate)
+            best, run = total, (begin, i + 1)
+    return run
+
+
+def main_text(page: str, weights: Weights) -> str:
+    """The text of the best-scoring run of blocks without its boilerplate."""
+    found, marked = blocks(page)
+    costs, values = scores_of(found, marked, weights)
+    first, end = best_run(costs, values)
+    lines = (" ".join("".join(b.parts).split()) for b, value in zip(found[first:end], values[first:end]) if value > 0)
     return "\n".join(line for line in lines if line)
 
 
 def learn_weights(pages: DataFrame, html: str = "html") -> Weights:
-    """Weights from all labelled pages; counts are summed per token name before they reach the driver.
+    """Weights from all labelled pages; counts are summed per token before they reach the driver.
 
-    Element names are data, so names outside HTML's own are counted as one: the result is bounded.
+    The result is bounded: names of elements outside HTML's own are counted as one, and words of classes and ids are
+    kept if a fixed share of the labelled pages has them.
     """
     known = INLINE | VOID | BOILERPLATE_TAGS | set(
         "html body main article section header div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption blockquote pre address details summary center".split())
 
+    fields = (("knows", pa.bool_()), ("token", pa.string()), ("inside", pa.bool_()), ("content", pa.bool_()), ("n", pa.int64()), ("pages", pa.int64()))
+
+    def bounded(token: str) -> str:
+        sign, _, home = token.rpartition(" ")
+        if token[0] == "." or home in known or not home or home[0] == "#":
+            return token
+        return f"{sign} other".strip()
+
+    def rows(total: Counter, pages: Counter) -> pa.RecordBatch:
+        out = [(*key, n, pages[key]) for key, n in total.items()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, (_, kind) in enumerate(fields)], names=[f for f, _ in fields])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        total, seen = Counter(), Counter()
         for batch in batches:
             for page in batch.column(0).to_pylist():
-                for (knows, token, inside, content), n in token_counts(page or "").items():
-                    total[knows, token if token[0] == "#" or token in known else "other", inside, content] += n
-        rows = [(*key, n) for key, n in total.items()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.bool_(), pa.string(), pa.bool_(), pa.bool_(), pa.int64()))],
-            names=["knows", "token", "inside", "content", "n"])
-
-    counted = pages.select(html).mapInArrow(run, "knows boolean, token string, inside boolean, content boolean, n long")
-    rows = counted.groupBy("knows", "token", "inside", "content").agg(F.sum("n").alias("n")).collect()
-    return weights_of({(r.knows, r.token, r.inside, r.content): r.n for r in rows})
+                counts = token_counts(page or "")
+                for (knows, token, inside, content), n in counts.items():
+                    key = knows, bounded(token), inside, content
+                    total[key] += n
+                    seen[key] += 1
+                if counts:
+                    seen[False, ".", False, True] += 1  # all labelled pages
+                    total[False, ".", False, True] += 1
+                if len(total) > HELD:
+                    yield rows(total, seen)
+                    total, seen = Counter(), Counter()
+        yield rows(total, seen)
+
+    counted = pages.select(html).mapInArrow(run, "knows boolean, token string, inside boolean, content boolean, n long, pages long")
+    summed = pin(counted.groupBy("knows", "token", "inside", "content").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages")))
+    labelled = summed.where("token = '.'").agg(F.coalesce(F.sum("pages"), F.lit(0))).collect()[0][0]
+    often = F.sum("pages").over(Window.partitionBy("token")) * PAGES_PER_NAME >= labelled
+    found = summed.where("token <> '.'").withColumn("often", often).where("often OR NOT startswith(token, '.')").collect()
+    return weights_of({(r.knows, r.token, r.inside, r.content): r.n for r in found})
 
 
 def extract_text(pages: DataFrame, html: str = "html", weights: Weights | None = None) -> DataFrame:

@@ -1,10 +1,12 @@
 """Main text of pages and URL verdicts."""
 
 import html
+import random
 import re
+from collections import Counter
 
 from corpusloom.llm import q_pages
-from corpusloom.llm.html_text import extract_text, main_text, token_counts, weights_of
+from corpusloom.llm.html_text import best_run, extract_text, learn_weights, main_text, token_counts, weights_of
 from corpusloom.llm.url_templates import judge_urls
 
 SF = "/root/testdata/sf0.01"
@@ -57,6 +59,44 @@ def test_extraction_defined_cases(spark):
     assert not token_counts("<p>no mark</p>")
 
 
+def without_names(page):
+    """A page whose sectioning elements are all ``div`` and that has no class, id or role."""
+    page = re.sub(r"<(/?)(?:nav|article|main|footer|aside|section|header|form)\b[^>]*>", r"<\1div>", page)
+    return re.sub(r"(<[a-z0-9]+)\s+(?:class|id|role)=\"[^\"]*\"", r"\1", page)
+
+
+def test_weights_find_the_article_of_pages_without_names(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").repartition(3)
+    weights = learn_weights(pages)
+    total = Counter()
+    for page in (r.html for r in pages.collect()):
+        want, got = Counter(article(page).split()), Counter(main_text(without_names(page), weights).split())
+        total.update(both=sum((want & got).values()), want=sum(want.values()), got=sum(got.values()))
+    assert total["both"] >= 0.99 * total["want"] and total["both"] >= 0.99 * total["got"]
+
+
+def test_best_run_against_all_runs():
+    rng = random.Random(6)
+    for _ in range(300):
+        n = rng.randrange(12)
+        costs = [-rng.choice([0, 0.5, 1, 4]) for _ in range(n)]
+        values = [rng.choice([0, 0, 0.5, 1, 3]) for _ in range(n)]
+        score = lambda a, b: sum(values[a:b]) + sum(costs[a + 1:b])  # noqa: B023, E731
+        first, end = best_run(costs, values)
+        assert score(first, end) == max((score(a, b) for a in range(n) for b in range(a + 1, n + 1)), default=0)
+
+
+def test_classes_are_learned_from_labelled_pages(spark):
+    outside = '<div class="teaser-rail"><p>{}</p></div>'.format("read this now " * 10)
+    rows = [(i, f"<body>{outside if i % 2 else ''}<article><p>{'some words of it ' * 20}</p><div class='lead'><p>lead text</p></div></article>{outside}</body>") for i in range(30)]
+    weights = learn_weights(spark.createDataFrame(rows, "page_id int, html string"))
+    assert weights[False, ".teaser", False] < 0.02 and weights[False, ".lead", False] > 0.9
+    page = f"<div><p>{'first part ' * 40}</p>{outside}<p>{'second part ' * 40}</p></div>"
+    want = ("first part " * 40).strip() + "\n" + ("second part " * 40).strip()
+    assert main_text(page, weights) == want and main_text(f"<article>{page}</article>", weights) == want
+    assert learn_weights(spark.createDataFrame([(1, None), (2, "<p>no mark</p>")], "page_id int, html string")) == {}
+
+
 def longest_rule(host, path):
     fits = [(r, ok) for r, ok in q_pages.RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/"):])]
     return max(fits, key=lambda r: len(r[0])) if fits else None
