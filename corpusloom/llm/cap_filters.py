@@ -3,19 +3,20 @@
 Vectors link when their labels are equal and their cosine in double precision reaches ``least``.
 
 1. Equal vectors of a label are one point with a multiplicity from here on.
-2. *Filters.* A random rotation is followed by a product code: the axes are cut into blocks, each block has its own
-   random codebook of BOOK directions, and a filter direction is one codeword per block. A point is
-   list-decoded to the directions whose caps contain it: all whose inner product with it reaches its threshold, the value
-   of its PER_POINT-th best direction. Block lists are merged pairwise; the best sums of two sorted lists
-   lie among the best of each, so decoding never looks at the BOOK**blocks directions themselves. The number of blocks grows
-   with the number of points, which keeps buckets small.
+2. *Filters.* A random rotation is followed by a product code: the axes are cut into three blocks, each block has its own
+   random codebook, and a filter direction is one codeword per block. There are DIRECTIONS directions for each point, so
+   books grow with the cube root of the points and buckets keep their size. A point is list-decoded to all directions whose caps contain
+   it: those with a cosine of at least a threshold, at which a random point has PER_POINT of them on average. A point in
+   fewer than AT_LEAST caps is decoded with wider ones. Decoding keeps a partial codeword only if the best of
+   the blocks to come can lift it over the threshold, so it never looks at all directions.
 3. *Join.* Points meet in the buckets (label, filter) they share. Buckets of one point drop out, large ones are cut into a grid of
    cells of bounded size.
 4. *Verify.* Inside a cell all cosines are computed exactly. A pair counts in the smallest filter both were decoded to,
    so once. Cells give counts per point and a spanning forest of their links, never lists of pairs.
 
-The filters are an index: every row is indexed; recall against brute force is measured in the tests (over 0.99
-for a cosine of 0.98 in 64 dimensions).
+The filters are an index: every row is indexed; recall against brute force is measured in the tests, also with the codes that
+tables of up to 10^9 points get (over 0.99 for a cosine of 0.98). Vectors of few components get smaller books, as narrower caps would
+part linked vectors; their buckets grow with the table.
 
 Defined cases: NULL vectors, zero vectors, vectors with NULL or non-finite components and NULL labels link with nothing
 (0 links, their own component, kept); vectors of different lengths never link; rows that repeat an id are
@@ -34,10 +35,22 @@ from pyspark.sql import functions as F
 from corpusloom.llm.components import components
 from corpusloom.session import pin
 
-#: codewords of a block, directions a point is decoded to, points of one side of a cell
-BOOK = 256
-PER_POINT = 32
+#: filter directions for each point, and at least
+DIRECTIONS = 8
+LEAST_DIRECTIONS = 4_096
+#: caps a point lies in on average, and at least
+PER_POINT = 20
+AT_LEAST = 12
+#: axes from which on the code has three blocks; below, one book of at most LOW_BOOK directions covers the sphere
+BLOCKS = 3
+LOW_AXES = 6
+LOW_BOOK = 4_096
+#: caps stay wider than linked vectors are apart by this much of cosine; vectors of few components get smaller books for it
+MARGIN = 0.1
+#: points of one side of a cell
 CELL = 256
+#: entries of the arrays that compare lists of filters
+COMPARED = 1 << 24
 
 
 def read_vectors(df: DataFrame) -> DataFrame:
@@ -66,36 +79,82 @@ def unit_rows(raw: list[bytes]) -> np.ndarray:
 
 
 class ProductCode:
-    """The filter directions for vectors of one length."""
+    """The filter directions for vectors of one length among ``points`` points that link from a cosine of ``least``."""
 
-    def __init__(self, size: int, blocks: int, seed: int):
-        rng = np.random.default_rng([seed, size, blocks])
+    def __init__(self, size: int, points: int, least: float, seed: int):
+        rng = np.random.default_rng([seed, size, points])
+        directions = max(LEAST_DIRECTIONS, DIRECTIONS * points)
+        blocks = BLOCKS if size >= LOW_AXES else 1
+        self.book = int(np.ceil(directions ** (1 / blocks)))
         self.rotation, _ = np.linalg.qr(rng.standard_normal((size, size)))
-        self.cuts = np.array_split(np.arange(size), min(blocks, size))
-        self.books = []
-        for axes in self.cuts:
-            book = rng.standard_normal((BOOK, len(axes)))
-            self.books.append(book / np.linalg.norm(book, axis=1, keepdims=True))
-
-    def decode(self, unit: np.ndarray) -> np.ndarray:
-        """Per row the PER_POINT filters whose directions it is closest to, ascending."""
+        self.cuts = np.array_split(np.arange(size), blocks)
+        trial = rng.standard_normal((64, size))
+        trial /= np.linalg.norm(trial, axis=1, keepdims=True)
+        if blocks == 1:
+            self.book = min(self.book, LOW_BOOK)
+        while True:
+            self.books = []
+            for axes in self.cuts:
+                book = rng.standard_normal((self.book, len(axes)))
+                self.books.append(book / np.linalg.norm(book, axis=1, keepdims=True) / np.sqrt(blocks))
+            self.threshold = self._balanced(trial)
+            if self.threshold <= least - MARGIN or self.book <= 4:
+                break
+            self.book = self.book * 3 // 4  # so many caps would be too narrow for linked vectors to share
+
+    def _balanced(self, trial: np.ndarray) -> float:
+        """The threshold at which the rows lie in PER_POINT caps on average."""
+        scores = self._scores(trial)
+        threshold = float(sum(x[0].max(axis=1) for x in scores).mean())
+        while threshold > 0 and len(self._exceeding(scores, threshold)[0]) < PER_POINT * len(trial):
+            threshold -= 0.05 / np.sqrt(trial.shape[1])
+        return threshold
+
+    def _scores(self, unit: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per block the scores of its codewords, descending, and their numbers."""
         turned = unit @ self.rotation
-        value = index = None
+        out = []
         for axes, book in zip(self.cuts, self.books):
-            scores = turned[:, axes] @ book.T
-            best = np.argpartition(-scores, PER_POINT - 1, axis=1)[:, :PER_POINT].astype(np.int64)
-            found = np.take_along_axis(scores, best, axis=1)
-            if value is None:
-                value, index = found, best
-                continue
-            sums = (value[:, :, None] + found[:, None, :]).reshape(len(unit), -1)
-            names = (index[:, :, None] * BOOK + best[:, None, :]).reshape(len(unit), -1)
-            top = np.argpartition(-sums, PER_POINT - 1, axis=1)[:, :PER_POINT]
-            value, index = np.take_along_axis(sums, top, axis=1), np.take_along_axis(names, top, axis=1)
-        return np.sort(index, axis=1)
-
-
-def _decode_points(points: DataFrame, blocks: int, seed: int) -> DataFrame:
+            score = turned[:, axes] @ book.T
+            order = np.argsort(-score, axis=1)
+            out.append((np.take_along_axis(score, order, axis=1), order))
+        return out
+
+    def _exceeding(self, scores: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """(row, filter) of all directions that reach ``threshold``."""
+        n = len(scores[0][0])
+        row, name, total = np.arange(n), np.zeros(n, np.int64), np.zeros(n)
+        for k, (score, order) in enumerate(scores):
+            to_come = sum((x[0][:, 0] for x in scores[k + 1:]), np.zeros(n))
+            # codewords are sorted, so those that suffice are the first ones: one search among the scores of all rows
+            reach = 4.0 * np.arange(n)
+            ascending = (reach[:, None] - score).ravel()
+            fit = np.searchsorted(ascending, reach[row] - (threshold - total - to_come[row]), side="right")
+            fit = np.clip(fit - row * self.book, 0, self.book)
+            which = np.arange(fit.sum()) - np.repeat(np.cumsum(fit) - fit, fit)
+            row, name, total = np.repeat(row, fit), np.repeat(name, fit), np.repeat(total, fit)
+            total = total + score[row, which]
+            name = name * self.book + order[row, which]
+        return row, name
+
+    def decode(self, unit: np.ndarray) -> list[np.ndarray]:
+        """Per row all filters whose caps contain it, ascending."""
+        scores = self._scores(unit)
+        out: list[np.ndarray] = [None] * len(unit)
+        todo, threshold = np.arange(len(unit)), self.threshold
+        while len(todo):
+            row, name = self._exceeding([(x[todo], order[todo]) for x, order in scores], threshold)
+            order = np.lexsort((name, row))
+            count = np.bincount(row, minlength=len(todo))
+            ends = np.cumsum(count)
+            enough = (count >= AT_LEAST) | (threshold <= 0)
+            for k in np.flatnonzero(enough).tolist():
+                out[todo[k]] = name[order[ends[k] - count[k]:ends[k]]]
+            todo, threshold = todo[~enough], threshold - 0.2 / np.sqrt(unit.shape[1])
+        return out
+
+
+def _decode_points(points: DataFrame, size_of: int, least: float, seed: int) -> DataFrame:
     """Add the array ``filters`` to the rows (u, v)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +168,7 @@ def _decode_points(points: DataFrame, blocks: int, seed: int) -> DataFrame:
                 for size in set(sizes.tolist()):
                     rows = np.flatnonzero(sizes == size)
                     if size not in codes:
-                        codes[size] = ProductCode(size, blocks, seed)
+                        codes[size] = ProductCode(size, size_of, least, seed)
                     for k, found in zip(rows.tolist(), codes[size].decode(unit_rows([raw[k] for k in rows.tolist()]))):
                         filters[k] = found
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(filters, pa.list_(pa.int64()))], names=["u", "v", "filters"])
@@ -133,12 +192,17 @@ def _compare(index: list[tuple], query: list[tuple], f: int, least: float) -> tu
     if query:
         linked[:n, :n] = linked[n:, n:] = False
     a, b = np.nonzero(np.triu(linked))
-    filters = np.array([r[3] for r in rows])
-    first = np.zeros(len(a), bool)
-    for i in range(0, len(a), 4096):
-        left, right = filters[a[i:i + 4096]], filters[b[i:i + 4096]]
-        common = (left[:, :, None] == right[:, None, :]).any(axis=2)
-        first[i:i + 4096] = np.where(common, left, np.iinfo(np.int64).max).min(axis=1) == f
+    # a pair counts here if no filter below this one holds both: compare what their lists have below it
+    below = [[x for x in r[3] if x < f] for r in rows]
+    width = max(map(len, below), default=0)
+    filters = np.full((len(rows), width), -1, np.int64)
+    for k, found in enumerate(below):
+        filters[k, :len(found)] = found
+    first = np.ones(len(a), bool)
+    step = max(1, COMPARED // max(1, width * width))
+    for i in range(0, len(a), step):
+        left, right = filters[a[i:i + step]], filters[b[i:i + step]]
+        first[i:i + step] = ~((left[:, :, None] == right[:, None, :]) & (left >= 0)[:, :, None]).any(axis=(1, 2))
     a, b = a[first], b[first]
     count = np.bincount(a, weight[b], len(rows)).astype(np.int64) + np.bincount(b, weight[a], len(rows)).astype(np.int64)
     label = np.arange(len(rows))
@@ -156,17 +220,18 @@ def _compare(index: list[tuple], query: list[tuple], f: int, least: float) -> tu
 
 
 def near_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
-                 least: float = 0.98, seed: int = 5) -> DataFrame:
+                 least: float = 0.98, seed: int = 5, size_of: int | None = None) -> DataFrame:
     """(id, n_links, component_id, kept) per row of ``df``.
 
+    ``size_of`` is the number of points that the code is made for, by default that of the different vectors.
+
     Runs jobs while it is built; their results lie in the shared folder (``spark.checkpoint.dir``).
     """
     named = df.select(F.col(vec_id).alias("id"), F.col(label).alias("label"), F.col(embedding).alias("v"))
     alive = F.col("v").isNotNull() & F.col("label").isNotNull()
     rows = pin(read_vectors(named).withColumn("u", F.when(alive, F.xxhash64("label", "v"))).withColumn("v", F.when(alive, F.col("v"))))
     points = pin(rows.where("u is not null").groupBy("u", "label", "v").agg(F.count("*").alias("m")))
-    blocks = max(2, int(np.ceil(np.log2(max(2, points.count())) / 8)))
-    coded = pin(_decode_points(points.select("u", "v"), blocks, seed).join(points.select("u", "label", "m"), "u"))
+    coded = pin(_decode_points(points.select("u", "v"), size_of or points.count(), least, seed).join(points.select("u", "label", "m"), "u"))
 
     hits = coded.select("u", "label", F.explode("filters").alias("f"))
     buckets = pin(

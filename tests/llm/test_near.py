@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from corpusloom.llm import q_near
-from corpusloom.llm.cap_filters import near_vectors
+from corpusloom.llm.cap_filters import AT_LEAST, ProductCode, near_vectors
 from corpusloom.llm.components import components
 from corpusloom.llm.ngram_join import InvertedLists, ngram_join, recurring
 from corpusloom.llm.substrings import repeated_passages
@@ -140,6 +140,35 @@ def test_near_vectors_equal_brute_force_and_recall(spark, many_partitions):
     assert near_vectors(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("size", [3, 12, 64])
+def test_caps_list_all_exceeding_directions(size):
+    rng = np.random.default_rng(7)
+    code = ProductCode(size, 60, 0.98, 5)
+    x = rng.standard_normal((40, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    scores = np.zeros((40, 1))
+    for axes, book in zip(code.cuts, code.books):
+        scores = (scores[:, :, None] + ((x @ code.rotation)[:, axes] @ book.T)[:, None, :]).reshape(40, -1)
+    for row, found in zip(scores, code.decode(x)):
+        threshold = code.threshold
+        while (row >= threshold).sum() < AT_LEAST:
+            threshold -= 0.2 / np.sqrt(size)
+        assert found.tolist() == np.flatnonzero(row >= threshold).tolist()
+
+
+@pytest.mark.parametrize("points", [10**3, 10**6, 10**9])
+@pytest.mark.parametrize("size", [16, 64])
+def test_recall_of_codes_for_larger_tables(points, size):
+    rng = np.random.default_rng(3)
+    code = ProductCode(size, points, 0.98, 5)
+    x, z = rng.standard_normal((2, 1500, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    pairs = zip(code.decode(x), code.decode(0.98 * x + np.sqrt(1 - 0.98**2) * z))
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in pairs]) >= 0.99
+
+
 def test_near_vectors_counts_a_large_group_of_equal_vectors(spark):
     rows = [(i, [1.0, 2.0, 3.0], 1) for i in range(600)] + [(i, [1.0, 2.0, 3.001], 1) for i in range(600, 610)] + [(700, [1.0, 2.0, 3.0], 2)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").selectExpr("*", "0 AS n_links")
