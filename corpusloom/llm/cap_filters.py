@@ -49,8 +49,8 @@ LOW_BOOK = 4_096
 MARGIN = 0.1
 #: points of one side of a cell
 CELL = 256
-#: entries of the arrays that compare lists of filters
-COMPARED = 1 << 24
+#: filters of a cell's points that are compared at a time
+COLUMNS = 2_048
 
 
 def read_vectors(df: DataFrame) -> DataFrame:
@@ -176,6 +176,23 @@ def _decode_points(points: DataFrame, size_of: int, least: float, seed: int) ->
     return points.mapInArrow(run, "u long, v binary, filters array<long>")
 
 
+def _meet_below(rows: list[tuple], a: np.ndarray, b: np.ndarray, f: int) -> np.ndarray:
+    """Whether two rows, of those in ``a`` and ``b``, share a filter below ``f``: then that one's cell counts them."""
+    used = np.union1d(a, b).tolist()
+    below = [np.array(rows[k][3], np.int64) for k in used]
+    below = [x[x < f] for x in below]
+    name = np.concatenate([*below, np.zeros(0, np.int64)])
+    row = np.repeat(np.array(used, np.int64), [len(x) for x in below])
+    _, column, held = np.unique(name, return_inverse=True, return_counts=True)
+    meet = np.zeros((len(rows), len(rows)), bool)
+    for low in range(0, len(held), COLUMNS):
+        some = (column >= low) & (column < low + COLUMNS) & (held[column] > 1)
+        has = np.zeros((len(rows), min(COLUMNS, len(held) - low)), np.float32)
+        has[row[some], column[some] - low] = 1
+        meet |= has @ has.T > 0
+    return meet
+
+
 def _compare(index: list[tuple], query: list[tuple], f: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(point, number of vectors linked, point of its component in this cell) of a cell; no query: index against itself."""
     rows = index + query
@@ -192,17 +209,7 @@ def _compare(index: list[tuple], query: list[tuple], f: int, least: float) -> tu
     if query:
         linked[:n, :n] = linked[n:, n:] = False
     a, b = np.nonzero(np.triu(linked))
-    # a pair counts here if no filter below this one holds both: compare what their lists have below it
-    below = [[x for x in r[3] if x < f] for r in rows]
-    width = max(map(len, below), default=0)
-    filters = np.full((len(rows), width), -1, np.int64)
-    for k, found in enumerate(below):
-        filters[k, :len(found)] = found
-    first = np.ones(len(a), bool)
-    step = max(1, COMPARED // max(1, width * width))
-    for i in range(0, len(a), step):
-        left, right = filters[a[i:i + step]], filters[b[i:i + step]]
-        first[i:i + step] = ~((left[:, :, None] == right[:, None, :]) & (left >= 0)[:, :, None]).any(axis=(1, 2))
+    first = ~_meet_below(rows, a, b, f)[a, b]
     a, b = a[first], b[first]
     count = np.bincount(a, weight[b], len(rows)).astype(np.int64) + np.bincount(b, weight[a], len(rows)).astype(np.int64)
     label = np.arange(len(rows))
