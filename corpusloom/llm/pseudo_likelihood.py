@@ -3,24 +3,31 @@
 Every token of a document is predicted from the words on both sides of it, and the sum of the log
 probabilities is the document's pseudo-log-likelihood.
 
-1. *Counts.* One pass over all documents counts words in 2**SLOT_BITS hashed slots; a slot is a token. The counts of the
-   tasks are summed by slot blocks in a shuffle that grows with the input. The most frequent slots form a class each, the
-   others are dealt into TAIL_CLASSES classes of like frequency.
-2. *Network.* The class of a word is predicted from the classes of SPAN words on either side: a class vector per
-   position is added up, passed through tanh, and a softmax gives the class. The word's share of its class, from the counts,
-   completes its probability, so the probabilities of all slots sum to one.
-3. *Training* in numpy inside the tasks: in each round every task starts from the shared parameters, masks one position in
-   MASK_EVERY at random in each of its documents, and follows the gradient of their log probability over all its documents; the parameters are
-   then averaged with the number of masked words as weight. Only sums of parameters reach the driver.
-4. *Scoring* predicts every word of every whole document in one narrow pass.
-
-Defined cases: NULL and blank texts have 0 tokens, a sum of 0 and a NULL mean; windows over the ends of a document see a border class;
-repeated rows are counted, trained on and scored each; an empty table gives an empty table; other columns stay
-as they are (score columns replace columns of the same name). Scores depend slightly on how rows are split into tasks.
+1. *Words.* All words of all documents are counted in a table with one row per distinct word, which grows with the corpus. The HEAD
+   most frequent words are tokens of their own, every other word is the token of its shape (length and last letter).
+   Counts of at most KNOWN frequent words are sent to the tasks; the others stay in the table and are joined.
+2. *Classes.* Head words are put into classes of like company: their counts of neighbours are projected on the main directions
+   and halved at the median until a class has at most CLASS_WORDS words.
+3. *Network.* Token vectors of SPAN words on either side, weighted by position, are added up and pass through tanh. A softmax
+   gives the class or the shape, a second one the word within the class. A word of a shape takes its share of the shape's
+   words, from the counts. The probabilities of all words sum to one.
+4. *Training* in numpy inside the tasks. Distinct texts are dealt by a hash into shards of about SHARD_TOKENS tokens, in a fixed order.
+   In each of ROUNDS rounds every shard starts from the shared parameters and follows the gradient at every ROUNDS-th position, so that every position
+   of every text is a target once; the parameters are then averaged with the number of targets as weight.
+5. *Scoring* predicts every word of every whole document. The word is masked from the counts as well: the share of a
+   word of a shape rests on its occurrences in other rows (leave one out), so words that only this row has are as
+   unlikely as unseen ones.
+
+Shards and their order depend on the texts alone, so scores do not depend on the split into tasks but for the rounding of sums.
+
+Defined cases: NULL and blank texts have 0 words, sums of 0 and NULL means; windows over the ends of a document see a border token;
+repeated rows are counted and scored each, and learnt once; words are runs of bytes without white space, A-Z in lower case; an empty table gives
+an empty table; other columns stay as they are (score columns replace columns of the same name).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,221 +37,569 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.words import Words, find_words, slices, word_hashes
-
-SLOT_BITS = 18
-SLOT_BLOCKS = 256
-TOP_CLASSES = 47
-TAIL_CLASSES = 16
+from corpusloom.llm.words import Words, find_words, release, slices, small_batches, word_hashes
+from corpusloom.operators.skew import spread_join
+from corpusloom.session import pin
+
+HEAD = 4096
+CLASS_WORDS = 64
+SHAPES = 16
+#: words whose counts every task holds (17 bytes each); rarer ones are joined
+KNOWN = 1 << 18
+#: counts a task gathers before it gives them on
+HELD = 400_000
+#: most frequent tokens whose neighbourhood makes the classes
+COMPANY = 64
 SPAN = 2
 HIDDEN = 24
-MASK_EVERY = 8
 ROUNDS = 2
 BATCH = 2048
-RATE = 0.5
+RATE = 0.1
+SHARD_TOKENS = 1_000_000
+#: tokens of whole texts that a worker trains on or scores at a time
+CHUNK = 1 << 15
+#: digests a task remembers so as to give a text once
+SEEN = 200_000
+#: pseudo count of every word of a shape
+ALPHA = 0.5
+FLOOR = 100_000
 
-CLASSES = TOP_CLASSES + TAIL_CLASSES + 1  # the last is the border of a document
-_BORDER = CLASSES - 1
-_OFFSETS = [o for o in range(-SPAN, SPAN + 1) if o]
+_OFFSETS = np.array([o for o in range(-SPAN, SPAN + 1) if o])
+_COUNTS = "h long, shape int, n long"
 
 
-def slots_of(words: Words) -> np.ndarray:
-    return (word_hashes(words) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+# ---- words
 
+def shapes_of(words: Words) -> np.ndarray:
+    """Length (to 3, 6, 9 and more bytes) and last byte (vowel, other letter, digit, any other) of every word."""
+    length = np.minimum((words.end - words.start - 1) // 3, 3)
+    last = words.buf[words.end - 1] if len(words.end) else np.zeros(0, np.uint8)
+    kind = np.full(len(last), 3)
+    kind[(last >= 97) & (last <= 122)] = 1
+    kind[np.isin(last, np.frombuffer(b"aeiou", np.uint8))] = 0
+    kind[(last >= 48) & (last <= 57)] = 2
+    return length * 4 + kind
 
-def slot_counts(texts: DataFrame) -> np.ndarray:
-    """Number of words in every slot over all documents; the driver receives 2**SLOT_BITS numbers whatever the input."""
-    schema = "block int, counts binary"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SLOT_BITS, np.int64)
-        for batch in batches:
-            for _, _, buf, offsets in slices(batch.column(0)):
-                total += np.bincount(slots_of(find_words(buf, offsets, lower=True)), minlength=len(total))
-        if total.any():
-            parts = [x.tobytes() for x in total.reshape(SLOT_BLOCKS, -1)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLOT_BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names=["block", "counts"])
+def _summed(h: np.ndarray, shape: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(h)
+    h = h[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[:len(h)])
+    return h[first], shape[order][first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(h, shape, n) of every distinct word of the column, summed in the tasks before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return _summed(*[np.concatenate(x) for x in zip(*held)])
+
+        def given(h: np.ndarray, shape: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(shape, pa.int32()), pa.array(n)], names=["h", "shape", "n"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = np.frombuffer(raw.as_buffer(), np.int64)
-                sums[block] = sums[block] + found if block in sums else found
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "counts"])
+            for _, _, buf, offsets in slices(batch.column(0)):
+                words = find_words(buf, offsets, lower=True)
+                held.append(_summed(word_hashes(words), shapes_of(words), np.ones(len(words.start), np.int64)))
+                size += len(held[-1][0])
+                if size >= HELD:
+                    held = [merged()]
+                    size = len(held[0][0])
+                    if size >= HELD // 2:
+                        yield given(*held[0])
+                        held, size = [], 0
+        if held:
+            yield given(*merged())
 
-    out = np.zeros((SLOT_BLOCKS, (1 << SLOT_BITS) // SLOT_BLOCKS), np.int64)
-    for block, raw in texts.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect():
-        out[block] = np.frombuffer(raw, np.int64)
-    return out.reshape(-1)
+    return texts.mapInArrow(run, _COUNTS).groupBy("h").agg(F.min("shape").alias("shape"), F.sum("n").alias("n"))
 
 
 @dataclass
-class Vocabulary:
-    """Class of every slot, and the log share of the slot in its class."""
+class Lexicon:
+    """Known words in the order of their hashes, their counts and tokens; per shape the counts of all words beside the head."""
+
+    hashes: np.ndarray
+    n: np.ndarray
+    token: np.ndarray
+    head_n: np.ndarray
+    shape_n: np.ndarray
+    shape_words: np.ndarray
 
-    class_of: np.ndarray
-    log_share: np.ndarray
+    @property
+    def head(self) -> int:
+        return len(self.head_n)
+
+    @property
+    def border(self) -> int:
+        return self.head + SHAPES
 
     @classmethod
-    def of(cls, counts: np.ndarray) -> Vocabulary:
-        smooth = counts + 1.0  # a slot no document has keeps a small share
-        order = np.argsort(-smooth, kind="stable")
-        class_of = np.empty(len(counts), np.uint8)
-        class_of[order[:TOP_CLASSES]] = np.arange(TOP_CLASSES)
-        tail = order[TOP_CLASSES:]
-        mass = np.cumsum(smooth[tail])
-        class_of[tail] = TOP_CLASSES + np.minimum((mass / mass[-1] * TAIL_CLASSES).astype(int), TAIL_CLASSES - 1)
-        total = np.bincount(class_of, smooth, CLASSES)
-        return cls(class_of, (np.log(smooth) - np.log(total[class_of])).astype(np.float32))
+    def of(cls, counts: DataFrame, head: int, known: int) -> Lexicon:
+        """From the pinned table of all words; the driver receives at most ``known`` of them, whole classes of like counts."""
+        bucket = F.floor(F.log2("n") * 16).cast("int")
+        levels = counts.groupBy(bucket.alias("bucket")).count().collect()  # some hundred rows
+        least, total = None, 0
+        for row in sorted(levels, reverse=True):
+            total += row["count"]
+            if total > known:
+                break
+            least = row.bucket
+        rows = counts.where(bucket >= least if least is not None else F.lit(False)).toArrow()
+        h = rows.column("h").to_numpy().view(np.uint64)
+        n, shape = rows.column("n").to_numpy(), rows.column("shape").to_numpy()
+        order = np.lexsort((h, -n))
+        h, n, shape = h[order], n[order], shape[order]
+        size = min(head, len(h))
+        token = np.where(np.arange(len(h)) < size, np.arange(len(h)), size + shape).astype(np.uint16)
+        by_hash = np.argsort(h)
+        shape_n, shape_words = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
+        for row in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+            shape_n[row.shape], shape_words[row.shape] = row.n, row.words
+        np.subtract.at(shape_n, shape[:size], n[:size])
+        np.subtract.at(shape_words, shape[:size], 1)
+        return cls(h[by_hash], n[by_hash], token[by_hash], n[:size].astype(np.int64), shape_n, shape_words)
+
+    def tokens(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token of every word, and its count where it is known, else 0."""
+        shape = self.head + shapes_of(words)
+        if not len(self.hashes):
+            return shape.astype(np.uint16), np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        found = self.hashes[at] == hashes
+        return np.where(found, self.token[at], shape).astype(np.uint16), np.where(found, self.n[at], 0)
+
+
+def share(n, own, shape_n, shape_words):
+    """Probability of a word within its shape by its other occurrences; of a word nobody else has, ALPHA's part."""
+    return (n - own + ALPHA) / (shape_n - own + ALPHA * shape_words)
+
+
+# ---- windows
+
+def padded(tokens: np.ndarray, first: np.ndarray, border: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all documents with SPAN borders around each, and the place of every token in there."""
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    place = np.arange(len(tokens)) + SPAN * (doc + 1)
+    out = np.full(len(tokens) + SPAN * len(first), border, np.uint16)
+    out[place] = tokens
+    return out, place
+
+
+def company(distinct: DataFrame, head: int, border: int) -> np.ndarray:
+    """How often each of the most frequent tokens stands left and right of every head word, over all distinct texts."""
+    width = min(COMPANY, head)
+    blocks = 64
+    rows_of = np.array_split(np.arange(head), blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(head * 2 * width, np.int64)
+        for batch in batches:
+            for raw in batch.column("tokens"):
+                tokens = np.frombuffer(raw.as_buffer(), np.uint16).astype(np.int64)
+                for side, (own, near) in enumerate(((tokens[1:], tokens[:-1]), (tokens[:-1], tokens[1:]))):
+                    ok = (own < head) & (near < width)
+                    np.add.at(total, (own[ok] * 2 + side) * width + near[ok], 1)
+        if total.any():
+            table = total.reshape(head, -1)
+            parts = [table[r[0]:r[-1] + 1].tobytes() if len(r) else b"" for r in rows_of]
+            yield pa.RecordBatch.from_arrays([pa.array(range(blocks), pa.int32()), pa.array(parts, pa.binary())], names=["part", "total"])
+
+    out = np.zeros((head, 2 * width))
+    for part, (_, total) in _added(distinct.select("tokens").mapInArrow(run, "part int, total binary").withColumn("weight", F.lit(1.0)), np.int64).items():
+        if len(rows_of[part]):
+            out[rows_of[part]] = total.reshape(-1, 2 * width)
+    return out
+
 
+def _added(rows: DataFrame, kind: type) -> dict[int, tuple[float, np.ndarray]]:
+    """Sums of the rows (part, weight, total) by part, added in a streaming step of each partition."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[float, np.ndarray]] = {}
+        for batch in batches:
+            for part, weight, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                found = np.frombuffer(raw.as_buffer(), kind)
+                old = sums.get(part, (0.0, 0))
+                sums[part] = (old[0] + weight, old[1] + found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([w for w, _ in sums.values()], pa.float64()),
+             pa.array([x.tobytes() for _, x in sums.values()], pa.binary())], names=["part", "weight", "total"])
+
+    found = rows.select("part", "weight", "total").repartition("part").mapInArrow(add, "part int, weight double, total binary").collect()
+    return {r.part: (r.weight, np.frombuffer(r.total, kind)) for r in found}
+
+
+def classes_of(counts: np.ndarray) -> list[np.ndarray]:
+    """Head words in classes of at most CLASS_WORDS with like neighbours, halved at the median of the widest direction."""
+    if not len(counts):
+        return []
+    rates = np.sqrt((counts + 1e-3) / (counts + 1e-3).sum(axis=1, keepdims=True))
+    rates -= rates.mean(axis=0)
+    values, vectors = np.linalg.eigh(rates.T @ rates)
+    points = rates @ vectors[:, np.argsort(-values)[:16]]
+    out, open_ = [], [np.arange(len(counts))]
+    while open_:
+        rows = open_.pop()
+        if len(rows) <= CLASS_WORDS:
+            out.append(np.sort(rows))
+            continue
+        own = points[rows] - points[rows].mean(axis=0)
+        order = rows[np.lexsort((rows, points[rows, np.argmax(own.var(axis=0))]))]
+        open_ += [order[len(order) // 2:], order[:len(order) // 2]]
+    return out
+
+
+# ---- network
 
 @dataclass
 class Network:
-    """Class vectors by position (already multiplied into the hidden layer), biases and output weights."""
+    """Token vectors, weights of the positions, and the outputs: classes and shapes, and words within a class."""
 
-    near: np.ndarray  # positions x classes x hidden
+    vectors: np.ndarray  # tokens x hidden
+    near: np.ndarray  # positions x hidden
     inner: np.ndarray  # hidden
-    out: np.ndarray  # hidden x classes
-    bias: np.ndarray  # classes
+    out: np.ndarray  # hidden x (classes + shapes)
+    bias: np.ndarray  # classes + shapes
+    words: np.ndarray  # classes x hidden x words of a class
+    word_bias: np.ndarray  # classes x words of a class
+    group: np.ndarray  # class or, behind these, shape of every token; fixed
+    member: np.ndarray  # number of a head word within its class; fixed
+
+    LEARNT = ("vectors", "near", "inner", "out", "bias", "words", "word_bias")
 
     @classmethod
-    def start(cls, counts: np.ndarray, seed: int) -> Network:
+    def start(cls, classes: list[np.ndarray], lexicon: Lexicon, seed: int) -> Network:
+        """Random vectors; the biases give every word its share of the corpus."""
         rng = np.random.default_rng(seed)
-        near = rng.normal(0, 0.3, (len(_OFFSETS), CLASSES, HIDDEN)).astype(np.float32)
-        bias = np.log((counts + 1) / (counts.sum() + len(counts))).astype(np.float32)
-        return cls(near, np.zeros(HIDDEN, np.float32), rng.normal(0, 0.1, (HIDDEN, CLASSES)).astype(np.float32), bias)
+        head, k = lexicon.head, len(classes)
+        group, member = np.zeros(head + SHAPES, np.int64), np.zeros(head, np.int64)
+        group[head:] = k + np.arange(SHAPES)
+        word_bias = np.full((k, CLASS_WORDS), -1e4, np.float32)  # no word there
+        sums = np.zeros(k + SHAPES)
+        for c, rows in enumerate(classes):
+            group[rows], member[rows] = c, np.arange(len(rows))
+            n = lexicon.head_n[rows].astype(float)
+            word_bias[c, :len(rows)] = np.log(n / n.sum())
+            sums[c] = n.sum()
+        sums[k:] = lexicon.shape_n
+        bias = np.log((sums + ALPHA) / (sums + ALPHA).sum())
+        normal = lambda *shape: rng.normal(0, 0.3, shape).astype(np.float32)
+        return cls(normal(head + SHAPES + 1, HIDDEN), np.ones((len(_OFFSETS), HIDDEN), np.float32) + normal(len(_OFFSETS), HIDDEN),
+                   np.zeros(HIDDEN, np.float32), np.zeros((HIDDEN, k + SHAPES), np.float32), bias.astype(np.float32),
+                   np.zeros((k, HIDDEN, CLASS_WORDS), np.float32), word_bias, group, member)
 
     def pack(self) -> np.ndarray:
-        return np.concatenate([x.reshape(-1) for x in (self.near, self.inner, self.out, self.bias)])
-
-    @classmethod
-    def unpack(cls, flat: np.ndarray) -> Network:
-        shapes = [(len(_OFFSETS), CLASSES, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
-        ends = np.cumsum([int(np.prod(s)) for s in shapes])
-        parts = np.split(flat.astype(np.float32), ends[:-1])
-        return cls(*[p.reshape(s).copy() for p, s in zip(parts, shapes)])
-
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden layer and class probabilities for rows of context classes."""
-        total = self.near[0][context[:, 0]]
+        return np.concatenate([getattr(self, name).reshape(-1) for name in self.LEARNT]).astype(np.float64)
+
+    def unpack(self, flat: np.ndarray) -> Network:
+        """A network of this form with other learnt parameters."""
+        parts, i = [], 0
+        for name in self.LEARNT:
+            old = getattr(self, name)
+            parts.append(flat[i:i + old.size].reshape(old.shape).astype(np.float32))
+            i += old.size
+        return Network(*parts, self.group, self.member)
+
+    def hidden(self, context: np.ndarray) -> np.ndarray:
+        total = self.vectors[context[:, 0]] * self.near[0]
         for p in range(1, len(_OFFSETS)):
-            total += self.near[p][context[:, p]]
-        hidden = np.tanh(total + self.inner)
-        logits = hidden @ self.out + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        return hidden, logits
-
-    def learn(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
-        """One step up the mean log probability of ``target``."""
-        n = len(target)
-        hidden, error = self.forward(context)
-        error *= -1
-        error[np.arange(n), target] += 1
-        back = (error @ self.out.T) * (1 - hidden * hidden)
-        self.out += (rate / n) * (hidden.T @ error)
-        self.bias += (rate / n) * error.sum(axis=0)
-        self.inner += (rate / n) * back.sum(axis=0)
-        for p in range(len(_OFFSETS)):
-            order = np.argsort(context[:, p], kind="stable")
-            classes, first = np.unique(context[order, p], return_index=True)
-            # a class vector moves by the mean of its own rows, damped where it has few
-            sums = np.add.reduceat(back[order], first, axis=0)
-            self.near[p][classes] += rate * sums / (np.diff(np.append(first, n))[:, None] + 8.0) * 0.25
-
-
-def contexts(classes: np.ndarray, words: Words, at: np.ndarray) -> np.ndarray:
-    """Classes of the words around the words ``at``; the border class outside the document."""
-    first = np.repeat(words.first[:-1], words.counts)[at]
-    end = np.repeat(words.first[1:], words.counts)[at]
-    out = np.full((len(at), len(_OFFSETS)), _BORDER, np.int64)
-    for p, offset in enumerate(_OFFSETS):
-        j = at + offset
-        inside = np.flatnonzero((j >= first) & (j < end))
-        out[inside, p] = classes[j[inside]]
-    return out
-
+            total += self.vectors[context[:, p]] * self.near[p]
+        total += self.inner
+        return np.tanh(total, out=total)
+
+    def by_class(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(class, rows, members) of the targets that are head words."""
+        group = self.group[target]
+        rows = np.flatnonzero(group < len(self.words))
+        rows = rows[np.argsort(group[rows].astype(np.uint16), kind="stable")]
+        sorted_ = group[rows]
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(sorted_)) + 1, [len(rows)]]) if len(rows) else [0]
+        for a, b in zip(edges[:-1], edges[1:]):
+            yield int(sorted_[a]), rows[a:b], self.member[target[rows[a:b]]]
+
+    def logs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log probability of every target token: of a head word, or of the shape of any other."""
+        hidden = self.hidden(context)
+        out = _log_softmax(hidden @ self.out + self.bias)[np.arange(len(target)), self.group[target]].astype(np.float64)
+        for c, rows, members in self.by_class(target):
+            out[rows] += _log_softmax(hidden[rows] @ self.words[c] + self.word_bias[c])[np.arange(len(rows)), members]
+        return out
+
+
+def _log_softmax(logits: np.ndarray) -> np.ndarray:
+    logits = logits - logits.max(axis=1, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return logits
+
+
+def _softmax_error(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Gradient of the log probability of the targets by the logits."""
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= -logits.sum(axis=1, keepdims=True)
+    logits[np.arange(len(target)), target] += 1
+    return logits
+
+
+class Trainer:
+    """Steps up the mean log probability with a rate for every parameter that falls with the gradients it has seen."""
+
+    def __init__(self, network: Network) -> None:
+        self.network = network
+        self.seen = {name: np.full(getattr(network, name).shape[:1] if name == "vectors" else getattr(network, name).shape, 1e-6, np.float32) for name in network.LEARNT}
+
+    def _move(self, name: str, at, gradient: np.ndarray) -> None:
+        seen = self.seen[name]
+        seen[at] += (gradient * gradient).mean(axis=1) if name == "vectors" else gradient * gradient
+        scale = RATE / np.sqrt(seen[at])
+        getattr(self.network, name)[at] += gradient * (scale[:, None] if name == "vectors" else scale)
+
+    def step(self, context: np.ndarray, target: np.ndarray) -> None:
+        net, n = self.network, len(target)
+        hidden = net.hidden(context)
+        error = _softmax_error(hidden @ net.out + net.bias, net.group[target])
+        back = error @ net.out.T
+        for c, rows, members in net.by_class(target):
+            own = hidden[rows]
+            within = _softmax_error(own @ net.words[c] + net.word_bias[c], members)
+            back[rows] += within @ net.words[c].T
+            self._move("words", c, own.T @ within / n)
+            self._move("word_bias", c, within.sum(axis=0) / n)
+        self._move("out", ..., hidden.T @ error / n)
+        self._move("bias", ..., error.sum(axis=0) / n)
+        back *= (1 - hidden * hidden) / n
+        self._move("inner", ..., back.sum(axis=0))
+        near = np.stack([(back * net.vectors[context[:, p]]).sum(axis=0) for p in range(len(_OFFSETS))])
+        flat = context.T.reshape(-1).astype(np.uint16)
+        order = np.argsort(flat, kind="stable")
+        sums = (back[None] * net.near[:, None]).reshape(-1, HIDDEN)[order]
+        flat = flat[order]
+        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        self._move("vectors", flat[first].astype(np.int64), np.add.reduceat(sums, first, axis=0))
+        self._move("near", ..., near)
+
+
+def _digests(words: Words, hashes: np.ndarray) -> list[bytes]:
+    raw = hashes.tobytes()
+    return [hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest() for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist())]
+
+
+def distinct_texts(texts: DataFrame, lexicon, shards: int) -> DataFrame:
+    """(shard, key, tokens) of every distinct sequence of words, in the order of keys within the shards; pinned."""
 
-def train(texts: DataFrame, vocabulary: Vocabulary, counts: np.ndarray, seed: int) -> Network:
-    """Rounds of local gradient steps over all documents and averaging; tasks' sums are added in a streaming step."""
-    spark = texts.sparkSession
-    shared_words = spark.sparkContext.broadcast(vocabulary)
-    network = Network.start(np.bincount(vocabulary.class_of, counts, CLASSES), seed)
-    schema = "part int, weight double, total binary"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            for _, _, buf, offsets in slices(batch.column(0)):
+                words = find_words(buf, offsets, lower=True)
+                hashes = word_hashes(words)
+                tokens, _ = lexicon.value.tokens(words, hashes)
+                keys, rows = [], []
+                for key, a, b in zip(_digests(words, hashes), words.first[:-1].tolist(), words.first[1:].tolist()):
+                    if b > a and key not in seen:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(key)
+                        keys.append(key)
+                        rows.append(tokens[a:b].tobytes())
+                shard = [int.from_bytes(k[:8], "little") % shards for k in keys]
+                yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())], names=["shard", "key", "tokens"])
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            take = []
+            for i, key in enumerate(batch.column(1).to_pylist()):
+                if key != last:
+                    take.append(i)
+                last = key
+            yield batch.take(pa.array(take, pa.int64()))
+
+    schema = "shard long, key binary, tokens binary"
+    return pin(texts.mapInArrow(run, schema).repartition("shard").sortWithinPartitions("shard", "key").mapInArrow(once, schema))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(shard, tokens, first token of each text) of runs of whole texts of one shard, CHUNK tokens or one text more."""
+    shard, held, size = None, [], 0
+    for batch in batches:
+        for own, raw in zip(batch.column(0).to_pylist(), batch.column(2)):
+            tokens = np.frombuffer(raw.as_buffer(), np.uint16)
+            if held and (own != shard or size >= CHUNK):
+                yield shard, np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])])
+                held, size = [], 0
+            shard = own
+            held.append(tokens)
+            size += len(tokens)
+    if held:
+        yield shard, np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])])
+
+
+def train(distinct: DataFrame, network: Network, border: int, seed: int) -> Network:
+    """Rounds of steps within the shards and averaging; a task adds up its shards, and sums meet in a streaming step."""
+    sc = distinct.sparkSession.sparkContext
+    parts = 64
     for number in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(network)
-        rate = RATE / (1 + number)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number, rate=rate) -> Iterator[pa.RecordBatch]:
-            own = Network.unpack(shared.value.pack())
-            class_of, seen = shared_words.value.class_of, 0
-            rng = np.random.default_rng([seed, number])
-            for batch in batches:
-                for _, _, buf, offsets in slices(batch.column(0)):
-                    words = find_words(buf, offsets, lower=True)
-                    classes = class_of[slots_of(words)].astype(np.int64)
-                    masked = np.flatnonzero(rng.integers(0, MASK_EVERY, len(classes)) == 0)
-                    rng.shuffle(masked)
-                    for i in range(0, len(masked), BATCH):
-                        at = masked[i:i + BATCH]
-                        own.learn(contexts(classes, words, at), classes[at], rate)
-                    seen += len(masked)
-            if seen:
-                total = own.pack().astype(np.float64) * seen
-                parts = np.array_split(total, 64)
+        shared = sc.broadcast(network)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
+            total, weight = None, 0
+            shard, own, targets = None, None, 0
+
+            def close() -> None:
+                nonlocal total, weight
+                if targets:
+                    found = own.network.pack() * targets
+                    total = found if total is None else total + found
+                    weight += targets
+
+            for at, tokens, first in _chunks(batches):
+                if at != shard:
+                    close()
+                    shard, targets, own = at, 0, Trainer(shared.value.unpack(shared.value.pack()))
+                    rng = np.random.default_rng([seed, number, at])
+                row, place = padded(tokens, first, border)
+                position = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
+                chosen = np.flatnonzero((position + number) % ROUNDS == 0)
+                rng.shuffle(chosen)
+                for i in range(0, len(chosen), BATCH):
+                    rows = chosen[i:i + BATCH]
+                    own.step(row[place[rows][:, None] + _OFFSETS], tokens[rows])
+                targets += len(chosen)
+            close()
+            release()
+            if total is not None:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(64), pa.int32()), pa.array([float(seen)] * 64), pa.array([x.tobytes() for x in parts], pa.binary())], names=["part", "weight", "total"])
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, tuple[float, np.ndarray]] = {}
-            for batch in batches:
-                for part, weight, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                    found = np.frombuffer(raw.as_buffer(), np.float64)
-                    old = sums.get(part, (0.0, 0.0))
-                    sums[part] = (old[0] + weight, old[1] + found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array([w for w, _ in sums.values()], pa.float64()), pa.array([x.tobytes() for _, x in sums.values()], pa.binary())], names=["part", "weight", "total"])
-
-        parts = sorted(texts.mapInArrow(run, schema).repartition("part").mapInArrow(add, schema).collect())
-        if parts:
-            network = Network.unpack(np.concatenate([np.frombuffer(p.total, np.float64) / p.weight for p in parts]))
+                    [pa.array(range(parts), pa.int32()), pa.array([float(weight)] * parts), pa.array([x.tobytes() for x in np.array_split(total, parts)], pa.binary())],
+                    names=["part", "weight", "total"])
+
+        dealt = distinct.repartition("shard").sortWithinPartitions("shard", "key")
+        found = _added(dealt.mapInArrow(run, "part int, weight double, total binary"), np.float64)
+        if found:
+            network = network.unpack(np.concatenate([found[p][1] / found[p][0] for p in range(parts)]))
     return network
 
 
-def pseudo_likelihood(docs: DataFrame, text: str = "text", seed: int = 9) -> DataFrame:
-    """Add ``n_words``, ``pseudo_log_likelihood`` (natural log, summed over the words) and ``mean_log_probability``.
+# ---- scores
+
+def _runs(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of one occurrence, number of occurrences) of the words of each document."""
+    order = np.lexsort((hashes, doc))
+    d, h = doc[order], hashes[order]
+    first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])[:len(d)])
+    return order[first], np.diff(np.append(first, len(d)))
+
+
+def _rare_rows(texts: DataFrame, lexicon) -> DataFrame:
+    """(h, key, c) of the words that the tasks do not know, once per distinct text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            for _, _, buf, offsets in slices(batch.column(0)):
+                words = find_words(buf, offsets, lower=True)
+                hashes = word_hashes(words)
+                rare = np.flatnonzero(lexicon.value.tokens(words, hashes)[1] == 0)
+                keys = _digests(words, hashes)
+                doc = words.doc()[rare]
+                one, c = _runs(doc, hashes[rare])
+                new = np.zeros(len(keys), bool)
+                for d in np.unique(doc).tolist():
+                    if keys[d] not in seen:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(keys[d])
+                        new[d] = True
+                take = new[doc[one]]
+                one, c = one[take], c[take]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[rare][one].view(np.int64)), pa.array(keys, pa.binary()).take(pa.array(doc[one])), pa.array(c, pa.int64())], names=["h", "key", "c"])
+
+    return texts.mapInArrow(run, "h long, key binary, c long")
+
+
+def _rare_sums(texts: DataFrame, counts: DataFrame, lexicon, shape_n: list[int], shape_words: list[int]) -> DataFrame:
+    """Per text (key): log shares and number of unseen words among those that tasks do not know, from the table.
+
+    No word of it is hot: each is rarer than every one of the KNOWN words.
+    """
+    rows = _rare_rows(texts, lexicon).repartition("h").dropDuplicates(["h", "key"])
+    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("shape") + 1)
+    logs = F.col("c") * F.log(share(F.col("n"), F.col("c"), pick(shape_n), pick(shape_words)))
+    return rows.join(counts, "h").groupBy("key").agg(
+        F.sum(logs).alias("_rare"), F.sum(F.when(F.col("n") == F.col("c"), F.col("c")).otherwise(0)).alias("_unseen"))
+
+
+def pseudo_likelihood(
+    docs: DataFrame, text: str = "text", carry: list[str] | None = None, seed: int = 9, head: int = HEAD, known: int = KNOWN, shard_tokens: int = SHARD_TOKENS,
+) -> DataFrame:
+    """The columns ``carry`` (None: all) of ``docs`` with ``n_words``, ``n_unseen`` (words no other row has), ``pseudo_log_likelihood``
+    (natural log, summed over the words), ``mean_log_probability`` and ``unseen_share``.
 
     The model is trained on all rows of ``docs`` while the plan is built.
     """
+    spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(text)
-    counts = slot_counts(texts)
-    vocabulary = Vocabulary.of(counts)
-    network = train(texts, vocabulary, counts, seed)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network))
-    new = ("n_words", "pseudo_log_likelihood", "mean_log_probability")
-    source = docs.columns.index(text)
-    keep = [i for i, c in enumerate(docs.columns) if c.lower() not in new]
-    schema = T.StructType([docs.schema[i] for i in keep] + [T.StructField(new[0], T.LongType(), False), T.StructField(new[1], T.DoubleType(), False)])
-    positions = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    counts = pin(word_counts(texts))
+    own = Lexicon.of(counts, head, known)
+    lexicon = spark.sparkContext.broadcast(own)
+    total = int(own.head_n.sum() + own.shape_n.sum())
+    distinct = distinct_texts(texts, lexicon, max(1, total // shard_tokens))
+    classes = classes_of(company(distinct, own.head, own.border)) if own.head else []
+    network = train(distinct, Network.start(classes, own, seed), own.border, seed)
+    shared = spark.sparkContext.broadcast(network)
+
+    new = ("n_words", "n_unseen", "pseudo_log_likelihood", "mean_log_probability", "unseen_share")
+    names = docs.columns if carry is None else carry
+    keep = [c for c in names if c.lower() not in new]
+    kept = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
+    schema = T.StructType([*kept, T.StructField("key", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("seen", T.LongType()), T.StructField("logs", T.DoubleType())])
+    rows = docs.select(F.col(text).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, net = shared.value
+        lex, net = lexicon.value, shared.value
         for batch in batches:
-            for i, j, buf, offsets in slices(batch.column(source)):
+            for i, j, buf, offsets in slices(batch.column(0)):
                 words = find_words(buf, offsets, lower=True)
-                slots = slots_of(words)
-                classes = words_of.class_of[slots].astype(np.int64)
-                logs = words_of.log_share[slots].astype(np.float64)
-                for a in range(0, len(slots), 4 * BATCH):
-                    at = np.arange(a, min(a + 4 * BATCH, len(slots)))
-                    _, p = net.forward(contexts(classes, words, at))
-                    logs[at] += np.log(np.maximum(p[np.arange(len(at)), classes[at]], 1e-30))
+                hashes = word_hashes(words)
+                tokens, n = lex.tokens(words, hashes)
+                row, place = padded(tokens, words.first, lex.border)
+                logs = np.zeros(len(tokens))
+                for a in range(0, len(tokens), CHUNK):
+                    b = min(a + CHUNK, len(tokens))
+                    logs[a:b] = net.logs(row[place[a:b, None] + _OFFSETS], tokens[a:b])
+                # shares of the words of shapes, without the document's own occurrences
+                shaped = np.flatnonzero((tokens >= lex.head) & (n > 0))
+                doc = words.doc()[shaped]
+                one, c = _runs(doc, hashes[shaped])
+                at = shaped[one]
+                shape = tokens[at].astype(np.int64) - lex.head
+                more = c * np.log(share(n[at], c, lex.shape_n[shape], lex.shape_words[shape]))
+                size = len(words.counts)
+                known_logs = np.bincount(doc[one], more, size)
+                unseen = np.bincount(doc[one], np.where(n[at] == c, c, 0), size).astype(np.int64)
                 ends = np.concatenate([[0.0], np.cumsum(logs)])
-                sums = ends[words.first[1:]] - ends[words.first[:-1]]
-                out = [batch.column(k).slice(i, j - i) for k in keep]
-                yield pa.RecordBatch.from_arrays(out + [pa.array(words.counts), pa.array(np.where(words.counts > 0, sums, 0.0))], names=schema.fieldNames())
-
-    scored = positions.mapInArrow(run, schema)
-    return scored.withColumn(new[2], F.when(F.col(new[0]) > 0, F.col(new[1]) / F.col(new[0])))
+                sums = np.where(words.counts > 0, ends[words.first[1:]] - ends[words.first[:-1]], 0.0) + known_logs
+                # only texts with words beyond the known ones have a key
+                rare = np.bincount(words.doc()[n == 0], minlength=size) > 0
+                keys = [k if r else None for k, r in zip(_digests(words, hashes), rare.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(k + 1).slice(i, j - i) for k in range(len(keep))]
+                    + [pa.array(keys, pa.binary()), pa.array(words.counts), pa.array(unseen), pa.array(sums)], names=schema.fieldNames())
+
+    scored = pin(rows.mapInArrow(run, schema).withColumn("nonce", F.monotonically_increasing_id()))
+    rare = pin(_rare_sums(texts, counts, lexicon, own.shape_n.tolist(), own.shape_words.tolist()))
+    plain, joined = scored.where("key is null"), scored.where("key is not null")
+    none = plain.select("*", F.lit(0.0).alias("_rare"), F.lit(0).cast("long").alias("_unseen"))
+    whole = none.unionByName(spread_join(joined, rare, "key", floor=FLOOR).select(none.columns))
+    words, logs = F.col("n"), F.col("logs") + F.col("_rare")
+    unseen = F.col("seen") + F.col("_unseen")
+    return whole.select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)],
+        words.alias(new[0]), unseen.alias(new[1]), logs.alias(new[2]),
+        F.when(words > 0, logs / words).alias(new[3]), F.when(words > 0, unseen / words).alias(new[4]))

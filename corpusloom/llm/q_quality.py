@@ -18,4 +18,4 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_pseudo_likelihood")
 def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudo_likelihood(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).drop("text")
+    return pseudo_likelihood(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), carry=["doc_id"])

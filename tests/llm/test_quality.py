@@ -1,14 +1,19 @@
 """Quality classifier, pseudo-likelihood scores."""
 
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 
 from corpusloom.llm import q_quality
-from corpusloom.llm.pseudo_likelihood import CLASSES, Network, Vocabulary, contexts, pseudo_likelihood
+from corpusloom.llm.pseudo_likelihood import (
+    SHAPES, Lexicon, Network, Trainer, classes_of, company, distinct_texts, padded, pseudo_likelihood, train, word_counts,
+)
 from corpusloom.llm.quality import FEATURE_BITS, features, fit, quality_scores
 from corpusloom.llm.words import find_words, run_hashes, run_starts, slices, word_hashes
+from corpusloom.session import pin
 
 SF = "/root/testdata/sf0.01"
 
@@ -78,40 +83,141 @@ def test_quality_defined_cases(spark):
     assert quality_scores(docs.limit(0), labels).collect() == []
 
 
-def test_network_learns_and_its_probabilities_sum_to_one():
-    texts = ["the cat sat on the mat"] * 300 + ["a dog ran in a park"] * 300
+def small_model(spark, texts, **kw):
+    """Lexicon and trained network of some texts, as the operator makes them."""
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = pin(word_counts(df))
+    lexicon = Lexicon.of(counts, kw.get("head", 4096), kw.get("known", 1 << 18))
+    distinct = distinct_texts(df, spark.sparkContext.broadcast(lexicon), 1)
+    classes = classes_of(company(distinct, lexicon.head, lexicon.border))
+    start = Network.start(classes, lexicon, 9)
+    return lexicon, classes, start, train(distinct, start, lexicon.border, 9)
+
+
+def corpus(n=400, words=300, seed=3):
+    """Texts of a chain in which the word before and the word behind tell much about a word; rare words between."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        at, text = int(rng.integers(words)), []
+        for _ in range(int(rng.integers(5, 60))):
+            at = (at * 7 + int(rng.integers(3))) % words
+            text.append(f"w{at}" if rng.random() < 0.9 else f"{['no', 'Ya', 'x9', 'zz!'][at % 4]}{at}{i if at % 2 else ''}")
+        out.append(" ".join(text))
+    return out
+
+
+def test_network_probabilities_sum_to_one_and_training_beats_shares_of_words(spark):
+    texts = corpus()
+    lexicon, classes, start, net = small_model(spark, texts, head=200)
+    assert sorted(np.concatenate(classes).tolist()) == list(range(200)) and max(map(len, classes)) <= 64
     (words,) = split(texts, lower=True)
-    slots = word_hashes(words) >> np.uint64(64 - 18)
-    counts = np.bincount(slots.astype(np.int64), minlength=1 << 18)
-    vocabulary = Vocabulary.of(counts)
-    share = np.bincount(vocabulary.class_of, np.exp(vocabulary.log_share.astype(float)), CLASSES)
-    assert np.allclose(share[:-1], 1, atol=1e-3)
-    classes = vocabulary.class_of[slots.astype(np.int64)].astype(np.int64)
-    around = contexts(classes, words, np.arange(len(classes)))
-    assert (around[0, :2] == CLASSES - 1).all() and (around[5, 2:] == CLASSES - 1).all() and around[1, 1] == classes[0]
-    net = Network.start(np.bincount(vocabulary.class_of, counts, CLASSES), 1)
-    before = np.log(net.forward(around)[1][np.arange(len(classes)), classes]).mean()
-    for _ in range(60):
-        net.learn(around, classes, 0.5)
-    p = net.forward(around)[1]
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-4) and np.log(p[np.arange(len(classes)), classes]).mean() > before + 0.5
-    again = Network.unpack(net.pack())
-    assert np.array_equal(again.forward(around[:5])[1], net.forward(around[:5])[1])
+    tokens, n = lexicon.tokens(words, word_hashes(words))
+    assert (n > 0).all() and set(tokens.tolist()) <= set(range(200 + SHAPES))
+    row, place = padded(tokens, words.first, lexicon.border)
+    around = row[place[:, None] + np.array([-2, -1, 1, 2])]
+    assert (around[0, :2] == lexicon.border).all() and around[1, 1] == tokens[0] and (around[words.first[1] - 1, 2:] == lexicon.border).all()
+    every = np.arange(200 + SHAPES)
+    for context in around[:5]:
+        p = np.exp(net.logs(np.repeat(context[None], len(every), axis=0), every))
+        assert abs(p.sum() - 1) < 1e-4 and (p > 0).all()
+    assert net.logs(around, tokens).mean() > start.logs(around, tokens).mean() + 0.2
+    # a changed neighbour changes the prediction: words are predicted and seen as words
+    other = around.copy()
+    other[:, 1] = (other[:, 1] + 1) % 200
+    assert np.abs(net.logs(other, tokens) - net.logs(around, tokens)).max() > 0.1
+    again = net.unpack(net.pack())
+    assert np.array_equal(again.logs(around, tokens), net.logs(around, tokens))
+
+
+def test_gradients_agree_with_differences(spark):
+    lexicon, _, start, net = small_model(spark, corpus(60, 40), head=30)
+    rng = np.random.default_rng(0)
+    context, target = rng.integers(0, 30 + SHAPES + 1, (50, 4)), rng.integers(0, 30 + SHAPES, 50)
+    moved = {}
+    trainer = Trainer(net.unpack(net.pack()))
+    trainer._move = lambda name, at, gradient: moved.setdefault(name, []).append((at, gradient.astype(float)))
+    trainer.step(context, target)
+    for name, place in (("inner", (3,)), ("near", (1, 5)), ("out", (2, 1)), ("bias", (0,)), ("words", (0, 4, 3)), ("word_bias", (0, 2))):
+        ends = []
+        for step in (1e-2, -1e-2):
+            other = net.unpack(net.pack())
+            getattr(other, name)[place] += step
+            ends.append(other.logs(context, target).mean())
+        at, gradient = moved[name][0]
+        found = gradient[place[1:]] if name in ("words", "word_bias") else gradient[place]
+        assert abs((ends[0] - ends[1]) / 2e-2 - found) < 2e-4
+    rows, gradient = moved["vectors"][0]
+    ends = []
+    for step in (1e-2, -1e-2):
+        other = net.unpack(net.pack())
+        other.vectors[rows[2], 6] += step
+        ends.append(other.logs(context, target).mean())
+    assert abs((ends[0] - ends[1]) / 2e-2 - gradient[2, 6]) < 2e-4
+
+
+def test_scores_equal_brute_force_in_any_split(spark):
+    texts = corpus(200) + ["w1 W2  w1 lonely9 lonely9", "w1 W2  w1 lonely9 lonely9", "", None]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    lexicon, _, _, net = small_model(spark, texts, head=100, known=150)
+    lists = {i: (t or "").lower().split() for i, t in rows}
+    total = Counter(w for ws in lists.values() for w in ws)
+    (words,) = split(texts, lower=True)
+    token_of = dict(zip((w for ws in lists.values() for w in ws), lexicon.tokens(words, word_hashes(words))[0].tolist()))
+    by_shape = {}
+    for w, t in token_of.items():
+        if t >= 100:
+            n, k = by_shape.get(t, (0, 0))
+            by_shape[t] = n + total[w], k + 1
+    assert 100 < len(lexicon.hashes) <= 150 < len(total)  # head, known and joined words
+    found = []
+    for parts, seed in ((1, 0), (7, 1)):
+        mixed = [rows[k] for k in np.random.default_rng(seed).permutation(len(rows)).tolist()]
+        df = spark.createDataFrame(mixed, "doc_id long, text string").repartition(parts)
+        found.append({r.doc_id: r for r in pseudo_likelihood(df, carry=["doc_id"], head=100, known=150).collect()})
+    for i, ws in lists.items():
+        own, logs, unseen = Counter(ws), 0.0, 0
+        line = [lexicon.border] * 2 + [token_of[w] for w in ws] + [lexicon.border] * 2
+        for p, w in enumerate(ws):
+            context = np.array([[line[p], line[p + 1], line[p + 3], line[p + 4]]])
+            logs += float(net.logs(context, np.array([token_of[w]]))[0])
+            if token_of[w] >= 100:
+                n, k = by_shape[token_of[w]]
+                logs += math.log((total[w] - own[w] + 0.5) / (n - own[w] + 0.5 * k))
+                unseen += total[w] == own[w]
+        for got in found:
+            assert (got[i].n_words, got[i].n_unseen) == (len(ws), unseen)
+            assert abs(got[i].pseudo_log_likelihood - logs) < 1e-3 * max(1, len(ws)) and set(got[i].asDict()) == {"doc_id", "n_words", "n_unseen", "pseudo_log_likelihood", "mean_log_probability", "unseen_share"}
+    assert found[0][200].n_unseen == 0  # its copy has the same words
+    assert all(abs(found[0][i].pseudo_log_likelihood - found[1][i].pseudo_log_likelihood) < 1e-4 * max(1, len(ws)) for i, ws in lists.items())
 
 
 def test_scores_tell_order_from_disorder(spark):
     rng = np.random.default_rng(1)
     lines = ["red green blue one two three"] * 20
-    rows = [(i, " ".join(lines)) for i in range(150)]
+    rows = [(i, " ".join(lines[:20 - i % 10])) for i in range(150)]
     mixed = " ".join(lines).split()
     rng.shuffle(mixed)
-    rows += [(1000, " ".join(mixed)), (1001, None), (1002, " \n"), (0, " ".join(lines)), (None, "red")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS N_Words").repartition(2)
+    rows += [(1000, " ".join(mixed)), (1001, None), (1002, " \n"), (0, " ".join(lines)), (None, "red"), (1003, "a " * 30000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS N_Words", "'x' AS key", "doc_id AS c0").repartition(2)
     got = {r.doc_id: r for r in pseudo_likelihood(df).collect()}
-    assert got[1000].mean_log_probability < got[5].mean_log_probability
-    assert got[5].n_words == 120 and abs(got[5].pseudo_log_likelihood - 120 * got[5].mean_log_probability) < 1e-6
+    assert got[1000].mean_log_probability < got[10].mean_log_probability
+    assert got[10].n_words == 120 and abs(got[10].pseudo_log_likelihood - 120 * got[10].mean_log_probability) < 1e-6
+    assert got[10].key == "x" and got[10].c0 == 10 and got[10].text == " ".join(lines) and got[1003].n_words == 30000
     assert (got[1001].n_words, got[1001].pseudo_log_likelihood, got[1001].mean_log_probability) == (0, 0.0, None) and got[1002].n_words == 0
     assert pseudo_likelihood(df.limit(0)).collect() == []
+    empty = pseudo_likelihood(spark.createDataFrame([(1, None), (1, "")], "doc_id long, text string")).collect()
+    assert [(r.n_words, r.n_unseen, r.unseen_share) for r in empty] == [(0, 0, None)] * 2
+
+
+def test_documents_that_occur_twice_are_told_apart(spark):
+    rows = {r.doc_id: r for r in q_quality.op2_pseudo_likelihood(spark, SF).collect()}
+    texts = dict(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    times = Counter(texts.values())
+    once = sorted(rows[i].unseen_share for i, t in texts.items() if times[t] == 1 and t)
+    bar = once[len(once) // 10]  # nine in ten documents without a copy lie above
+    twice = [rows[i].unseen_share for i, t in texts.items() if times[t] == 2]
+    assert len(twice) > 20 and sum(x <= bar for x in twice) / len(twice) > 0.95
 
 
 def test_pseudo_likelihood_query_scores_every_document(spark):
