@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.words import Words, find_words, release, slices, small_batches, word_hashes
+from corpusloom.llm.words import Words, find_words, one_thread, release, slices, small_batches, word_hashes
 from corpusloom.operators.skew import spread_join
 from corpusloom.session import pin
 
@@ -53,8 +53,8 @@ COMPANY = 64
 SPAN = 2
 HIDDEN = 24
 ROUNDS = 2
-BATCH = 2048
-RATE = 0.1
+BATCH = 4096
+RATE = 0.15
 SHARD_TOKENS = 1_000_000
 #: tokens of whole texts that a worker trains on or scores at a time
 CHUNK = 1 << 15
@@ -363,23 +363,26 @@ class Trainer:
         hidden = net.hidden(context)
         error = _softmax_error(hidden @ net.out + net.bias, net.group[target])
         back = error @ net.out.T
+        words, word_bias = np.zeros_like(net.words), np.zeros_like(net.word_bias)
         for c, rows, members in net.by_class(target):
             own = hidden[rows]
             within = _softmax_error(own @ net.words[c] + net.word_bias[c], members)
             back[rows] += within @ net.words[c].T
-            self._move("words", c, own.T @ within / n)
-            self._move("word_bias", c, within.sum(axis=0) / n)
+            np.matmul(own.T, within, out=words[c])
+            within.sum(axis=0, out=word_bias[c])
+        self._move("words", ..., words / n)
+        self._move("word_bias", ..., word_bias / n)
         self._move("out", ..., hidden.T @ error / n)
         self._move("bias", ..., error.sum(axis=0) / n)
         back *= (1 - hidden * hidden) / n
         self._move("inner", ..., back.sum(axis=0))
-        near = np.stack([(back * net.vectors[context[:, p]]).sum(axis=0) for p in range(len(_OFFSETS))])
+        near = np.stack([np.einsum("ij,ij->j", back, net.vectors[context[:, p]]) for p in range(len(_OFFSETS))])
         flat = context.T.reshape(-1).astype(np.uint16)
         order = np.argsort(flat, kind="stable")
-        sums = (back[None] * net.near[:, None]).reshape(-1, HIDDEN)[order]
         flat = flat[order]
         first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        self._move("vectors", flat[first].astype(np.int64), np.add.reduceat(sums, first, axis=0))
+        sums = (back[None] * net.near[:, None]).reshape(-1, HIDDEN)
+        self._move("vectors", flat[first].astype(np.int64), np.add.reduceat(sums[order], first, axis=0))
         self._move("near", ..., near)
 
 
@@ -447,6 +450,7 @@ def train(distinct: DataFrame, network: Network, border: int, seed: int) -> Netw
         shared = sc.broadcast(network)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
+            one_thread()
             total, weight = None, 0
             shard, own, targets = None, None, 0
 
@@ -562,6 +566,7 @@ def pseudo_likelihood(
     rows = docs.select(F.col(text).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         lex, net = lexicon.value, shared.value
         for batch in batches:
             for i, j, buf, offsets in slices(batch.column(0)):

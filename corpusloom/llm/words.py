@@ -9,6 +9,7 @@ form feed and carriage return. NULL texts count as empty.
 from __future__ import annotations
 
 import ctypes
+import glob
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -97,6 +98,18 @@ def release() -> None:
         _TRIM(0)
 
 
+def one_thread() -> None:
+    """Let this Python worker's matrix products run on the core of its task alone, where numpy brings OpenBLAS along.
+
+    Its further threads wait busily for products this small, on cores that belong to other tasks.
+    """
+    for path in glob.glob(f"{np.__path__[0]}.libs/*openblas*"):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole texts with about ``limit`` bytes each; then ``release``."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
