@@ -167,7 +167,8 @@ def incremental_enrich_query(spark, sf):
 
     run = shared_path(spark, "enrich")
     schema = table(spark, sf, "documents").schema
-    return incremental_enrich(spark, sf, f"{run}/out", f"{run}/progress", schema, enrich, "doc_id", "documents.parquet")
+    # the table may be one file or a folder of files; a stream takes a single file only as a pattern
+    return incremental_enrich(spark, f"{sf}/{{documents.parquet}}", f"{run}/out", f"{run}/progress", schema, enrich, "doc_id", "*")
 
 
 @query("find_entry", """

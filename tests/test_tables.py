@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom import schemas
 from corpusloom.functions.text import term_line_scan
 from corpusloom.operators import linkage, maintenance, stats, taxonomy, worklist
-from corpusloom.plans import q_sources
+from corpusloom.plans import QUERIES, q_sources
 from corpusloom.sources import keyed, readers, writers
 from corpusloom.streaming import enrich
 from corpusloom.streaming.enrich import incremental_enrich
@@ -267,6 +267,13 @@ def test_incremental_equals_batch_and_runs_once(spark, tmp_path):
     assert rows(run()) == rows(hits(docs))
 
 
+def test_incremental_query_reads_a_table_of_several_files(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    want = rows(QUERIES["incremental_enrich"](spark, "/root/testdata/sf0.001"))
+    assert rows(QUERIES["incremental_enrich"](spark, str(tmp_path))) == want and len(want) == docs.count()
+
+
 def test_a_batch_touches_only_its_buckets(spark, tmp_path):
     out = str(tmp_path / "out")
     df = lambda pairs: spark.createDataFrame(pairs, "k int, v string")
