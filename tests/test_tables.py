@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from corpusloom import schemas
 from corpusloom.functions.text import term_line_scan
-from corpusloom.operators import linkage, maintenance, stats, taxonomy, worklist
+from corpusloom.operators import linkage, maintenance, skew, stats, taxonomy, worklist
 from corpusloom.plans import QUERIES, q_sources
+from corpusloom.session import spread
 from corpusloom.sources import keyed, readers, writers
 from corpusloom.streaming import enrich
 from corpusloom.streaming.enrich import incremental_enrich
@@ -23,6 +24,46 @@ def rows(df):
 # --- sources and sinks --------------------------------------------------------------------------
 
 
+def test_usual_records_parse_as_the_xml_parser_does(spark):
+    cf, sub = '<controlfield tag="001">{}</controlfield>', '<datafield tag="245" ind1="1" ind2=" "><subfield code="a">{}</subfield></datafield>'
+    values = ["x", " x ", "a &amp; b", 'say "x"', "back\\slash", "ü ", "tab\there", "  ", "", "a\u0001b", "a>b", "<![CDATA[x]]>", "null", "{[,]}"]
+    texts = [f"<record>{cf.format(a)}{sub.format(b)}</record>" for a in values for b in values]
+    texts += [f"<record>\n  <leader>l</leader>\r\n\t{cf.format(1)}\n{sub.format('x')}\n{sub.format('y')}\n</record>", f"<record>{sub.format('x')}{cf.format('1')}</record>",
+              f"<record>{cf.format(1)}</record>", f"<record>{cf.format(1)}{sub.format('x')}", '<record><controlfield tag="">1</controlfield></record>',
+              f'<record>{cf.format(1)}<datafield ind1="1" tag="245" ind2="0"><subfield code="a">x</subfield></datafield></record>']
+    df = spark.createDataFrame([(t,) for t in texts], "xml string")
+    options = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt"}
+    both = df.select(readers._parsed(F.col("xml")).alias("a"), F.from_xml("xml", f"{schemas.MARC}, _corrupt STRING", options).alias("b"), F.col("xml").rlike(readers._USUAL).alias("usual")).collect()
+    assert [r.a for r in both] == [r.b for r in both]
+    assert sum(r.usual for r in both) > 20
+
+
+def test_csv_without_line_breaks_stays_where_it_is_read(spark, tmp_path):
+    text = "doc_idn,gnd_idn,gnd_label\n" + "".join(f'{i},{i},"a, b"\n' for i in range(100))
+    for n in range(3):
+        (tmp_path / f"{n}.csv").write_text(text)
+    df = readers.link_csv_scan(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Window" not in plan and df.count() == 300
+
+
+def test_small_files_are_listed_once(spark, tmp_path):
+    (tmp_path / "d" / "e").mkdir(parents=True)
+    (tmp_path / "a.txt").write_text("a\nb\n")
+    (tmp_path / "d" / "e" / "b.txt").write_text("c")
+    for df in (readers.text_corpus_scan(spark, str(tmp_path), "*.txt"), readers.binary_doc_scan(spark, str(tmp_path), 5, "*.txt")):
+        assert df.count() == 2 and "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
+    folders = {p.split("/corpus-")[1].split("/")[1] for p in spark.read.text(q_sources._bounded_files(spark, "/root/testdata/sf0.001"), recursiveFileLookup=True).inputFiles()}
+    assert folders == {"folder=0"}
+
+
+def test_records_of_few_large_splits_get_tasks_by_their_number(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert spread(df, "id", 20).rdd.getNumPartitions() == 50 and spread(df, "id", 20).count() == 1000
+    assert spread(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_marc_scan_splits_one_file_by_record(spark, tmp_path):
     body = "".join(f'<record>\n<controlfield tag="001">{i}</controlfield></record>\n' for i in range(500))
     (tmp_path / "all.xml").write_text(f'<?xml version="1.0"?>\n<collection xmlns="http://www.loc.gov/MARC21/slim">{body}</collection>\n')
@@ -167,6 +208,20 @@ def test_reject_split_accounts_for_every_row(spark):
     assert maintenance.load_if_empty(raw.where("false"), raw).count() == len(data)
 
 
+def test_tasks_of_reject_split_and_duplicate_report_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 10)
+    raw = spark.range(1000).selectExpr("CAST(id % 400 AS STRING) AS k", "CASE WHEN id % 7 = 0 THEN 'x' ELSE CAST(id % 9 AS STRING) END AS n")
+    raw = raw.unionByName(raw.where("n = '3'"))
+    one, other = (maintenance.reject_split(raw, {"k": "int", "n": "int"}, "k", key_rows=n) for n in (100_000, 0))
+    assert one[0].rdd.getNumPartitions() > 80
+    assert rows(one[0]) == rows(other[0]) and rows(one[1]) == rows(other[1])
+    assert "REPARTITION_BY_NUM" in linkage.duplicate_report(raw, ["k"])._jdf.queryExecution().executedPlan().toString()
+    want = (raw.count() - raw.distinct().count(), raw.count() - 400)
+    assert tuple(linkage.duplicate_report(raw, ["k"]).first()) == want
+    monkeypatch.setattr(linkage, "deal", lambda df, keys: None)
+    assert tuple(linkage.duplicate_report(raw, ["k"]).first()) == want
+
+
 # --- worklists ----------------------------------------------------------------------------------
 
 
