@@ -30,10 +30,15 @@ FIELDS = (
 )
 
 
+def _first(entries: Column, name: str, value: str) -> Column:
+    """The first of the structs ``entries`` whose field ``name`` is ``value``."""
+    return F.get(entries, F.array_position(entries[name], value).cast("int") - 1)
+
+
 def marc_control(tag: str, fields: Column | None = None) -> Column:
     """Text of the first control field with ``tag``; an empty one is NULL."""
     source = F.col("controlfield") if fields is None else fields
-    return F.nullif(F.get(F.filter(source, lambda f: f["_tag"] == tag), F.lit(0))["_VALUE"], F.lit(""))
+    return F.nullif(_first(source, "_tag", tag)["_VALUE"], F.lit(""))
 
 
 def marc_subfield(tag: str, code: str, ind1: str | None = None, ind2: str | None = None,
@@ -45,14 +50,12 @@ def marc_subfield(tag: str, code: str, ind1: str | None = None, ind2: str | None
     """
     source = F.col("datafield") if fields is None else fields
 
-    def wanted(field):
-        hit = field["_tag"] == tag
-        if ind1 is not None and ind2 is not None:
-            hit = hit & (field["_ind1"] == ind1) & (field["_ind2"] == ind2)
-        return hit
-
-    first = F.get(F.filter(source, wanted), F.lit(0))
-    return F.get(F.filter(first["subfield"], lambda s: s["_code"] == code), F.lit(0))["_VALUE"]
+    if ind1 is None or ind2 is None:
+        first = _first(source, "_tag", tag)
+    else:
+        hit = lambda f: (f["_tag"] == tag) & (f["_ind1"] == ind1) & (f["_ind2"] == ind2)
+        first = F.get(F.filter(source, hit), F.lit(0))
+    return _first(first["subfield"], "_code", code)["_VALUE"]
 
 
 def marc_year() -> Column:
