@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import global_position
+from corpusloom.operators.skew import KEY_ROWS, deal
 
 
 
@@ -54,13 +55,15 @@ def add_column(df: DataFrame, name: str, dtype: str) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(dtype))
 
 
-def reject_split(df: DataFrame, types: dict[str, str], key: str) -> tuple[DataFrame, DataFrame]:
+def reject_split(df: DataFrame, types: dict[str, str], key: str, key_rows: int = KEY_ROWS) -> tuple[DataFrame, DataFrame]:
     """Load-time checks in one pass -> (valid, rejected).
 
     Reasons, first match: a column that does not cast to its type, a NULL key, a repeated key.
     Of a repeated key the smallest row is kept. ``rejected`` has one row per different bad row
-    with ``reason`` and ``copies``, so valid rows plus copies add up to the input. Copies are
-    folded before any shuffle and no join is needed, hence no key can be hot.
+    with ``reason`` and ``copies``, so valid rows plus copies add up to the input.
+
+    Rows are dealt to tasks by key, as many tasks as they need. If a key may have more than ``key_rows`` rows, copies are
+    folded before any shuffle instead; no join is needed, hence no key can be hot. Counts rows while it is built.
     """
     cols = list(types)
     bad = None
@@ -68,20 +71,23 @@ def reject_split(df: DataFrame, types: dict[str, str], key: str) -> tuple[DataFr
         test = F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()
         bad = F.when(test, f"type:{c}") if bad is None else bad.when(test, f"type:{c}")
     reason = bad.when(F.col(key).isNull(), "null key")
-    folded = df.withColumn("reason", reason).groupBy(*cols, "reason").agg(F.count("*").alias("copies"))
-
-    typed = folded.where("reason IS NULL").select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()], "copies")
-    typed = typed.groupBy(*cols).agg(F.sum("copies").alias("copies"))
-    valid = _one_per_key(typed.select(*cols), key).select(*cols)
-
-    surplus = (
-        typed.unionByName(valid.withColumn("copies", F.lit(-1).cast("bigint")))
-        .groupBy(*cols)
-        .agg(F.sum("copies").alias("copies"))
-        .where("copies > 0")
-        .select(*[F.col(c).cast("string").alias(c) for c in cols], F.lit("duplicate key").alias("reason"), "copies")
-    )
-    broken = folded.where("reason IS NOT NULL").select(*[F.col(c).cast("string").alias(c) for c in cols], "reason", "copies")
+    judged = df.select(*cols).withColumn("reason", reason)
+    typed = judged.where("reason IS NULL").select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()])
+    dealt = deal(typed, key, key_rows)
+    if dealt is not None:
+        smallest = Window.partitionBy(key).orderBy(*[c for c in cols if c != key] or [key])
+        ranked = dealt.groupBy(*cols).agg(F.count("*").alias("copies")).withColumn("_rank", F.row_number().over(smallest))
+        valid = ranked.where("_rank = 1").select(*cols)
+        surplus = ranked.withColumn("copies", F.when(F.col("_rank") == 1, F.col("copies") - 1).otherwise(F.col("copies")))
+    else:
+        folded = typed.groupBy(*cols).agg(F.count("*").alias("copies"))
+        valid = _one_per_key(folded.select(*cols), key).select(*cols)
+        less = valid.withColumn("copies", F.lit(-1).cast("bigint"))
+        surplus = folded.unionByName(less).groupBy(*cols).agg(F.sum("copies").alias("copies"))
+
+    text = [F.col(c).cast("string").alias(c) for c in cols]
+    surplus = surplus.where("copies > 0").select(*text, F.lit("duplicate key").alias("reason"), "copies")
+    broken = judged.where("reason IS NOT NULL").groupBy(*cols, "reason").agg(F.count("*").alias("copies")).select(*text, "reason", "copies")
     return valid, broken.unionByName(surplus)
 
 
