@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.scalar import percent, rounded_ratio
 from corpusloom.operators.maintenance import surrogate_key
 from corpusloom.operators.pages import PAGE_SIZE, paged
-from corpusloom.operators.skew import spread_join
+from corpusloom.operators.skew import deal, spread_join
 from corpusloom.operators.stats import with_share
 
 
@@ -34,8 +34,12 @@ def entity_dedup(links: DataFrame, key: str = "gnd_idn", label: str = "gnd_label
 
 
 def duplicate_report(links: DataFrame, keys) -> DataFrame:
-    """Superfluous rows: exact copies, and repeats of ``keys`` (all but the first of each)."""
-    exact = links.groupBy(*links.columns).agg(F.count("*").alias("_n"))
+    """Superfluous rows: exact copies, and repeats of ``keys`` (all but the first of each).
+
+    Rows are dealt to tasks by ``keys``, as many tasks as they need, unless one may be too frequent. Counts rows while it is built.
+    """
+    dealt = deal(links, keys)
+    exact = (links if dealt is None else dealt).groupBy(*links.columns).agg(F.count("*").alias("_n"))
     by_key = exact.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_copies"))
     return by_key.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("exact_duplicates"),
