@@ -35,35 +35,45 @@ def _windows():
 def quoted_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, header, record): records of CSV files whose quoted values may hold line breaks; ``header`` marks the first of a file.
 
-    A line starts a record if an even number of quotes stands before it in the file. A piece is folded to the parity of its
-    quotes and the last line that starts a record if the piece begins outside or inside quotes; combined from the
-    start of the file that tells for each piece which of the two holds, and which record goes on into it. Most records are one line and
-    stay where they are read; only lines of longer ones are brought together. Stored once (``pin``).
+    A line starts a record if an even number of quotes stands before it in the file, so only lines with an odd number matter:
+    the first of them opens a record of several lines, the next ends it, and so on. A piece is folded to the parity of its
+    quotes, which combined from the start of the file tells how each piece begins. Records of several lines
+    are spans of odd lines, cut at pieces; only their lines are brought together, all others stay where they are read. Stored once (``pin``).
     """
-    before, upto, earlier = _windows()
-    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
-    lines = placed_lines(spark, path, glob).withColumn("odd", odd)
-    lines = lines.withColumn("inside", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
-    lines = pin(lines.withColumns({f"start{p}": F.max(F.when(F.col("inside") == p, F.col("mid"))).over(upto) for p in (0, 1)}))
+    _, _, earlier = _windows()
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = pin(placed_lines(spark, path, glob).select("path", "piece", "mid", "value", (quotes % 2 == 1).alias("odd")))
 
     pieces = lines.groupBy("path", "piece").agg(
-        (F.sum("odd") % 2).alias("parity"), F.min("mid").alias("first"), *[F.max(f"start{p}").alias(f"last{p}") for p in (0, 1)])
-    pieces = pieces.withColumn("begins", F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2)
-    last = F.when(F.col("begins") == 0, F.col("last0")).otherwise(F.col("last1"))
+        (F.count_if("odd") % 2).alias("parity"), F.min("mid").alias("first"), F.max("mid").alias("last"))
     whole_file = Window.partitionBy("path").orderBy("piece").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    pieces = pieces.withColumn("last", last).select(
-        "path", "piece", "begins", F.last("last", ignorenulls=True).over(earlier).alias("open"), F.first("first").over(whole_file).alias("head"))
-
-    found = lines.join(pieces, ["path", "piece"])
-    own = F.when(F.col("begins") == 0, F.col("start0")).otherwise(F.col("start1"))
-    starts = (F.col("inside") + F.col("begins")) % 2 == 0
-    found = found.withColumn("record", F.coalesce(own, "open")).withColumn("alone", starts & (F.col("odd") == 0))
-    one = found.where("alone").select("path", (F.col("mid") == F.col("head")).alias("header"), F.col("value").alias("record"))
+    pieces = pieces.withColumn("begins", F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2).withColumn("head", F.first("first").over(whole_file))
+    pieces = pin(pieces)
+
+    # in a piece odd lines open and end records in turn; ``begins`` tells which comes first
+    in_piece = Window.partitionBy("path", "piece").orderBy("mid")
+    odd = lines.where("odd").select("path", "piece", "mid").join(pieces.drop("parity", "first"), ["path", "piece"])
+    odd = odd.withColumn("opens", (F.row_number().over(in_piece) - 1 + F.col("begins")) % 2 == 0)
+    spans = odd.withColumn("end", F.coalesce(F.lead("mid").over(in_piece), F.col("last"))).where("opens")
+    spans = pin(spans.select("path", "piece", F.col("mid").alias("start"), "end", F.col("mid").alias("record")))
+    # a piece that begins inside quotes goes on with the record that was opened last, up to its first odd line
+    last_opened = pieces.join(spans.groupBy("path", "piece").agg(F.max("record").alias("opened")), ["path", "piece"], "left")
+    last_opened = last_opened.join(odd.groupBy("path", "piece").agg(F.min("mid").alias("ends")), ["path", "piece"], "left")
+    going_on = last_opened.withColumn("record", F.last("opened", ignorenulls=True).over(earlier)).where("begins = 1").select(
+        "path", "piece", F.col("first").alias("start"), F.coalesce("ends", "last").alias("end"), "record")
+    inside = pin(spans.unionByName(going_on).select("record", F.explode(F.sequence("start", "end")).alias("mid")))
+
+    heads = pieces.select("head").distinct()
+    several = not inside.isEmpty()
+    found = lines.join(inside.select("mid"), "mid", "left_anti") if several else lines
+    one = found.select("path", "mid", F.col("value").alias("record")).join(heads, F.col("mid") == F.col("head"), "left").select(
+        "path", F.col("head").isNotNull().alias("header"), "record")
     parts = F.array_sort(F.collect_list(F.struct("piece", "mid", "value")))
-    more = found.where("NOT alone").groupBy("path", "record", "head").agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("text"))
-    more = more.select("path", (F.col("record") == F.col("head")).alias("header"), F.col("text").alias("record"))
+    more = lines.join(inside, "mid").groupBy("path", "record").agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("text"))
+    more = more.join(heads, F.col("record") == F.col("head"), "left").select("path", F.col("head").isNotNull().alias("header"), F.col("text").alias("record"))
+    records = one.unionByName(more) if several else one
     text = F.when(F.col("record").endswith("\r"), F.expr("left(record, length(record) - 1)")).otherwise(F.col("record"))
-    return one.unionByName(more).withColumn("record", text)
+    return records.withColumn("record", text)
 
 
 def text_blocks(spark: SparkSession, directory: str, glob: str = "*", block_bytes: int = 64 << 20) -> DataFrame:
@@ -75,6 +85,8 @@ def text_blocks(spark: SparkSession, directory: str, glob: str = "*", block_byte
     whole = spark.read.text(directory, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
     small = whole.where(F.col("_metadata.file_size") <= block_bytes).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("file_size"), F.lit(0).cast("long").alias("offset"), F.col("value").alias("content"))
+    if whole.where(F.col("_metadata.file_size") > block_bytes).isEmpty():
+        return small  # no second listing of the folder
     before, _, earlier = _windows()
     lines = placed_lines(spark, directory, glob, block_bytes).withColumn("n", F.octet_length("value") + 1)
     lines = lines.withColumn("within", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -100,6 +112,8 @@ def file_heads(spark: SparkSession, directory: str, head: int, glob: str = "*",
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(directory)
     small = files.where(F.col("length") <= whole_bytes).select("path", F.col("length").alias("file_size"), F.substring("content", 1, head).alias("head"))
+    if files.where(F.col("_metadata.file_size") > whole_bytes).isEmpty():
+        return small  # no second listing of the folder
     before, _, _ = _windows()
     lines = placed_lines(spark, directory, glob, whole_bytes).where("piece = 0").withColumn("value", F.col("value").cast("binary"))
     first = lines.select("path", "file_size", "piece", "mid", F.octet_length("value").alias("n"), F.substring("value", 1, head).alias("value"))
