@@ -16,6 +16,8 @@ _MARC_COLS = ["idn", "year", "title", "title_author", "ddc", "author_person_id",
               "url_resolving_system", "url_dnb_archive", "url_publisher"]
 #: documents of one file
 _FILE_DOCS = 500
+#: ranges of ids of one upper folder
+_FOLDER_BLOCKS = 64
 
 
 @query("marc_xml_scan", f"WITH {fx.MARC_SQL} SELECT idn, year, title, title_author, ddc, urn, url_dnb_archive FROM marc")
@@ -59,13 +61,15 @@ def nested_json_export_query(spark, sf):
 def _bounded_files(spark, sf):
     """The corpus as files of documents of one source whose ids lie in one range of _FILE_DOCS, each ended by a newline.
 
-    A source of any size spreads over tasks and files; the folders name the source and the range.
+    A source of any size spreads over tasks and files; the folders name the source and the range. Folders of _FOLDER_BLOCKS
+    ranges stand above them: Spark lists every folder of a level that has many in a task of its own, and what lies below it there.
     """
     path = shared_path(spark, "corpus")
     block = F.floor(F.col("doc_id") / _FILE_DOCS).alias("block")
-    docs = table(spark, sf, "documents").select("source", block, "doc_id", F.col("text").alias("value"))
-    ordered = docs.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id")
-    ordered.drop("doc_id").write.partitionBy("source", "block").text(path)
+    folder = F.floor(F.col("doc_id") / (_FILE_DOCS * _FOLDER_BLOCKS)).alias("folder")
+    docs = table(spark, sf, "documents").select(folder, "source", block, "doc_id", F.col("text").alias("value"))
+    ordered = docs.repartition("source", "block").sortWithinPartitions("folder", "source", "block", "doc_id")
+    ordered.drop("doc_id").write.partitionBy("folder", "source", "block").text(path)
     return path
 
 
