@@ -26,7 +26,7 @@ from corpusloom.llm.q_tokens import token_digests
 from corpusloom.llm.quality import quality_scores
 from corpusloom.llm.substrings import repeated_passages
 from corpusloom.llm.words import small_batches
-from corpusloom.session import pin, shared_path
+from corpusloom.session import pin, shared_path, store
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -56,13 +56,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = repeated_passages(docs).where("n_removed > 0")
-    found = pin(found.groupBy("doc_id", "text_sha256").agg(F.first("kept").alias("kept")))
-    left = docs.select(*COLUMNS, F.sha2("text", 256).alias("text_sha256")).join(found, ["doc_id", "text_sha256"], "left")
-    text = F.coalesce("kept", "text")
-    return left.where(F.col("kept").isNull() | (F.col("kept") != "")).select(
-        "doc_id", text.alias("text"), "lang", "source",
-        F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("kept").cast(docs.schema["n_chars"].dataType)).alias("n_chars"))
+    found = repeated_passages(docs.select(*COLUMNS), carry=["lang", "source"]).where("n_removed > 0")
+    sha = F.unhex("text_sha256").alias("sha")
+    changed = pin(found.select("doc_id", sha).distinct())
+    few = changed.count() <= BROADCAST_IDS
+    # only documents that lose words meet their new text; all others stay where they are unless too many lose words
+    same = docs.select(*COLUMNS, F.unhex(F.sha2("text", 256)).alias("sha")).join(F.broadcast(changed) if few else changed, ["doc_id", "sha"], "left_anti")
+    n_chars = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    cut = found.where("kept <> ''").select("doc_id", F.col("kept").alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    return same.select(*COLUMNS).unionByName(cut)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -93,7 +95,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = shared_path(spark, f"pipeline-{name}")
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+        docs = store(stage(spark, docs, sf_dir), path)
     return docs

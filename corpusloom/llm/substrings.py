@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.llm.ngram_join import recurring
 from corpusloom.llm.words import Words, find_words, run_hashes, run_starts, slices, small_batches, word_hashes
@@ -93,8 +94,10 @@ def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.R
 
 
 def scan(texts: DataFrame) -> DataFrame:
-    """Per row (id, text) its text id ``s``, number of words, and digests of its joined words and of the text itself."""
+    """Per row (id, text, further columns) its text id ``s``, number of words, digests of its joined words and of the text itself,
+    and the further columns."""
     id_type = texts.schema[0].dataType.simpleString()
+    more = T.StructType(texts.schema.fields[2:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,10 +107,12 @@ def scan(texts: DataFrame) -> DataFrame:
                 raw = [hashlib.sha256(buf[a:b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(map(_text_id, digests), pa.int64()), pa.array(words.counts),
-                     pa.array([d.hexdigest() for d in digests], pa.string()), pa.array(raw, pa.string())],
-                    names=["id", "s", "n", "sha", "raw"])
+                     pa.array([d.hexdigest() for d in digests], pa.string()), pa.array(raw, pa.string())]
+                    + [batch.column(c).slice(i, j - i) for c in range(2, batch.num_columns)],
+                    names=["id", "s", "n", "sha", "raw", *more.names])
 
-    return texts.mapInArrow(run, f"id {id_type}, s long, n long, sha string, raw string")
+    own = T.StructType.fromDDL(f"id {id_type}, s long, n long, sha string, raw string")
+    return texts.mapInArrow(run, T.StructType(own.fields + more.fields))
 
 
 def _text_id(digest) -> int:
@@ -266,16 +271,18 @@ def _locate(shard: DataFrame, k: int) -> DataFrame:
     return shard.select("sha", "text", "pos").mapInArrow(run, "sha string, spans array<struct<first: long, end: long>>, n_removed long, kept string")
 
 
-def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13) -> DataFrame:
-    """Per row of ``df``: (id, n_words, n_removed, spans, kept, words_sha256, text_sha256).
+def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13, carry: list[str] | None = None) -> DataFrame:
+    """Per row of ``df``: (id, n_words, n_removed, spans, kept, words_sha256, text_sha256), then its columns ``carry``.
 
     ``spans`` are the word ranges to remove and ``kept`` the words left, joined by single blanks; ``kept`` is NULL
     where nothing is removed (the text stays as it is; ``words_sha256`` is the digest of its joined words).
     Runs jobs while it is built; their results lie in the shared folder (``spark.checkpoint.dir``).
     """
     small_batches(df.sparkSession)
-    texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    docs = pin(scan(texts))
+    carry = carry or []
+    given = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+    texts = given.select("id", "text")
+    docs = pin(scan(given))
     rows = anchor_rows(texts, k).repartition("h").sortWithinPartitions("h", "s")
     own = pin(rows.mapInArrow(recurring, "h long, s long").groupBy("s").agg(F.collect_list("h").alias("anchors")))
 
@@ -296,7 +303,8 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     windows = _candidates(chosen, k).repartition("w").sortWithinPartitions("w", F.shiftright("x", _PLACE), "r")
     id_type = texts.schema[0].dataType.simpleString()
-    late = windows.mapInArrow(_late, f"r {id_type}, t long, pos int").groupBy("r", "t").agg(F.collect_set("pos").alias("pos"))
+    # pinned so that the shuffled windows are gone from disk before whole texts are shuffled
+    late = pin(windows.mapInArrow(_late, f"r {id_type}, t long, pos int").groupBy("r", "t").agg(F.sort_array(F.collect_set("pos")).alias("pos")))
     behind = chosen.select("r", "t", "sha", "text").join(late, ["r", "t"])
     removed = pin(_locate(behind, k).groupBy("sha").agg(*[F.first(c).alias(c) for c in ("spans", "n_removed", "kept")]))
 
@@ -311,5 +319,5 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.when(alone, F.lit(0)).when(copy, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(alone, none).when(copy, whole).otherwise(F.coalesce("spans", none)).alias("spans"),
         F.when(alone, None).when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept"),
-        F.col("sha").alias("words_sha256"), F.col("raw").alias("text_sha256"),
+        F.col("sha").alias("words_sha256"), F.col("raw").alias("text_sha256"), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)],
     )

@@ -63,3 +63,22 @@ def test_entry_point_lists_the_queries():
 
     names = set(contract.queries())
     assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
+
+
+def test_repeated_passages_leave_no_shuffles_and_move_no_whole_documents(spark, tmp_path):
+    shared = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, f"own{i} " * 20 + (shared if i % 3 == 0 else ""), f"l{i}", f"s{i}", 7) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffles = lambda: sum(f.getName().endswith(".data") for f in [disk.getAllFiles().apply(i) for i in range(disk.getAllFiles().size())])
+    before = shuffles()
+    out = corpus_pipeline.repeated(spark, docs, SF)
+    assert shuffles() <= before  # of all the steps that ran while it was built
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftAnti") == 1 and "strategy=broadcast" in plan.split("Join LeftAnti")[1].split("\n")[0]
+    got = {r.doc_id: r for r in out.collect()}
+    assert len(got) == 60 and got[0].text == rows[0][1] and got[0].n_chars == 7
+    for i in range(3, 60, 3):
+        own = ("own%d " % i * 20).strip()
+        assert got[i] == (i, own, f"l{i}", f"s{i}", len(own))
+    assert all(got[i] == rows[i] for i in range(60) if i % 3)
