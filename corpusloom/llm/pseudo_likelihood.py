@@ -56,7 +56,7 @@ ROUNDS = 2
 BATCH = 4096
 RATE = 0.15
 SHARD_TOKENS = 1_000_000
-#: tokens of whole texts that a worker trains on or scores at a time
+#: tokens of whole texts that a worker trains on at a time
 CHUNK = 1 << 15
 #: digests a task remembers so as to give a text once
 SEEN = 200_000
@@ -128,6 +128,7 @@ class Lexicon:
     head_n: np.ndarray
     shape_n: np.ndarray
     shape_words: np.ndarray
+    _index: tuple | None = None  # made in each process, at the first look-up
 
     @property
     def head(self) -> int:
@@ -163,12 +164,26 @@ class Lexicon:
         np.subtract.at(shape_words, shape[:size], 1)
         return cls(h[by_hash], n[by_hash], token[by_hash], n[:size].astype(np.int64), shape_n, shape_words)
 
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """As np.searchsorted: hashes are uniform, so their leading bits lead to the place or just before it."""
+        if self._index is None:
+            bits = max(1, (2 * len(self.hashes)).bit_length())
+            starts = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
+            self._index = np.uint64(64 - bits), starts, np.append(self.hashes, np.uint64(2**64 - 1))
+        shift, starts, closed = self._index
+        at = starts[(hashes >> shift).view(np.int64)]
+        open_ = np.flatnonzero(closed[at] < hashes)
+        while len(open_):
+            at[open_] += 1
+            open_ = open_[closed[at[open_]] < hashes[open_]]
+        return at
+
     def tokens(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token of every word, and its count where it is known, else 0."""
         shape = self.head + shapes_of(words)
         if not len(self.hashes):
             return shape.astype(np.uint16), np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        at = np.minimum(self._places(hashes), len(self.hashes) - 1)
         found = self.hashes[at] == hashes
         return np.where(found, self.token[at], shape).astype(np.uint16), np.where(found, self.n[at], 0)
 
@@ -311,36 +326,53 @@ class Network:
         total += self.inner
         return np.tanh(total, out=total)
 
-    def by_class(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(class, rows, members) of the targets that are head words."""
+    def by_class(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """Rows of the targets that are head words in the order of their classes, class and member of each, and (class, first, end) of the runs."""
         group = self.group[target]
         rows = np.flatnonzero(group < len(self.words))
         rows = rows[np.argsort(group[rows].astype(np.uint16), kind="stable")]
-        sorted_ = group[rows]
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(sorted_)) + 1, [len(rows)]]) if len(rows) else [0]
-        for a, b in zip(edges[:-1], edges[1:]):
-            yield int(sorted_[a]), rows[a:b], self.member[target[rows[a:b]]]
+        of = group[rows]
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(rows)]]) if len(rows) else np.zeros(1, np.int64)
+        return rows, of, self.member[target[rows]], list(zip(of[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist()))
+
+    def within(self, own: np.ndarray, of: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+        """Logits of the words of their classes, for hidden rows in the order of the classes."""
+        logits = np.empty((len(own), CLASS_WORDS), np.float32)
+        for c, a, b in runs:
+            np.matmul(own[a:b], self.words[c], out=logits[a:b])
+        logits += self.word_bias[of]
+        return logits
 
     def logs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log probability of every target token: of a head word, or of the shape of any other."""
         hidden = self.hidden(context)
-        out = _log_softmax(hidden @ self.out + self.bias)[np.arange(len(target)), self.group[target]].astype(np.float64)
-        for c, rows, members in self.by_class(target):
-            out[rows] += _log_softmax(hidden[rows] @ self.words[c] + self.word_bias[c])[np.arange(len(rows)), members]
+        out = _log_softmax(hidden @ self.out + self.bias, self.group[target]).astype(np.float64)
+        rows, of, members, runs = self.by_class(target)
+        out[rows] += _log_softmax(self.within(hidden[rows], of, runs), members)
         return out
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+def _row_max(x: np.ndarray) -> np.ndarray:
+    """The largest value of every row, by halves: many times faster than a maximum along short rows."""
+    while x.shape[1] > 1:
+        half = (x.shape[1] + 1) // 2
+        x = np.maximum(x[:, :half], x[:, -half:])
+    return x
+
+
+def _log_softmax(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log probability of one target in each row; the logits are overwritten."""
+    logits -= _row_max(logits)
+    own = logits[np.arange(len(target)), target]
+    np.exp(logits, out=logits)
+    return own - np.log(logits @ np.ones(logits.shape[1], np.float32))
 
 
 def _softmax_error(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Gradient of the log probability of the targets by the logits."""
-    logits -= logits.max(axis=1, keepdims=True)
+    logits -= _row_max(logits)
     np.exp(logits, out=logits)
-    logits /= -logits.sum(axis=1, keepdims=True)
+    logits *= (-1 / (logits @ np.ones(logits.shape[1], np.float32)))[:, None]
     logits[np.arange(len(target)), target] += 1
     return logits
 
@@ -364,12 +396,16 @@ class Trainer:
         error = _softmax_error(hidden @ net.out + net.bias, net.group[target])
         back = error @ net.out.T
         words, word_bias = np.zeros_like(net.words), np.zeros_like(net.word_bias)
-        for c, rows, members in net.by_class(target):
-            own = hidden[rows]
-            within = _softmax_error(own @ net.words[c] + net.word_bias[c], members)
-            back[rows] += within @ net.words[c].T
-            np.matmul(own.T, within, out=words[c])
-            within.sum(axis=0, out=word_bias[c])
+        rows, of, members, runs = net.by_class(target)
+        own = hidden[rows]
+        within = _softmax_error(net.within(own, of, runs), members)
+        inner = np.empty_like(own)
+        for c, a, b in runs:
+            np.matmul(within[a:b], net.words[c].T, out=inner[a:b])
+            np.matmul(own[a:b].T, within[a:b], out=words[c])
+        back[rows] += inner
+        if runs:
+            word_bias[[c for c, _, _ in runs]] = np.add.reduceat(within, [a for _, a, _ in runs], axis=0)
         self._move("words", ..., words / n)
         self._move("word_bias", ..., word_bias / n)
         self._move("out", ..., hidden.T @ error / n)
@@ -392,7 +428,10 @@ def _digests(words: Words, hashes: np.ndarray) -> list[bytes]:
 
 
 def distinct_texts(texts: DataFrame, lexicon, shards: int) -> DataFrame:
-    """(shard, key, tokens) of every distinct sequence of words, in the order of keys within the shards; pinned."""
+    """(shard, key, tokens, rare) of every distinct sequence of words, in the order of keys within the shards; pinned.
+
+    ``rare`` holds the hashes of its words that the tasks do not know.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -400,8 +439,8 @@ def distinct_texts(texts: DataFrame, lexicon, shards: int) -> DataFrame:
             for _, _, buf, offsets in slices(batch.column(0)):
                 words = find_words(buf, offsets, lower=True)
                 hashes = word_hashes(words)
-                tokens, _ = lexicon.value.tokens(words, hashes)
-                keys, rows = [], []
+                tokens, n = lexicon.value.tokens(words, hashes)
+                keys, rows, rare = [], [], []
                 for key, a, b in zip(_digests(words, hashes), words.first[:-1].tolist(), words.first[1:].tolist()):
                     if b > a and key not in seen:
                         if len(seen) >= SEEN:
@@ -409,8 +448,10 @@ def distinct_texts(texts: DataFrame, lexicon, shards: int) -> DataFrame:
                         seen.add(key)
                         keys.append(key)
                         rows.append(tokens[a:b].tobytes())
+                        rare.append(hashes[a:b][n[a:b] == 0].tobytes())
                 shard = [int.from_bytes(k[:8], "little") % shards for k in keys]
-                yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())], names=["shard", "key", "tokens"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.binary()), pa.array(rare, pa.binary())], names=["shard", "key", "tokens", "rare"])
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -422,7 +463,7 @@ def distinct_texts(texts: DataFrame, lexicon, shards: int) -> DataFrame:
                 last = key
             yield batch.take(pa.array(take, pa.int64()))
 
-    schema = "shard long, key binary, tokens binary"
+    schema = "shard long, key binary, tokens binary, rare binary"
     return pin(texts.mapInArrow(run, schema).repartition("shard").sortWithinPartitions("shard", "key").mapInArrow(once, schema))
 
 
@@ -481,7 +522,7 @@ def train(distinct: DataFrame, network: Network, border: int, seed: int) -> Netw
                     [pa.array(range(parts), pa.int32()), pa.array([float(weight)] * parts), pa.array([x.tobytes() for x in np.array_split(total, parts)], pa.binary())],
                     names=["part", "weight", "total"])
 
-        dealt = distinct.repartition("shard").sortWithinPartitions("shard", "key")
+        dealt = distinct.select("shard", "key", "tokens").repartition("shard").sortWithinPartitions("shard", "key")
         found = _added(dealt.mapInArrow(run, "part int, weight double, total binary"), np.float64)
         if found:
             network = network.unpack(np.concatenate([found[p][1] / found[p][0] for p in range(parts)]))
@@ -498,40 +539,26 @@ def _runs(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[first], np.diff(np.append(first, len(d)))
 
 
-def _rare_rows(texts: DataFrame, lexicon) -> DataFrame:
+def _rare_rows(distinct: DataFrame) -> DataFrame:
     """(h, key, c) of the words that the tasks do not know, once per distinct text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
         for batch in batches:
-            for _, _, buf, offsets in slices(batch.column(0)):
-                words = find_words(buf, offsets, lower=True)
-                hashes = word_hashes(words)
-                rare = np.flatnonzero(lexicon.value.tokens(words, hashes)[1] == 0)
-                keys = _digests(words, hashes)
-                doc = words.doc()[rare]
-                one, c = _runs(doc, hashes[rare])
-                new = np.zeros(len(keys), bool)
-                for d in np.unique(doc).tolist():
-                    if keys[d] not in seen:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(keys[d])
-                        new[d] = True
-                take = new[doc[one]]
-                one, c = one[take], c[take]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[rare][one].view(np.int64)), pa.array(keys, pa.binary()).take(pa.array(doc[one])), pa.array(c, pa.int64())], names=["h", "key", "c"])
+            found = [np.frombuffer(raw.as_buffer(), np.uint64) for raw in batch.column(1)]
+            if found:
+                doc, hashes = np.repeat(np.arange(len(found)), [len(x) for x in found]), np.concatenate(found)
+                one, c = _runs(doc, hashes)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[one].view(np.int64)), batch.column(0).take(pa.array(doc[one])), pa.array(c, pa.int64())], names=["h", "key", "c"])
 
-    return texts.mapInArrow(run, "h long, key binary, c long")
+    return distinct.where(F.length("rare") > 0).select("key", "rare").mapInArrow(run, "h long, key binary, c long")
 
 
-def _rare_sums(texts: DataFrame, counts: DataFrame, lexicon, shape_n: list[int], shape_words: list[int]) -> DataFrame:
+def _rare_sums(distinct: DataFrame, counts: DataFrame, shape_n: list[int], shape_words: list[int]) -> DataFrame:
     """Per text (key): log shares and number of unseen words among those that tasks do not know, from the table.
 
     No word of it is hot: each is rarer than every one of the KNOWN words.
     """
-    rows = _rare_rows(texts, lexicon).repartition("h").dropDuplicates(["h", "key"])
+    rows = _rare_rows(distinct)
     pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("shape") + 1)
     logs = F.col("c") * F.log(share(F.col("n"), F.col("c"), pick(shape_n), pick(shape_words)))
     return rows.join(counts, "h").groupBy("key").agg(
@@ -575,8 +602,8 @@ def pseudo_likelihood(
                 tokens, n = lex.tokens(words, hashes)
                 row, place = padded(tokens, words.first, lex.border)
                 logs = np.zeros(len(tokens))
-                for a in range(0, len(tokens), CHUNK):
-                    b = min(a + CHUNK, len(tokens))
+                for a in range(0, len(tokens), BATCH):
+                    b = min(a + BATCH, len(tokens))
                     logs[a:b] = net.logs(row[place[a:b, None] + _OFFSETS], tokens[a:b])
                 # shares of the words of shapes, without the document's own occurrences
                 shaped = np.flatnonzero((tokens >= lex.head) & (n > 0))
@@ -598,7 +625,7 @@ def pseudo_likelihood(
                     + [pa.array(keys, pa.binary()), pa.array(words.counts), pa.array(unseen), pa.array(sums)], names=schema.fieldNames())
 
     scored = pin(rows.mapInArrow(run, schema).withColumn("nonce", F.monotonically_increasing_id()))
-    rare = pin(_rare_sums(texts, counts, lexicon, own.shape_n.tolist(), own.shape_words.tolist()))
+    rare = pin(_rare_sums(distinct, counts, own.shape_n.tolist(), own.shape_words.tolist()))
     plain, joined = scored.where("key is null"), scored.where("key is not null")
     none = plain.select("*", F.lit(0.0).alias("_rare"), F.lit(0).cast("long").alias("_unseen"))
     whole = none.unionByName(spread_join(joined, rare, "key", floor=FLOOR).select(none.columns))

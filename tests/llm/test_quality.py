@@ -222,3 +222,39 @@ def test_documents_that_occur_twice_are_told_apart(spark):
 def test_pseudo_likelihood_query_scores_every_document(spark):
     rows = q_quality.op2_pseudo_likelihood(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(r.pseudo_log_likelihood < 0 for r in rows)
+
+
+def test_workers_hold_little_text_at_a_time():
+    import tracemalloc
+
+    texts = pa.array([f"word{i} and some more of them " * 100 for i in range(1000)])
+    tracemalloc.start()
+    rows = 0
+    for i, j, buf, offsets in slices(texts):
+        found = find_words(buf, offsets, lower=True)
+        rows += len(found.counts)
+        assert len(word_hashes(found)) == 600 * (j - i)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1000 and peak < 48 << 20
+
+
+def test_words_are_looked_up_as_by_bisection(spark):
+    from corpusloom.llm.pseudo_likelihood import _row_max
+
+    rng = np.random.default_rng(4)
+    for known in (np.sort(rng.integers(0, 2**64, 3000, dtype=np.uint64)), np.arange(40, dtype=np.uint64), np.array([2**64 - 1], np.uint64)):
+        lexicon = Lexicon(known, np.ones(len(known), np.int64), np.zeros(len(known), np.uint16), np.zeros(0, np.int64), np.zeros(SHAPES), np.zeros(SHAPES))
+        asked = np.concatenate([known, known + np.uint64(1), rng.integers(0, 2**64, 5000, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        assert np.array_equal(lexicon._places(asked), np.searchsorted(known, asked))
+    for width in (1, 2, 5, 64, 81):
+        x = rng.normal(size=(50, width)).astype(np.float32)
+        assert np.array_equal(_row_max(x)[:, 0], x.max(axis=1))
+
+
+def test_rare_words_come_with_the_distinct_texts(spark):
+    texts = ["a b b rare1 rare1 rare2", "a b b rare1 rare1 rare2", "a  B b rare1", "a b a a", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    lexicon = Lexicon.of(word_counts(df), 2, 2)
+    rows = distinct_texts(df, spark.sparkContext.broadcast(lexicon), 2).collect()
+    assert sorted(len(r.rare) // 8 for r in rows) == [0, 1, 3] and len({r.key for r in rows}) == 3
