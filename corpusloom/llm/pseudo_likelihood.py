@@ -320,10 +320,11 @@ class Network:
         return Network(*parts, self.group, self.member)
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        total = self.vectors[context[:, 0]] * self.near[0]
-        for p in range(1, len(_OFFSETS)):
-            total += self.vectors[context[:, p]] * self.near[p]
-        total += self.inner
+        total = np.repeat(self.inner[None], len(context), axis=0)
+        for p in range(len(_OFFSETS)):
+            own = self.vectors.take(context[:, p], axis=0)
+            own *= self.near[p]
+            total += own
         return np.tanh(total, out=total)
 
     def by_class(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
@@ -335,20 +336,26 @@ class Network:
         edges = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(rows)]]) if len(rows) else np.zeros(1, np.int64)
         return rows, of, self.member[target[rows]], list(zip(of[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist()))
 
+    def outer(self, hidden: np.ndarray) -> np.ndarray:
+        """Logits of the classes and shapes."""
+        logits = hidden @ self.out
+        logits += self.bias
+        return logits
+
     def within(self, own: np.ndarray, of: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
         """Logits of the words of their classes, for hidden rows in the order of the classes."""
         logits = np.empty((len(own), CLASS_WORDS), np.float32)
         for c, a, b in runs:
             np.matmul(own[a:b], self.words[c], out=logits[a:b])
-        logits += self.word_bias[of]
+        logits += self.word_bias.take(of, axis=0)
         return logits
 
     def logs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log probability of every target token: of a head word, or of the shape of any other."""
         hidden = self.hidden(context)
-        out = _log_softmax(hidden @ self.out + self.bias, self.group[target]).astype(np.float64)
+        out = _log_softmax(self.outer(hidden), self.group[target]).astype(np.float64)
         rows, of, members, runs = self.by_class(target)
-        out[rows] += _log_softmax(self.within(hidden[rows], of, runs), members)
+        out[rows] += _log_softmax(self.within(hidden.take(rows, axis=0), of, runs), members)
         return out
 
 
@@ -393,11 +400,11 @@ class Trainer:
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
         net, n = self.network, len(target)
         hidden = net.hidden(context)
-        error = _softmax_error(hidden @ net.out + net.bias, net.group[target])
+        error = _softmax_error(net.outer(hidden), net.group[target])
         back = error @ net.out.T
         words, word_bias = np.zeros_like(net.words), np.zeros_like(net.word_bias)
         rows, of, members, runs = net.by_class(target)
-        own = hidden[rows]
+        own = hidden.take(rows, axis=0)
         within = _softmax_error(net.within(own, of, runs), members)
         inner = np.empty_like(own)
         for c, a, b in runs:
@@ -409,16 +416,16 @@ class Trainer:
         self._move("words", ..., words / n)
         self._move("word_bias", ..., word_bias / n)
         self._move("out", ..., hidden.T @ error / n)
-        self._move("bias", ..., error.sum(axis=0) / n)
+        self._move("bias", ..., np.ones(n, np.float32) @ error / n)
         back *= (1 - hidden * hidden) / n
-        self._move("inner", ..., back.sum(axis=0))
-        near = np.stack([np.einsum("ij,ij->j", back, net.vectors[context[:, p]]) for p in range(len(_OFFSETS))])
+        self._move("inner", ..., np.ones(n, np.float32) @ back)
+        near = np.stack([np.einsum("ij,ij->j", back, net.vectors.take(context[:, p], axis=0)) for p in range(len(_OFFSETS))])
         flat = context.T.reshape(-1).astype(np.uint16)
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
         first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
         sums = (back[None] * net.near[:, None]).reshape(-1, HIDDEN)
-        self._move("vectors", flat[first].astype(np.int64), np.add.reduceat(sums[order], first, axis=0))
+        self._move("vectors", flat[first].astype(np.int64), np.add.reduceat(sums.take(order, axis=0), first, axis=0))
         self._move("near", ..., near)
 
 
