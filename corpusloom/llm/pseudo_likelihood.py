@@ -63,6 +63,8 @@ SEEN = 200_000
 #: pseudo count of every word of a shape
 ALPHA = 0.5
 FLOOR = 100_000
+#: logits up to this size have exponentials in float32
+REACH = 80
 
 _OFFSETS = np.array([o for o in range(-SPAN, SPAN + 1) if o])
 _COUNTS = "h long, shape int, n long"
@@ -70,22 +72,25 @@ _COUNTS = "h long, shape int, n long"
 
 # ---- words
 
+_LENGTHS = np.array([0, 0, 0, 0, 1, 1, 1, 2, 2, 2, 3]) * 4
+_KINDS = np.full(256, 3)
+_KINDS[97:123] = 1
+_KINDS[list(b"aeiou")] = 0
+_KINDS[48:58] = 2
+
+
 def shapes_of(words: Words) -> np.ndarray:
     """Length (to 3, 6, 9 and more bytes) and last byte (vowel, other letter, digit, any other) of every word."""
-    length = np.minimum((words.end - words.start - 1) // 3, 3)
-    last = words.buf[words.end - 1] if len(words.end) else np.zeros(0, np.uint8)
-    kind = np.full(len(last), 3)
-    kind[(last >= 97) & (last <= 122)] = 1
-    kind[np.isin(last, np.frombuffer(b"aeiou", np.uint8))] = 0
-    kind[(last >= 48) & (last <= 57)] = 2
-    return length * 4 + kind
+    return _LENGTHS.take(words.end - words.start, mode="clip") + _KINDS.take(words.buf.take(words.end - 1))
 
 
-def _summed(h: np.ndarray, shape: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _summed(h: np.ndarray, shape: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes, their shapes and sums of ``n`` (None: 1 each)."""
     order = np.argsort(h)
-    h = h[order]
+    h = h.take(order)
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[:len(h)])
-    return h[first], shape[order][first], np.add.reduceat(n[order], first) if len(first) else n
+    sums = np.diff(first, append=len(h)) if n is None else np.add.reduceat(n.take(order), first) if len(first) else n
+    return h.take(first), shape.take(order.take(first)), sums
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -104,7 +109,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for _, _, buf, offsets in slices(batch.column(0)):
                 words = find_words(buf, offsets, lower=True)
-                held.append(_summed(word_hashes(words), shapes_of(words), np.ones(len(words.start), np.int64)))
+                held.append(_summed(word_hashes(words), shapes_of(words)))
                 size += len(held[-1][0])
                 if size >= HELD:
                     held = [merged()]
@@ -171,8 +176,8 @@ class Lexicon:
             starts = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
             self._index = np.uint64(64 - bits), starts, np.append(self.hashes, np.uint64(2**64 - 1))
         shift, starts, closed = self._index
-        at = starts[(hashes >> shift).view(np.int64)]
-        open_ = np.flatnonzero(closed[at] < hashes)
+        at = starts.take((hashes >> shift).view(np.int64))
+        open_ = np.flatnonzero(closed.take(at) < hashes)
         while len(open_):
             at[open_] += 1
             open_ = open_[closed[at[open_]] < hashes[open_]]
@@ -184,8 +189,8 @@ class Lexicon:
         if not len(self.hashes):
             return shape.astype(np.uint16), np.zeros(len(hashes), np.int64)
         at = np.minimum(self._places(hashes), len(self.hashes) - 1)
-        found = self.hashes[at] == hashes
-        return np.where(found, self.token[at], shape).astype(np.uint16), np.where(found, self.n[at], 0)
+        found = self.hashes.take(at) == hashes
+        return np.where(found, self.token.take(at), shape.astype(np.uint16)), self.n.take(at) * found
 
 
 def share(n, own, shape_n, shape_words):
@@ -320,45 +325,54 @@ class Network:
         return Network(*parts, self.group, self.member)
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
+        """Hidden rows, with a one behind them that meets the bias."""
         total = np.repeat(self.inner[None], len(context), axis=0)
         for p in range(len(_OFFSETS)):
             own = self.vectors.take(context[:, p], axis=0)
-            own *= self.near[p]
-            total += own
-        return np.tanh(total, out=total)
+            total += _times(own, self.near[p], out=own)
+        out = np.empty((len(context), HIDDEN + 1), np.float32)
+        out[:, HIDDEN] = 1
+        out[:, :HIDDEN] = np.tanh(total, out=total)
+        return out
 
-    def by_class(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
-        """Rows of the targets that are head words in the order of their classes, class and member of each, and (class, first, end) of the runs."""
+    def by_class(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """Rows of the targets that are head words in the order of their classes, member of each, and (class, first, end) of the runs."""
         group = self.group[target]
         rows = np.flatnonzero(group < len(self.words))
         rows = rows[np.argsort(group[rows].astype(np.uint16), kind="stable")]
         of = group[rows]
         edges = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(rows)]]) if len(rows) else np.zeros(1, np.int64)
-        return rows, of, self.member[target[rows]], list(zip(of[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist()))
+        return rows, self.member[target[rows]], list(zip(of[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist()))
 
     def outer(self, hidden: np.ndarray) -> np.ndarray:
         """Logits of the classes and shapes."""
-        logits = hidden @ self.out
-        logits += self.bias
-        return logits
+        return hidden @ np.concatenate([self.out, self.bias[None]])
 
-    def within(self, own: np.ndarray, of: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+    def within(self, own: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
         """Logits of the words of their classes, for hidden rows in the order of the classes."""
         logits = np.empty((len(own), CLASS_WORDS), np.float32)
+        words = np.concatenate([self.words, self.word_bias[:, None]], axis=1)
         for c, a, b in runs:
-            np.matmul(own[a:b], self.words[c], out=logits[a:b])
-        logits += self.word_bias.take(of, axis=0)
+            np.matmul(own[a:b], words[c], out=logits[a:b])
         return logits
 
     def logs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log probability of every target token: of a head word, or of the shape of any other."""
         hidden = self.hidden(context)
         out = _log_softmax(self.outer(hidden), self.group[target]).astype(np.float64)
-        rows, of, members, runs = self.by_class(target)
-        out[rows] += _log_softmax(self.within(hidden.take(rows, axis=0), of, runs), members)
+        rows, members, runs = self.by_class(target)
+        out[rows] += _log_softmax(self.within(hidden.take(rows, axis=0), runs), members)
         return out
 
 
+def _times(rows: np.ndarray, by: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Every row times ``by``, eight rows at a time: numpy is slow over short rows. Arrays without gaps."""
+    n, width = len(rows) // 8 * 8, 8 * len(by)
+    np.multiply(rows[:n].reshape(-1, width), np.tile(by, 8), out=out[:n].reshape(-1, width))
+    np.multiply(rows[n:], by, out=out[n:])
+    return out
+
+
 def _row_max(x: np.ndarray) -> np.ndarray:
     """The largest value of every row, by halves: many times faster than a maximum along short rows."""
     while x.shape[1] > 1:
@@ -367,19 +381,29 @@ def _row_max(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _exponentials(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(logit of the target, sum of the exponentials) of every row; the logits become the exponentials.
+
+    Rows are shifted by their largest logit only if it may be beyond what float32 holds: it is not below that of the target.
+    """
+    rows = np.arange(len(target))
+    own = logits[rows, target]
+    if len(rows) and not (logits.max() < REACH and own.min() > -REACH):
+        logits -= _row_max(logits)
+        own = logits[rows, target]
+    np.exp(logits, out=logits)
+    return own, logits @ np.ones(logits.shape[1], np.float32)
+
+
 def _log_softmax(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log probability of one target in each row; the logits are overwritten."""
-    logits -= _row_max(logits)
-    own = logits[np.arange(len(target)), target]
-    np.exp(logits, out=logits)
-    return own - np.log(logits @ np.ones(logits.shape[1], np.float32))
+    own, sums = _exponentials(logits, target)
+    return own - np.log(sums)
 
 
 def _softmax_error(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Gradient of the log probability of the targets by the logits."""
-    logits -= _row_max(logits)
-    np.exp(logits, out=logits)
-    logits *= (-1 / (logits @ np.ones(logits.shape[1], np.float32)))[:, None]
+    logits *= (-1 / _exponentials(logits, target)[1])[:, None]
     logits[np.arange(len(target)), target] += 1
     return logits
 
@@ -392,40 +416,53 @@ class Trainer:
         self.seen = {name: np.full(getattr(network, name).shape[:1] if name == "vectors" else getattr(network, name).shape, 1e-6, np.float32) for name in network.LEARNT}
 
     def _move(self, name: str, at, gradient: np.ndarray) -> None:
-        seen = self.seen[name]
-        seen[at] += (gradient * gradient).mean(axis=1) if name == "vectors" else gradient * gradient
-        scale = RATE / np.sqrt(seen[at])
-        getattr(self.network, name)[at] += gradient * (scale[:, None] if name == "vectors" else scale)
+        seen, own = self.seen[name], getattr(self.network, name)
+        if name == "vectors":
+            seen[at] += np.einsum("ij,ij->i", gradient, gradient) / HIDDEN
+            own[at] += gradient * (RATE / np.sqrt(seen[at]))[:, None]
+            return
+        scale = gradient * gradient
+        seen += scale
+        np.sqrt(seen, out=scale)
+        np.divide(gradient, scale, out=scale)
+        scale *= RATE
+        own += scale
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
         net, n = self.network, len(target)
         hidden = net.hidden(context)
         error = _softmax_error(net.outer(hidden), net.group[target])
         back = error @ net.out.T
-        words, word_bias = np.zeros_like(net.words), np.zeros_like(net.word_bias)
-        rows, of, members, runs = net.by_class(target)
+        words = np.zeros((len(net.words), HIDDEN + 1, CLASS_WORDS), np.float32)
+        rows, members, runs = net.by_class(target)
         own = hidden.take(rows, axis=0)
-        within = _softmax_error(net.within(own, of, runs), members)
-        inner = np.empty_like(own)
+        within = _softmax_error(net.within(own, runs), members)
+        inner = np.empty((len(rows), HIDDEN), np.float32)
         for c, a, b in runs:
             np.matmul(within[a:b], net.words[c].T, out=inner[a:b])
             np.matmul(own[a:b].T, within[a:b], out=words[c])
         back[rows] += inner
-        if runs:
-            word_bias[[c for c, _, _ in runs]] = np.add.reduceat(within, [a for _, a, _ in runs], axis=0)
-        self._move("words", ..., words / n)
-        self._move("word_bias", ..., word_bias / n)
-        self._move("out", ..., hidden.T @ error / n)
-        self._move("bias", ..., np.ones(n, np.float32) @ error / n)
-        back *= (1 - hidden * hidden) / n
+        words /= n
+        self._move("words", ..., words[:, :HIDDEN])
+        self._move("word_bias", ..., words[:, HIDDEN])
+        out = hidden.T @ error
+        out /= n
+        self._move("out", ..., out[:HIDDEN])
+        self._move("bias", ..., out[HIDDEN])
+        slope = hidden[:, :HIDDEN]
+        back *= (1 - slope * slope) / n
         self._move("inner", ..., np.ones(n, np.float32) @ back)
         near = np.stack([np.einsum("ij,ij->j", back, net.vectors.take(context[:, p], axis=0)) for p in range(len(_OFFSETS))])
         flat = context.T.reshape(-1).astype(np.uint16)
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
         first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        sums = (back[None] * net.near[:, None]).reshape(-1, HIDDEN)
-        self._move("vectors", flat[first].astype(np.int64), np.add.reduceat(sums.take(order, axis=0), first, axis=0))
+        sums = np.empty((len(_OFFSETS), n, HIDDEN), np.float32)
+        for p in range(len(_OFFSETS)):
+            _times(back, net.near[p], out=sums[p])
+        # two values at a time: complex numbers add up as pairs
+        sums = np.add.reduceat(sums.reshape(-1, HIDDEN).take(order, axis=0).view(np.complex64), first, axis=0).view(np.float32)
+        self._move("vectors", flat[first].astype(np.int64), sums)
         self._move("near", ..., near)
 
 
@@ -540,8 +577,11 @@ def train(distinct: DataFrame, network: Network, border: int, seed: int) -> Netw
 
 def _runs(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of one occurrence, number of occurrences) of the words of each document."""
-    order = np.lexsort((hashes, doc))
-    d, h = doc[order], hashes[order]
+    # numpy sorts short integers by their digits, in linear time
+    doc = doc.astype(np.uint16 if not len(doc) or doc.max() < 1 << 16 else np.int64)
+    order = np.argsort(hashes)
+    order = order.take(np.argsort(doc.take(order), kind="stable"))
+    d, h = doc.take(order), hashes.take(order)
     first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])[:len(d)])
     return order[first], np.diff(np.append(first, len(d)))
 

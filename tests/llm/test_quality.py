@@ -258,3 +258,53 @@ def test_rare_words_come_with_the_distinct_texts(spark):
     lexicon = Lexicon.of(word_counts(df), 2, 2)
     rows = distinct_texts(df, spark.sparkContext.broadcast(lexicon), 2).collect()
     assert sorted(len(r.rare) // 8 for r in rows) == [0, 1, 3] and len({r.key for r in rows}) == 3
+
+
+def test_short_rows_are_worked_on_in_bulk(monkeypatch):
+    from corpusloom.llm import pseudo_likelihood as module
+
+    rng = np.random.default_rng(5)
+    # no pass for the largest logit of each row unless float32 needs it
+    calls = []
+    monkeypatch.setattr(module, "_row_max", lambda x: calls.append(1) or x.max(axis=1, keepdims=True))
+    target = rng.integers(0, 80, 500)
+    for shift, passes in ((0, 0), (200, 1), (-200, 1)):
+        calls.clear()
+        logits = rng.normal(size=(500, 80)) + shift
+        logits[:, 3] = -1e4  # no word there
+        target[target == 3] = 4
+        p = np.exp(logits - logits.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        got = module._log_softmax(logits.astype(np.float32), target)
+        error = module._softmax_error(logits.astype(np.float32), target)
+        assert len(calls) == 2 * passes and np.abs(got - np.log(p[np.arange(500), target])).max() < 1e-4
+        assert np.abs(error - (np.eye(80)[target] - p)).max() < 1e-5 and np.isfinite(error).all()
+    assert module._log_softmax(np.zeros((0, 80), np.float32), np.zeros(0, np.int64)).shape == (0,)
+    for n in (0, 3, 8, 21):
+        rows, by = rng.normal(size=(n, 24)).astype(np.float32), rng.normal(size=24).astype(np.float32)
+        assert np.array_equal(module._times(rows, by, out=np.empty_like(rows)), rows * by)
+
+
+def test_bytes_are_told_apart_and_hashed_as_by_tables():
+    rng = np.random.default_rng(6)
+    texts = [bytes(range(256)), b"", b" ", b"word " * 20000, b"Zz@[`{"] + [rng.integers(0, 256, int(k), dtype=np.uint8).tobytes() for k in rng.integers(0, 300, 300)]
+    from corpusloom.llm.pseudo_likelihood import _runs, _summed, shapes_of
+    from corpusloom.llm.words import _BYTE, _powers, mix
+
+    for _, _, buf, offsets in slices(pa.array(texts, pa.large_binary())):
+        found = find_words(buf, offsets, lower=True)
+        lists = [t.translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))).split() for t in texts]
+        whole = [w for ws in lists for w in ws]
+        assert found.counts.tolist() == [len(ws) for ws in lists]
+        assert [found.buf[a:b].tobytes() for a, b in zip(found.start, found.end)] == whole
+        up = _powers(1 << 10)[0]
+        one = lambda w: mix(np.array([int((_BYTE[np.frombuffer(w, np.uint8)] * up[:len(w)]).sum()) + len(w) * 0xD6E8FEB86659FD93 & 2**64 - 1], np.uint64))[0]
+        hashes = word_hashes(found)
+        assert hashes.tolist() == [one(w) for w in whole]  # blocks of bytes carry on where the last one ended
+        kind = lambda b: 0 if b in b"aeiou" else 1 if 97 <= b <= 122 else 2 if 48 <= b <= 57 else 3
+        assert shapes_of(found).tolist() == [min((len(w) - 1) // 3, 3) * 4 + kind(w[-1]) for w in whole]
+        total, doc = Counter(hashes.tolist()), found.doc()
+        h, shape, n = _summed(hashes, shapes_of(found))
+        assert dict(zip(h.tolist(), n.tolist())) == total and dict(zip(h.tolist(), shape.tolist())) == dict(zip(hashes.tolist(), shapes_of(found).tolist()))
+        place, times = _runs(doc, hashes)
+        assert dict(zip(zip(doc[place].tolist(), hashes[place].tolist()), times.tolist())) == Counter(zip(doc.tolist(), hashes.tolist()))
