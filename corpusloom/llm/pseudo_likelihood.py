@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.words import Words, find_words, one_thread, release, slices, small_batches, word_hashes
+from corpusloom.llm.words import Words, find_words, keep_memory, one_thread, release, slices, small_batches, word_hashes
 from corpusloom.operators.skew import spread_join
 from corpusloom.session import pin
 
@@ -97,6 +97,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(h, shape, n) of every distinct word of the column, summed in the tasks before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
@@ -218,11 +219,16 @@ def company(distinct: DataFrame, head: int, border: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(head * 2 * width, np.int64)
         for batch in batches:
-            for raw in batch.column("tokens"):
-                tokens = np.frombuffer(raw.as_buffer(), np.uint16).astype(np.int64)
-                for side, (own, near) in enumerate(((tokens[1:], tokens[:-1]), (tokens[:-1], tokens[1:]))):
-                    ok = (own < head) & (near < width)
-                    np.add.at(total, (own[ok] * 2 + side) * width + near[ok], 1)
+            texts = [np.frombuffer(raw.as_buffer(), np.uint16) for raw in batch.column("tokens")]
+            if not texts:
+                continue
+            tokens, ends = np.concatenate(texts), np.cumsum([len(x) for x in texts])
+            ends = ends[(ends > 0) & (ends < len(tokens))]
+            for side, (own, near) in enumerate(((tokens[1:], tokens[:-1]), (tokens[:-1], tokens[1:]))):
+                ok = (own < head) & (near < width)
+                ok[ends - 1] = False  # neighbours in two texts
+                ok = np.flatnonzero(ok)
+                np.add.at(total, (own.take(ok).astype(np.int64) * 2 + side) * width + near.take(ok), 1)
         if total.any():
             table = total.reshape(head, -1)
             parts = [table[r[0]:r[-1] + 1].tobytes() if len(r) else b"" for r in rows_of]
@@ -478,6 +484,7 @@ def distinct_texts(texts: DataFrame, lexicon, shards: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         seen: set[bytes] = set()
         for batch in batches:
             for _, _, buf, offsets in slices(batch.column(0)):
@@ -536,6 +543,7 @@ def train(distinct: DataFrame, network: Network, border: int, seed: int) -> Netw
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             one_thread()
+            keep_memory()
             total, weight = None, 0
             shard, own, targets = None, None, 0
 
@@ -641,6 +649,7 @@ def pseudo_likelihood(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_thread()
+        keep_memory()
         lex, net = lexicon.value, shared.value
         for batch in batches:
             for i, j, buf, offsets in slices(batch.column(0)):

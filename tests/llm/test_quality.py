@@ -308,3 +308,39 @@ def test_bytes_are_told_apart_and_hashed_as_by_tables():
         assert dict(zip(h.tolist(), n.tolist())) == total and dict(zip(h.tolist(), shape.tolist())) == dict(zip(hashes.tolist(), shapes_of(found).tolist()))
         place, times = _runs(doc, hashes)
         assert dict(zip(zip(doc[place].tolist(), hashes[place].tolist()), times.tolist())) == Counter(zip(doc.tolist(), hashes.tolist()))
+
+
+def test_workers_use_freed_memory_again():
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys
+import numpy as np
+from corpusloom.llm import words
+if sys.argv[1] == "keep":
+    words.keep_memory()
+faults = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+for i in range(60):
+    if i == 10:
+        start = faults()
+    arrays = [np.ones(400_000, np.float32) for _ in range(5)]
+    del arrays
+print(faults() - start)
+words.release()
+"""
+    run = lambda how: int(subprocess.run([sys.executable, "-c", code, how], capture_output=True, text=True, check=True, cwd=".").stdout)
+    assert run("keep") < run("plain") / 10
+
+
+def test_company_counts_neighbours_within_texts_only(spark):
+    texts = [[0, 1, 0, 5], [], [1], [1, 0], [5, 6, 9, 1, 1]]
+    rows = [(np.array(t, np.uint16).tobytes(),) for t in texts]
+    expected = np.zeros((6, 12))
+    for t in texts:
+        for a, b in zip(t, t[1:]):
+            if b < 6 and a < 6:
+                expected[b, a] += 1
+                expected[a, 6 + b] += 1
+    for parts in (1, 3):
+        assert np.array_equal(company(spark.createDataFrame(rows, "tokens binary").repartition(parts), 6, 9), expected)
