@@ -32,13 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusloom.llm.words import Words, find_words, mix, slices, word_hashes
+from corpusloom.llm.words import Words, find_words, mix, release, slices, word_hashes
 
 TERM_BITS = 16
 TERM_BLOCKS = 64
 STEP = 8
 RANK = 64
 POWER_ROUNDS = 2
+#: rows of the random projection drawn at a time
+RANDOM_ROWS = 1 << 12
 #: steps per window; an item is searched for at the largest that does not exceed its length, long items in pieces of it
 SCALES = (1, 2, 3, 4, 6)
 SHORT = 8
@@ -133,28 +135,40 @@ def cut_items(items: list[Item]) -> list[Passage]:
     return out
 
 
-def latent_basis(df: DataFrame, passages: list[Passage], weight: np.ndarray, seed: int) -> np.ndarray:
-    """Orthonormal basis (terms x rank) of the leading right singular space of the passages' TF-IDF rows.
+def latent_basis(df: DataFrame, passages: list[Passage], weight: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The passages' terms, ascending, and an orthonormal basis (these terms x rank) of the leading right singular space of their TF-IDF rows.
 
-    Each power iteration maps blocks of passages over the tasks; a task returns only the rows of A'(A B) of its
-    own terms, and these are summed before they reach the driver.
+    Other terms have no part in that space, so neither driver nor broadcasts hold rows for them. Each power iteration maps
+    blocks of passages over the tasks; a task returns only the rows of A'(A B) of its own terms, and these are summed before
+    they reach the driver, packed.
     """
     spark = df.sparkSession
-    rank = min(RANK, max(1, len(passages)))
+    terms = np.unique(np.concatenate([p.terms for p in passages]))
+    rank = min(RANK, len(passages), len(terms))
     rng = np.random.default_rng(seed)
-    basis = rng.standard_normal((1 << TERM_BITS, rank)).astype(np.float32)
-    rows = [(i, p.terms.tolist()) for i, p in enumerate(passages)]
+    basis = np.empty((len(terms), rank), np.float32)
+    for low in range(0, 1 << TERM_BITS, RANDOM_ROWS):
+        a, b = np.searchsorted(terms, [low, low + RANDOM_ROWS])
+        basis[a:b] = rng.standard_normal((RANDOM_ROWS, rank))[terms[a:b] - low]
+    own_weight = weight[terms]
+    rows = [(i, np.searchsorted(terms, p.terms).tolist()) for i, p in enumerate(passages)]
     stored = spark.createDataFrame(rows, "i int, terms array<int>").repartition(max(1, min(len(rows) // 500 + 1, 200)))
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            term = batch.column(0).to_numpy().astype(np.int64)
+            row = batch.column(1).flatten().to_numpy().astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (term, row)], names=["term", "row"])
+
     def step(current: np.ndarray) -> np.ndarray:
         shared = spark.sparkContext.broadcast(current)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 of = {}
-                for terms in batch.column(1).to_pylist():
-                    t, n = np.unique(np.array(terms, np.int64), return_counts=True)
-                    row = n * weight[t]
+                for places in batch.column(1).to_pylist():
+                    t, n = np.unique(np.array(places, np.int64), return_counts=True)
+                    row = n * own_weight[t]
                     row = row / (np.linalg.norm(row) or 1.0)
                     y = row @ shared.value[t]
                     for term, value in zip(t.tolist(), np.outer(row, y)):
@@ -164,14 +178,14 @@ def latent_basis(df: DataFrame, passages: list[Passage], weight: np.ndarray, see
         summed = stored.mapInArrow(run, "term int, row array<double>").groupBy("term").agg(
             F.array(*[F.sum(F.col("row")[k]) for k in range(rank)]).alias("row"))
         out = np.zeros_like(current)
-        for term, row in summed.collect():
-            out[term] = row
+        for term, row in summed.mapInArrow(pack, "term binary, row binary").collect():
+            out[np.frombuffer(term, np.int64)] = np.frombuffer(row, np.float32).reshape(-1, rank)
         return out
 
     for _ in range(POWER_ROUNDS):
         basis = step(basis)
         basis, _ = np.linalg.qr(basis)
-    return np.ascontiguousarray(basis, np.float32)
+    return terms, np.ascontiguousarray(basis, np.float32)
 
 
 def lcs(a: list[int], b: list[int]) -> int:
@@ -188,17 +202,21 @@ def lcs(a: list[int], b: list[int]) -> int:
 
 
 class Searcher:
-    """Benchmark passages in the latent space, ready for slices of documents."""
+    """Benchmark passages in the latent space, ready for slices of documents; ``terms`` are those of the rows of ``basis`` (all if None)."""
 
     def __init__(self, items: list[Item], passages: list[Passage], basis: np.ndarray, weight: np.ndarray,
-                 least_cosine: float, least_lcs: float, least_answer: float):
+                 least_cosine: float, least_lcs: float, least_answer: float, terms: np.ndarray | None = None):
         self.items, self.least = items, (least_cosine, least_lcs, least_answer)
-        self.projection = basis * weight[:, None].astype(np.float32)
-        self.known = np.abs(self.projection).sum(axis=1) > 0
+        terms = np.arange(1 << TERM_BITS) if terms is None else terms
+        self.projection = basis * weight[terms, None].astype(np.float32)
+        self.row = np.zeros(1 << TERM_BITS, np.int32)
+        self.row[terms] = np.arange(len(terms))
+        self.known = np.zeros(1 << TERM_BITS, bool)
+        self.known[terms] = np.abs(self.projection).sum(axis=1) > 0
         self.scales = {}
         for scale in sorted({p.scale for p in passages}):
             own = [p for p in passages if p.scale == scale]
-            matrix = np.array([self.projection[p.terms].sum(axis=0) for p in own], np.float32)
+            matrix = np.array([self.projection[self.row[p.terms]].sum(axis=0) for p in own], np.float32)
             norm = np.maximum(np.linalg.norm(matrix, axis=1), 1e-12)
             self.scales[scale] = (np.ascontiguousarray((matrix / norm[:, None]).T), np.array([p.item for p in own]))
         self.size = np.array([len(item.words) for item in items])
@@ -260,7 +278,7 @@ class Searcher:
         for a in range(0, len(new), 4096):
             b = min(a + 4096, len(new))
             lo, hi = new[a], new[b] if b < len(new) else len(known)
-            table[step_of[new[a:b]]] = np.add.reduceat(self.projection[terms[known[lo:hi]]], new[a:b] - lo, axis=0)
+            table[step_of[new[a:b]]] = np.add.reduceat(self.projection[self.row[terms[known[lo:hi]]]], new[a:b] - lo, axis=0)
         best: dict[tuple[int, int], tuple] = {}
         for scale, (matrix, items) in self.scales.items():
             window = table.copy()
@@ -330,8 +348,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
             counts = term_counts(texts.select("text"))
             weight = np.log((counts.sum() + 2) / (counts + 1)) ** 2
         passages = cut_items(items)
-        basis = latent_basis(docs, passages, weight, seed)
-        shared = spark.sparkContext.broadcast(Searcher(items, passages, basis, weight, least_cosine, least_lcs, least_answer))
+        terms, basis = latent_basis(docs, passages, weight, seed)
+        shared = spark.sparkContext.broadcast(Searcher(items, passages, basis, weight, least_cosine, least_lcs, least_answer, terms))
+        release()  # the driver
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

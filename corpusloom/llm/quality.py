@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.words import find_words, run_hashes, run_starts, slices, word_hashes
+from corpusloom.llm.words import find_words, release, run_hashes, run_starts, slices, word_hashes
 
 FEATURE_BITS = 18
 #: bytes of feature indices of one class the driver takes to fit
@@ -161,6 +161,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
                    per_class: int = 3000, seed: int = 7) -> DataFrame:
     """Add ``held_out``, ``score`` and ``predicted`` to ``docs``; the model is fitted while the plan is built."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, doc_id, text, label, per_class, seed))
+    release()  # the driver, of the sample
     added = [T.StructField("score", T.DoubleType(), False)]
     new = {"score", "predicted", "held_out"}
     source = docs.columns.index(text)

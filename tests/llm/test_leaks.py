@@ -1,11 +1,12 @@
 """Benchmark passages in documents."""
 
 import random
+import tracemalloc
 
 import numpy as np
 
 from corpusloom.llm import q_leaks
-from corpusloom.llm.decontaminate import Searcher, contaminated, cut_items, fold_words, lcs, read_item
+from corpusloom.llm.decontaminate import TERM_BITS, Searcher, contaminated, cut_items, fold_words, latent_basis, lcs, read_item
 from corpusloom.llm.words import word_hashes
 
 SF = "/root/testdata/sf0.01"
@@ -89,3 +90,31 @@ def test_the_bound_is_never_below_the_subsequence():
     got = searcher.possible(hashes, low, high, item)
     enough = np.array([lcs(items[i].words.tolist(), hashes[a:b].tolist()) >= searcher.need[i] for a, b, i in zip(low, high, item)])
     assert enough.any() and not (enough & ~got).any() and not got.all()
+
+
+def test_the_driver_holds_rows_for_the_terms_of_the_benchmark_only(spark):
+    """The basis and what is broadcast follow the passages, not all hashed terms; what is found is the same."""
+    rng = random.Random(7)
+    items = [(k, " ".join(f"w{rng.randrange(900)}" for _ in range(rng.choice((6, 40, 70))))) for k in range(150)]
+    docs = [(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(60)) + " " + items[k % 150][1]) for k in range(300)]
+    frame = spark.createDataFrame(docs, "doc_id int, text string").repartition(2).cache()
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    frame.count()
+    tracemalloc.start()
+    try:
+        found = contaminated(frame, bench)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert {(r.doc_id, r.item_id) for r in found.collect()} >= {(k, k % 150) for k in range(300)}
+    assert peak < 16 << 20  # 2**16 terms took over 50 MB
+    read = [read_item(*item) for item in items]
+    passages, weight = cut_items(read), np.random.default_rng(1).random(1 << TERM_BITS) + 0.1
+    terms, basis = latent_basis(frame, passages, weight, 3)
+    assert set(terms.tolist()) == {t for p in passages for t in p.terms.tolist()} and np.allclose(basis.T @ basis, np.eye(basis.shape[1]), atol=1e-4)
+    whole = np.zeros((1 << TERM_BITS, basis.shape[1]), np.float32)
+    whole[terms] = basis
+    raw = "\n".join(text for _, text in docs).encode()
+    words = fold_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    few, all_ = (sorted(Searcher(read, passages, *x).search(words)) for x in ((basis, weight, 0.5, 0.6, 0.4, terms), (whole, weight, 0.5, 0.6, 0.4)))
+    assert few == all_ and len(few) > 100

@@ -1,8 +1,12 @@
 """The corpus pipeline against brute force on its own inputs, and the entry point."""
 
+import os
+
 import brute
 import pytest
 
+from corpusloom.session import pin
+
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 SF = "/root/testdata/sf0.001"
 
@@ -82,3 +86,12 @@ def test_repeated_passages_leave_no_shuffles_and_move_no_whole_documents(spark,
         own = ("own%d " % i * 20).strip()
         assert got[i] == (i, own, f"l{i}", f"s{i}", len(own))
     assert all(got[i] == rows[i] for i in range(60) if i % 3)
+
+
+def test_pinned_tables_have_data_files_only(spark):
+    """No mark of success, whose mode Hadoop sets by a process that the driver starts."""
+    table = pin(spark.range(5).withColumnRenamed("id", "doc_id"))
+    names = [os.path.basename(f) for f in table.inputFiles()]
+    folder = os.path.dirname(table.inputFiles()[0].removeprefix("file://"))
+    assert names and sorted(n for n in os.listdir(folder) if not n.startswith(".")) == sorted(names)
+    assert not any("_SUCCESS" in n for n in os.listdir(folder)) and table.count() == 5
