@@ -7,13 +7,14 @@ link when 100 * |intersection| >= percent * |union|. The join is exact:
 2. *Order.* A count sketch over all n-grams of all documents (fixed size, one pass) gives one global
    order of n-grams, rare before frequent. Linked sets share an n-gram among the first
    p = n - ceil(percent/100 * n) + 1 in that order of each of them, and c more among the first p + c. Only
-   these go to the shuffle, and n-grams of a single set drop out there. A set that is left with too few cannot link;
+   these go to the shuffle, packed by hash, and n-grams of a single set drop out there. A set that is left with too few cannot link;
    of the others' n-grams the c most frequent (long lists) are not needed to find every link.
 3. *Stars.* The pivot of an n-gram is the set with the largest part of recurring n-grams; every other
    set is compared with the pivot it meets most often. Large groups of near copies become one component here,
    with work linear in the group.
-4. *Rest.* Only n-grams whose sets still lie in different components need more. Their sets form blocks (equal
-   blocks of several n-grams count once) by size band; the sets outside the pivot's component are searched for in the block
+4. *Rest.* Only n-grams whose sets still lie in different components need more. At the first n-gram that two sets share, both
+   must have as many recurring n-grams left as linked sets of their sizes share, which leaves few pairs even in large groups; each
+   such pair counts once, however many n-grams it shares. A set is searched for among its partners
    by shortened recurring n-grams, and what shares enough of them is compared in full. Blocks are cut into cells of bounded size.
 5. *T-occurrence* in every cell: inverted lists of the cell's sets; for a query needing an overlap of T the L
    longest lists are set aside, the short lists are heap-merged, what occurs T - L times is probed in the
@@ -52,6 +53,16 @@ BROADCAST_IDS = 500_000
 STARS = 2
 #: sets of one side of a cell
 CELL = 256
+#: sets of one side of a cell where pairs are made by positions, pairs made at a time, and rows that are read for it
+PAIR_CELL = 4096
+PAIRS = 1 << 18
+AT_ONCE = 1 << 16
+#: n-grams of a bucket are 2**BUCKET_BITS rows on average; a sketch slot above 2**HOT_BITS may hold a hot n-gram
+BUCKET_BITS = 17
+HOT_BITS = 20
+#: rows that a task packs at a time, and that one packed row may hold
+FLUSH = 1 << 19
+PACKED = 2048
 #: weight of a binary probe against a step of the heap when the long lists are chosen
 PROBE_WEIGHT = 0.0085
 
@@ -72,8 +83,16 @@ def ngram_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _distinct(docs: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((grams, docs))
-    docs, grams = docs[order], grams[order]
+    """Both sorted by document and n-gram, each pair once."""
+    if (docs[1:] < docs[:-1]).any():
+        order = np.argsort(docs, kind="stable")
+        docs, grams = docs[order], grams[order]
+    else:
+        grams = grams.copy()
+    # sorting the documents one by one is several times faster than a sort by two keys
+    bounds = [0, *(np.flatnonzero(docs[1:] != docs[:-1]) + 1).tolist(), len(docs)]
+    for a, b in zip(bounds, bounds[1:]):
+        grams[a:b].sort()
     new = np.ones(len(docs), bool)
     new[1:] = (docs[1:] != docs[:-1]) | (grams[1:] != grams[:-1])
     return docs[new], grams[new]
@@ -104,14 +123,20 @@ def scan(texts: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
-        kind = None
+        kind, slots, waiting = None, [], 0
         for ids, words in _text_slices(batches):
             kind = ids.type
             docs, grams = _distinct(*ngram_sets(words, k))
-            total += np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
+            slots.append((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
+            waiting += len(grams)
+            if waiting >= len(total):
+                total += np.bincount(np.concatenate(slots), minlength=len(total))
+                slots, waiting = [], 0
             n, _, s = _set_ids(docs, grams, len(ids))
             none = len(ids)
             yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(s), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names)
+        if waiting:
+            total += np.bincount(np.concatenate(slots), minlength=len(total))
         if total.any():
             parts = np.minimum(total, 2**31 - 1).astype(np.int32).reshape(SKETCH_BLOCKS, -1)
             none = SKETCH_BLOCKS
@@ -153,17 +178,41 @@ def extended_length(n, percent: int):
     return prefix_length(n, percent) + EXTRA * n // 100
 
 
-def prefix_rows(texts: DataFrame, k: int, percent: int, classes: np.ndarray) -> DataFrame:
-    """(h, s) of the n-grams in the extended prefixes of all sets; a task gives a set once."""
+def prefix_rows(texts: DataFrame, k: int, percent: int, classes: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, rows) of the n-grams in the extended prefixes of all sets, packed: ``rows`` holds pairs (h, s); a task gives a set once.
+
+    N-grams are dealt to buckets by their hash. Where the sketch counts more than HOT n-grams in a slot, one of them may have any
+    number of sets: those go to further buckets, by set, as many as their number needs.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(classes)
 
+    def pack(h: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+        bucket = (h.view(np.uint64) & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)
+        level = shared.value[(h.view(np.uint64) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+        hot = level > HOT_BITS
+        if hot.any():
+            bucket[hot] += np.uint64(buckets) * (np.uint64(1) + mix(s[hot].view(np.uint64)) % (np.uint64(1) << (level[hot].astype(np.uint64) - np.uint64(BUCKET_BITS))))
+        order = np.argsort(bucket.astype(np.uint16) if not hot.any() and buckets <= 1 << 16 else bucket, kind="stable")
+        bucket = bucket[order]
+        new = np.ones(len(h), bool)
+        new[1:] = bucket[1:] != bucket[:-1]
+        first = np.flatnonzero(new)
+        new[(np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))) % PACKED == 0] = True
+        first = np.flatnonzero(new)
+        rows = np.stack([h[order], s[order]], axis=1)
+        packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((np.append(first, len(h)) * 16).astype(np.int32)), pa.py_buffer(rows)])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first].view(np.int64)), packed], names=["bucket", "rows"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = shared.value
         seen: set[int] = set()
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
         for ids, words in _text_slices(batches):
             docs, grams = _distinct(*ngram_sets(words, k))
             n, ends, s = _set_ids(docs, grams, len(ids))
-            order = np.lexsort((grams, level[(grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], docs))
+            # the n-grams of a document are sorted, so a stable sort by class alone orders them
+            key = docs * 64 + shared.value[(grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+            order = np.argsort(key.astype(np.uint16) if len(ids) <= 1 << 10 else key, kind="stable")
             rank = np.arange(len(docs)) - np.repeat(ends - n, n)
             take = np.zeros(len(ids), bool)
             for d, key in enumerate(s.tolist()):
@@ -173,9 +222,62 @@ def prefix_rows(texts: DataFrame, k: int, percent: int, classes: np.ndarray) ->
                     seen.add(key)
                     take[d] = True
             kept = (rank < extended_length(n, percent)[docs]) & take[docs]
-            yield pa.RecordBatch.from_arrays([pa.array(grams[order][kept].view(np.int64)), pa.array(s[docs[kept]])], names=["h", "s"])
+            parts.append((grams[order[kept]].view(np.int64), s[docs[kept]]))
+            waiting += len(parts[-1][0])
+            if waiting >= FLUSH:
+                yield pack(*map(np.concatenate, zip(*parts)))
+                parts, waiting = [], 0
+        if waiting:
+            yield pack(*map(np.concatenate, zip(*parts)))
+
+    return texts.mapInArrow(run, "bucket long, rows binary")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(bucket, h, s), sorted by h and s, of every bucket of packed rows that come sorted by bucket."""
+
+    def ordered(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        h, s = np.concatenate(parts).reshape(-1, 2).T
+        order = np.argsort(h)
+        h, s = h[order], s[order]
+        again = np.zeros(len(h), bool)
+        again[1:] = h[1:] == h[:-1]
+        again[:-1] |= again[1:]
+        some = np.flatnonzero(again)
+        s[some] = s[some[np.lexsort((s[some], h[some]))]]
+        return h, s
+
+    last, parts = None, []
+    for batch in batches:
+        for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if bucket != last and parts:
+                yield last, *ordered(parts)
+                parts = []
+            last = bucket
+            parts.append(np.frombuffer(raw.as_buffer(), np.int64).copy())
+    if parts:
+        yield last, *ordered(parts)
 
-    return texts.mapInArrow(run, "h long, s long")
+
+def recurring_rows(packed: DataFrame, buckets: int) -> DataFrame:
+    """(h, s, df) of the n-grams with several sets, each row once; ``df`` counts the sets, and is HOT for what was dealt by set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, h, s in unpacked(batches):
+            if bucket >= buckets:
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
+                h, s = h[new], s[new]
+                df = np.full(len(h), 1 << HOT_BITS, np.int64)
+            else:
+                (found,) = recurring(iter([pa.RecordBatch.from_arrays([pa.array(h), pa.array(s)], names=["h", "s"])]))
+                h, s = (found.column(c).to_numpy() for c in (0, 1))
+                first = np.flatnonzero(np.diff(h, prepend=h[:1] - 1)) if len(h) else np.zeros(0, np.int64)
+                sizes = np.diff(np.append(first, len(h)))
+                df = np.minimum(np.repeat(sizes, sizes), 1 << HOT_BITS)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(s), pa.array(df)], names=["h", "s", "df"])
+
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "h long, s long, df long")
 
 
 def recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,19 +375,123 @@ def shared_at_least(a, b, percent: int):
     return t + np.minimum(extended_length(a, percent) - a, extended_length(b, percent) - b)
 
 
-def marks_of(rows: DataFrame) -> DataFrame:
-    """(s, grams, n): of the rows (s, h, n) the recurring n-grams of every set, 32 bits of each, sorted.
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of many rows at once, of rows sorted by their first ``keys`` columns; no group is cut in two."""
+    held: list[list[np.ndarray]] = []
+    waiting, enough = 0, AT_ONCE
+    for batch in batches:
+        held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)])
+        waiting += batch.num_rows
+        if waiting >= enough:
+            columns = [np.concatenate(x) for x in zip(*held)]
+            last = np.ones(waiting, bool)
+            for x in columns[:keys]:
+                last &= x == x[-1]
+            cut = waiting - int(last.sum())
+            if cut:
+                yield [x[:cut] for x in columns]
+            held, waiting = [[x[cut:] for x in columns]], waiting - cut
+            enough = max(AT_ONCE, 2 * waiting)
+    if waiting:
+        yield [np.concatenate(x) for x in zip(*held)]
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """First rows of the groups of sorted rows."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for x in keys:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def marks_and_places(rows: DataFrame) -> DataFrame:
+    """Of the rows (s, h, df, n, least), per set a row (s, n, grams): its recurring n-grams, 32 bits of each, sorted; and rows (s, n, h, common, left).
+
+    Equal n-grams stay equal when shortened, so too small an overlap rules a link out. The n-grams of a set are ordered by df
+    and h, as in every other set; all but the last least - 1 get rows. ``left`` counts them from this one on,
+    ``common`` is the part of the set that recurs, in 2**-30, above 32 bits of ``s`` that settle ties.
+    """
 
-    Equal n-grams stay equal when shortened, so too small an overlap rules a link out.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s, h, df, n, least in whole_groups(batches, 1):
+            order = np.lexsort((h, df, s))
+            s, h, n, least = s[order], h[order], n[order], least[order]
+            first = _starts(s)
+            sizes = np.diff(np.append(first, len(s)))
+            every = np.repeat(sizes, sizes)
+            left = every - (np.arange(len(s)) - np.repeat(first, sizes))
+            short = (h & 0xFFFFFFFF).astype(np.uint32)
+            marks = [np.sort(short[a:a + m]).tobytes() for a, m in zip(first.tolist(), sizes.tolist())]
+            common = (every / n * 2**30).astype(np.int64) << 32 | s & 0xFFFFFFFF
+            kept = left >= least
+            none, rest = len(first), int(kept.sum())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(s[first]), pa.array(n[first]), pa.array(marks, pa.binary()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(s[kept]), pa.array(n[kept]), pa.nulls(rest, pa.binary()), pa.array(h[kept]), pa.array(common[kept]), pa.array(left[kept])], names=names)
+
+    names = ["s", "n", "grams", "h", "common", "left"]
+    rows = rows.select("s", "h", "df", "n", "least").repartition("s").sortWithinPartitions("s")
+    return rows.mapInArrow(run, "s long, n long, grams binary, h long, common long, left long")
+
+
+def pairs_within(first: np.ndarray, s: np.ndarray, n: np.ndarray, c: np.ndarray, left: np.ndarray, query: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """Pairs of sets (a, b), a < b, that may link, of the groups of sets that share an n-gram and start at the rows ``first``.
+
+    They lie in different components ``c``, and one of them is a ``query``. ``left`` counts the marks of a set from this n-gram on:
+    at the first one that two sets share, all that they share is still to come, so linked sets have as many left as they must share.
     """
+    sizes = np.diff(np.append(first, len(s)))
+    group = np.repeat(np.arange(len(first)), sizes)
+    # whatever size a partner in the group has: the bound is lowest at the least or the largest
+    low = np.maximum(np.minimum.reduceat(n, first)[group], -(-percent * n // 100))
+    high = np.minimum(np.maximum.reduceat(n, first)[group], 100 * n // percent)
+    keep = left >= np.minimum(shared_at_least(n, low, percent), shared_at_least(n, high, percent)) - 2
+    group, s, n, c, left, query = (x[keep] for x in (group, s, n, c, left, query))
+    first = _starts(group)
+    sizes = np.diff(np.append(first, len(s)))
+    first, many = (np.repeat(x, sizes) for x in (first, sizes))
+    asked = np.flatnonzero(query)
+    total = np.cumsum(many[asked])
+    at = 0
+    while at < len(asked):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")))
+        one = asked[at:to]
+        a = np.repeat(one, many[one])
+        b = first[a] + np.arange(len(a)) - np.repeat(np.cumsum(many[one]) - many[one], many[one])
+        other = c[a] != c[b]
+        a, b = a[other], b[other]
+        near = (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & (np.minimum(left[a], left[b]) >= shared_at_least(n[a], n[b], percent))
+        a, b = s[a[near]], s[b[near]]
+        if len(a):
+            yield np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        at = to
+
+
+def near_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct (block, s): the pairs that ``pairs_within`` finds among the rows (h, s, n, c, left) of n-grams whose sets lie in several components.
+
+    The queries are the sets outside one of these components. Many sets of one n-gram form a grid of cells with about
+    PAIR_CELL sets on either side, so that no task meets an unbounded number.
+    """
+    cells = F.ceil(F.count("*") / PAIR_CELL).cast("int").alias("cells")
+    open_grams = pin(rows.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max_by("c", "left").alias("main"), cells)
+                     .where("low < high").select("h", "main", "cells"))
+    met = rows.join(open_grams, "h").select("h", "s", "n", "c", "left", (F.col("c") != F.col("main")).alias("query"), "cells")
+    own, every = F.pmod(F.xxhash64("s"), F.col("cells")).cast("int"), F.sequence(F.lit(0), F.col("cells") - 1)
+    at = lambda i, j, query: F.struct(i.alias("i"), j.alias("j"), query.alias("query"))
+    places = F.when(F.col("cells") == 1, F.array(at(F.lit(0), F.lit(0), F.col("query")))).otherwise(F.concat(
+        F.transform(every, lambda j: at(own, j, F.lit(False))),
+        F.when(F.col("query"), F.transform(every, lambda i: at(i, own, F.lit(True)))).otherwise(F.array().cast("array<struct<i:int,j:int,query:boolean>>"))))
+    grid = met.withColumn("at", F.explode(places)).select("h", "at.i", "at.j", "s", "n", "c", "left", "at.query")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            short = [np.sort((np.array(x, np.int64) & 0xFFFFFFFF).astype(np.uint32)).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary()), batch.column(2)], names=["s", "grams", "n"])
+        for h, i, j, s, n, c, left, query in whole_groups(batches, 3):
+            for pairs in pairs_within(_starts(h, i, j), s, n, c, left, query, percent):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["block", "s"])
 
-    listed = rows.groupBy("s").agg(F.collect_list("h").alias("h"), F.max("n").alias("n"))
-    return listed.mapInArrow(run, "s long, grams binary, n long")
+    return grid.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(run, "block long, s long").distinct()
 
 
 def search_blocks(members: DataFrame, sets: DataFrame, percent: int, marks: bool = False) -> DataFrame:
@@ -341,7 +547,7 @@ def search_blocks(members: DataFrame, sets: DataFrame, percent: int, marks: bool
 
 
 def star_blocks(named: DataFrame, percent: int, again: bool) -> DataFrame:
-    """Blocks of one query each: a pivot and the sets to compare it with, from the rows (h, s, n, common, c).
+    """Blocks of one query each: a pivot and the sets to compare it with, from the rows (h, s, n, common, left, c).
 
     Where an n-gram's sets lie in several components, its pivot is the set with the largest ``common``: the part of
     its n-grams that recur, which is largest for the original of edited copies. With ``again`` that set was a pivot
@@ -349,14 +555,13 @@ def star_blocks(named: DataFrame, percent: int, again: bool) -> DataFrame:
     its pivots, and near enough in size, is compared with the one it meets most often.
     """
     if again:
-        lead = pin(named.groupBy("h").agg(F.max_by("c", F.struct("common", "s")).alias("lead"), F.min("c").alias("low"), F.max("c").alias("high"))
+        lead = pin(named.groupBy("h").agg(F.max_by("c", "common").alias("lead"), F.min("c").alias("low"), F.max("c").alias("high"))
                    .where("low < high").select("h", "lead"))
         tops = named.join(lead, "h").where("c <> lead")
         named = named.join(lead.select("h"), "h")
     else:
         tops = named
-    top = tops.groupBy("h").agg(F.max(F.struct("common", "s", "n", "c")).alias("p"))
-    top = pin(top.select("h", F.col("p.s").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.c").alias("pivot_c")))
+    top = pin(tops.groupBy("h").agg(*(F.max_by(x, "common").alias(name) for x, name in (("s", "pivot"), ("n", "pivot_n"), ("c", "pivot_c")))))
     met = named.join(top, "h").where(
         (F.col("c") != F.col("pivot_c")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n"))
     ).groupBy("s", "pivot").count()
@@ -377,8 +582,10 @@ def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     scanned = pin(scan(texts, k))
     docs = scanned.where("block is null").select("id", "n", "s")
-    rows = prefix_rows(texts, k, percent, gram_classes(scanned.where("block is not null")))
-    members = pin(rows.repartition("h").sortWithinPartitions("h", "s").mapInArrow(recurring, "h long, s long"))
+    classes = gram_classes(scanned.where("block is not null"))
+    total = docs.agg(F.sum("n")).first()[0] or 0
+    buckets = (extended_length(total, percent) >> BUCKET_BITS) + 1
+    members = pin(recurring_rows(prefix_rows(texts, k, percent, classes, buckets), buckets))
 
     # A set stays only if it shares enough n-grams; of these the most frequent are not needed.
     # The bound below is the least of shared_at_least over all partners, which lies at one end of their sizes.
@@ -388,20 +595,13 @@ def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     least = F.greatest(F.expr(f"least({shared(low)}, {shared(high)}) - 2"), F.lit(1))
     sizes = docs.groupBy("s").agg(F.max("n").alias("n")).select("s", "n", least.alias("least"))
     enough = pin(members.groupBy("s").count().join(sizes, "s").where("count >= least").select("s", "n", "least"))
-    kept = pin(members.join(enough, "s"))
-    frequency = pin(kept.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
-    kept = pin(kept.join(frequency, "h"))
-    marks = pin(marks_of(kept))
-    of_set = Window.partitionBy("s")
-    kept = pin(
-        kept.withColumn("place", F.row_number().over(of_set.orderBy("df", "h"))).withColumn("all", F.count("*").over(of_set))
-        .where(F.col("place") <= F.col("all") - F.col("least") + 1)
-        .select("h", "s", "n", (F.col("all") / F.col("n")).alias("common"))
-    )
-    shared = pin(kept.groupBy("h").agg(F.min("s").alias("low"), F.max("s").alias("high")).where("low < high").select("h"))
-    members = pin(kept.join(shared, "h"))
+    if enough.count() <= BROADCAST_IDS:
+        enough = F.broadcast(enough)
+    placed = pin(marks_and_places(members.join(enough, "s")))
+    marks = placed.where("grams is not null").select("s", "grams", "n")
+    members = placed.where("h is not null").select("h", "s", "n", "common", "left")
 
-    wanted = docs.join(members.select("s").distinct(), "s").groupBy("s").agg(F.min("id").alias("w")).select("w").distinct()
+    wanted = docs.join(marks.select("s"), "s").groupBy("s").agg(F.min("id").alias("w")).select("w").distinct()
     wanted = pin(wanted)
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
@@ -413,23 +613,10 @@ def ngram_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
         found = pin(search_blocks(star_blocks(named, percent, number > 0), sets, percent))
         edges = found if edges is None else edges.union(found)
         found = components(edges).withColumnRenamed("id", "s")
-        named = pin(members.join(found, "s", "left").select("h", "s", "n", "common", F.coalesce("component", "s").alias("c")))
-
-    lead = F.max_by("c", F.struct("common", "s"))
-    open_grams = pin(
-        named.groupBy("h").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), lead.alias("main"),
-            F.xxhash64(F.min("s"), F.max("s"), F.count("s"), F.sum(F.xxhash64("s").cast("decimal(38,0)")), F.sum(F.xxhash64("s", "c").cast("decimal(38,0)"))).alias("block"),
-        ).where("low < high").groupBy("block", "main").agg(F.min("h").alias("h"))
-    )
-    # Sizes of linked sets differ by at most one band: a query meets its own and the two adjacent bands of its block.
-    band = F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).cast("int")
-    rest = named.join(open_grams, "h").select("block", "s", (F.col("c") != F.col("main")).alias("outside"), band.alias("band"))
-    at = lambda b: F.xxhash64("block", b).alias("block")
-    rest = rest.where("outside").select(at(F.col("band")), "s", F.lit(True).alias("query"), F.lit(False).alias("index")).union(
-        rest.select(F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("near"), "block", "s")
-        .select(at(F.col("near")), "s", F.lit(False).alias("query"), F.lit(True).alias("index")))
-    near = search_blocks(rest, marks, percent, marks=True).select(F.least("a", "b").alias("block"), F.greatest("a", "b").alias("s")).distinct()
+        named = pin(members.join(found, "s", "left").select("h", "s", "n", "common", "left", F.coalesce("component", "s").alias("c")))
+
+    near = search_blocks(pairs_blocks(pin(near_pairs(named, percent))), marks, percent, marks=True)
+    near = near.select(F.least("a", "b").alias("block"), F.greatest("a", "b").alias("s")).distinct()
     more = pin(search_blocks(pairs_blocks(pin(near)), sets, percent))
     whole = components(edges.union(more))
 

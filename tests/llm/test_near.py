@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import pytest
 
+from corpusloom.llm import ngram_join as ngram_module
 from corpusloom.llm import q_near
 from corpusloom.llm.cap_filters import AT_LEAST, ProductCode, near_vectors
 from corpusloom.llm.components import components
@@ -184,3 +185,62 @@ def test_registered_queries_on_whole_tables(spark):
     vectors = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     got = {r.vec_id: (r.n_links, r.component_id) for r in q_near.op5_cap_filters(spark, SF).collect()}
     assert got == brute.near_vectors(vectors)
+
+
+def edited_copies(seed, n, edits, words=120):
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    rows = [(10_000, " ".join(base))]
+    for i in range(n):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.choice(edits)):
+            copy[at] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_ngram_join_searches_few_of_the_pairs_of_a_large_group(spark, many_partitions, monkeypatch):
+    rows = edited_copies(5, 300, [2, 3, 4, 5])
+    searched = []
+
+    def search_blocks(members, sets, percent, marks=False):
+        if marks:
+            searched.append(members.count())
+        return original(members, sets, percent, marks)
+
+    original = ngram_module.search_blocks
+    monkeypatch.setattr(ngram_module, "search_blocks", search_blocks)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.ngram_groups(rows)
+    assert len({c for _, c in got.values()}) > 20
+    assert len(searched) == 1 and searched[0] < 10 * len(rows)
+
+
+def test_ngram_join_deals_hot_n_grams_by_set_and_cuts_their_sets_into_cells(spark, many_partitions, monkeypatch):
+    for name, value in {"HOT_BITS": 3, "BUCKET_BITS": 3, "PAIR_CELL": 8, "FLUSH": 500, "PACKED": 7, "PAIRS": 50, "AT_ONCE": 64}.items():
+        monkeypatch.setattr(ngram_module, name, value)
+    rows = texts(7) + [(i + 1000, t) for i, t in edited_copies(6, 60, [1, 3, 4, 6])] + [(2000, "w0 w1"), (2001, "W0 w1"), (2002, "w0")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == brute.ngram_groups(rows)
+
+
+def test_pairs_within_keeps_the_first_common_n_gram_of_linked_sets():
+    rng = np.random.default_rng(4)
+    base, pairs, wanted = rng.choice(2**40, 90, replace=False), set(), set()
+    sets = [np.unique(np.where(rng.random(90) < rng.choice([0.02, 0.1, 0.2]), rng.integers(0, 2**40, 90), base)[rng.integers(0, 6):]) for _ in range(50)]
+    df = {h: sum(h in x for x in map(set, sets)) for h in np.unique(np.concatenate(sets)).tolist()}
+    rows = []
+    for s, x in enumerate(sets):
+        marks = sorted(x.tolist(), key=lambda h: (df[h], h))[:ngram_module.extended_length(len(x), 75)]
+        marks = [h for h in marks if df[h] > 1]
+        rows += [(h, s, len(x), s % 7, len(marks) - i, s % 3 > 0 or s % 7 > 0) for i, h in enumerate(marks)]
+    h, s, n, c, left, query = (np.array(x) for x in zip(*sorted(rows)))
+    first = np.flatnonzero(np.diff(h, prepend=-1))
+    for found in ngram_module.pairs_within(first, s, n, c, left, query, 75):
+        pairs |= set(map(tuple, found.tolist()))
+    for a in range(50):
+        for b in range(a):
+            shared = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * shared >= 75 * (len(sets[a]) + len(sets[b]) - shared) and a % 7 != b % 7:
+                wanted.add((b, a))
+    assert wanted <= pairs and wanted and len(pairs) < 50 * 49 // 2
